@@ -24,13 +24,23 @@ def safe_div(num, den) -> Column:
     return F.try_divide(num, den)
 
 
+def det_round(c, digits: int) -> Column:
+    """Round half up as floor(x * 10^d + 0.5) / 10^d: plain IEEE double
+    arithmetic, so every engine gives bit-identical results (built-in round
+    functions differ on half-way cases)."""
+    c = c if isinstance(c, Column) else F.col(c)
+    scale = F.lit(float(10 ** digits))
+    x = c.cast("double")
+    return F.when(F.isnan(x), x).otherwise(F.floor(x * scale + F.lit(0.5)) / scale)
+
+
 def round_doubles(df: DataFrame, digits: int = 6, overrides: dict | None = None) -> DataFrame:
     """Round every DOUBLE/FLOAT column (for stable comparisons of results)."""
     overrides = overrides or {}
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name).cast("double"), overrides.get(f.name, digits)).alias(f.name))
+            out.append(det_round(F.col(f.name), overrides.get(f.name, digits)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -39,7 +49,8 @@ def round_doubles(df: DataFrame, digits: int = 6, overrides: dict | None = None)
 def fmt_duration(seconds: Column) -> Column:
     """seconds -> 'h:m:s.s' (hours and minutes without padding)."""
     s = seconds.cast("double")
-    return F.format_string("%.0f:%.0f:%.1f", F.floor(s / 3600), F.floor((s % 3600) / 60), s % 60)
+    return F.format_string("%.0f:%.0f:%.1f", F.floor(s / 3600).cast("double"),
+                           F.floor((s % 3600) / 60).cast("double"), s % 60)
 
 
 def linspace_int(start: Column | int, stop: Column | int, n: int) -> Column:

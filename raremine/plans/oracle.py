@@ -12,6 +12,40 @@ from raremine.plans.standins import NUMERIC, PERSON_CLEAN_SQL, with_ctes
 SEED = 42
 
 
+def det_round_sql(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` into floor(x * 10^d + 0.5) / 10^d, the
+    same IEEE arithmetic as the Spark side (built-in rounding differs between
+    engines on half-way cases)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        inner = det_round_sql(sql[j + 6:comma])
+        digits = int(sql[comma + 1:k].strip())
+        out.append(sql[i:j])
+        out.append(f"(floor(CAST({inner} AS DOUBLE) * CAST(1e{digits} AS DOUBLE) + CAST(0.5 AS DOUBLE))"
+                   f" / CAST(1e{digits} AS DOUBLE))")
+        i = k + 1
+
+
 def r6(expr: str, alias: str, digits: int = 6) -> str:
     return f"round(CAST({expr} AS DOUBLE), {digits}) AS {alias}"
 
@@ -97,3 +131,76 @@ FROM (SELECT count(*) AS total,
 def sql_eval_shuffle_cv(folds: int = 1000) -> str:
     ctes = [PERSON_CLEAN_SQL, person_data_cte()] + strat_split_ctes(folds) + gnb_fold_pred_ctes(NUMERIC)
     return with_ctes(*ctes) + counts_metrics_select("pred")
+
+
+PERSON_DATA = PERSON_CLEAN_SQL + ",\n" + person_data_cte()
+
+LO = "CAST(0.0001 AS DOUBLE)"
+
+
+def _minmax(c: str) -> str:
+    span = f"coalesce(nullif(max({c}) OVER () - min({c}) OVER (), 0), 1)"
+    return f"{LO} + ({c} - min({c}) OVER ()) / {span} * (CAST(1.0 AS DOUBLE) - {LO}) AS {c}"
+
+
+def minmax_cte(src: str, cols, keep=("id", "poi"), out: str = "scaled") -> str:
+    return f"{out} AS (SELECT {', '.join(keep)}, {', '.join(_minmax(c) for c in cols)} FROM {src})"
+
+
+MINMAX_SQL = minmax_cte("train", NUMERIC + ["email_address_code"])
+
+
+def inter_sql(name: str) -> str:
+    """SQL of an interaction column name 'a*b', 'a+b', 'a/b', 'a-b'."""
+    for op in ("*", "+", "/", "-"):
+        if op in name:
+            a, b = name.split(op, 1)
+            if op == "/":
+                return f"({a} / nullif({b}, 0))"
+            return f"({a} {op} {b})"
+    raise ValueError(name)
+
+
+def kfold_sql(src: str, label: str, k: int, out: str, seed: int = SEED) -> str:
+    return (f"{out} AS (SELECT *, (row_number() OVER (PARTITION BY {label} ORDER BY "
+            f"md5(concat_ws('|', '{seed}', id)), id) - 1) % {k} AS kfold FROM {src})")
+
+
+def long_sql(src: str, cols, label: str | None = None, key: str | None = None) -> str:
+    parts = []
+    for c in cols:
+        extra = (f", {label} AS label" if label else "") + (f", {key} AS id" if key else "")
+        parts.append(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x{extra} FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+def anova_sql(src: str, cols, label: str, out: str) -> str:
+    return (f"{out}_l AS ({long_sql(src, cols, label)}),\n"
+            f"{out}_g AS (SELECT feature, label, count(*) AS n, avg(x) AS m, var_pop(x) AS v "
+            f"FROM {out}_l GROUP BY feature, label),\n"
+            f"{out}_t AS (SELECT feature, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, "
+            f"sum(n * v) AS ssw FROM {out}_g GROUP BY feature),\n"
+            f"{out} AS (SELECT g.feature, (sum(g.n * pow(g.m - t.mm, 2)) / nullif(t.k - 1, 0)) / "
+            f"nullif(t.ssw / nullif(t.nn - t.k, 0), 0) AS f FROM {out}_g g JOIN {out}_t t USING (feature) "
+            f"GROUP BY g.feature, t.k, t.ssw, t.nn)")
+
+
+def outlier_sql(src: str, cols, how_far: float, worst_th: int, out: str) -> list[str]:
+    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{j}, quantile_cont({c}, 0.75) AS q3_{j}"
+                   for j, c in enumerate(cols))
+    hf = f"CAST({how_far} AS DOUBLE)"
+    flags = " + ".join(
+        f"CASE WHEN {c} >= q1_{j} - (q3_{j} - q1_{j}) * {hf} AND {c} <= q3_{j} + (q3_{j} - q1_{j}) * {hf} "
+        f"THEN 0 ELSE 1 END" for j, c in enumerate(cols))
+    return [f"{out}_q AS (SELECT {qs} FROM {src})",
+            f"{out}_f AS (SELECT id, CAST({flags} AS INTEGER) AS n_flags FROM {src}, {out}_q)",
+            f"{out} AS (SELECT id, n_flags FROM {out}_f WHERE n_flags >= 1 AND n_flags > "
+            f"(SELECT max(n_flags) FROM {out}_f WHERE n_flags >= 1) - {worst_th})"]
+
+
+def spearman_sql(src: str, cols, out: str) -> list[str]:
+    return [f"{out}_l AS ({long_sql(src, cols, key='id')})",
+            f"{out}_r AS (SELECT id, feature, rank() OVER (PARTITION BY feature ORDER BY x) + "
+            f"(count(*) OVER (PARTITION BY feature, x) - 1) / CAST(2 AS DOUBLE) AS r FROM {out}_l)",
+            f"{out} AS (SELECT a.feature AS f1, b.feature AS f2, CASE WHEN a.feature = b.feature THEN 1.0 "
+            f"ELSE corr(a.r, b.r) END AS rho FROM {out}_r a JOIN {out}_r b ON a.id = b.id GROUP BY a.feature, b.feature)"]

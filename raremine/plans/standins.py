@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from raremine.functions.numeric import det_round
 from raremine.sources.tables import read_table
 
 KEY = "id"
@@ -36,9 +37,9 @@ def person_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     per_customer = orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.round(F.sum("o_totalprice"), 2).alias("total_price"),
+        det_round(F.sum("o_totalprice"), 2).alias("total_price"),
         F.max("o_totalprice").alias("max_price"),
-        F.round(F.avg("o_totalprice"), 2).alias("avg_price"),
+        det_round(F.avg("o_totalprice"), 2).alias("avg_price"),
         F.min("o_totalprice").alias("min_price"),
         F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"),
         F.count_if(F.col("o_orderpriority") == "2-HIGH").alias("n_high"),
@@ -65,7 +66,7 @@ def person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     vals = person_values(spark, sf_dir)
     total = vals.agg(
         F.lit("TOTAL").alias(KEY), F.lit(False).alias(TARGET), F.lit(None).cast("string").alias(EMAIL),
-        *[F.round(F.sum(c), 2).alias(c) for c in NUMERIC])
+        *[det_round(F.sum(c), 2).alias(c) for c in NUMERIC])
     both = vals.unionByName(total)
 
     def as_text(c):
@@ -113,3 +114,25 @@ person_clean AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
+
+# train frame of the reference flow: email filled with '-1' and label-encoded
+# (codes over all rows, TOTAL included), TOTAL dropped, every other null -> -1
+TRAIN_SQL = PERSON_CLEAN_SQL + """,
+codes AS (SELECT e, CAST(dense_rank() OVER (ORDER BY e) - 1 AS INTEGER) AS email_address_code
+          FROM (SELECT DISTINCT coalesce(email_address, '-1') AS e FROM person_clean)),
+train AS (SELECT p.id, p.poi, coalesce(acctbal, -1) AS acctbal, coalesce(total_price, -1) AS total_price,
+                 coalesce(max_price, -1) AS max_price, coalesce(avg_price, -1) AS avg_price,
+                 coalesce(min_price, -1) AS min_price, coalesce(n_urgent, -1) AS n_urgent,
+                 coalesce(n_high, -1) AS n_high, c.email_address_code
+          FROM person_clean p JOIN codes c ON coalesce(p.email_address, '-1') = c.e
+          WHERE p.id <> 'TOTAL')"""
+
+
+def train_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark twin of TRAIN_SQL built from the operators."""
+    from raremine.operators.clean import clean_records, drop_row_by_key, encode_label, impute_constant
+
+    clean = clean_records(person_records(spark, sf_dir), TARGET)
+    coded = encode_label(clean, EMAIL, EMAIL + "_code")
+    kept = drop_row_by_key(coded, "TOTAL")
+    return impute_constant(kept, -1, NUMERIC).drop(EMAIL)
