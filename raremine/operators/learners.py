@@ -89,18 +89,15 @@ def pca_fit(df: DataFrame, features: Sequence[str], n_components=None):
 
 def pca_transform(df: DataFrame, features: Sequence[str], model, means, k: int,
                   keep: Sequence[str] = ()) -> DataFrame:
-    """Scores on the first k axes; each axis signed so that its largest
-    |loading| is positive (deterministic orientation)."""
+    """Scores on the first k axes (ML transform of the centred vector); each
+    axis signed so that its largest |loading| is positive."""
+    from pyspark.ml.functions import vector_to_array
+
     pc = model.pc.toArray()
     signs = [1.0 if pc[np.argmax(np.abs(pc[:, i])), i] >= 0 else -1.0 for i in range(pc.shape[1])]
-    cols = []
-    for i in range(k):
-        expr = None
-        for j, (c, m) in enumerate(zip(features, means)):
-            term = (F.col(c).cast("double") - F.lit(m)) * F.lit(float(pc[j, i] * signs[i]))
-            expr = term if expr is None else expr + term
-        cols.append(expr.alias(f"pc{i + 1}"))
-    return df.select(*keep, *cols)
+    centred = df.select(*keep, *[(F.col(c).cast("double") - F.lit(m)).alias(c) for c, m in zip(features, means)])
+    scores = model.transform(assemble(centred, features)).withColumn("_a", vector_to_array("pcs"))
+    return scores.select(*keep, *[(F.col("_a")[i] * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(k)])
 
 
 # ------------------------------------------------------ kernel SVC re-aim ----

@@ -356,8 +356,7 @@ def q_boost_round_cv(spark, sf):
     for f in range(3):
         tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
         model = L.make_estimator("boosted_trees", maxDepth=3, stepSize=0.05, maxIter=20).fit(tr)
-        for i, (a, b) in enumerate(zip(model.evaluateEachIteration(tr, "logistic"),
-                                       model.evaluateEachIteration(te, "logistic"))):
+        for i, (a, b) in enumerate(zip(model.evaluateEachIteration(tr), model.evaluateEachIteration(te))):
             rows.append((f, i + 1, float(a), float(b)))
     df = spark.createDataFrame(rows, "fold int, round int, train_loss double, test_loss double")
     per = df.groupBy("round").agg(F.avg("train_loss").alias("train_loss"), F.avg("test_loss").alias("test_loss"))
