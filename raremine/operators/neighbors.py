@@ -108,7 +108,7 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     no danger rows -> empty result."""
     from raremine.operators.clean import global_row_number
 
-    base = df.select(key, label, as_vector(features).alias("v"))
+    base = df.select(key, label, as_vector(features).alias("v")).persist()
     is_min = F.col(label) == F.lit(minority)
     counts = {r[0]: r[1] for r in base.groupBy(is_min.alias("m")).count().collect()}
     n_min, n_maj = counts.get(True, 0), counts.get(False, 0)

@@ -17,6 +17,17 @@ from raremine import SEED
 from raremine.functions.numeric import hash_key
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Before a row-multiplying explode: make sure the (small) input has at
+    least as many partitions as the cluster has cores, by hashing on the key
+    (deterministic on recompute), so the expanded rows are produced in
+    parallel instead of by the few tasks of a small input."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
 def class_counts(df: DataFrame, label: str = "label") -> dict:
     """{class: count}; one small aggregate (size = number of classes)."""
     return {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
@@ -43,23 +54,56 @@ def _per_class(label: Column, values: dict) -> Column:
     return expr.otherwise(F.lit(0))
 
 
+def _hex_threshold(p: float) -> str | None:
+    """8-hex-digit prefix below which a uniform md5 falls with probability p."""
+    if p >= 1.0:
+        return None
+    return format(min(int(p * 4294967296.0) + 1, 4294967295), "08x")
+
+
 def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
                         seed: int = SEED, key: str = "id", label: str = "label",
-                        keep: Sequence[str] = ()) -> DataFrame:
+                        keep: Sequence[str] = (), prefilter: bool = True) -> DataFrame:
     """Test rows of ``folds`` independent stratified shuffle splits:
     ``(fold, key, label, *keep)``.  Each (fold, class) keeps its n_test(class)
-    rows of smallest md5 key.  The filter on the row number lets Catalyst insert
-    a partial WindowGroupLimit before the shuffle, so only test rows move."""
+    rows of smallest md5 key.
+
+    Plan: explode folds in the scan stage, keep only candidates whose md5
+    prefix is below a per-class threshold (about k + 8 sqrt(k) expected rows
+    per group instead of all n), then ``row_number() <= k`` (Catalyst adds a
+    partial WindowGroupLimit before the shuffle).  The candidate filter can
+    only lose rows if a group has fewer than k candidates; the result is
+    verified per (fold, class) and recomputed without the filter if so, so
+    the split is always exact."""
     counts = class_counts(df, label)
     sizes = stratified_test_sizes(counts, test_size)
     kmax = max(sizes.values())
-    expanded = (df.select(key, label, *keep)
+    expanded = (spread(df.select(key, label, *keep), key)
                 .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
                 .withColumn("_h", hash_key(seed, F.col("fold"), F.col(key))))
-    w = Window.partitionBy("fold", label).orderBy("_h", key)
-    ranked = expanded.withColumn("_rn", F.row_number().over(w))
-    return (ranked.filter((F.col("_rn") <= F.lit(kmax)) & (F.col("_rn") <= _per_class(F.col(label), sizes)))
-            .select("fold", key, label, *keep))
+
+    def ranked(src):
+        w = Window.partitionBy("fold", label).orderBy("_h", key)
+        r = src.withColumn("_rn", F.row_number().over(w))
+        return (r.filter((F.col("_rn") <= F.lit(kmax)) & (F.col("_rn") <= _per_class(F.col(label), sizes)))
+                .select("fold", key, label, *keep))
+
+    if not prefilter:
+        return ranked(expanded)
+    limits = {c: _hex_threshold((k + 8.0 * math.sqrt(k) + 16.0) / counts[c]) for c, k in sizes.items()}
+    if all(v is None for v in limits.values()):
+        return ranked(expanded)
+    cond = None
+    for c, lim in sorted(limits.items()):
+        test = F.lit(True) if lim is None else (F.substring("_h", 1, 8) < F.lit(lim))
+        cond = F.when(F.col(label) == F.lit(c), test) if cond is None else cond.when(F.col(label) == F.lit(c), test)
+    out = ranked(expanded.filter(cond.otherwise(F.lit(True)))).persist()
+    got = {(r[0], r[1]): r[2] for r in out.groupBy("fold", label).count().collect()}
+    short = any(got.get((f, c), 0) < k for f in range(folds) for c, k in sizes.items() if k > 0)
+    if short:
+        out.unpersist()
+        return ranked(expanded)
+    return out
 
 
 def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",

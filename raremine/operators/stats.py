@@ -244,8 +244,11 @@ def select_percentile(scores: DataFrame, percentile: float = 10.0, feature: str
     The threshold is read off a distributed global rank (no single-task
     percentile buffer), so it scales with the number of features."""
     from raremine.operators.clean import global_row_number
+    from raremine.session import cut_lineage
 
-    scored = scores.filter(F.col(score).isNotNull())
+    # the score table has one row per feature: cut its lineage once so the
+    # few small actions below do not recompute the statistics upstream
+    scored = cut_lineage(scores.filter(F.col(score).isNotNull()).select(feature, score))
     n = scored.count()
     if n == 0:
         return scored
