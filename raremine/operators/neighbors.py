@@ -32,29 +32,31 @@ def as_vector(columns: Sequence[str]) -> Column:
 
 def _local_topk(k: int, exclude_self: bool):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "rid", "d2"]
+        qid_all, rid_all = q["qid"].to_numpy(), r["rid"].to_numpy()
         if q.empty or r.empty:
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({"qid": qid_all[:0], "rid": rid_all[:0], "d2": np.zeros(0)})
         qv = np.stack(q["v"].to_numpy()).astype(np.float64)
         rv = np.stack(r["v"].to_numpy()).astype(np.float64)
-        qid, rid = q["qid"].to_numpy(), r["rid"].to_numpy()
-        order_r = np.argsort(rid, kind="stable")          # tie-break by reference key
-        rv, rid = rv[order_r], rid[order_r]
+        order_r = np.argsort(rid_all, kind="stable")          # tie-break by reference key
+        rv, rid = rv[order_r], rid_all[order_r]
         kk = min(k, len(rid))
-        out_q, out_r, out_d = [], [], []
-        for s in range(0, len(qid), _CHUNK):
+        out_q, out_r, out_d = [qid_all[:0]], [rid[:0]], [np.zeros(0)]
+        for s in range(0, len(qid_all), _CHUNK):
+            qid = qid_all[s:s + _CHUNK]
             d2 = ((qv[s:s + _CHUNK, None, :] - rv[None, :, :]) ** 2).sum(axis=2)
             if exclude_self:
-                d2[qid[s:s + _CHUNK, None] == rid[None, :]] = np.inf
+                d2[qid[:, None] == rid[None, :]] = np.inf
             # stable sort keeps the rid order among equal distances
             idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            for i in range(idx.shape[0]):
-                for j in idx[i]:
-                    if np.isfinite(d2[i, j]):
-                        out_q.append(qid[s + i])
-                        out_r.append(rid[j])
-                        out_d.append(d2[i, j])
-        return pd.DataFrame({"qid": out_q, "rid": out_r, "d2": np.array(out_d, dtype=np.float64)})
+            rows = np.repeat(np.arange(idx.shape[0]), kk)
+            cols = idx.ravel()
+            dd = d2[rows, cols]
+            ok = np.isfinite(dd)
+            out_q.append(qid[rows[ok]])
+            out_r.append(rid[cols[ok]])
+            out_d.append(dd[ok])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "rid": np.concatenate(out_r),
+                             "d2": np.concatenate(out_d)})
     return fn
 
 
