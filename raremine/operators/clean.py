@@ -169,3 +169,11 @@ def drop_nonfinite_columns(df: DataFrame, columns: Sequence[str] | None = None)
 def finite(c: Column) -> Column:
     d = c.cast("double")
     return d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf")))
+
+
+def check_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, present) for each requested feature against the frame's
+    columns (the planning-time check behind ``feature_format``)."""
+    have = set(df.columns)
+    spark = df.sparkSession
+    return spark.createDataFrame([(f, f in have) for f in features], "feature string, present boolean")

@@ -157,3 +157,47 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
             s = s - d * d * F.col(f"h{ci}_{j}")
         scores.append(s)
     return scored.select("fold", key, label, _argmax(classes, scores).alias("prediction"))
+
+
+def gnb_group_fit(train_rows: DataFrame, group_cols: Sequence[str], features: Sequence[str],
+                  classes: Sequence, label: str = "label",
+                  var_smoothing: float = VAR_SMOOTHING) -> DataFrame:
+    """Gaussian NB fitted separately for every group (e.g. (fold, size)) in one
+    aggregate: per group one row with, for each class, the log prior and
+    squared-distance weights.  Rows: one per group (small, broadcastable)."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for j, f in enumerate(features):
+        aggs.append(F.var_pop(F.col(f).cast("double")).alias(f"_va{j}"))
+    for ci, c in enumerate(classes):
+        is_c = F.col(label) == F.lit(c)
+        aggs.append(F.count_if(is_c).alias(f"n{ci}"))
+        for j, f in enumerate(features):
+            x = F.when(is_c, F.col(f).cast("double"))
+            aggs += [F.avg(x).alias(f"mu{ci}_{j}"), F.var_pop(x).alias(f"var{ci}_{j}")]
+    st = train_rows.groupBy(*group_cols).agg(*aggs)
+    va = [F.col(f"_va{j}") for j in range(len(features))]
+    st = st.withColumn("eps", F.lit(var_smoothing) * (F.greatest(*va) if len(va) > 1 else va[0]))
+    cols = [F.col(g) for g in group_cols]
+    for ci in range(len(classes)):
+        const = F.log(F.col(f"n{ci}") / F.col("_n"))
+        for j in range(len(features)):
+            vv = F.col(f"var{ci}_{j}") + F.col("eps")
+            const = const - F.lit(0.5) * F.log(F.lit(2 * math.pi) * vv)
+            cols += [F.col(f"mu{ci}_{j}"), F.try_divide(F.lit(0.5), vv).alias(f"h{ci}_{j}")]
+        cols.append(F.when(F.col(f"n{ci}") > 0, const).alias(f"c{ci}"))
+    return st.select(*cols)
+
+
+def gnb_group_predict(rows: DataFrame, stats: DataFrame, group_cols: Sequence[str],
+                      features: Sequence[str], classes: Sequence, out: str = "prediction") -> DataFrame:
+    """Score rows with the model of their group (stats broadcast: one row per group)."""
+    scored = rows.join(F.broadcast(stats), list(group_cols))
+    scores = []
+    for ci in range(len(classes)):
+        s = F.col(f"c{ci}")
+        for j, f in enumerate(features):
+            d = F.col(f).cast("double") - F.col(f"mu{ci}_{j}")
+            s = s - d * d * F.col(f"h{ci}_{j}")
+        scores.append(s)
+    keep = [c for c in rows.columns]
+    return scored.select(*keep, _argmax(classes, scores).alias(out))

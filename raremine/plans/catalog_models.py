@@ -383,3 +383,47 @@ def q_src_model_bundle(spark, sf):
     clf, data, feats = load_bundle(spark, path)
     pred = clf.transform(L.assemble(data.filter("is_test"), feats[1:]))
     return pred.select("id", "label", F.col("prediction").cast("double"))
+
+
+def learning_curve_sql(features=NUMERIC, k: int = 10, granularity: int = 10) -> str:
+    g = granularity - 1
+    stats = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in features)
+    const = " + ".join(f"ln(2 * pi() * (g.v_{c} + t.eps))" for c in features)
+    quad = " + ".join(f"pow(s.{c} - g.m_{c}, 2) / (g.v_{c} + t.eps)" for c in features)
+
+    def score(src, out):
+        return [f"{out}_s AS (SELECT s.fold, s.size, s.id, s.label, g.cls, ln(g.n / t.ntot) - 0.5 * ({const})"
+                f" - 0.5 * ({quad}) AS jll FROM {src} s JOIN lc_g g ON g.fold = s.fold AND g.size = s.size"
+                f" JOIN lc_t t ON t.fold = s.fold AND t.size = s.size)",
+                f"{out} AS (SELECT fold, size, id, label, cls AS prediction FROM (SELECT *, row_number() OVER"
+                f" (PARTITION BY fold, size, id ORDER BY jll DESC, cls) AS rr FROM {out}_s) WHERE rr = 1)",
+                f"{out}_f AS (SELECT fold, size, coalesce(2 * count(*) FILTER (WHERE prediction = 1 AND label = 1) /"
+                f" nullif(2 * count(*) FILTER (WHERE prediction = 1 AND label = 1) + count(*) FILTER"
+                f" (WHERE prediction = 1 AND label = 0) + count(*) FILTER (WHERE prediction = 0 AND label = 1), 0), 0)"
+                f" AS f1 FROM {out} GROUP BY fold, size)"]
+
+    ctes = [O.PERSON_CLEAN_SQL, O.person_data_cte()] + O.strat_split_ctes(k) + [
+        "lc_tr AS (SELECT f.fold, d.* FROM data d CROSS JOIN folds f WHERE NOT EXISTS"
+        " (SELECT 1 FROM test t WHERE t.fold = f.fold AND t.id = d.id))",
+        "lc_rk AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY md5(concat_ws('|', '42', 'train',"
+        " CAST(fold AS VARCHAR), id)), id) AS rn FROM lc_tr)",
+        "lc_m AS (SELECT CAST(count(*) AS DOUBLE) * CAST(0.9 AS DOUBLE) AS m FROM data)",
+        f"lc_sz AS (SELECT CAST(CASE WHEN i = {g} THEN trunc(m) ELSE trunc(i * ((m - 20) / {g}) + 20) END AS BIGINT)"
+        f" AS size FROM range({granularity}) r(i), lc_m)",
+        "lc_sub AS (SELECT r.*, s.size FROM lc_rk r JOIN lc_sz s ON r.rn <= s.size)",
+        f"lc_g AS (SELECT fold, size, label AS cls, count(*) AS n, {stats} FROM lc_sub GROUP BY fold, size, label)",
+        "lc_t AS (SELECT fold, size, count(*) AS ntot, 1e-9 * greatest(" +
+        ", ".join(f"var_pop({c})" for c in features) + ") AS eps FROM lc_sub GROUP BY fold, size)",
+        "lc_val AS (SELECT t.*, s.size FROM test t CROSS JOIN lc_sz s)",
+    ] + score("lc_sub", "lc_ptr") + score("lc_val", "lc_pva")
+    return with_ctes(*ctes) + (" SELECT a.size, round(avg(a.f1), 6) AS train_mean, round(stddev_pop(a.f1), 6) AS train_std,"
+                               " round(avg(b.f1), 6) AS val_mean, round(stddev_pop(b.f1), 6) AS val_std"
+                               " FROM lc_ptr_f a JOIN lc_pva_f b ON a.fold = b.fold AND a.size = b.size GROUP BY a.size")
+
+
+@register("learning_curve", learning_curve_sql())
+def q_learning_curve(spark, sf):
+    """GNB learning curve: 10 sizes x 10 stratified shuffle splits, all
+    (split, size) models fitted in one aggregate."""
+    from raremine.plans.evaluate import learning_curve_gnb
+    return r(learning_curve_gnb(pdata(spark, sf), NUMERIC, k=10, granularity=10))

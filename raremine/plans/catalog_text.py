@@ -211,3 +211,73 @@ def q_sink_keyed_records(spark, sf):
     clean = FS.records_to_frame(back, ["total_price", "n_high"])
     from raremine.operators.clean import clean_sentinel_numeric
     return r(clean.select("id", *[clean_sentinel_numeric(F.col(c)).alias(c) for c in ("total_price", "n_high")]))
+
+
+# ------------------------------------------------------ file-based sources --
+
+def _scratch(spark, name: str) -> str:
+    from raremine.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/sources/" + name
+
+
+EMAIL_INDEX_SQL = ("SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup') THEN 'from' ELSE 'to' END AS direction,"
+                   " 'user' || CAST(user_id AS VARCHAR) || '@example.com' AS address,"
+                   " 'maildir/user' || CAST(user_id AS VARCHAR) || '/' || event_type || '/' || CAST(event_id AS VARCHAR) || '.'"
+                   " AS path, 4 AS n_parts FROM events")
+
+
+@register("src_email_index", EMAIL_INDEX_SQL)
+def q_src_email_index(spark, sf):
+    """An email index derived from ``events`` is written as one folder per
+    direction_address (Spark partitioned text), then read back by the index
+    reader: direction and address from the folder name, one path per line."""
+    ev = read_table(spark, sf, "events")
+    direction = F.when(F.col("event_type").isin("click", "purchase", "signup"), "from").otherwise("to")
+    name = F.concat(direction, F.lit("_user"), F.col("user_id").cast("string"), F.lit("@example.com.txt"))
+    line = F.concat(F.lit("maildir/user"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"),
+                    F.lit("/"), F.col("event_id").cast("string"), F.lit("."))
+    path = _scratch(spark, "email_index")
+    ev.select(name.alias("name"), line.alias("value")).write.partitionBy("name").mode("overwrite").text(path)
+    return FS.read_email_index(spark, path).select("direction", "address", "path", "n_parts")
+
+
+@register("src_poi_names", with_ctes(PERSON_CLEAN_SQL) +
+          " SELECT CASE WHEN poi = 1 THEN 'y' ELSE 'n' END AS flag, split_part(id, '#', 1) AS last,"
+          " split_part(id, '#', 2) AS first FROM person_clean WHERE id <> 'TOTAL'")
+def q_src_poi_names(spark, sf):
+    """A '(y|n) Last, First' list (with a URL header and a blank line) is
+    written from the person table and parsed back."""
+    from raremine.plans.catalog_tabular import pclean
+    from raremine.operators.clean import drop_row_by_key
+
+    p = drop_row_by_key(pclean(spark, sf))
+    parts = F.split("id", "#")
+    lines = p.select(F.concat(F.lit("("), F.when(F.col("poi") == 1, "y").otherwise("n"), F.lit(") "),
+                              F.get(parts, 0), F.lit(", "), F.get(parts, 1)).alias("value"))
+    header = spark.createDataFrame([("http://example.org/poi-list",), ("",)], "value string")
+    path = _scratch(spark, "poi_names")
+    header.unionByName(lines).write.mode("overwrite").text(path)
+    return FS.read_poi_names(spark, path)
+
+
+@register("src_poi_addresses", with_ctes(PERSON_CLEAN_SQL) +
+          " SELECT DISTINCT email_address AS address FROM person_clean WHERE poi = 1 AND email_address IS NOT NULL")
+def q_src_poi_addresses(spark, sf):
+    """Address list of the positive class (quoted/fused entries normalised)."""
+    from raremine.plans.catalog_tabular import pclean
+
+    p = pclean(spark, sf).filter((F.col("poi") == 1) & F.col("email_address").isNotNull())
+    quoted = p.select(F.concat(F.lit("'"), F.col("email_address"), F.lit("'")).alias("address"))
+    return FS.normalize_addresses(quoted)
+
+
+@register("ff_missing_feature", " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {str(ok).lower()} AS present" for f, ok in
+    [("poi", True), ("total_price", True), ("salary", False), ("n_high", True)]))
+def q_ff_missing_feature(spark, sf):
+    """Requested features checked against the stand-in frame's columns
+    (``feature_format`` raises ValueError for the absent ones)."""
+    from raremine.operators.clean import check_features
+    from raremine.plans.catalog_tabular import pclean
+
+    return check_features(pclean(spark, sf), ["poi", "total_price", "salary", "n_high"])

@@ -19,3 +19,58 @@ def eval_shuffle_cv_gnb(data: DataFrame, features: Sequence[str], folds: int = 1
     GNB predictions are always a training class (0/1), so no fold is cut."""
     pred = gnb_fold_predictions(data, features, folds, test_size, seed, key, label)
     return confusion_metrics(confusion_counts(pred, label=label, fold=None))
+
+
+def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, granularity: int = 10,
+                       train_size: float = 0.9, test_size: float = 0.1, seed: int = SEED,
+                       scale: bool = False, center: bool = False, key: str = "id",
+                       label: str = "label") -> DataFrame:
+    """Learning curve of Gaussian NB: ``(size, train_mean, train_std, val_mean,
+    val_std)`` over k stratified shuffle splits.
+
+    Sizes: trunc(linspace(20, n * train_size, granularity)).  For each split
+    the training rows are taken in a seeded md5 order; the model for size s is
+    fitted on the first s of them, scored (F1 of class 1) on those rows and on
+    the split's test rows.  All (split, size) models are fitted in ONE
+    aggregate; optional per-split standard scaling is fitted on the split's
+    training rows.  Std is the population std over splits."""
+    from pyspark.sql import functions as F
+
+    from raremine.functions.numeric import hash_key
+    from raremine.operators.clean import global_row_number
+    from raremine.operators.features import scale_per_fold
+    from raremine.operators.metrics import f1_prec_rec
+    from raremine.operators.models import gnb_group_fit, gnb_group_predict
+    from raremine.operators.sampling import class_counts, split_strat_shuffle, spread, stratified_test_sizes
+
+    import numpy as np
+
+    counts = class_counts(data, label)
+    classes = sorted(counts)
+    n = sum(counts.values())
+    sizes = [int(v) for v in np.linspace(20, n * train_size, granularity)]
+    base = data.select(key, label, *features)
+    test = split_strat_shuffle(base, k, test_size, seed, key, label, keep=features)
+    allf = spread(base, key).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    rows = allf.join(test.select("fold", key, F.lit(True).alias("is_test")), ["fold", key], "left") \
+               .withColumn("is_test", F.coalesce("is_test", F.lit(False)))
+    if scale or center:
+        rows = scale_per_fold(rows, features, center=center, scale=scale)
+    train = rows.filter(~F.col("is_test"))
+    n_train = n - sum(stratified_test_sizes(counts, test_size).values())
+    ranked = global_row_number(train.withColumn("_h", hash_key(seed, "train", F.col("fold"), F.col(key))),
+                               ["fold", "_h", key], "_g")
+    ranked = ranked.withColumn("_rn", F.col("_g") - F.col("fold") * F.lit(n_train))
+    size_arr = F.array(*[F.lit(s) for s in sizes])
+    sub = ranked.withColumn("size", F.explode(F.filter(size_arr, lambda s: s >= F.col("_rn"))))
+    stats = gnb_group_fit(sub, ["fold", "size"], features, classes, label)
+    p_train = gnb_group_predict(sub.select("fold", "size", key, label, *features), stats,
+                                ["fold", "size"], features, classes)
+    val = rows.filter("is_test").withColumn("size", F.explode(size_arr))
+    p_val = gnb_group_predict(val.select("fold", "size", key, label, *features), stats,
+                              ["fold", "size"], features, classes)
+    f_tr = f1_prec_rec(p_train, label, group=["fold", "size"]).select("fold", "size", F.col("f1").alias("tr"))
+    f_va = f1_prec_rec(p_val, label, group=["fold", "size"]).select("fold", "size", F.col("f1").alias("va"))
+    both = f_tr.join(f_va, ["fold", "size"])
+    return both.groupBy(F.col("size").cast("long").alias("size")).agg(F.avg("tr").alias("train_mean"), F.stddev_pop("tr").alias("train_std"),
+                                    F.avg("va").alias("val_mean"), F.stddev_pop("va").alias("val_std"))

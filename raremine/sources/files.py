@@ -24,11 +24,15 @@ def read_email_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_email_index(spark: SparkSession, path: str) -> DataFrame:
-    """(direction, address, path, n_parts): direction and address come from the
-    file name 'from_<address>[.txt]' / 'to_<address>[.txt]'."""
+    """(direction, address, path, n_parts): one mail path per line; direction
+    and address come from the file name 'from_<address>[.txt]' /
+    'to_<address>[.txt]' -- or, for a Spark-written partitioned folder, from
+    the partition directory 'name=from_<address>[.txt]'."""
     df = spark.read.text(path)
-    name = F.col("_metadata.file_name")
     pattern = "^(from|to)_(.+?)(\\.txt)?$"
+    fname = F.col("_metadata.file_name")
+    parent = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), "^[^=]*=", "")
+    name = F.when(fname.rlike("^(from|to)_"), fname).otherwise(F.url_decode(parent))
     return (df.select(F.regexp_extract(name, pattern, 1).alias("direction"),
                       F.regexp_extract(name, pattern, 2).alias("address"),
                       F.trim(F.col("value")).alias("path"))
@@ -66,6 +70,16 @@ def poi_address_frame(spark: SparkSession, addresses: Sequence[str]) -> DataFram
     return spark.createDataFrame(rows, "address string").distinct()
 
 
+def normalize_addresses(df: DataFrame, column: str = "address") -> DataFrame:
+    """Address list cleaning as a DataFrame operation: trim, drop quotes, and
+    split entries that hold several addresses (e.g. two fused without a
+    separator) into one row each; distinct."""
+    text = F.regexp_replace(F.trim(F.col(column)), "[\'\"]", "")
+    found = F.regexp_extract_all(text, F.lit("[^@\\s,;]+@[^@\\s,;]+?\\.(?:com|net|org|edu|gov|mil)"), 0)
+    return (df.select(F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(text))).alias("address"))
+            .filter(F.col("address") != "").distinct())
+
+
 def records_to_frame(records: DataFrame, features: Sequence[str], key: str = "id",
                      values: str = "values", types: dict | None = None) -> DataFrame:
     """Keyed records ``(key, MAP<feature, text>)`` -> wide frame with one
