@@ -99,7 +99,8 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
     p = len(features)
     mom = _class_moments(data, features, label)
     classes = sorted(mom)
-    test = split_strat_shuffle(data, folds, test_size, seed, key, label, keep=features)
+    # the test rows feed two consumers (fold statistics, scoring): keep them
+    test = split_strat_shuffle(data, folds, test_size, seed, key, label, keep=features).persist()
 
     # per fold and class: count, centred sum and sum of squares of the test rows
     aggs = []

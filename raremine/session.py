@@ -16,6 +16,7 @@ def get_session(master: str | None = None, app: str = "raremine",
         builder = builder.master(master)
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -47,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint into the shared checkpoint folder (survives
+    executor loss), never a local one.  The frame is persisted while it is
+    written so the checkpoint does not compute it a second time."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
