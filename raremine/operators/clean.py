@@ -90,24 +90,28 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",
                       partitions: int | None = None) -> DataFrame:
     """1-based row number over a global order without a single-partition window.
 
-    Range-partition on the order, number rows inside each partition, add the
-    running count of earlier partitions (a table of #partitions rows).  The
-    numbered frame is checkpointed so that a lost executor cannot re-sample
-    different range bounds between the two uses."""
+    Range-partition on the order and sort inside each partition (one shuffle);
+    ``monotonically_increasing_id`` then encodes (partition, position) of each
+    row, and the running count of earlier partitions (a table of #partitions
+    rows) turns positions into global numbers.  The numbered frame is
+    checkpointed so that a lost executor cannot re-sample different range
+    bounds between its two uses.  ``order_cols`` must make the order total."""
     from raremine.session import cut_lineage
 
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    parted = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order_cols)
-    local = cut_lineage(parted.withColumn("_local", F.row_number().over(w)))
+    mid = F.monotonically_increasing_id()
+    local = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                        .withColumn("_mid", mid)
+                        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+                        .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), 33) + 1))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
     return (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_pid", "_off", "_local"))
+            .drop("_pid", "_off", "_local", "_mid"))
 
 
 # --------------------------------------------------------- feature formatting --

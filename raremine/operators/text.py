@@ -87,7 +87,13 @@ def stem_words(words: DataFrame, word: str = "word", out: str = "stem") -> DataF
     def _stem(s: pd.Series) -> pd.Series:
         return s.map(stem)
 
-    return words.select(word).distinct().select(word, _stem(F.col(word)).alias(out))
+    # the distinct vocabulary is small in bytes, so adaptive execution would
+    # coalesce it into very few tasks; the Python stemming is CPU-bound, so
+    # spread it explicitly over all cores
+    spark = words.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    vocab = words.select(word).distinct().repartition(n, word)
+    return vocab.select(word, _stem(F.col(word)).alias(out))
 
 
 def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataFrame:
