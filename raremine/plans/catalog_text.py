@@ -56,7 +56,7 @@ def q_str_after_marker(spark, sf):
     return emails(spark, sf).select("doc_id", TX.after_marker(F.col("value")).alias("body"))
 
 
-@register("src_email_text", with_ctes(EMAIL_SQL) + " SELECT doc_id, length(value) AS n_chars FROM em")
+@register("src_email_text", with_ctes(EMAIL_SQL) + " SELECT doc_id, CAST(length(value) AS INTEGER) AS n_chars FROM em")
 def q_src_email_text(spark, sf):
     """Whole-email strings (one row per mail, never split into lines)."""
     return emails(spark, sf).select("doc_id", F.length("value").alias("n_chars"))
