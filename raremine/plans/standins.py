@@ -9,7 +9,10 @@ work grows with them:
 * key ``id`` = customer name, class ``poi`` = 'True' when the customer placed
   15 or more orders (the count itself is *not* a feature);
 * missing values are planted by data-driven rules (negative balance, fewer than
-  6 orders, no high-priority order, segment BUILDING has no address);
+  6 orders, no high-priority order, no finished order, segment BUILDING has
+  no address);
+* ``avg_price`` averages finished orders only (a plain average would make
+  total/avg the order count and leak the class);
 * a ``TOTAL`` row holds the column sums, as in the reference's spreadsheet.
 
 Each builder has a SQL twin (DuckDB dialect) used by ``oracle_sql()``.
@@ -39,7 +42,9 @@ def person_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_orders"),
         det_round(F.sum("o_totalprice"), 2).alias("total_price"),
         F.max("o_totalprice").alias("max_price"),
-        det_round(F.avg("o_totalprice"), 2).alias("avg_price"),
+        # average over finished orders only: a plain average would make
+        # total/avg equal the order count and leak the class exactly
+        det_round(F.avg(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), 2).alias("avg_price"),
         F.min("o_totalprice").alias("min_price"),
         F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"),
         F.count_if(F.col("o_orderpriority") == "2-HIGH").alias("n_high"),
@@ -85,7 +90,7 @@ PERSON_VALUES_SQL = f"""
 o_agg AS (
   SELECT o_custkey, count(*) AS n_orders,
          round(sum(o_totalprice), 2) AS total_price, max(o_totalprice) AS max_price,
-         round(avg(o_totalprice), 2) AS avg_price, min(o_totalprice) AS min_price,
+         round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 2) AS avg_price, min(o_totalprice) AS min_price,
          count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent,
          count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS n_high
   FROM orders GROUP BY o_custkey),
