@@ -30,11 +30,15 @@ def as_vector(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
-def _local_topk(k: int, exclude_self: bool):
+def _local_topk(k: int, exclude_self: bool, group: str | None):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         qid_all, rid_all = q["qid"].to_numpy(), r["rid"].to_numpy()
+        gval = q[group].to_numpy()[:1] if group else None
         if q.empty or r.empty:
-            return pd.DataFrame({"qid": qid_all[:0], "rid": rid_all[:0], "d2": np.zeros(0)})
+            out = {"qid": qid_all[:0], "rid": rid_all[:0], "d2": np.zeros(0)}
+            if group:
+                out = {group: q[group].to_numpy()[:0], **out}
+            return pd.DataFrame(out)
         qv = np.stack(q["v"].to_numpy()).astype(np.float64)
         rv = np.stack(r["v"].to_numpy()).astype(np.float64)
         order_r = np.argsort(rid_all, kind="stable")          # tie-break by reference key
@@ -55,30 +59,49 @@ def _local_topk(k: int, exclude_self: bool):
             out_q.append(qid[rows[ok]])
             out_r.append(rid[cols[ok]])
             out_d.append(dd[ok])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "rid": np.concatenate(out_r),
-                             "d2": np.concatenate(out_d)})
+        out = {"qid": np.concatenate(out_q), "rid": np.concatenate(out_r), "d2": np.concatenate(out_d)}
+        if group:
+            out = {group: np.repeat(gval, len(out["qid"])), **out}
+        return pd.DataFrame(out)
     return fn
 
 
+def _max_group_count(df: DataFrame, group: str | None) -> int:
+    if group is None:
+        return df.count()
+    row = df.groupBy(group).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey: str = "id",
-             vec: str = "v", exclude_self: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(qid, rid, rank, dist)``: the k nearest reference rows of every query
-    row by Euclidean distance (self excluded by key when ``exclude_self``)."""
-    nq, nr = queries.count(), refs.count()
+             vec: str = "v", exclude_self: bool = True, block_rows: int = BLOCK_ROWS,
+             group: str | None = None) -> DataFrame:
+    """``([group,] qid, rid, rank, dist)``: the k nearest reference rows of
+    every query row by Euclidean distance (self excluded by key when
+    ``exclude_self``).  With ``group``, neighbours are searched within the
+    same group only (e.g. the training rows of one fold)."""
+    gcols = [group] if group else []
+    nq, nr = _max_group_count(queries, group), _max_group_count(refs, group)
     qb, rb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nr / block_rows))
-    q = (queries.select(F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
+    # re-alias the group column on each side: both sides may come from the
+    # same frame, and the cogroup must not see one attribute twice
+    q = (queries.select(*[F.col(g).alias(g) for g in gcols],
+                        F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
          .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
          .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
-    r = (refs.select(F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"))
+    r = (refs.select(*[F.col(g).alias(g) for g in gcols],
+                     F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"))
          .withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(rb)))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
     qtype = dict(q.dtypes)["qid"]
     rtype = dict(r.dtypes)["rid"]
-    cand = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
-            .applyInPandas(_local_topk(k, exclude_self), f"qid {qtype}, rid {rtype}, d2 double"))
-    w = Window.partitionBy("qid").orderBy("d2", "rid")
+    gschema = f"{group} {dict(q.dtypes)[group]}, " if group else ""
+    keys = gcols + ["qb", "rb"]
+    cand = (q.groupBy(*keys).cogroup(r.groupBy(*keys))
+            .applyInPandas(_local_topk(k, exclude_self, group), f"{gschema}qid {qtype}, rid {rtype}, d2 double"))
+    w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("qid", "rid", F.col("rank").cast("int"), F.sqrt("d2").alias("dist")))
+            .select(*gcols, "qid", "rid", F.col("rank").cast("int"), F.sqrt("d2").alias("dist")))
 
 
 def knn_vote(test: DataFrame, train: DataFrame, k: int = 5, key: str = "id", label: str = "label",
@@ -95,7 +118,7 @@ def knn_vote(test: DataFrame, train: DataFrame, k: int = 5, key: str = "id", lab
 
 def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label", key: str = "id",
                      minority=1, m_neighbors: int = 10, k_neighbors: int = 5,
-                     seed: int = SEED) -> DataFrame:
+                     seed: int = SEED, group: str | None = None) -> DataFrame:
     """Borderline-1 SMOTE: synthetic minority rows up to class balance.
 
     * danger rows: minority rows whose m nearest neighbours (all rows) hold at
@@ -105,52 +128,73 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
       (the first n_new mod P pairs in md5 order get one more);
     * new row = x + u * (neighbour - x), u = md5-uniform of (seed, pair, copy).
 
-    Returns ``(key, source, neighbour, copy, *features, label)`` of the
-    synthetic rows only (union them with ``df`` for the resampled table);
-    no danger rows -> empty result."""
+    With ``group`` (e.g. a fold id) every group is resampled on its own rows
+    in the same jobs -- scope 'train' of the evaluation.  Returns
+    ``([group,] key, source, neighbour, copy, *features, label)`` of the
+    synthetic rows only; a group without danger rows gets none."""
     from raremine.operators.clean import global_row_number
 
-    base = df.select(key, label, as_vector(features).alias("v")).persist()
+    gcols = [group] if group else []
+    base = df.select(*gcols, key, label, as_vector(features).alias("v")).persist()
     is_min = F.col(label) == F.lit(minority)
-    counts = {r[0]: r[1] for r in base.groupBy(is_min.alias("m")).count().collect()}
-    n_min, n_maj = counts.get(True, 0), counts.get(False, 0)
-    n_new = n_maj - n_min
-    empty = df.sparkSession.createDataFrame([], _smote_schema(df, key, features, label))
-    if n_new <= 0 or n_min < 2:
+    stats = {}
+    for r in base.groupBy(*gcols, is_min.alias("m")).count().collect():   # 2 rows per group
+        g = r[group] if group else None
+        stats.setdefault(g, {True: 0, False: 0})[r["m"]] = r["count"]
+    n_new = {g: v[False] - v[True] for g, v in stats.items() if v[False] > v[True] and v[True] >= 2}
+    empty = df.sparkSession.createDataFrame([], _smote_schema(df, key, features, label, group))
+    if not n_new:
         return empty
     minority_rows = base.filter(is_min)
-    nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True)
-    labels = base.select(F.col(key).alias("rid"), F.col(label).alias("_rl"))
-    n_maj_nn = (nn_all.join(labels, "rid").groupBy("qid")
+    nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group)
+    labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
+    n_maj_nn = (nn_all.join(labels, gcols + ["rid"]).groupBy(*gcols, "qid")
                 .agg(F.count_if(F.col("_rl") != F.lit(minority)).alias("_nmaj")))
-    danger = n_maj_nn.filter((F.col("_nmaj") >= m_neighbors / 2.0) & (F.col("_nmaj") < m_neighbors)).select("qid")
-    danger_rows = minority_rows.join(danger, minority_rows[key] == danger["qid"], "left_semi")
-    pairs = knn_join(danger_rows, minority_rows, k_neighbors, key, key, "v", exclude_self=True)
-    n_pairs = pairs.count()
-    if n_pairs == 0:
+    danger = (n_maj_nn.filter((F.col("_nmaj") >= m_neighbors / 2.0) & (F.col("_nmaj") < m_neighbors))
+              .select(*gcols, F.col("qid").alias(key)))
+    danger_rows = minority_rows.join(danger, gcols + [key], "left_semi")
+    pairs = knn_join(danger_rows, minority_rows, k_neighbors, key, key, "v", exclude_self=True, group=group)
+    n_pairs = {(r[group] if group else None): r["count"] for r in pairs.groupBy(*gcols).count().collect()}
+    plan = []                                      # per group: (group, per, extra, offset)
+    off = 0
+    for g in sorted(n_pairs, key=lambda x: (x is None, x)):
+        if g in n_new and n_pairs[g] > 0:
+            per, extra = divmod(n_new[g], n_pairs[g])
+            plan.append((g, per, extra, off))
+        off += n_pairs[g]
+    if not plan:
         return empty
-    per, extra = divmod(n_new, n_pairs)
-    ranked = global_row_number(pairs.withColumn("_h", hash_key(seed, F.col("qid"), F.col("rid"))),
-                               ["_h", "qid", "rid"], "_pr")
-    copies = F.lit(per) + F.when(F.col("_pr") <= F.lit(extra), 1).otherwise(0)
+    hash_parts = ([F.col(group)] if group else []) + [F.col("qid"), F.col("rid")]
+    ranked = global_row_number(pairs.withColumn("_h", hash_key(seed, *hash_parts)),
+                               gcols + ["_h", "qid", "rid"], "_pr")
+    if group:
+        gtype = dict(base.dtypes)[group]
+        plan_df = df.sparkSession.createDataFrame(plan, f"{group} {gtype}, _per long, _extra long, _off long")
+        ranked = ranked.join(F.broadcast(plan_df), group)       # one row per group
+    else:
+        _, per, extra, _ = plan[0]
+        ranked = ranked.select("*", F.lit(per).alias("_per"), F.lit(extra).alias("_extra"), F.lit(0).alias("_off"))
+    in_group = F.col("_pr") - F.col("_off")
+    copies = F.col("_per") + F.when(in_group <= F.col("_extra"), 1).otherwise(0)
     chosen = (ranked.filter(copies > 0)
               .withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))))
-    src = base.select(F.col(key).alias("qid"), F.col("v").alias("_x"))
-    nbr = base.select(F.col(key).alias("rid"), F.col("v").alias("_n"))
-    u = hash_uniform(seed, F.col("qid"), F.col("rid"), F.col("copy"))
-    joined = chosen.join(src, "qid").join(nbr, "rid").withColumn("_u", u)
+    src = base.select(*gcols, F.col(key).alias("qid"), F.col("v").alias("_x"))
+    nbr = base.select(*gcols, F.col(key).alias("rid"), F.col("v").alias("_n"))
+    u = hash_uniform(seed, *hash_parts, F.col("copy"))
+    joined = chosen.join(src, gcols + ["qid"]).join(nbr, gcols + ["rid"]).withColumn("_u", u)
     feats = [(F.col("_x")[j] + F.col("_u") * (F.col("_n")[j] - F.col("_x")[j])).alias(f)
              for j, f in enumerate(features)]
     sid = F.concat_ws("|", F.lit("smote"), F.col("qid").cast("string"), F.col("rid").cast("string"),
                       F.col("copy").cast("string"))
-    return joined.select(sid.alias(key), F.col("qid").alias("source"), F.col("rid").alias("neighbour"),
+    return joined.select(*gcols, sid.alias(key), F.col("qid").alias("source"), F.col("rid").alias("neighbour"),
                          F.col("copy").cast("int"), *feats, F.lit(minority).cast(dict(df.dtypes)[label]).alias(label))
 
 
-def _smote_schema(df: DataFrame, key: str, features, label: str) -> T.StructType:
+def _smote_schema(df: DataFrame, key: str, features, label: str, group: str | None = None) -> T.StructType:
     kt = df.schema[key].dataType
-    return T.StructType([T.StructField(key, T.StringType()), T.StructField("source", kt),
-                         T.StructField("neighbour", kt), T.StructField("copy", T.IntegerType())]
+    head = [T.StructField(group, df.schema[group].dataType)] if group else []
+    return T.StructType(head + [T.StructField(key, T.StringType()), T.StructField("source", kt),
+                                T.StructField("neighbour", kt), T.StructField("copy", T.IntegerType())]
                         + [T.StructField(f, T.DoubleType()) for f in features]
                         + [T.StructField(label, df.schema[label].dataType)])
 

@@ -460,3 +460,57 @@ def q_eval_smote_gnb(spark, sf):
     res = NB.smote_resample(scaled_train(spark, sf), NUMERIC, TARGET, "id")
     data = res.select("id", F.col(TARGET).cast("double").alias("label"), *NUMERIC)
     return r(eval_shuffle_cv_gnb(data, NUMERIC, folds=1000))
+
+
+def smote_train_sql(features=NUMERIC, k: int = 5) -> str:
+    f = list(features)
+    d2 = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in f)
+    stats = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in f)
+    const = " + ".join(f"ln(2 * pi() * (m.v_{c} + t.eps))" for c in f)
+    quad = " + ".join(f"pow(s.{c} - m.m_{c}, 2) / (m.v_{c} + t.eps)" for c in f)
+    ctes = [TRAIN_SQL, O.MINMAX_SQL, O.kfold_sql("scaled", "poi", k, "kf"),
+            f"gb AS (SELECT f.g, k.id, k.poi, {', '.join('k.' + c for c in f)} FROM kf k CROSS JOIN range({k}) f(g)"
+            " WHERE k.kfold <> f.g)",
+            f"gte AS (SELECT f.g, k.id, CAST(k.poi AS DOUBLE) AS label, {', '.join('k.' + c for c in f)}"
+            f" FROM kf k CROSS JOIN range({k}) f(g) WHERE k.kfold = f.g)",
+            "gmn AS (SELECT * FROM gb WHERE poi = 1)",
+            f"gd AS (SELECT a.g, a.id AS qid, b.id AS rid, b.poi AS rl, {d2} AS d2 FROM gmn a JOIN gb b"
+            " ON a.g = b.g AND a.id <> b.id)",
+            "gnn AS (SELECT g, qid, rl FROM (SELECT *, row_number() OVER (PARTITION BY g, qid ORDER BY d2, rid) AS rk"
+            " FROM gd) WHERE rk <= 10)",
+            "gdanger AS (SELECT g, qid FROM gnn GROUP BY g, qid HAVING count(*) FILTER (WHERE rl <> 1) >= 5"
+            " AND count(*) FILTER (WHERE rl <> 1) < 10)",
+            f"gpr AS (SELECT a.g, a.id AS qid, b.id AS rid, {d2} AS d2 FROM gmn a JOIN gmn b ON a.g = b.g AND a.id <> b.id"
+            " JOIN gdanger dz ON dz.g = a.g AND dz.qid = a.id)",
+            "gpairs AS (SELECT g, qid, rid FROM (SELECT *, row_number() OVER (PARTITION BY g, qid ORDER BY d2, rid) AS rk"
+            " FROM gpr) WHERE rk <= 5)",
+            "gcnt AS (SELECT g, count(*) FILTER (WHERE poi <> 1) - count(*) FILTER (WHERE poi = 1) AS n_new FROM gb GROUP BY g)",
+            "gnp AS (SELECT g, count(*) AS np FROM gpairs GROUP BY g)",
+            "gprk AS (SELECT p.*, row_number() OVER (PARTITION BY g ORDER BY md5(concat_ws('|', '42', CAST(g AS VARCHAR),"
+            " qid, rid)), qid, rid) AS prn FROM gpairs p)",
+            "gch AS (SELECT r.g, r.qid, r.rid, unnest(range(CAST(c.n_new // n.np + CASE WHEN r.prn <= c.n_new % n.np"
+            " THEN 1 ELSE 0 END AS BIGINT))) AS copy FROM gprk r JOIN gcnt c ON c.g = r.g JOIN gnp n ON n.g = r.g"
+            " WHERE c.n_new > 0)",
+            "gu AS (SELECT gch.*, CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(g AS VARCHAR), qid, rid,"
+            " CAST(copy AS VARCHAR))), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u FROM gch)",
+            "gfit AS (SELECT g, id, CAST(poi AS DOUBLE) AS label, " + ", ".join(f) + " FROM gb UNION ALL"
+            " SELECT u.g, 'syn', CAST(1 AS DOUBLE), " + ", ".join(f"x.{c} + u.u * (n.{c} - x.{c})" for c in f) +
+            " FROM gu u JOIN gb x ON x.g = u.g AND x.id = u.qid JOIN gb n ON n.g = u.g AND n.id = u.rid)",
+            f"gm AS (SELECT g, label AS cls, count(*) AS n, {stats} FROM gfit GROUP BY g, label)",
+            "gt AS (SELECT g, count(*) AS ntot, 1e-9 * greatest(" + ", ".join(f"var_pop({c})" for c in f) +
+            ") AS eps FROM gfit GROUP BY g)",
+            f"gsc AS (SELECT s.g, s.id, s.label, m.cls, ln(m.n / t.ntot) - 0.5 * ({const}) - 0.5 * ({quad}) AS jll"
+            " FROM gte s JOIN gm m ON m.g = s.g JOIN gt t ON t.g = s.g)",
+            "pred AS (SELECT g, id, label, cls AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY g, id"
+            " ORDER BY jll DESC, cls) AS rr FROM gsc) WHERE rr = 1)"]
+    return with_ctes(*ctes) + O.counts_metrics_select("pred")
+
+
+@register("eval_smote_train_gnb", smote_train_sql())
+def q_eval_smote_train_gnb(spark, sf):
+    """Leak-free counterpart of eval_smote_gnb: 5-fold stratified CV with
+    borderline SMOTE fitted on each fold's training rows only."""
+    from raremine.plans.evaluate import eval_smote_train_gnb
+
+    data = scaled_train(spark, sf).select("id", F.col(TARGET).alias("label"), *NUMERIC)
+    return r(eval_smote_train_gnb(data, NUMERIC, k=5))

@@ -74,3 +74,31 @@ def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, gr
     both = f_tr.join(f_va, ["fold", "size"])
     return both.groupBy(F.col("size").cast("long").alias("size")).agg(F.avg("tr").alias("train_mean"), F.stddev_pop("tr").alias("train_std"),
                                     F.avg("va").alias("val_mean"), F.stddev_pop("va").alias("val_std"))
+
+
+def eval_smote_train_gnb(data: DataFrame, features: Sequence[str], k: int = 5, seed: int = SEED,
+                         key: str = "id", label: str = "label") -> DataFrame:
+    """Gaussian NB under stratified k-fold with borderline SMOTE applied to
+    each fold's TRAINING rows only (scope 'train': no synthetic row can reach
+    a test fold).  All folds run in the same jobs: rows are replicated once
+    per fold they train, SMOTE and the NB fits are grouped by fold.  Pooled
+    confusion counts and metrics over the k test folds."""
+    from pyspark.sql import functions as F
+
+    from raremine.operators.metrics import confusion_counts, confusion_metrics
+    from raremine.operators.models import gnb_group_fit, gnb_group_predict
+    from raremine.operators.neighbors import smote_borderline
+    from raremine.operators.sampling import class_counts, split_strat_kfold, spread
+
+    classes = sorted(class_counts(data, label))
+    folded = split_strat_kfold(data.select(key, label, *features), k, seed, key, label)
+    rows = (spread(folded, key).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            .withColumn("is_test", F.col("fold") == F.col("g")))
+    train = rows.filter(~F.col("is_test")).select("g", key, label, *features)
+    syn = smote_borderline(train, features, label, key, seed=seed, group="g")
+    fit_rows = train.select("g", F.col(key).cast("string").alias(key), label, *features) \
+        .unionByName(syn.select("g", key, label, *features))
+    stats = gnb_group_fit(fit_rows, ["g"], features, classes, label)
+    test = rows.filter("is_test").select("g", key, label, *features)
+    pred = gnb_group_predict(test, stats, ["g"], features, classes)
+    return confusion_metrics(confusion_counts(pred, label=label, fold=None))
