@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "eval_shuffle_cv",        # flagship: 1000 stratified splits, GNB refit per split
+    "eval_smote_gnb",         # the reference's final setup: borderline SMOTE + 1000-split GNB
     "clf_gaussian_nb",
     "split_strat_kfold",
     "outlier_rows_iqr",

@@ -224,3 +224,25 @@ def test_select_percentile_ties(spark):
                                "feature string, f double")
     out = ST.select_percentile(df, 20.0).collect()
     assert len(out) == 2 and all(r.f == 3.0 for r in out)
+
+
+def test_grouped_smote_balances_each_group(spark):
+    rows = []
+    for g in range(3):
+        rows += [(g, f"n{g}_{i:02d}", 0, float(i % 6), float(i // 6)) for i in range(36 + g)]
+        rows += [(g, f"p{g}_{i}", 1, 2.5 + 0.1 * i, 2.5) for i in range(6)]
+    df = spark.createDataFrame(rows, "g int, id string, label int, x double, y double")
+    syn = NB.smote_borderline(df, ["x", "y"], "label", group="g").toPandas()
+    per = syn.groupby("g").size().to_dict()
+    assert per == {0: 30, 1: 31, 2: 32}
+    # neighbours never cross groups
+    src = {(r.g, r.id) for r in df.collect()}
+    assert all((r.g, r.source) in src and (r.g, r.neighbour) in src for r in syn.itertuples())
+
+
+def test_grouped_knn_stays_in_group(spark):
+    rows = [(g, i, [float(i), float(g)]) for g in range(2) for i in range(30)]
+    df = spark.createDataFrame([(g, g * 100 + i, v) for g, i, v in rows], "g int, id long, v array<double>")
+    nn = NB.knn_join(df, df, 3, group="g", block_rows=8).toPandas()
+    assert len(nn) == 60 * 3
+    assert all((r.qid // 100) == (r.rid // 100) == r.g for r in nn.itertuples())
