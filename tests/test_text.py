@@ -15,6 +15,18 @@ def test_porter2(word, expected):
     assert stem(word) == expected
 
 
+SNOWBALL_SAMPLE = ("consist consist consisted consist consistency consist consistently consist consolation consol "
+                   "consolatory consolatori consoled consol consolidate consolid consolingly consol consonant conson "
+                   "conspicuous conspicu conspiracy conspiraci conspirators conspir constable constabl constancy "
+                   "constanc knackeries knackeri knavish knavish kneaded knead kneeling kneel knelt knelt knightly "
+                   "knight knitting knit knives knive knocker knocker").split()
+
+
+def test_porter2_snowball_sample():
+    pairs = list(zip(SNOWBALL_SAMPLE[::2], SNOWBALL_SAMPLE[1::2]))
+    assert [stem(w) for w, _ in pairs] == [e for _, e in pairs]
+
+
 def test_body_functions(spark):
     df = spark.createDataFrame([(1, "hdr\nX-FileName: f.nsf\nHello, world!  It's  me."),
                                 (2, "no marker here"), (3, "a X-FileName: b X-FileName: c")], "id int, v string")
