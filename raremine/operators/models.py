@@ -95,7 +95,14 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
                          test_size: float = 0.1, seed: int = SEED, key: str = "id",
                          label: str = "label", var_smoothing: float = VAR_SMOOTHING) -> DataFrame:
     """Predictions of a Gaussian NB refitted on every stratified shuffle split:
-    ``(fold, key, label, prediction)`` for the test rows of each fold."""
+    ``(fold, key, label, prediction)`` for the test rows of each fold.
+
+    The narrow input (key, label, features) is checkpointed once: several
+    small actions (class moments, split sizes) and the main job read it, and
+    its upstream (e.g. an oversampling step) must not be recomputed each time."""
+    from raremine.session import cut_lineage
+
+    data = cut_lineage(data.select(key, label, *features))
     p = len(features)
     mom = _class_moments(data, features, label)
     classes = sorted(mom)

@@ -201,6 +201,13 @@ def vif(df: DataFrame, columns: Sequence[str]) -> dict:
     return {c: float(vals[j]) for j, c in enumerate(columns)}
 
 
+def vif_filter(df: DataFrame, columns: Sequence[str], thresh: float = 5.0) -> tuple[list[str], dict]:
+    """Keep the columns whose VIF is at most ``thresh``; all others are
+    dropped at once (one pass, not iterative).  Returns (kept, vif)."""
+    v = vif(df, columns)
+    return [c for c in columns if not (v[c] > thresh)], v
+
+
 # ------------------------------------------------------------------ F-test --
 
 def anova_f(df: DataFrame, columns: Sequence[str], label: str = "label") -> DataFrame:

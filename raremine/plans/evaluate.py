@@ -45,6 +45,9 @@ def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, gr
 
     import numpy as np
 
+    from raremine.session import cut_lineage
+
+    data = cut_lineage(data.select(key, label, *features))
     counts = class_counts(data, label)
     classes = sorted(counts)
     n = sum(counts.values())
@@ -90,8 +93,11 @@ def eval_smote_train_gnb(data: DataFrame, features: Sequence[str], k: int = 5, s
     from raremine.operators.neighbors import smote_borderline
     from raremine.operators.sampling import class_counts, split_strat_kfold, spread
 
+    from raremine.session import cut_lineage
+
+    data = cut_lineage(data.select(key, label, *features))
     classes = sorted(class_counts(data, label))
-    folded = split_strat_kfold(data.select(key, label, *features), k, seed, key, label)
+    folded = split_strat_kfold(data, k, seed, key, label)
     rows = (spread(folded, key).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
             .withColumn("is_test", F.col("fold") == F.col("g")))
     train = rows.filter(~F.col("is_test")).select("g", key, label, *features)

@@ -246,3 +246,13 @@ def test_grouped_knn_stays_in_group(spark):
     nn = NB.knn_join(df, df, 3, group="g", block_rows=8).toPandas()
     assert len(nn) == 60 * 3
     assert all((r.qid // 100) == (r.rid // 100) == r.g for r in nn.itertuples())
+
+
+def test_vif_filter_drops_collinear(spark):
+    rows = [(float(i), float(2 * i + (i % 3)), float((i * 7) % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    kept, v = ST.vif_filter(df, ["a", "b", "c"], 10.0)
+    assert kept == ["c"] and v["a"] > 10 and v["b"] > 10
+    # p = 2: VIF = 1 / (1 - r^2)
+    r = df.stat.corr("a", "c")
+    assert ST.vif(df, ["a", "c"])["a"] == pytest.approx(1 / (1 - r * r))
