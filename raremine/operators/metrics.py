@@ -77,19 +77,23 @@ def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "p
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
             group: Sequence[str] = ()) -> DataFrame:
-    """AUC by the rank-sum formula with average ranks for ties.
+    """AUC by the rank-sum formula with average ranks for ties:
+    (sum of positive ranks - P(P+1)/2) / (P N).
 
-    Ranks come from counts per distinct score (one aggregate + a running sum
-    over the *distinct* scores), so ties and hard 0/1 scores are handled."""
+    Ranks come from distributed cumulative counts of the distinct scores per
+    group (no window over all scores in one task)."""
+    from raremine.operators.stats import value_cumcounts
+
+    gkey = F.concat_ws("|", *[F.col(g).cast("string") for g in group]) if group else F.lit("all")
     y = F.col(label).cast("double")
-    per_score = scored.groupBy(*group, score).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum(y).alias("_pos"))
-    w = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_score.withColumn("_below", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    ranked = ranked.withColumn("_avg_rank", F.col("_below") + (F.col("_c") + 1) / 2.0)
+    base = scored.select(*group, gkey.alias("_g"), F.col(score).cast("double").alias("_s"), y.alias("_y"))
+    cc = value_cumcounts(base.select(F.col("_g").alias("feature"), F.col("_s").alias("x")))
+    per = base.groupBy(*group, "_g", "_s").agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_n"))
+    ranked = per.join(cc.select(F.col("feature").alias("_g"), F.col("x").alias("_s"),
+                                (F.col("_below") + (F.col("_c") + 1) / 2.0).alias("_r")), ["_g", "_s"])
     agg = ranked.groupBy(*group).agg(
-        F.sum(F.col("_avg_rank") * F.col("_pos")).alias("_rsum"),
-        F.sum("_pos").alias("_P"), F.sum(F.col("_c") - F.col("_pos")).alias("_N"))
+        F.sum(F.col("_r") * F.col("_pos")).alias("_rsum"),
+        F.sum("_pos").alias("_P"), F.sum(F.col("_n") - F.col("_pos")).alias("_N"))
     return agg.select(*group, F.try_divide(
         F.col("_rsum") - F.col("_P") * (F.col("_P") + 1) / 2.0, F.col("_P") * F.col("_N")).alias("auc"))
 

@@ -54,25 +54,24 @@ def info(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column.
-    Long form: exact percentiles per feature group."""
-    long = to_long(df, columns, ids=[]).filter(F.col("x").isNotNull())
-    return long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-        F.percentile("x", F.lit(0.25)).alias("q25"), F.percentile("x", F.lit(0.5)).alias("q50"),
-        F.percentile("x", F.lit(0.75)).alias("q75"), F.max("x").alias("max"))
-
-
-def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, q1, q3) with linear interpolation (one aggregate pass)."""
+    Moments in one aggregate; quartiles from the distributed exact quantiles."""
     aggs = []
     for j, c in enumerate(columns):
         x = F.col(c).cast("double")
-        aggs += [F.percentile(x, F.lit(0.25)).alias(f"q1_{j}"), F.percentile(x, F.lit(0.75)).alias(f"q3_{j}")]
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"q1_{j}").alias("q1"), F.col(f"q3_{j}").alias("q3"))
-        for j, c in enumerate(columns)])).alias("s")).select("s.*")
+        aggs += [F.count(x).alias(f"n{j}"), F.avg(x).alias(f"m{j}"), F.stddev_samp(x).alias(f"s{j}"),
+                 F.min(x).alias(f"lo{j}"), F.max(x).alias(f"hi{j}")]
+    row = df.agg(*aggs).first()
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    rows = [(c, int(row[f"n{j}"]), row[f"m{j}"], row[f"s{j}"], row[f"lo{j}"], *q[c], row[f"hi{j}"])
+            for j, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "feature string, count long, mean double, std double, "
+                                                 "min double, q25 double, q50 double, q75 double, max double")
+
+
+def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, q1, q3) with linear interpolation (distributed exact quantiles)."""
+    q = exact_quantiles(df, columns, [0.25, 0.75])
+    return df.sparkSession.createDataFrame([(c, *q[c]) for c in columns], "feature string, q1 double, q3 double")
 
 
 def outlier_rows_iqr(df: DataFrame, columns: Sequence[str], how_far: float = 2.0,
@@ -100,30 +99,80 @@ def outlier_rows_iqr(df: DataFrame, columns: Sequence[str], how_far: float = 2.0
 
 # ------------------------------------------------------------- correlation --
 
-def average_ranks(long: DataFrame, group: str = "feature", value: str = "x",
-                  out: str = "rank") -> DataFrame:
-    """Average rank (ties share the mean rank) of ``value`` within ``group``.
+def value_cumcounts(long: DataFrame, group: str = "feature", value: str = "x") -> DataFrame:
+    """Distinct (group, value) with ``_c`` = its count and ``_below`` = the
+    number of rows of the group with a smaller value.
 
-    Distinct (group, value) counts are range-partitioned; running counts are
-    taken inside each partition plus the per-group count of earlier partitions,
-    so no task holds a whole column.  Ranks are joined back on (group, value)."""
+    Distinct values are range-partitioned on (group, value); running counts
+    are taken inside each partition plus the per-group count of earlier
+    partitions (a table of #partitions x #groups rows), so no task ever holds
+    a whole column.  The frame is checkpointed so a lost executor cannot
+    re-sample different range bounds between its uses."""
     from raremine.session import cut_lineage
 
     spark = long.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    d = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    d = long.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
     parted = d.repartitionByRange(n, group, value).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = cut_lineage(parted.withColumn("_cum", F.sum("_c").over(w)))
     tot = local.groupBy("_pid", group).agg(F.sum("_c").alias("_t"))
     wo = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0))).drop("_t")
-    ranks = (local.join(off, ["_pid", group])
-             .select(group, value, (F.col("_off") + F.col("_cum") - F.col("_c")
-                                    + (F.col("_c") + 1) / 2.0).alias(out)))
+    return (local.join(F.broadcast(off), ["_pid", group])
+            .select(group, value, "_c", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_below")))
+
+
+def average_ranks(long: DataFrame, group: str = "feature", value: str = "x",
+                  out: str = "rank") -> DataFrame:
+    """Average rank (ties share the mean rank) of ``value`` within ``group``,
+    joined back on (group, value)."""
+    cc = value_cumcounts(long, group, value)
+    ranks = cc.select(group, value, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out))
     return long.join(ranks, [group, value], "left")
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
+    """{column: [q(p) for p in probs]} with linear interpolation (numpy's
+    default), computed without gathering a column in one task: the values at
+    positions floor/ceil(p * (n - 1)) are looked up in the distributed
+    cumulative counts (one small broadcast table of target positions)."""
+    spark = df.sparkSession
+    long = to_long(df, columns, ids=[])
+    cc = value_cumcounts(long)
+    counts = {r["feature"]: r["n"] for r in
+              cc.groupBy("feature").agg(F.sum("_c").alias("n")).collect()}          # p rows
+    targets, need = [], {}
+    for c in columns:
+        n = counts.get(c, 0)
+        for p in probs:
+            if n == 0:
+                continue
+            pos = p * (n - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            need[(c, p)] = (lo, hi, pos - lo)
+            targets += [(c, lo), (c, hi)]
+    if not targets:
+        return {c: [None] * len(probs) for c in columns}
+    tdf = spark.createDataFrame(sorted(set(targets)), "feature string, pos long")
+    hit = (cc.join(F.broadcast(tdf), "feature")
+           .filter((F.col("pos") >= F.col("_below")) & (F.col("pos") < F.col("_below") + F.col("_c")))
+           .select("feature", "pos", "x").collect())                                  # <= 2 * p * |probs| rows
+    at = {(r["feature"], r["pos"]): r["x"] for r in hit}
+    out = {}
+    for c in columns:
+        vals = []
+        for p in probs:
+            if (c, p) not in need:
+                vals.append(None)
+                continue
+            lo, hi, frac = need[(c, p)]
+            a, b = at[(c, lo)], at[(c, hi)]
+            vals.append(a + (b - a) * frac)
+        out[c] = vals
+    return out
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = "id") -> dict:
     """{(a, b): rho} for all ordered pairs (diagonal 1).  Ranks in Spark, then
     Pearson of ranks: one aggregate of p(p-1)/2 ``corr`` for small p, else the
