@@ -325,10 +325,34 @@ def q_arr_mask_diag(spark, sf):
     return r(ST.matrix_frame(spark, mat, SPEAR_COLS).filter(F.col("f1") != F.col("f2")))
 
 
-@register("drop_correlated")
+def drop_correlated_sql(threshold: float = 0.93) -> str:
+    names = ["poi", *INTER_NAMES]
+    exprs = ["CAST(poi AS DOUBLE)"] + [f"CAST({O.inter_sql(n)} AS DOUBLE)" for n in INTER_NAMES]
+    long = " UNION ALL ".join(f"SELECT {j} AS j, '{n}' AS feature, id, {e} AS x FROM scaled"
+                              for j, (n, e) in enumerate(zip(names, exprs)))
+    return with_ctes(
+        TRAIN_SQL, O.MINMAX_SQL,
+        f"dl AS ({long})",
+        "fin AS (SELECT j, feature FROM dl GROUP BY j, feature HAVING bool_and(x IS NOT NULL AND isfinite(x)))",
+        "cols AS MATERIALIZED (SELECT row_number() OVER (ORDER BY j) - 1 AS j, feature AS name FROM fin)",
+        "dr AS (SELECT d.feature, d.id, rank() OVER (PARTITION BY d.feature ORDER BY d.x) + (count(*) OVER"
+        " (PARTITION BY d.feature, d.x) - 1) / CAST(2 AS DOUBLE) AS r FROM dl d JOIN fin USING (feature))",
+        "corr_t AS MATERIALIZED (SELECT a.feature AS f1, b.feature AS f2, corr(a.r, b.r) AS rho FROM dr a JOIN dr b"
+        " ON a.id = b.id AND a.feature <> b.feature GROUP BY a.feature, b.feature)",
+        "walk(j, dropped) AS (SELECT 0, CAST([] AS VARCHAR[]) UNION ALL SELECT w.j + 1,"
+        " CASE WHEN c.name = 'poi' OR list_contains(w.dropped, c.name) THEN w.dropped"
+        " ELSE list_concat(w.dropped, coalesce((SELECT list(r.f2 ORDER BY r.f2) FROM corr_t r"
+        f" WHERE r.f1 = c.name AND NOT isnan(r.rho) AND abs(r.rho) > {threshold} AND r.f2 <> 'poi'"
+        " AND NOT list_contains(w.dropped, r.f2)), [])) END FROM walk w JOIN cols c ON c.j = w.j)",
+    ).replace("WITH ", "WITH RECURSIVE ", 1) + (
+        " SELECT c.name AS feature, NOT list_contains((SELECT dropped FROM walk ORDER BY j DESC LIMIT 1), c.name)"
+        " AS kept FROM cols c")
+
+
+@register("drop_correlated", drop_correlated_sql())
 def q_drop_correlated(spark, sf):
-    """Columns removed by the greedy |rho| > 0.93 walk over the min-max scaled
-    interaction features (target never dropped).  Greedy order -> no SQL twin."""
+    """Columns kept by the greedy |rho| > 0.93 walk over the min-max scaled
+    interaction features (Spearman; target included, never dropped)."""
     scaled = FE.scale_minmax(train_frame(spark, sf), FEATS)
     inter = FE.interaction_features(scaled, NUMERIC, keep=("id", TARGET))
     finite = C.drop_nonfinite_columns(inter, INTER_NAMES)
