@@ -373,17 +373,23 @@ def q_boost_round_cv(spark, sf):
     return r(per.withColumn("is_best", F.col("round") == F.lit(best)))
 
 
-@register("sink_model_bundle")
+@register("sink_model_bundle", with_ctes(O.PERSON_DATA) +
+          " SELECT CAST(count(*) AS BIGINT) AS n_rows, '" + ",".join(["label", *NUMERIC]) + "' AS features FROM data")
 def q_sink_model_bundle(spark, sf):
-    from raremine.sources.bundle import save_bundle
+    """Classifier + dataset + ordered feature list written under the
+    checkpoint folder; the result reads the bundle back (rows, feature list)."""
+    from raremine.sources.bundle import load_bundle, save_bundle
     h = _holdout(spark, sf)
     est = L.make_estimator("gaussian_nb")
     model = est.fit(L.assemble(h.filter(~F.col("is_test")), NUMERIC))
     path = save_bundle(spark, model, pdata(spark, sf), ["label", *NUMERIC], name="gnb")
-    return spark.createDataFrame([(path,)], "path string").select(F.lit(True).alias("saved"))
+    _, data, feats = load_bundle(spark, path)
+    return data.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(",".join(feats)).alias("features"))
 
 
-@register("src_model_bundle")
+@register("src_model_bundle", with_ctes(O.PERSON_CLEAN_SQL, *GNB_HOLDOUT_SQL) +
+          " SELECT id, label, cls AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY jll DESC, cls)"
+          " AS rr FROM sc) WHERE rr = 1")
 def q_src_model_bundle(spark, sf):
     from raremine.sources.bundle import load_bundle, save_bundle
     h = _holdout(spark, sf)

@@ -173,7 +173,10 @@ def q_text_features(spark, sf):
     return r(sel.select(F.col("feature").alias("term"), "f"))
 
 
-@register("select_percentile_text_matrix")
+@register("select_percentile_text_matrix", with_ctes(*FTEST_SQL) +
+          " SELECT p.doc_id, p.term, round(p.w, 6) AS w, h.label, h.is_train FROM post p"
+          " JOIN (SELECT feature AS term FROM above UNION ALL SELECT feature AS term FROM ties) s ON s.term = p.term"
+          " JOIN h ON h.doc_id = p.doc_id")
 def q_select_percentile_text_matrix(spark, sf):
     """The selected postings of train and test documents (the sparse form of
     the reference's two dense matrices), with labels."""
