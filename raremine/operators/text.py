@@ -103,7 +103,9 @@ def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataF
     Words are exploded with their position, the distinct vocabulary is stemmed
     once and joined back (hash join on the word), then each document's words
     are re-assembled in position order."""
-    words = docs.select(doc, F.posexplode(TX.split_ws(F.col(text))).alias("pos", "word"))
+    from raremine.operators.sampling import spread
+
+    words = spread(docs.select(doc, text), doc).select(doc, F.posexplode(TX.split_ws(F.col(text))).alias("pos", "word"))
     stems = stem_words(words)
     joined = words.join(stems, "word")
     rebuilt = joined.groupBy(doc).agg(F.array_join(F.transform(
