@@ -52,7 +52,12 @@ def make_estimator(name: str, label: str = "label", weight: str | None = None, *
 
 def fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
                 label: str = "label", key: str = "id", **params):
-    """Fit on ``train``, predict ``test``: ((key, label, prediction), fit seconds)."""
+    """Fit on ``train``, predict ``test``: ((key, label, prediction), fit
+    seconds, model).  ``C`` (inverse regularisation strength of the reference's
+    linear models) maps to Spark's ``regParam = 1 / (C * n_train)``."""
+    if "C" in params:
+        c = params.pop("C")
+        params["regParam"] = 1.0 / (c * max(train.count(), 1))
     est = make_estimator(name, label, **params)
     t0 = time.time()
     model = est.fit(assemble(train, features))
@@ -135,3 +140,15 @@ def md5_grid_sample(grid: list[dict], n: int, seed: int = SEED) -> list[dict]:
 
     keyed = sorted(grid, key=lambda g: hashlib.md5(f"{seed}|{sorted(g.items())}".encode()).hexdigest())
     return keyed[:n]
+
+
+def selector_pipeline(name: str, num_top: int, label: str = "label", **params):
+    """Pipeline(F-test feature selector, classifier) -- the reference's
+    SelectKBest + classifier pipeline on a ``raw`` vector column."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import UnivariateFeatureSelector
+
+    sel = UnivariateFeatureSelector(featuresCol="raw", outputCol="features", labelCol=label,
+                                    selectionMode="numTopFeatures")
+    sel.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(num_top)
+    return Pipeline(stages=[sel, make_estimator(name, label, **params)]), sel
