@@ -75,13 +75,14 @@ def _max_group_count(df: DataFrame, group: str | None) -> int:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey: str = "id",
              vec: str = "v", exclude_self: bool = True, block_rows: int = BLOCK_ROWS,
-             group: str | None = None) -> DataFrame:
+             group: str | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """``([group,] qid, rid, rank, dist)``: the k nearest reference rows of
     every query row by Euclidean distance (self excluded by key when
     ``exclude_self``).  With ``group``, neighbours are searched within the
     same group only (e.g. the training rows of one fold)."""
     gcols = [group] if group else []
-    nq, nr = _max_group_count(queries, group), _max_group_count(refs, group)
+    # block counts from (largest group) sizes; callers that know them pass ``sizes``
+    nq, nr = sizes if sizes else (_max_group_count(queries, group), _max_group_count(refs, group))
     qb, rb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nr / block_rows))
     # re-alias the group column on each side: both sides may come from the
     # same frame, and the cogroup must not see one attribute twice
@@ -146,14 +147,18 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     if not n_new:
         return empty
     minority_rows = base.filter(is_min)
-    nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group)
+    max_min = max(v[True] for v in stats.values())
+    max_all = max(v[True] + v[False] for v in stats.values())
+    nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
+                      sizes=(max_min, max_all))
     labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
     n_maj_nn = (nn_all.join(labels, gcols + ["rid"]).groupBy(*gcols, "qid")
                 .agg(F.count_if(F.col("_rl") != F.lit(minority)).alias("_nmaj")))
     danger = (n_maj_nn.filter((F.col("_nmaj") >= m_neighbors / 2.0) & (F.col("_nmaj") < m_neighbors))
               .select(*gcols, F.col("qid").alias(key)))
     danger_rows = minority_rows.join(danger, gcols + [key], "left_semi")
-    pairs = knn_join(danger_rows, minority_rows, k_neighbors, key, key, "v", exclude_self=True, group=group)
+    pairs = knn_join(danger_rows, minority_rows, k_neighbors, key, key, "v", exclude_self=True, group=group,
+                     sizes=(max_min, max_min))
     n_pairs = {(r[group] if group else None): r["count"] for r in pairs.groupBy(*gcols).count().collect()}
     plan = []                                      # per group: (group, per, extra, offset)
     off = 0
