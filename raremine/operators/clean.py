@@ -83,7 +83,10 @@ def encode_label(df: DataFrame, column: str, out: str, missing: str = "-1") -> D
     distinct = base.select("_code_value").distinct()
     ranked = global_row_number(distinct, ["_code_value"], "_code")
     codes = ranked.select("_code_value", (F.col("_code") - 1).cast("int").alias(out))
-    return base.join(codes, "_code_value", "left").drop("_code_value")
+    # the missing marker (or any common value) may hold a large share of rows
+    from raremine.operators.joins import salted_join
+
+    return salted_join(base, codes, ["_code_value"], "left").drop("_code_value")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",

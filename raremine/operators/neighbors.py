@@ -152,7 +152,10 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
                       sizes=(max_min, max_all))
     labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
-    n_maj_nn = (nn_all.join(labels, gcols + ["rid"]).groupBy(*gcols, "qid")
+    from raremine.operators.joins import salted_join
+
+    # a "hub" row can be a neighbour of many queries: salt its key
+    n_maj_nn = (salted_join(nn_all, labels, gcols + ["rid"], "inner").groupBy(*gcols, "qid")
                 .agg(F.count_if(F.col("_rl") != F.lit(minority)).alias("_nmaj")))
     danger = (n_maj_nn.filter((F.col("_nmaj") >= m_neighbors / 2.0) & (F.col("_nmaj") < m_neighbors))
               .select(*gcols, F.col("qid").alias(key)))

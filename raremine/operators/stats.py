@@ -127,9 +127,12 @@ def average_ranks(long: DataFrame, group: str = "feature", value: str = "x",
                   out: str = "rank") -> DataFrame:
     """Average rank (ties share the mean rank) of ``value`` within ``group``,
     joined back on (group, value)."""
+    from raremine.operators.joins import salted_join
+
     cc = value_cumcounts(long, group, value)
     ranks = cc.select(group, value, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out))
-    return long.join(ranks, [group, value], "left")
+    # a common value (e.g. zero) can hold a large share of a column
+    return salted_join(long, ranks, [group, value], "left")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:

@@ -256,3 +256,13 @@ def test_vif_filter_drops_collinear(spark):
     # p = 2: VIF = 1 / (1 - r^2)
     r = df.stat.corr("a", "c")
     assert ST.vif(df, ["a", "c"])["a"] == pytest.approx(1 / (1 - r * r))
+
+
+def test_salted_join_hot_key(spark):
+    from raremine.operators.joins import hot_keys, salted_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(3000)], "id int, k string")
+    small = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 3000, 3)], "k string, v int")
+    assert [r.k for r in hot_keys(big, ["k"]).collect()] == ["hot"]
+    got = salted_join(big, small, ["k"], "left").toPandas().sort_values("id")
+    want = big.join(small, "k", "left").toPandas().sort_values("id")
+    assert list(got["id"]) == list(want["id"]) and list(got["v"]) == list(want["v"])
