@@ -80,13 +80,13 @@ def encode_label(df: DataFrame, column: str, out: str, missing: str = "-1") -> D
     and joined back on the value, so no single task sees all values."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(missing))
     base = df.withColumn("_code_value", text)
-    distinct = base.select("_code_value").distinct()
+    distinct = base.groupBy("_code_value").agg(F.count(F.lit(1)).alias("_vn"))
     ranked = global_row_number(distinct, ["_code_value"], "_code")
-    codes = ranked.select("_code_value", (F.col("_code") - 1).cast("int").alias(out))
+    codes = ranked.select("_code_value", "_vn", (F.col("_code") - 1).cast("int").alias(out))
     # the missing marker (or any common value) may hold a large share of rows
     from raremine.operators.joins import salted_join
 
-    return salted_join(base, codes, ["_code_value"], "left").drop("_code_value")
+    return salted_join(base, codes, ["_code_value"], "left", count_col="_vn").drop("_code_value")
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",

@@ -36,15 +36,39 @@ def hot_keys(df: DataFrame, keys: Sequence[str], fraction: float | None = None)
     return spark.createDataFrame([tuple(r) for r in hot], schema).withColumn("_hot", F.lit(True))
 
 
+def hot_keys_from_counts(small: DataFrame, keys: Sequence[str], count_col: str,
+                         fraction: float | None = None) -> DataFrame | None:
+    """Hot keys read off a per-key count already held by the small side
+    (e.g. a document frequency or a value count): no pass over the big side."""
+    spark = small.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    fraction = fraction if fraction is not None else 1.0 / (4 * parts)
+    total = small.agg(F.sum(count_col)).first()[0] or 0
+    if total == 0:
+        return None
+    hot = small.filter(F.col(count_col) > F.lit(total * fraction)).select(*keys).collect()
+    if not hot:
+        return None
+    return spark.createDataFrame([tuple(r) for r in hot], small.select(*keys).schema).withColumn("_hot", F.lit(True))
+
+
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
-                salts: int | None = None, fraction: float | None = None) -> DataFrame:
+                salts: int | None = None, fraction: float | None = None,
+                count_col: str | None = None) -> DataFrame:
     """``big.join(small, keys, how)`` with hot keys of ``big`` split over
     ``salts`` tasks (default: the shuffle partition count).  ``how`` is
-    'inner' or 'left' (rows of ``big`` are never duplicated or dropped)."""
+    'inner' or 'left' (rows of ``big`` are never duplicated or dropped).
+    ``count_col``: a column of ``small`` holding each key's row count in
+    ``big`` (or a proxy of it), used to find hot keys without scanning
+    ``big``; it is dropped from the result."""
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    hot = hot_keys(big, keys, fraction)
+    if count_col is not None:
+        hot = hot_keys_from_counts(small, keys, count_col, fraction)
+        small = small.drop(count_col)
+    else:
+        hot = hot_keys(big, keys, fraction)
     if hot is None:
         return big.join(small, keys, how)
     spark = big.sparkSession

@@ -150,7 +150,7 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     max_min = max(v[True] for v in stats.values())
     max_all = max(v[True] + v[False] for v in stats.values())
     nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
-                      sizes=(max_min, max_all))
+                      sizes=(max_min, max_all)).persist()          # n_min x m rows, read twice
     labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
     from raremine.operators.joins import salted_join
 

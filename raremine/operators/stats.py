@@ -130,9 +130,9 @@ def average_ranks(long: DataFrame, group: str = "feature", value: str = "x",
     from raremine.operators.joins import salted_join
 
     cc = value_cumcounts(long, group, value)
-    ranks = cc.select(group, value, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out))
+    ranks = cc.select(group, value, "_c", (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out))
     # a common value (e.g. zero) can hold a large share of a column
-    return salted_join(long, ranks, [group, value], "left")
+    return salted_join(long, ranks, [group, value], "left", count_col="_c")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:

@@ -44,11 +44,11 @@ def tfidf(docs: DataFrame, is_train: str = "is_train", doc: str = "doc_id", text
     n_train = docs.filter(F.col(is_train)).count()
     vocab = (counts.filter("_tr").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
              .filter(F.col("df") <= F.lit(max_df * n_train))
-             .select("term", (F.log((1.0 + n_train) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+             .select("term", "df", (F.log((1.0 + n_train) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
     from raremine.operators.joins import salted_join
 
     # frequent terms (up to max_df of all documents) are hot join keys
-    raw = salted_join(counts, vocab, ["term"], "inner").select(
+    raw = salted_join(counts, vocab, ["term"], "inner", count_col="df").select(
         doc, "term", ((1.0 + F.log("c")) * F.col("idf")).alias("_w"))
     norms = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     return raw.join(norms, doc).select(doc, "term", (F.col("_w") / F.col("_norm")).alias("w"))
