@@ -40,7 +40,9 @@ def tfidf(docs: DataFrame, is_train: str = "is_train", doc: str = "doc_id", text
     in training are dropped from test documents; an empty row stays empty."""
     counts = term_counts(docs, doc, text, stop_words)
     flags = docs.select(doc, F.col(is_train).alias("_tr"))
-    counts = counts.join(flags, doc)
+    # tokenising is the expensive step and its postings feed the vocabulary,
+    # the hot-term check and the weights: keep them instead of re-tokenising
+    counts = counts.join(flags, doc).persist()
     n_train = docs.filter(F.col(is_train)).count()
     vocab = (counts.filter("_tr").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
              .filter(F.col("df") <= F.lit(max_df * n_train))
