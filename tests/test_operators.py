@@ -266,3 +266,19 @@ def test_salted_join_hot_key(spark):
     got = salted_join(big, small, ["k"], "left").toPandas().sort_values("id")
     want = big.join(small, "k", "left").toPandas().sort_values("id")
     assert list(got["id"]) == list(want["id"]) and list(got["v"]) == list(want["v"])
+
+
+def test_holdout_hash_threshold_is_deterministic(spark):
+    df = _frame(spark, 2000)
+    a = S.split_holdout(df, 0.1, exact=False)
+    b = S.split_holdout(df.repartition(7), 0.1, exact=False)
+    ta = sorted(r.id for r in a.filter("is_test").collect())
+    tb = sorted(r.id for r in b.filter("is_test").collect())
+    assert ta == tb and 140 <= len(ta) <= 260          # about 10 %, no global sort
+
+
+def test_feature_format_preset_key_order(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("b", 0.0, 2.0), ("c", 1.0, 3.0)], "id string, poi double, f double")
+    order = spark.createDataFrame([("c", 0), ("a", 1)], "id string, ord int")
+    out = C.feature_format(df, ["poi", "f"], sort_keys="preset", key_order=order).collect()
+    assert [r.id for r in out] == ["c", "a"]            # inner join on the preset keys, in their order
