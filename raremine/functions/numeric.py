@@ -27,11 +27,14 @@ def safe_div(num, den) -> Column:
 def det_round(c, digits: int) -> Column:
     """Round half up as floor(x * 10^d + 0.5) / 10^d: plain IEEE double
     arithmetic, so every engine gives bit-identical results (built-in round
-    functions differ on half-way cases)."""
+    functions differ on half-way cases).  From |x| * 10^d >= 2^52 on a double
+    has no digits left to round (and floor() would leave the BIGINT range), so
+    such values, infinities and NaN are returned as they are."""
     c = c if isinstance(c, Column) else F.col(c)
     scale = F.lit(float(10 ** digits))
     x = c.cast("double")
-    return F.when(F.isnan(x), x).otherwise(F.floor(x * scale + F.lit(0.5)) / scale)
+    return (F.when(F.abs(x) * scale < F.lit(2.0 ** 52), F.floor(x * scale + F.lit(0.5)) / scale)
+            .otherwise(x))
 
 
 def round_doubles(df: DataFrame, digits: int = 6, overrides: dict | None = None) -> DataFrame:

@@ -3,14 +3,14 @@ per distinct word through an Arrow pandas UDF)."""
 
 from __future__ import annotations
 
-import glob
-import os
 import string
-import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+STOP_WORDS_FILE = Path(__file__).with_name("stopwords_en.txt")
+
 # Fixed values that must equal the reference's for the same results:
 # the email header/body marker and Python's 32 ASCII punctuation characters.
 MARKER = "X-FileName:"
@@ -42,14 +42,7 @@ def tokens(text: Column) -> Column:
 
 
 def english_stop_words() -> list[str]:
-    """Spark's English stop list, read from the installed Spark ML jar (the
-    same list ``StopWordsRemover.loadDefaultStopWords('english')`` returns)."""
-    import pyspark
-
-    for jar in glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-            return [w for w in data.split("\n") if w]
-    from pyspark.ml.feature import StopWordsRemover
-
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
+    """Spark's English stop list (Apache Spark, ml/feature/stopwords/english.txt,
+    Apache License 2.0), kept as a package data file so that importing the
+    catalog needs neither a jar nor a JVM."""
+    return STOP_WORDS_FILE.read_text("utf-8").split()

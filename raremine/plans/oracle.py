@@ -41,8 +41,9 @@ def det_round_sql(sql: str) -> str:
         inner = det_round_sql(sql[j + 6:comma])
         digits = int(sql[comma + 1:k].strip())
         out.append(sql[i:j])
-        out.append(f"(floor(CAST({inner} AS DOUBLE) * CAST(1e{digits} AS DOUBLE) + CAST(0.5 AS DOUBLE))"
-                   f" / CAST(1e{digits} AS DOUBLE))")
+        x, scale = f"CAST({inner} AS DOUBLE)", f"CAST(1e{digits} AS DOUBLE)"
+        out.append(f"(CASE WHEN abs({x}) * {scale} < 4503599627370496.0"
+                   f" THEN floor({x} * {scale} + CAST(0.5 AS DOUBLE)) / {scale} ELSE {x} END)")
         i = k + 1
 
 

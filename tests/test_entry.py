@@ -26,3 +26,25 @@ def test_contract_keys():
     q, s = se.queries(), se.oracle_sql()
     assert set(s) <= set(q)
     assert "eval_shuffle_cv" in s
+
+
+def test_imports_from_zipped_pyspark_without_session(tmp_path):
+    """As under spark-submit: PySpark comes from pyspark.zip, no session exists,
+    and neither the import nor queries()/oracle_sql() may start a JVM."""
+    import glob
+    import subprocess
+    import sys
+
+    import pyspark
+
+    home = os.path.dirname(pyspark.__file__)
+    zips = glob.glob(os.path.join(home, "python", "lib", "*.zip"))
+    code = ("import sys; sys.path[:0] = %r; import pyspark, __spark_entry__ as e;"
+            "assert 'pyspark.zip' in pyspark.__file__, pyspark.__file__;"
+            "from pyspark import SparkContext;"
+            "q, s = e.queries(), e.oracle_sql();"
+            "assert SparkContext._gateway is None and set(s) <= set(q);"
+            "print(len(q), len(s))") % ([ROOT, *zips],)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path,
+                         env={**os.environ, "SPARK_HOME": home}, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]

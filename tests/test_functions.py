@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from raremine.functions.numeric import det_round, fmt_duration, hash_key, hash_uniform, linspace_int
 from raremine.plans.oracle import det_round_sql
 
-VALUES = [0.1250875, -0.0000004, -0.0000007, 2.5e-7, 1234567.8912345, 1e10 / 3, -1e-12, 0.0, -0.0]
+VALUES = [0.1250875, -0.0000004, -0.0000007, 2.5e-7, 1234567.8912345, 1e10 / 3, -1e-12, 0.0, -0.0,
+          1e13, -1e13, 9.3e12, float("inf"), -float("inf"), None]
 
 
 def test_det_round_equals_duckdb(spark, duck):
