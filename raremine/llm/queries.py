@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raremine.llm import decontaminate, packing, quality, sharding, simhash
+from raremine.llm import decontaminate, packing, quality, sharding, simhash, suffix_dedup, warc
 from raremine.sources.tables import read_table
 
 SHARDS = 40
@@ -18,6 +18,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -41,5 +49,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op4_quality, op8_simhash, op9_decontamination, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op8_simhash, op9_decontamination, op10_packing)}
 SQL: dict[str, str] = {}
