@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raremine.llm import decontaminate, extraction, packing, pii, quality, sharding, simhash, suffix_dedup, warc
+from raremine.llm import decontaminate, extraction, packing, passages, pii, quality, sharding, simhash, suffix_dedup, warc
 from raremine.sources.tables import read_table
 
 SHARDS = 40
@@ -30,6 +30,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS],
@@ -60,5 +64,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op5_passages, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing)}
 SQL: dict[str, str] = {}
