@@ -64,6 +64,8 @@ def main() -> None:
         out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

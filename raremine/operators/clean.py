@@ -178,6 +178,14 @@ def finite(c: Column) -> Column:
     return d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf")))
 
 
+def missing_in_records(records: DataFrame, features: Sequence[str], values: str = "values") -> DataFrame:
+    """(feature, n_missing, present): records whose map lacks each requested
+    feature, counted in one pass; ``present`` when none does."""
+    row = records.agg(*[F.count_if(~F.coalesce(F.map_contains_key(values, f), F.lit(False))).alias(f) for f in features])
+    return (row.unpivot([], list(features), "feature", "n_missing")
+            .withColumn("present", F.col("n_missing") == 0))
+
+
 def check_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, present) for each requested feature against the frame's
     columns (the planning-time check behind ``feature_format``)."""

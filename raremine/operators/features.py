@@ -84,26 +84,27 @@ def scale_per_fold(df: DataFrame, columns: Sequence[str], fold: str = "fold",
     return joined.select(*out)
 
 
+def interaction_terms(columns: Sequence[str]) -> list[tuple[str, str, str]]:
+    """(a, operator, b) of every interaction, pair by pair: product (squares
+    kept) and sum once per pair, ratio and difference in both directions;
+    3p^2 - 2p terms.  Their order matters to ``drop_correlated``."""
+    terms = []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            operators = "*" * (i <= j) + "+" * (i < j) + "/-" * (i != j)
+            terms += [(a, op, b) for op in operators]
+    return terms
+
+
+def interaction_names(columns: Sequence[str]) -> list[str]:
+    return ["".join(term) for term in interaction_terms(columns)]
+
+
 def interaction_exprs(columns: Sequence[str]) -> list[Column]:
-    """For i <= j products (squares kept), i < j sums, i != j ratios and
-    differences: 3p^2 - 2p columns named 'a*b', 'a+b', 'a/b', 'a-b'.
-    Ratios with a zero divisor are null (try_divide)."""
-    out = []
-    cols = list(columns)
-    p = len(cols)
-    for i in range(p):
-        for j in range(i, p):
-            a, b = F.col(cols[i]), F.col(cols[j])
-            out.append((a * b).alias(f"{cols[i]}*{cols[j]}"))
-            if i != j:
-                out.append((a + b).alias(f"{cols[i]}+{cols[j]}"))
-    for i in range(p):
-        for j in range(p):
-            if i != j:
-                a, b = F.col(cols[i]), F.col(cols[j])
-                out.append(F.try_divide(a, b).alias(f"{cols[i]}/{cols[j]}"))
-                out.append((a - b).alias(f"{cols[i]}-{cols[j]}"))
-    return out
+    """The interaction columns, named 'a*b', 'a+b', 'a/b', 'a-b'.  Ratios with
+    a zero divisor are null (try_divide)."""
+    make = {"*": lambda a, b: a * b, "+": lambda a, b: a + b, "/": F.try_divide, "-": lambda a, b: a - b}
+    return [make[op](F.col(a), F.col(b)).alias(f"{a}{op}{b}") for a, op, b in interaction_terms(columns)]
 
 
 def interaction_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("id",)) -> DataFrame:
@@ -111,22 +112,6 @@ def interaction_features(df: DataFrame, columns: Sequence[str], keep: Sequence[s
     return df.select(*[F.col(k) for k in keep], *interaction_exprs(columns))
 
 
-def interaction_names(columns: Sequence[str]) -> list[str]:
-    cols = list(columns)
-    p = len(cols)
-    names = []
-    for i in range(p):
-        for j in range(i, p):
-            names.append(f"{cols[i]}*{cols[j]}")
-            if i != j:
-                names.append(f"{cols[i]}+{cols[j]}")
-    for i in range(p):
-        for j in range(p):
-            if i != j:
-                names += [f"{cols[i]}/{cols[j]}", f"{cols[i]}-{cols[j]}"]
-    return names
-
-
 def add_missing_columns(df: DataFrame, source: DataFrame, columns: Sequence[str],
                         key: str = "id") -> DataFrame:
     """Add the ``columns`` of ``source`` not yet in ``df`` (left join on key)."""

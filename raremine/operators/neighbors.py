@@ -41,6 +41,8 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             return pd.DataFrame(out)
         qv = np.stack(q["v"].to_numpy()).astype(np.float64)
         rv = np.stack(r["v"].to_numpy()).astype(np.float64)
+        if not (np.isfinite(qv).all() and np.isfinite(rv).all()):
+            raise ValueError("k-NN vectors need finite coordinates; impute or drop rows first")
         order_r = np.argsort(rid_all, kind="stable")          # tie-break by reference key
         rv, rid = rv[order_r], rid_all[order_r]
         kk = min(k, len(rid))
@@ -78,7 +80,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey
              group: str | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """``([group,] qid, rid, rank, dist)``: the k nearest reference rows of
     every query row by Euclidean distance (self excluded by key when
-    ``exclude_self``).  With ``group``, neighbours are searched within the
+    ``exclude_self``).  Null or non-finite coordinates raise a ValueError.  With ``group``, neighbours are searched within the
     same group only (e.g. the training rows of one fold)."""
     gcols = [group] if group else []
     # block counts from (largest group) sizes; callers that know them pass ``sizes``

@@ -17,15 +17,17 @@ from raremine import SEED
 from raremine.functions.numeric import hash_key
 
 
+#: Fold x class rows up to which the threshold table is broadcast.
+MAX_BROADCAST_GROUPS = 200_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Before a row-multiplying explode: make sure the (small) input has at
-    least as many partitions as the cluster has cores, by hashing on the key
-    (deterministic on recompute), so the expanded rows are produced in
-    parallel instead of by the few tasks of a small input."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
-    return df
+    """Before a row-multiplying explode: hash the input on the key over all
+    cores (deterministic on recompute), so that the expanded rows of a small
+    input are produced in parallel."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartition(n, key)
 
 
 def class_counts(df: DataFrame, label: str = "label") -> dict:
@@ -54,56 +56,51 @@ def _per_class(label: Column, values: dict) -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def _hex_threshold(p: float) -> str | None:
-    """8-hex-digit prefix below which a uniform md5 falls with probability p."""
-    if p >= 1.0:
-        return None
-    return format(min(int(p * 4294967296.0) + 1, 4294967295), "08x")
+def smallest_keys(df: DataFrame, groups: Sequence[str], size: Column, order: Sequence[str]) -> DataFrame:
+    """``(*groups, _last_0, _last_1, ...)``: per group the ``size``-th smallest
+    value of ``order``, whose first column is a hex digest.
+
+    Rows are counted by the digest's first two digits (partial aggregation, at
+    most 256 counts a group); the running count shows in which of them the
+    wanted row lies, and only rows there, 1/256 of all, are ranked.  ``size``
+    may use the group columns; groups of size zero have no row."""
+    digit = F.substring(order[0], 1, 2)
+    counts = df.groupBy(*groups, digit.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_d"))
+    bounds = (counts.withColumn("_upto", upto).withColumn("_size", size)
+              .filter((F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size")))
+              .select(*groups, "_d", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_rank")))
+    edge = df.select(*groups, *order).withColumn("_d", digit).join(bounds, [*groups, "_d"])
+    ranked = edge.withColumn("_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+    return (ranked.filter(F.col("_rn") == F.col("_rank"))
+            .select(*groups, *[F.col(c).alias(f"_last_{i}") for i, c in enumerate(order)]))
+
+
+def _up_to_last(order: Sequence[str]) -> Column:
+    """``order`` is at most the threshold row of :func:`smallest_keys`."""
+    return (F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+            <= F.struct(*[F.col(f"_last_{i}").alias(f"c{i}") for i in range(len(order))]))
 
 
 def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
                         seed: int = SEED, key: str = "id", label: str = "label",
-                        keep: Sequence[str] = (), prefilter: bool = True) -> DataFrame:
+                        keep: Sequence[str] = ()) -> DataFrame:
     """Test rows of ``folds`` independent stratified shuffle splits:
     ``(fold, key, label, *keep)``.  Each (fold, class) keeps its n_test(class)
     rows of smallest md5 key.
 
-    Plan: explode folds in the scan stage, keep only candidates whose md5
-    prefix is below a per-class threshold (about k + 8 sqrt(k) expected rows
-    per group instead of all n), then ``row_number() <= k`` (Catalyst adds a
-    partial WindowGroupLimit before the shuffle).  The candidate filter can
-    only lose rows if a group has fewer than k candidates; the result is
-    verified per (fold, class) and recomputed without the filter if so, so
-    the split is always exact."""
+    Plan: the exact threshold key of every (fold, class) comes from counts
+    (``smallest_keys``); the test rows are then a filter of the exploded rows
+    against that table, so rows are neither sorted nor shuffled."""
     counts = class_counts(df, label)
     sizes = stratified_test_sizes(counts, test_size)
-    kmax = max(sizes.values())
-    expanded = (spread(df.select(key, label, *keep), key)
-                .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    base = spread(df.select(key, label, *keep), key)
+    expanded = (base.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
                 .withColumn("_h", hash_key(seed, F.col("fold"), F.col(key))))
-
-    def ranked(src):
-        w = Window.partitionBy("fold", label).orderBy("_h", key)
-        r = src.withColumn("_rn", F.row_number().over(w))
-        return (r.filter((F.col("_rn") <= F.lit(kmax)) & (F.col("_rn") <= _per_class(F.col(label), sizes)))
-                .select("fold", key, label, *keep))
-
-    if not prefilter:
-        return ranked(expanded)
-    limits = {c: _hex_threshold((k + 8.0 * math.sqrt(k) + 16.0) / counts[c]) for c, k in sizes.items()}
-    if all(v is None for v in limits.values()):
-        return ranked(expanded)
-    cond = None
-    for c, lim in sorted(limits.items()):
-        test = F.lit(True) if lim is None else (F.substring("_h", 1, 8) < F.lit(lim))
-        cond = F.when(F.col(label) == F.lit(c), test) if cond is None else cond.when(F.col(label) == F.lit(c), test)
-    out = ranked(expanded.filter(cond.otherwise(F.lit(True)))).persist()
-    got = {(r[0], r[1]): r[2] for r in out.groupBy("fold", label).count().collect()}
-    short = any(got.get((f, c), 0) < k for f in range(folds) for c, k in sizes.items() if k > 0)
-    if short:
-        out.unpersist()
-        return ranked(expanded)
-    return out
+    last = smallest_keys(expanded, ["fold", label], _per_class(F.col(label), sizes), ["_h", key])
+    if folds * len(sizes) <= MAX_BROADCAST_GROUPS:
+        last = F.broadcast(last)
+    return expanded.join(last, ["fold", label]).filter(_up_to_last(["_h", key])).select("fold", key, label, *keep)
 
 
 def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",
@@ -128,19 +125,20 @@ def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",
 
 def split_holdout(df: DataFrame, test_size: float = 0.1, seed: int = SEED,
                   key: str = "id", exact: bool = True) -> DataFrame:
-    """Adds ``is_test``.  exact: the ceil(test_size*n) rows of smallest md5 key
-    (distributed global rank, no single-partition window); otherwise a hash
-    threshold (approximate size, no sort)."""
+    """Adds ``is_test``.  exact: the ceil(test_size*n) rows of smallest md5 key,
+    told by an exact threshold key read off counts (rows stay where they are);
+    otherwise a hash threshold (approximate size)."""
     h = hash_key(seed, F.col(key))
     if not exact:
         u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
         return df.withColumn("is_test", u < F.lit(test_size))
-    from raremine.operators.clean import global_row_number
-
-    n = df.count()
-    n_test = math.ceil(test_size * n)
-    ranked = global_row_number(df.withColumn("_h", h), ["_h", key], "_rn")
-    return ranked.withColumn("is_test", F.col("_rn") <= F.lit(n_test)).drop("_h", "_rn")
+    n_test = math.ceil(test_size * df.count())
+    hashed = df.withColumn("_h", h)
+    last = smallest_keys(hashed.withColumn("_all", F.lit(0)), ["_all"], F.lit(n_test), ["_h", key]).first()
+    if last is None:
+        return df.withColumn("is_test", F.lit(False))
+    top, value = F.lit(last["_last_0"]), F.lit(last["_last_1"])
+    return hashed.withColumn("is_test", (F.col("_h") < top) | ((F.col("_h") == top) & (F.col(key) <= value))).drop("_h")
 
 
 def oversample_duplicate(df: DataFrame, passes: int = 1, label: str = "poi",

@@ -7,6 +7,7 @@ Results that pick columns come back to the driver as O(columns) values only.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -186,32 +187,40 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = "id") -> d
     return pearson_matrix(wide, columns)
 
 
+#: Pair correlations per aggregate.
+_PAIRS = 400
+
+
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> dict:
+    """{(a, b): r} over the rows in which both columns are present (NaN and
+    undefined: None).  Columns without a null go through one distributed
+    correlation matrix; pairs with a column that has some are aggregated pair
+    by pair.  The rule is the same for any number of columns."""
     cols = list(columns)
-    p = len(cols)
     res = {(c, c): 1.0 for c in cols}
-    if p <= 40:
-        aggs, pairs = [], []
-        for i in range(p):
-            for j in range(i + 1, p):
-                aggs.append(F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{len(pairs)}"))
-                pairs.append((cols[i], cols[j]))
-        if aggs:
-            row = df.agg(*aggs).first()
-            for n, (a, b) in enumerate(pairs):
-                v = row[f"c{n}"]
-                v = None if v is None or (isinstance(v, float) and math.isnan(v)) else v
-                res[(a, b)] = res[(b, a)] = v
+    if len(cols) < 2:
         return res
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(df)
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    for i in range(p):
-        for j in range(p):
-            v = float(m[i, j])
-            res[(cols[i], cols[j])] = None if math.isnan(v) else v
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
+                   F.count(F.lit(1)).alias("n")).first()
+    whole = [c for i, c in enumerate(cols) if nulls[f"n{i}"] == 0]
+    if len(whole) > 40 and nulls["n"] > 1:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+
+        vec = VectorAssembler(inputCols=whole, outputCol="_v", handleInvalid="keep").transform(df)
+        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+        for i, a in enumerate(whole):
+            for j, b in enumerate(whole):
+                if i != j:
+                    res[(a, b)] = None if math.isnan(m[i, j]) else float(m[i, j])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if (a, b) not in res]
+    for lo in range(0, len(pairs), _PAIRS):
+        part = pairs[lo:lo + _PAIRS]
+        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{n}")
+                       for n, (a, b) in enumerate(part)]).first()
+        for n, (a, b) in enumerate(part):
+            v = row[f"c{n}"]
+            res[(a, b)] = res[(b, a)] = None if v is None or math.isnan(v) else v
     return res
 
 
@@ -307,7 +316,8 @@ def select_percentile(scores: DataFrame, percentile: float = 10.0, feature: str
 
     # the score table has one row per feature: cut its lineage once so the
     # few small actions below do not recompute the statistics upstream
-    scored = cut_lineage(scores.filter(F.col(score).isNotNull()).select(feature, score))
+    # an undefined score counts as the lowest
+    scored = cut_lineage(scores.select(feature, F.coalesce(score, F.lit(-sys.float_info.max)).alias(score)))
     n = scored.count()
     if n == 0:
         return scored

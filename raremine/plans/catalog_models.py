@@ -41,7 +41,7 @@ def r(df, digits=6):
 
 
 def scaled_train(spark, sf) -> DataFrame:
-    return FE.scale_minmax(train_frame(spark, sf), FEATS)
+    return FE.scale_minmax(train_frame(spark, sf, code=True), FEATS)
 
 
 def dist2_sql(a: str, b: str, cols) -> str:

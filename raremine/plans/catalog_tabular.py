@@ -103,7 +103,7 @@ def q_check_sentinel_free(spark, sf):
 
 @register("encode_label", with_ctes(TRAIN_SQL) + " SELECT id, email_address_code FROM train")
 def q_encode_label(spark, sf):
-    return train_frame(spark, sf).select("id", "email_address_code")
+    return train_frame(spark, sf, code=True).select("id", "email_address_code")
 
 
 @register("ff_missing_to_zero", with_ctes(PERSON_CLEAN_SQL) + " SELECT id, CAST(poi AS DOUBLE) AS poi, " +
@@ -158,13 +158,13 @@ def q_drop_nonfinite_columns(spark, sf):
 
 @register("scale_minmax", with_ctes(TRAIN_SQL, O.MINMAX_SQL) + f" SELECT id, {sel_r(FEATS)} FROM scaled")
 def q_scale_minmax(spark, sf):
-    return r(FE.scale_minmax(train_frame(spark, sf), FEATS).select("id", *FEATS))
+    return r(FE.scale_minmax(train_frame(spark, sf, code=True), FEATS).select("id", *FEATS))
 
 
 @register("interaction_features", with_ctes(TRAIN_SQL, O.MINMAX_SQL) + " SELECT id, " + ", ".join(
     f'round(CAST({O.inter_sql(n)} AS DOUBLE), 6) AS "{n}"' for n in INTER_NAMES) + " FROM scaled")
 def q_interaction_features(spark, sf):
-    scaled = FE.scale_minmax(train_frame(spark, sf), FEATS)
+    scaled = FE.scale_minmax(train_frame(spark, sf), NUMERIC)
     # the email code is the last column and takes no part (as in the reference)
     return r(FE.interaction_features(scaled, NUMERIC))
 
@@ -203,7 +203,7 @@ def q_add_missing_columns(spark, sf):
 @register("threshold_label", with_ctes(TRAIN_SQL, O.MINMAX_SQL) +
           " SELECT id, CASE WHEN total_price > 0.5 THEN 1 ELSE 0 END AS pred FROM scaled")
 def q_threshold_label(spark, sf):
-    s = FE.scale_minmax(train_frame(spark, sf), FEATS)
+    s = FE.scale_minmax(train_frame(spark, sf), NUMERIC)
     return s.select("id", M.threshold_label(F.col("total_price")).alias("pred"))
 
 
@@ -232,13 +232,13 @@ OUTLIER_SQL = O.outlier_sql("train", FEATS, 2.0, 4, "outl")
 
 @register("outlier_rows_iqr", with_ctes(TRAIN_SQL, *OUTLIER_SQL) + " SELECT id, n_flags FROM outl")
 def q_outlier_rows_iqr(spark, sf):
-    return ST.outlier_rows_iqr(train_frame(spark, sf), FEATS, 2.0, 4)
+    return ST.outlier_rows_iqr(train_frame(spark, sf, code=True), FEATS, 2.0, 4)
 
 
 @register("join_anti_outliers", with_ctes(TRAIN_SQL, *OUTLIER_SQL) +
           " SELECT id, poi FROM train WHERE id NOT IN (SELECT id FROM outl)")
 def q_join_anti_outliers(spark, sf):
-    t = train_frame(spark, sf)
+    t = train_frame(spark, sf, code=True)
     bad = ST.outlier_rows_iqr(t, FEATS, 2.0, 4).select("id")
     return t.join(bad, "id", "left_anti").select("id", TARGET)
 
@@ -246,7 +246,7 @@ def q_join_anti_outliers(spark, sf):
 @register("join_semi_membership", with_ctes(TRAIN_SQL, *OUTLIER_SQL) +
           " SELECT id, poi FROM train WHERE id IN (SELECT id FROM outl)")
 def q_join_semi_membership(spark, sf):
-    t = train_frame(spark, sf)
+    t = train_frame(spark, sf, code=True)
     bad = ST.outlier_rows_iqr(t, FEATS, 2.0, 4).select("id")
     return t.join(bad, "id", "left_semi").select("id", TARGET)
 
@@ -280,7 +280,7 @@ def q_agg_value_counts(spark, sf):
 @register("agg_shape", with_ctes(TRAIN_SQL) +
           " SELECT CAST(count(*) AS BIGINT) AS n_rows, 8 AS n_features FROM train")
 def q_agg_shape(spark, sf):
-    return ST.shape(train_frame(spark, sf), TARGET)
+    return ST.shape(train_frame(spark, sf, code=True), TARGET)
 
 
 @register("agg_describe", with_ctes(TRAIN_SQL) + " " + " UNION ALL ".join(
@@ -298,14 +298,14 @@ INFO_TYPES = [("id", "string"), (TARGET, "int"), *[(c, "double") for c in NUMERI
 @register("agg_info", with_ctes(TRAIN_SQL) + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(count({c}) AS BIGINT) AS non_null, '{t}' AS dtype FROM train" for c, t in INFO_TYPES))
 def q_agg_info(spark, sf):
-    return ST.info(train_frame(spark, sf))
+    return ST.info(train_frame(spark, sf, code=True))
 
 
 @register("agg_quartiles", with_ctes(TRAIN_SQL) + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.75), 6) AS q3 FROM train"
     for c in FEATS))
 def q_agg_quartiles(spark, sf):
-    return r(ST.quartiles(train_frame(spark, sf), FEATS))
+    return r(ST.quartiles(train_frame(spark, sf, code=True), FEATS))
 
 
 SPEAR_COLS = [TARGET, *NUMERIC]
@@ -326,8 +326,9 @@ def q_arr_mask_diag(spark, sf):
 
 
 def drop_correlated_sql(threshold: float = 0.93) -> str:
-    names = ["poi", *INTER_NAMES]
-    exprs = ["CAST(poi AS DOUBLE)"] + [f"CAST({O.inter_sql(n)} AS DOUBLE)" for n in INTER_NAMES]
+    inter = O.inter_order(NUMERIC)
+    names = [*FEATS, "poi", *inter]
+    exprs = [f"CAST({n} AS DOUBLE)" for n in [*FEATS, "poi"]] + [f"CAST({O.inter_sql(n)} AS DOUBLE)" for n in inter]
     long = " UNION ALL ".join(f"SELECT {j} AS j, '{n}' AS feature, id, {e} AS x FROM scaled"
                               for j, (n, e) in enumerate(zip(names, exprs)))
     return with_ctes(
@@ -352,11 +353,10 @@ def drop_correlated_sql(threshold: float = 0.93) -> str:
 @register("drop_correlated", drop_correlated_sql())
 def q_drop_correlated(spark, sf):
     """Columns kept by the greedy |rho| > 0.93 walk over the min-max scaled
-    interaction features (Spearman; target included, never dropped)."""
-    scaled = FE.scale_minmax(train_frame(spark, sf), FEATS)
-    inter = FE.interaction_features(scaled, NUMERIC, keep=("id", TARGET))
-    finite = C.drop_nonfinite_columns(inter, INTER_NAMES)
-    cols = [TARGET, *finite]
+    features, the target (never dropped) and the interactions, in that order."""
+    scaled = FE.scale_minmax(train_frame(spark, sf, code=True), FEATS)
+    inter = FE.interaction_features(scaled, NUMERIC, keep=("id", *FEATS, TARGET))
+    cols = C.drop_nonfinite_columns(inter, [*FEATS, TARGET, *INTER_NAMES])
     mat = ST.spearman_matrix(inter, cols)
     dropped = ST.drop_correlated(mat, cols, TARGET, 0.93)
     return spark.createDataFrame([(c, c not in dropped) for c in cols], "feature string, kept boolean")
@@ -555,7 +555,7 @@ def q_fmt_duration(spark, sf):
           " SELECT id, round(acctbal * total_price, 6) AS prod, round(acctbal + total_price, 6) AS sum,"
           " round(acctbal / total_price, 6) AS ratio, round(acctbal - total_price, 6) AS diff FROM scaled")
 def q_math_pairwise(spark, sf):
-    s = FE.scale_minmax(train_frame(spark, sf), FEATS)
+    s = FE.scale_minmax(train_frame(spark, sf), NUMERIC)
     a, b = F.col("acctbal"), F.col("total_price")
     return r(s.select("id", (a * b).alias("prod"), (a + b).alias("sum"),
                       F.try_divide(a, b).alias("ratio"), (a - b).alias("diff")))

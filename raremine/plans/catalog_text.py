@@ -206,9 +206,9 @@ def q_sink_keyed_records(spark, sf):
     """Frame -> {id: {feature: value}} written as JSON under the checkpoint
     folder, read back and re-typed."""
     from raremine.plans.catalog_tabular import pclean
-    from raremine.session import ensure_checkpoint_dir
+    from raremine.session import scratch_path
 
-    path = ensure_checkpoint_dir(spark).rstrip("/") + "/records/person"
+    path = scratch_path(spark, "records")
     FS.frame_to_records(pclean(spark, sf)).write.mode("overwrite").json(path)
     back = spark.read.schema("id string, `values` map<string,string>").json(path)
     clean = FS.records_to_frame(back, ["total_price", "n_high"])
@@ -219,8 +219,8 @@ def q_sink_keyed_records(spark, sf):
 # ------------------------------------------------------ file-based sources --
 
 def _scratch(spark, name: str) -> str:
-    from raremine.session import ensure_checkpoint_dir
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/sources/" + name
+    from raremine.session import scratch_path
+    return scratch_path(spark, "source-" + name)
 
 
 EMAIL_INDEX_SQL = ("SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup') THEN 'from' ELSE 'to' END AS direction,"
@@ -275,12 +275,12 @@ def q_src_poi_addresses(spark, sf):
 
 
 @register("ff_missing_feature", " UNION ALL ".join(
-    f"SELECT '{f}' AS feature, {str(ok).lower()} AS present" for f, ok in
-    [("poi", True), ("total_price", True), ("salary", False), ("n_high", True)]))
+    f"SELECT '{f}' AS feature, count(*) FILTER (WHERE NOT list_contains(json_keys(props), '{f}')) AS n_missing,"
+    f" bool_and(list_contains(json_keys(props), '{f}')) AS present FROM events" for f in ("k", "salary")))
 def q_ff_missing_feature(spark, sf):
-    """Requested features checked against the stand-in frame's columns
+    """Requested features checked against the keys of every keyed record
     (``feature_format`` raises ValueError for the absent ones)."""
-    from raremine.operators.clean import check_features
-    from raremine.plans.catalog_tabular import pclean
+    from raremine.operators.clean import missing_in_records
 
-    return check_features(pclean(spark, sf), ["poi", "total_price", "salary", "n_high"])
+    records = read_table(spark, sf, "events").select(F.from_json("props", FS.MAP_TYPE).alias("values"))
+    return missing_in_records(records, ["k", "salary"])

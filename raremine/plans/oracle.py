@@ -151,6 +151,20 @@ def minmax_cte(src: str, cols, keep=("id", "poi"), out: str = "scaled") -> str:
 MINMAX_SQL = minmax_cte("train", NUMERIC + ["email_address_code"])
 
 
+def inter_order(columns) -> list[str]:
+    """Interaction names pair by pair, written for the twins on their own."""
+    out = []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            if i <= j:
+                out.append(a + "*" + b)
+            if i < j:
+                out.append(a + "+" + b)
+            if i != j:
+                out += [a + "/" + b, a + "-" + b]
+    return out
+
+
 def inter_sql(name: str) -> str:
     """SQL of an interaction column name 'a*b', 'a+b', 'a/b', 'a-b'."""
     for op in ("*", "+", "/", "-"):

@@ -133,11 +133,12 @@ train AS (SELECT p.id, p.poi, coalesce(acctbal, -1) AS acctbal, coalesce(total_p
           WHERE p.id <> 'TOTAL')"""
 
 
-def train_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark twin of TRAIN_SQL built from the operators."""
+def train_frame(spark: SparkSession, sf_dir: str, code: bool = False) -> DataFrame:
+    """Spark twin of TRAIN_SQL built from the operators.  The label code of the
+    address needs a global rank of its values, so it is made on request."""
     from raremine.operators.clean import clean_records, drop_row_by_key, encode_label, impute_constant
 
     clean = clean_records(person_records(spark, sf_dir), TARGET)
-    coded = encode_label(clean, EMAIL, EMAIL + "_code")
+    coded = encode_label(clean, EMAIL, EMAIL + "_code") if code else clean
     kept = drop_row_by_key(coded, "TOTAL")
     return impute_constant(kept, -1, NUMERIC).drop(EMAIL)

@@ -12,15 +12,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from raremine.session import ensure_checkpoint_dir
-
-
-def bundle_root(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/bundles"
+from raremine.session import scratch_path
 
 
 def save_bundle(spark: SparkSession, model, data: DataFrame, feature_list, name: str = "model") -> str:
-    path = f"{bundle_root(spark)}/{name}"
+    path = scratch_path(spark, f"bundle-{name}")
     model.write().overwrite().save(f"{path}/model")
     data.write.mode("overwrite").parquet(f"{path}/data")
     meta = {"features": list(feature_list), "class": type(model).__module__ + "." + type(model).__name__}

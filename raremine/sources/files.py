@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: A domain that another address follows without a separator: only a second
+#: '@' shows that an entry holds two addresses; single addresses stay whole.
+FUSED = r"(@[^@\s,;]*?\.(?:com|net|org|edu|gov|mil))(?=[^@\s,;.][^@\s,;]*@)"
+
+
 def read_email_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, value): whole files, never split into lines."""
     df = spark.read.text(path, wholetext=True)
@@ -61,11 +67,7 @@ def poi_address_frame(spark: SparkSession, addresses: Sequence[str]) -> DataFram
     rows = []
     for a in addresses:
         a = a.strip().strip("'\"")
-        parts = [p for p in a.replace(",", " ").split() if "@" in p]
-        if a.count("@") > 1 and len(parts) <= 1:
-            # fused pair 'x@a.comy@b.com': split after each domain's top level
-            import re
-            parts = re.findall(r"[^@\s]+@[^@\s]+?\.(?:com|net|org|edu)", a)
+        parts = [p for p in re.sub(FUSED, r"\1 ", a.replace(",", " ").replace(";", " ")).split() if "@" in p]
         rows += [(p,) for p in (parts or [a])]
     return spark.createDataFrame(rows, "address string").distinct()
 
@@ -75,7 +77,8 @@ def normalize_addresses(df: DataFrame, column: str = "address") -> DataFrame:
     split entries that hold several addresses (e.g. two fused without a
     separator) into one row each; distinct."""
     text = F.regexp_replace(F.trim(F.col(column)), "[\'\"]", "")
-    found = F.regexp_extract_all(text, F.lit("[^@\\s,;]+@[^@\\s,;]+?\\.(?:com|net|org|edu|gov|mil)"), 0)
+    apart = F.split(F.regexp_replace(text, FUSED, "$1 "), "[\\s,;]+")
+    found = F.filter(apart, lambda a: F.contains(a, F.lit("@")))
     return (df.select(F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(text))).alias("address"))
             .filter(F.col("address") != "").distinct())
 

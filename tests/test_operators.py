@@ -101,8 +101,8 @@ def test_strat_shuffle_invariants(spark):
     per = test.groupby(["fold", "label"]).size()
     for (fold, lab), n in per.items():
         assert n == sizes[lab]
-    # same answer with and without the candidate prefilter, and on another partitioning
-    plain = S.split_strat_shuffle(df, 20, prefilter=False).toPandas()
+    # same answer on other partitionings
+    plain = S.split_strat_shuffle(df.repartition(3), 20).toPandas()
     other = S.split_strat_shuffle(df.repartition(5), 20).toPandas()
     key = lambda d: sorted(zip(d["fold"], d["id"]))
     assert key(test) == key(plain) == key(other)
@@ -282,3 +282,44 @@ def test_feature_format_preset_key_order(spark):
     order = spark.createDataFrame([("c", 0), ("a", 1)], "id string, ord int")
     out = C.feature_format(df, ["poi", "f"], sort_keys="preset", key_order=order).collect()
     assert [r.id for r in out] == ["c", "a"]            # inner join on the preset keys, in their order
+
+
+def test_strat_shuffle_is_the_smallest_keys_of_each_class(spark):
+    import hashlib
+
+    df = _frame(spark)
+    rows = [(r.id, r.label) for r in df.collect()]
+    sizes = S.stratified_test_sizes(S.class_counts(df), 0.1)
+    got = {(r.fold, r.id) for r in S.split_strat_shuffle(df, 7, seed=5).collect()}
+    want = set()
+    for fold in range(7):
+        for label, n in sizes.items():
+            keys = sorted((hashlib.md5(f"5|{fold}|{i}".encode()).hexdigest(), i) for i, lab in rows if lab == label)
+            want |= {(fold, i) for _, i in keys[:n]}
+    assert got == want
+
+
+def test_pearson_has_one_null_rule_for_any_width(spark):
+    rows = [[float((i * (j + 3)) % 17 + i * j * 0.01) for j in range(45)] for i in range(60)]
+    rows[7][0] = None
+    names = [f"c{j}" for j in range(45)]
+    df = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{n} double" for n in names))
+    wide, small = ST.pearson_matrix(df, names), ST.pearson_matrix(df, names[:10])
+    for k, v in small.items():
+        assert (v is None) == (wide[k] is None) and (v is None or abs(v - wide[k]) < 1e-9)
+    assert wide[("c0", "c1")] is not None
+
+
+def test_interactions_keep_the_pairwise_order():
+    assert FE.interaction_names(["a", "b"]) == ["a*a", "a*b", "a+b", "a/b", "a-b", "b/a", "b-a", "b*b"]
+
+
+def test_knn_refuses_missing_coordinates(spark):
+    df = spark.createDataFrame([(1, [0.0, None]), (2, [1.0, 1.0]), (3, [2.0, 1.0])], "id long, v array<double>")
+    with pytest.raises(Exception, match="finite coordinates"):
+        NB.knn_join(df, df, 1).collect()
+
+
+def test_select_percentile_counts_undefined_scores(spark):
+    df = spark.createDataFrame([(f"f{i}", float(i) if i > 4 else None) for i in range(10)], "feature string, f double")
+    assert sorted(r.feature for r in ST.select_percentile(df, 30.0).collect()) == ["f7", "f8", "f9"]

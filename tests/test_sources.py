@@ -1,3 +1,4 @@
+import pytest
 import os
 import tempfile
 
@@ -50,3 +51,29 @@ def test_bundle_roundtrip(spark):
     clf, data, feats = load_bundle(spark, path)
     assert feats == ["label", "a", "b"] and data.count() == 20
     assert clf.transform(L.assemble(data, feats[1:])).count() == 20
+
+
+def test_addresses_stay_whole_unless_fused(spark):
+    raw = ["x@foo.company.com", "y@mail.com.au", "'z@a.org.uk'", "a@b.comc@d.net", "p@q.com; r@s.edu", " "]
+    df = spark.createDataFrame([(a,) for a in raw], "address string")
+    want = ["a@b.com", "c@d.net", "p@q.com", "r@s.edu", "x@foo.company.com", "y@mail.com.au", "z@a.org.uk"]
+    assert sorted(r.address for r in FS.normalize_addresses(df).collect()) == want
+    assert sorted(r.address for r in FS.poi_address_frame(spark, raw[:-1]).collect()) == want
+
+
+def test_checkpoint_folder_must_be_given_on_a_cluster(spark, monkeypatch):
+    from raremine import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    fake = type("S", (), {"sparkContext": Context(), "conf": {}})()
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(fake)
+    assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
