@@ -1,6 +1,6 @@
 """English Snowball ("Porter2") stemmer, written from the published
 algorithm description.  A pure per-word function: it is applied once per
-distinct word through an Arrow pandas UDF (see operators.text.stem_words).
+word through an Arrow pandas UDF that remembers its stems (operators.text.stem_join).
 """
 
 from __future__ import annotations

@@ -50,15 +50,26 @@ def make_estimator(name: str, label: str = "label", weight: str | None = None, *
     return est
 
 
+#: Models whose regularisation is given as C.
+LINEAR = ("logistic", "linear_svc")
+
+
 def fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
                 label: str = "label", key: str = "id", **params):
     """Fit on ``train``, predict ``test``: ((key, label, prediction), fit
     seconds, model).  ``C`` (inverse regularisation strength of the reference's
-    linear models) maps to Spark's ``regParam = 1 / (C * n_train)``."""
+    linear models) maps to Spark's ``regParam = 1 / (C * n_train)``;
+    ``balanced`` weighs each row by n / (classes * rows of its class)."""
     if "C" in params:
         c = params.pop("C")
         params["regParam"] = 1.0 / (c * max(train.count(), 1))
-    est = make_estimator(name, label, **params)
+    weight = None
+    if params.pop("balanced", False):
+        from raremine.operators.sampling import class_weight_balanced
+
+        weight = "class_weight"
+        train = class_weight_balanced(train, label, weight)
+    est = make_estimator(name, label, weight, **params)
     t0 = time.time()
     model = est.fit(assemble(train, features))
     fit_s = time.time() - t0

@@ -8,7 +8,7 @@ stage and reduced by partial aggregation before any shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -78,8 +78,12 @@ def anova_f_postings(postings: DataFrame, labels: DataFrame, doc: str = "doc_id"
 
 # ---------------------------------------------------------------- stemming --
 
-def stem_words(words: DataFrame, word: str = "word", out: str = "stem") -> DataFrame:
-    """Stem each DISTINCT word once (Arrow pandas UDF over the vocabulary)."""
+def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataFrame:
+    """(doc, stemmed): words of ``text`` (whitespace split) replaced by their
+    stems, joined by one space, order kept; null or empty text -> ''.
+
+    Documents are stemmed where they are, a task remembers the stems of the
+    words it has seen: nothing is shuffled, so frequent words cost nothing."""
     from pyspark import cloudpickle
 
     import raremine.functions.stem as stem_module
@@ -90,30 +94,16 @@ def stem_words(words: DataFrame, word: str = "word", out: str = "stem") -> DataF
     cloudpickle.register_pickle_by_value(stem_module)
 
     @F.pandas_udf("string")
-    def _stem(s: pd.Series) -> pd.Series:
-        return s.map(stem)
+    def stemmed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict = {}
 
-    # the distinct vocabulary is small in bytes, so adaptive execution would
-    # coalesce it into very few tasks; the Python stemming is CPU-bound, so
-    # spread it explicitly over all cores
-    spark = words.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    vocab = words.select(word).distinct().repartition(n, word)
-    return vocab.select(word, _stem(F.col(word)).alias(out))
+        def of(word):
+            if word not in known:
+                known[word] = stem(word)
+            return known[word]
 
+        for bodies in parts:
+            yield bodies.map(lambda words: " ".join(of(w) for w in words))
 
-def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataFrame:
-    """(doc, stemmed): words of ``text`` (whitespace split) replaced by their
-    stems, joined by one space, order kept; empty text -> ''.
-
-    Words are exploded with their position, the distinct vocabulary is stemmed
-    once and joined back (hash join on the word), then each document's words
-    are re-assembled in position order."""
-    from raremine.operators.sampling import spread
-
-    words = spread(docs.select(doc, text), doc).select(doc, F.posexplode(TX.split_ws(F.col(text))).alias("pos", "word"))
-    stems = stem_words(words)
-    joined = words.join(stems, "word")
-    rebuilt = joined.groupBy(doc).agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]), " ").alias("stemmed"))
-    return docs.select(doc).join(rebuilt, doc, "left").select(doc, F.coalesce("stemmed", F.lit("")).alias("stemmed"))
+    words = F.coalesce(TX.split_ws(F.col(text)), F.array().cast("array<string>"))
+    return docs.select(doc, stemmed(words).alias("stemmed"))

@@ -128,12 +128,27 @@ def q_ff_drop_any_zero(spark, sf):
                               remove_any_zeroes=True))
 
 
-@register("ff_key_order", with_ctes(PERSON_CLEAN_SQL) +
-          " SELECT id, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS ord FROM person_clean"
-          " WHERE id <> 'TOTAL' AND (" + " OR ".join(f"coalesce({c}, 0.0) <> 0" for c in NUMERIC) + ")")
+FORMATTED_SQL = ("fmt AS (SELECT id, total_price FROM person_clean WHERE id <> 'TOTAL' AND ("
+                 + " OR ".join(f"coalesce({c}, 0.0) <> 0" for c in NUMERIC) + "))")
+
+
+@register("ff_key_order", with_ctes(PERSON_CLEAN_SQL, FORMATTED_SQL) +
+          " SELECT 'key' AS sort_keys, id, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS ord FROM fmt"
+          " UNION ALL SELECT 'preset', id, CAST(row_number() OVER (ORDER BY total_price DESC NULLS LAST, id) AS BIGINT)"
+          " FROM fmt WHERE total_price IS NOT NULL")
 def q_ff_key_order(spark, sf):
-    fmt = C.feature_format(C.drop_row_by_key(pclean(spark, sf)), [TARGET, *NUMERIC])
-    return C.global_row_number(fmt.select("id"), ["id"], "ord")
+    """Position of every formatted row: sorted by key, and in a preset key
+    order (by falling total price; keys without one are not in the preset)."""
+    clean = C.drop_row_by_key(pclean(spark, sf))
+    features = [TARGET, *NUMERIC]
+    by_key = C.global_row_number(C.feature_format(clean, features).select("id"), ["id"], "ord")
+    priced = clean.filter(F.col("total_price").isNotNull()).select("id", (-F.col("total_price")).alias("_p"))
+    preset = C.global_row_number(priced, ["_p", "id"], "ord").select("id", "ord")
+    listed = C.feature_format(clean, features, sort_keys="preset", key_order=preset).select("id")
+    # the preset may name rows that the zero test drops: number what is left in its order
+    placed = C.global_row_number(listed.join(preset.withColumnRenamed("ord", "_o"), "id"), ["_o"], "ord")
+    return (by_key.select(F.lit("key").alias("sort_keys"), "id", "ord")
+            .unionByName(placed.select(F.lit("preset").alias("sort_keys"), "id", "ord")))
 
 
 @register("target_feature_split", with_ctes(O.PERSON_DATA) +
@@ -176,20 +191,34 @@ def q_scale_standard(spark, sf):
     return r(FE.scale_standard(train_frame(spark, sf), NUMERIC).select("id", *NUMERIC))
 
 
-@register("scale_options", with_ctes(TRAIN_SQL, O.kfold_sql("train", "poi", 5, "kf"),
-                                     "ex AS (SELECT f.fold, k.*, k.kfold = f.fold AS is_test FROM kf k CROSS JOIN range(5) f(fold))",
-                                     "st AS (SELECT fold, " + ", ".join(
-                                         f"avg({c}) FILTER (WHERE NOT is_test) AS m_{c}, stddev_pop({c}) FILTER (WHERE NOT is_test) AS s_{c}"
-                                         for c in NUMERIC) + " FROM ex GROUP BY fold)") +
-          " SELECT CAST(ex.fold AS INTEGER) AS fold, id, is_test, " + ", ".join(
-              f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in NUMERIC) +
-          " FROM ex JOIN st USING (fold)")
+def scale_options_sql() -> str:
+    fit = ", ".join(f"avg({c}) FILTER (WHERE NOT is_test) AS m_{c}, stddev_pop({c}) FILTER (WHERE NOT is_test) AS s_{c}"
+                    for c in NUMERIC)
+    value = ", ".join(f"round(({c} - CASE WHEN o.center THEN m_{c} ELSE 0 END)"
+                      f" / CASE WHEN NOT o.scale OR s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in NUMERIC)
+    return with_ctes(
+        TRAIN_SQL, O.kfold_sql("train", "poi", 5, "kf"),
+        "ex AS (SELECT f.fold, k.*, k.kfold = f.fold AS is_test FROM kf k CROSS JOIN range(5) f(fold))",
+        f"st AS (SELECT fold, {fit} FROM ex GROUP BY fold)",
+        "o AS (SELECT * FROM (VALUES (true, true), (true, false), (false, true), (false, false)) v(center, scale))",
+    ) + (f" SELECT o.center, o.scale, CAST(ex.fold AS INTEGER) AS fold, id, is_test, {value}"
+         " FROM ex JOIN st USING (fold) CROSS JOIN o")
+
+
+@register("scale_options", scale_options_sql())
 def q_scale_options(spark, sf):
+    """Per-fold scaling with each combination of centring and division by the
+    standard deviation, fitted on the fold's training rows."""
     kf = S.split_strat_kfold(train_frame(spark, sf), 5, label=TARGET).withColumnRenamed("fold", "kfold")
     ex = (kf.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(4))))
           .withColumn("is_test", F.col("kfold") == F.col("fold")))
-    out = FE.scale_per_fold(ex, NUMERIC)
-    return r(out.select("fold", "id", "is_test", *NUMERIC))
+    parts = [FE.scale_per_fold(ex, NUMERIC, center=center, scale=scale)
+             .select(F.lit(center).alias("center"), F.lit(scale).alias("scale"), "fold", "id", "is_test", *NUMERIC)
+             for center in (True, False) for scale in (True, False)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return r(out)
 
 
 @register("add_missing_columns", with_ctes(TRAIN_SQL) +
@@ -368,12 +397,23 @@ def q_anova_f(spark, sf):
     return r(ST.anova_f(train_frame(spark, sf), NUMERIC, TARGET))
 
 
-@register("vif_filter", with_ctes(TRAIN_SQL) +
-          " SELECT feature, round(1 / (1 - pow(corr(total_price, avg_price), 2)), 6) AS vif FROM train,"
-          " (SELECT unnest(['total_price', 'avg_price']) AS feature) GROUP BY feature")
+VIF_COLS = ["total_price", "avg_price", "acctbal"]
+
+
+def vif_sql(threshold: float) -> str:
+    """Diagonal of the inverse of a 3 x 3 correlation matrix, by cofactors."""
+    a, b, c = VIF_COLS
+    det = "(1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc)"
+    one = " UNION ALL ".join(f"SELECT '{n}' AS feature, (1 - {r} * {r}) / {det} AS vif FROM k"
+                             for n, r in ((a, "bc"), (b, "ac"), (c, "ab")))
+    return with_ctes(TRAIN_SQL, f"k AS (SELECT corr({a}, {b}) AS ab, corr({a}, {c}) AS ac, corr({b}, {c}) AS bc FROM train)",
+                     f"v AS ({one})") + f" SELECT feature, round(vif, 6) AS vif, NOT (vif > {threshold}) AS kept FROM v"
+
+
+@register("vif_filter", vif_sql(1.2))
 def q_vif_filter(spark, sf):
-    v = ST.vif(train_frame(spark, sf), ["total_price", "avg_price"])
-    return r(spark.createDataFrame(list(v.items()), "feature string, vif double"))
+    kept, v = ST.vif_filter(train_frame(spark, sf), VIF_COLS, 1.2)
+    return r(spark.createDataFrame([(c, v[c], c in kept) for c in VIF_COLS], "feature string, vif double, kept boolean"))
 
 
 def _gnb_pred(spark, sf, folds=SMALL_FOLDS):
