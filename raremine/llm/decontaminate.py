@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from raremine.llm.store import written
+from raremine.llm.store import if_small, written
 from raremine.llm.textops import LETTERS, LOWER, gram_hash, mix64, span_hash, text_blocks, word_spans
 
 WINDOW, GRAM = 10, 5
@@ -204,4 +204,5 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id",
     """The rows of ``docs`` without any hit, columns unchanged."""
     found = find_contamination(docs, items, key, text, **options)
     bad = found.filter(F.col("spans").isNotNull()).select(F.col(key).alias("_k"), F.col("text_key").alias("_t")).distinct()
+    bad = if_small(written(bad, "bench-bad"))
     return docs.join(bad, docs[key].eqNullSafe(bad["_k"]) & (F.xxhash64(docs[text]) == bad["_t"]), "left_anti")

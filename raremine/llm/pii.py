@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from raremine.llm.store import written
+from raremine.llm.store import if_small, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bound of the rows on which the trees are fitted, and of those for thresholds.
@@ -259,6 +259,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", **options)
     found = find_personal_data(docs, key, text, **options).filter(F.size("spans") > 0)
     found = found.select(F.col(key).alias("_k"), "text_key", "spans").dropDuplicates(["_k", "text_key"]) \
         .withColumnRenamed("text_key", "_t").withColumnRenamed("spans", "_spans")
+    found = if_small(written(found, "pii-spans"), F.size("_spans") + 1)
     joined = docs.join(found, docs[key].eqNullSafe(found["_k"]) & (F.xxhash64(docs[text]) == found["_t"]), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_start = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raremine.llm.components import connected_components
-from raremine.llm.store import written
+from raremine.llm.store import if_small, written
 from raremine.llm.textops import LOWER, NOT_SPACE, text_blocks, word_spans
 
 SHINGLE_WORDS, MAX_BITS, HASH_SEED = 3, 3, 42
@@ -296,8 +296,8 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = written(rows, "sim-rows")
     first = rows.groupBy("component").agg(F.min("row").alias("first"))
     seen = rows.join(first, "component")
-    drop = seen.filter(F.col("row") != F.col("first")).select("row.*")
-    repeated = seen.filter((F.col("row") == F.col("first")) & (F.col("copies") > 1)).select("row.*")
+    drop = if_small(written(seen.filter(F.col("row") != F.col("first")).select("row.*"), "sim-drop"))
+    repeated = written(seen.filter((F.col("row") == F.col("first")) & (F.col("copies") > 1)).select("row.*"), "sim-again")
 
     def same(d, other):
         return d[key].eqNullSafe(other["k"]) & (F.xxhash64(d[text]) == other["t"])
@@ -305,5 +305,6 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
     left = docs.join(drop, same(docs, drop), "left_anti")
     if repeated.first() is None:
         return left
+    repeated = if_small(repeated)
     several = left.join(repeated, same(left, repeated), "left_semi").dropDuplicates()
     return left.join(repeated, same(left, repeated), "left_anti").unionByName(several)

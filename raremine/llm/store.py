@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from raremine.session import ensure_checkpoint_dir
 
@@ -14,29 +15,35 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-#: Lets Spark remove a query's shuffle files when the query has ended.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go as soon as the query has ended,
+#: and whole texts reach Python workers in batches of bounded size.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                 "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: computed
-    once, however often it is used, and safe against lost executors.  Its
-    shuffle files go as soon as the table is complete."""
+    once, however often it is used, and safe against lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in WHILE_WRITING}
+    for k, v in WHILE_WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tasks(df: DataFrame, rows_per_task: int, rows: int | None = None, least: int = 1) -> int:
-    """Number of groups so that each holds about ``rows_per_task`` rows."""
-    rows = df.count() if rows is None else rows
-    return max(least, -(-rows // rows_per_task))
+#: Entries up to which a written table of ids may be broadcast (some MB).
+SMALL = 200_000
+
+
+def if_small(table: DataFrame, entries=None, limit: int = SMALL) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``limit``
+    entries (rows, or the sum of a column expression), so that the large side
+    of a join stays where it is; beyond that both sides are shuffled."""
+    n = table.agg(F.sum(entries) if entries is not None else F.count(F.lit(1))).first()[0] or 0
+    return F.broadcast(table) if n <= limit else table
