@@ -35,8 +35,9 @@ from raremine.llm.textops import (
 
 SHINGLE_WORDS, PASSAGE_WORDS, SIMILARITY = 5, 50, 0.8
 FUNCTIONS, SPLIT_FUNCTIONS = 3, 6
-#: Kinds compared pair by pair in one group, rounds of splitting, kinds of a task.
-MAX_KINDS, SPLIT_ROUNDS, TASK_KINDS = 1500, 3, 6000
+#: Kinds compared pair by pair in one group, pivots and rounds of splitting of
+#: larger groups, kinds of a task.
+MAX_KINDS, PIVOTS, SPLIT_ROUNDS, TASK_KINDS = 1500, 8, 3, 6000
 #: Aligned shingles in common from which the exact comparison of sets is made.
 MIN_ALIGNED = 16
 _PLACE_BITS = 24
@@ -130,17 +131,38 @@ def best_similarity(a: np.ndarray, na: int, b: np.ndarray, nb: int, length: int)
     return best
 
 
+class _Context:
+    """Shingles around a node, ready to be compared."""
+
+    def __init__(self, tokens: np.ndarray, node: int, length: int):
+        self.tokens, self.node, self.set = tokens, node, frozenset(tokens.tolist())
+        self.whole = len(self.set) == len(tokens)
+        self.aligned = np.zeros(2 * length - 1, np.uint32)
+        self.aligned[length - 1 - node:length - 1 - node + len(tokens)] = tokens | 1          # zero: no shingle there
+
+
+def similar(a: _Context, b: _Context, length: int, similarity: float) -> bool:
+    """Whether some intervals of ``length`` shingles that contain the nodes are
+    similar enough: first the one with the most aligned shingles in common,
+    then all of them."""
+    least = 2 * length * similarity / (1 + similarity) - 1e-9      # in common, if no shingle repeats
+    if a.whole and b.whole and len(a.set & b.set) < least:
+        return False
+    same = np.concatenate([[0], np.cumsum((a.aligned == b.aligned) & (a.aligned != 0))])
+    s = int(np.argmax(same[length:] - same[:-length]))
+    x, y = (frozenset(c.aligned[s:s + length].tolist()) - {0} for c in (a, b))
+    if len(x & y) >= similarity * len(x | y) and (a.aligned[s:s + length] != 0).all() and (b.aligned[s:s + length] != 0).all():
+        return True
+    return best_similarity(a.tokens, a.node, b.tokens, b.node, length) >= similarity
+
+
 def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, similarity: float) -> list[tuple[int, int]]:
     """Edges of a spanning forest over the kinds of a group whose passages are
     similar enough.  All pairs are looked at, those already joined are not
     compared again."""
     m = len(tokens)
-    aligned = np.zeros((m, 2 * length - 1), np.uint32)
-    for k, (t, n) in enumerate(zip(tokens, nodes)):
-        aligned[k, length - 1 - n:length - 1 - n + len(t)] = t | 1          # zero: no shingle there
-    sets = [frozenset(t.tolist()) for t in tokens]
-    # sets of that similarity have at least so much in common if no shingle repeats
-    least = 2 * length * similarity / (1 + similarity) - 1e-9
+    contexts = [_Context(t, n, length) for t, n in zip(tokens, nodes)]
+    aligned = np.stack([c.aligned for c in contexts])
     root = np.arange(m)
     edges = []
     for x in range(m - 1):
@@ -152,15 +174,14 @@ def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, simila
             if same[k] < MIN_ALIGNED:
                 break
             y = int(rest[k])
-            if len(sets[x] & sets[y]) < least and len(sets[x]) == len(tokens[x]) and len(sets[y]) == len(tokens[y]):
-                continue
-            if root[x] != root[y] and best_similarity(tokens[x], nodes[x], tokens[y], nodes[y], length) >= similarity:
+            if root[x] != root[y] and similar(contexts[x], contexts[y], length, similarity):
                 edges.append((x, y))
                 root[root == root[y]] = root[x]
     return edges
 
 
 _KIND = "g long, signature long, kind long, row long, node int, tokens binary"
+_PAIR = "signature long, kind_a long, kind_b long, a long, b long"
 
 
 def _compare(kinds: DataFrame, tasks: int, length: int, similarity: float) -> DataFrame:
@@ -179,33 +200,64 @@ def _compare(kinds: DataFrame, tasks: int, length: int, similarity: float) -> Da
         return pa.table([pa.array(c, pa.int64()) for c in out], names=["signature", "kind_a", "kind_b", "a", "b"])
 
     return (kinds.withColumn("task", F.pmod(F.xxhash64("g"), F.lit(tasks))).groupBy("task")
-            .applyInArrow(run, "signature long, kind_a long, kind_b long, a long, b long"))
+            .applyInArrow(run, _PAIR))
 
 
-def _split(kinds: DataFrame, level: int, length: int) -> DataFrame:
-    """The kinds of big groups once for every min-hash of further functions over
-    the intervals that contain their node."""
+_MARKED = "g long, signature long, kind long, row long, node int, tokens binary, label long, kind_b long, b long, keys array<long>"
+
+
+def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float) -> DataFrame:
+    """The kinds of big groups, each compared with a few pivots of its group.
+    ``label`` tells which are joined already (the smallest pivot reached, or the
+    kind itself), (kind_b, b) is the pivot it is linked to, and ``keys`` are the
+    groups of the next round: the min-hashes of further functions over the
+    intervals that contain the node."""
+    pivots = (kinds.groupBy("g", F.pmod("kind", F.lit(PIVOTS)).alias("part"))
+              .agg(F.min(F.struct("kind", "row", "node", "tokens")).alias("p"))
+              .groupBy(F.col("g").alias("in_g")).agg(F.sort_array(F.collect_list("p")).alias("pivots")))
+    joined = kinds.join(written(pivots, "pas-pivots"), F.col("g") == F.col("in_g"))
+
     def run(batches):
+        known: dict = {}
         for batch in batches:
-            take, keys = [], []
-            g = batch.column(0).to_numpy()
-            for k, (node, raw) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
-                t = np.frombuffer(raw, np.uint32).astype(np.uint64)
-                for j in range(SPLIT_FUNCTIONS):
-                    h = mix64(t ^ _seed(200 + 10 * level + j))
-                    for value in np.unique(_sliding_min(h, length)).tolist():
-                        take.append(k)
-                        keys.append((value ^ (j << 60)) & ((1 << 64) - 1))
-            take = np.array(take, np.int64)
-            new = mix64(np.array(keys, np.uint64) ^ mix64(g[take].view(np.uint64))).view(np.int64)
-            columns = [c.take(pa.array(take)) for c in batch.columns]
-            columns[0] = pa.array(new)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return kinds.mapInArrow(run, _KIND)
+            g, kind, node, raw = (batch.column(k).to_pylist() for k in (0, 2, 4, 5))
+            label, near, near_row, keys = [], [], [], []
+            for k in range(batch.num_rows):
+                if g[k] not in known:
+                    known.clear()
+                    found = batch.column(6)[k].as_py()
+                    contexts = [_Context(np.frombuffer(p["tokens"], np.uint32), p["node"], length) for p in found]
+                    root = list(range(len(found)))
+                    for x, y in linked_kinds([c.tokens for c in contexts], [c.node for c in contexts], length, similarity):
+                        root = [min(root[x], root[y]) if r in (root[x], root[y]) else r for r in root]
+                    known[g[k]] = found, contexts, root
+                found, contexts, root = known[g[k]]
+                own = _Context(np.frombuffer(raw[k], np.uint32), node[k], length)
+                at = next((i for i, p in enumerate(found) if p["kind"] == kind[k]), None)
+                if at is None:
+                    at = next((i for i, c in enumerate(contexts) if similar(own, c, length, similarity)), None)
+                    to = at
+                else:
+                    to = root[at] if root[at] != at else None
+                label.append(kind[k] if at is None else found[root[at]]["kind"])
+                near.append(None if to is None else found[to]["kind"])
+                near_row.append(None if to is None else found[to]["row"])
+                t = own.tokens.astype(np.uint64)
+                keys.append(np.unique(np.concatenate([
+                    mix64(_sliding_min(mix64(t ^ _seed(200 + 10 * level + j)), length) ^ _seed(300 + j))
+                    for j in range(SPLIT_FUNCTIONS)]) ^ mix64(np.array([g[k]], np.int64).view(np.uint64))[0]).view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:6], pa.array(label, pa.int64()), pa.array(near, pa.int64()), pa.array(near_row, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=[c.split()[0] for c in _MARKED.split(", ")])
+
+    return joined.select("g", "signature", "kind", "row", "node", "tokens", "pivots").mapInArrow(run, _MARKED)
 
 
 def _verified(kinds: DataFrame, length: int, similarity: float, max_kinds: int) -> DataFrame:
+    """Edges between kinds of a group (column g).  Groups up to ``max_kinds``
+    are compared pair by pair.  Larger ones are compared with pivots, which
+    joins near copies at once, and split; of the parts only those go on that
+    hold kinds not joined yet."""
     found = None
     for level in range(SPLIT_ROUNDS + 1):
         sizes = written(kinds.groupBy("g").count().filter("count > 1"), "pas-sizes")
@@ -217,7 +269,16 @@ def _verified(kinds: DataFrame, length: int, similarity: float, max_kinds: int)
         found = pairs if found is None else found.union(pairs)
         if not more:
             return found
-        kinds = written(_split(kinds.join(big, "g", "left_semi"), level, length), "pas-split")
+        marked = written(_against_pivots(kinds.join(big, "g", "left_semi"), level, length, similarity), "pas-marked")
+        found = found.union(marked.filter("b IS NOT NULL").select(
+            "signature", F.col("kind").alias("kind_a"), "kind_b", F.col("row").alias("a"), "b"))
+        parts = marked.select("signature", "kind", "label", F.explode("keys").alias("key"))
+        open_ = written(parts.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                        .filter("x <> y").select("key"), "pas-open")
+        wanted = parts.join(open_, "key", "left_semi").select(F.col("signature").alias("s"), F.col("kind").alias("k"), "key")
+        kinds = written(marked.join(wanted, (F.col("signature") == F.col("s")) & (F.col("kind") == F.col("k")))
+                        .select(F.col("key").alias("g"), "signature", "kind", "row", "node", "tokens")
+                        .distinct(), "pas-split")
     return found
 
 
@@ -239,7 +300,8 @@ def passage_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     rows = rows.withColumn("row", F.xxhash64("key", "text"))
     texts = rows.select("row", "text")
     cut = _windows(texts, shingle, passage, functions)
-    known = cut.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("signature")
+    # a table of its own, so that Spark may split a frequent signature's rows in the join
+    known = written(cut.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("signature"), "pas-known")
     places = written(cut.join(known, "signature", "left_semi"), "pas-places")
     kinds = written(places.groupBy("signature", "kind").agg(
         F.max("row").alias("top"), F.min(F.struct("row", "node", "lo", "hi")).alias("at"))
