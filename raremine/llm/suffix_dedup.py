@@ -181,7 +181,8 @@ def _one_by_one(pieces: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int, gram: int, shard_bytes: int, anchor_bytes: int) -> DataFrame:
     """(row, from, to) byte ranges of (row, text) that repeated strings cover."""
     cut = _pieces(docs, length, gram)
-    known = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # a table of its own, so that Spark may split a frequent anchor's rows in the join
+    known = written(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "sub-known")
     places = written(cut.join(known, "anchor", "left_semi"), "sub-places")
     kinds = written(places.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "windows")).alias("at"))
