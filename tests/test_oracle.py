@@ -1,6 +1,8 @@
 """Every catalog key that has a SQL twin: Spark result == DuckDB result
 (row count, column names, order-insensitive values) on sf0.001."""
 
+from decimal import Decimal
+
 import pytest
 
 from conftest import SMALL
@@ -13,7 +15,7 @@ KEYS = sorted(catalog.SQL)
 def family(column):
     """Kind of the values of a result column: flag, number or other."""
     kinds = {type(v.item() if getattr(v, "ndim", 1) == 0 and hasattr(v, "item") else v) for v in column.dropna()}
-    return {"bool"} if kinds <= {bool} and kinds else {"number"} if kinds <= {int, float} and kinds else {"other"} if kinds else {"none"}
+    return {"bool"} if kinds <= {bool} and kinds else {"number"} if kinds <= {int, float, Decimal} and kinds else {"other"} if kinds else {"none"}
 
 
 @pytest.mark.parametrize("key", KEYS)
