@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from raremine.llm.store import written
+from raremine.llm.store import if_small, written
 
 #: Part of a host's pages on which a template class occurs; pages that a host
 #: needs before runs of text count as template.
@@ -276,7 +276,9 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     table gives an empty result; further columns are not read.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    templates = deduce_templates(rows.select("url", "html"), min_share, min_text_pages)
+    # few rows a host; as a table of its own it is either broadcast or joined so that Spark may split a large host
+    templates = if_small(written(deduce_templates(rows.select("url", "html"), min_share, min_text_pages), "html-templates"),
+                         F.size("texts") + 1)
     host = F.lower(F.regexp_extract("url", _HOST.pattern, 1))
     joined = rows.withColumn("host", F.when(F.col("url").isNotNull() & (host != ""), host)).join(templates, "host", "left")
 
