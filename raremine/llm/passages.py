@@ -38,8 +38,12 @@ FUNCTIONS, SPLIT_FUNCTIONS = 3, 6
 #: Kinds compared pair by pair in one group, pivots and rounds of splitting of
 #: larger groups, kinds of a task.
 MAX_KINDS, PIVOTS, SPLIT_ROUNDS, TASK_KINDS = 1500, 8, 3, 6000
-#: Aligned shingles in common from which the exact comparison of sets is made.
-MIN_ALIGNED = 16
+#: Aligned shingles in common from which a pair is looked at further: any
+#: passage around the node has them unless a word moved right beside the node.
+MIN_ALIGNED = 12
+#: Shift, in words, up to which shingles count as in common before sets are
+#: compared; more words put in on one side leave less than the similarity.
+MAX_SHIFT = 4
 _PLACE_BITS = 24
 
 
@@ -136,43 +140,72 @@ class _Context:
 
     def __init__(self, tokens: np.ndarray, node: int, length: int):
         self.tokens, self.node, self.set = tokens, node, frozenset(tokens.tolist())
-        self.whole = len(self.set) == len(tokens)
         self.aligned = np.zeros(2 * length - 1, np.uint32)
         self.aligned[length - 1 - node:length - 1 - node + len(tokens)] = tokens | 1          # zero: no shingle there
+        # distinct shingles that any interval around the node has at least
+        self.distinct = length
+        if len(self.set) < len(tokens):
+            self.distinct = min(len(set(tokens[s:s + length].tolist())) for s in range(len(tokens) - length + 1))
 
 
 def similar(a: _Context, b: _Context, length: int, similarity: float) -> bool:
     """Whether some intervals of ``length`` shingles that contain the nodes are
     similar enough: first the one with the most aligned shingles in common,
     then all of them."""
-    least = 2 * length * similarity / (1 + similarity) - 1e-9      # in common, if no shingle repeats
-    if a.whole and b.whole and len(a.set & b.set) < least:
+    if len(a.set & b.set) < similarity * max(a.distinct, b.distinct):
         return False
     same = np.concatenate([[0], np.cumsum((a.aligned == b.aligned) & (a.aligned != 0))])
     s = int(np.argmax(same[length:] - same[:-length]))
-    x, y = (frozenset(c.aligned[s:s + length].tolist()) - {0} for c in (a, b))
-    if len(x & y) >= similarity * len(x | y) and (a.aligned[s:s + length] != 0).all() and (b.aligned[s:s + length] != 0).all():
+    x, y = (c.aligned[s:s + length].tolist() for c in (a, b))
+    if 0 not in x and 0 not in y and len(set(x) & set(y)) >= similarity * len(set(x) | set(y)):
         return True
     return best_similarity(a.tokens, a.node, b.tokens, b.node, length) >= similarity
 
 
+def _straight(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Number of aligned shingles that rows have in common, without a shift."""
+    return ((others == one) & (others != 0)).sum(axis=-1)
+
+
+def _in_common(one: np.ndarray, others: np.ndarray, length: int) -> np.ndarray:
+    """For each aligned row of ``others``: the most shingles that an interval
+    around the node has in common with ``one`` at a shift of up to MAX_SHIFT."""
+    hit = np.zeros(others.shape, bool)
+    width = len(one)
+    for shift in range(-MAX_SHIFT, MAX_SHIFT + 1):
+        moved = np.zeros(width, np.uint32)
+        moved[max(0, shift):width + min(0, shift)] = one[max(0, -shift):width + min(0, -shift)]
+        hit |= (others == moved) & (moved != 0)
+    sums = np.zeros((len(others), width + 1), np.int16)
+    np.cumsum(hit, axis=1, out=sums[:, 1:])
+    return (sums[:, length:] - sums[:, :-length]).max(axis=1)
+
+
 def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, similarity: float) -> list[tuple[int, int]]:
     """Edges of a spanning forest over the kinds of a group whose passages are
     similar enough.  All pairs are looked at, those already joined are not
     compared again."""
     m = len(tokens)
+    if m < 2:
+        return []
     contexts = [_Context(t, n, length) for t, n in zip(tokens, nodes)]
     aligned = np.stack([c.aligned for c in contexts])
+    # sets of that similarity have at least so much in common
+    least = np.array([2 * length * similarity / (1 + similarity) if c.distinct == length else similarity * c.distinct
+                      for c in contexts]) - 1e-9
+    together = _straight(aligned[:, None], aligned[None]) if m <= 40 else None
     root = np.arange(m)
     edges = []
     for x in range(m - 1):
         rest = np.flatnonzero(root[x + 1:] != root[x]) + x + 1
         if not len(rest):
             continue
-        same = ((aligned[rest] == aligned[x]) & (aligned[x] != 0)).sum(axis=1)
-        for k in np.argsort(-same, kind="stable"):
-            if same[k] < MIN_ALIGNED:
-                break
+        straight = together[x, rest] if together is not None else _straight(aligned[x], aligned[rest])
+        rest = rest[straight >= MIN_ALIGNED]
+        if not len(rest):
+            continue
+        common = _in_common(aligned[x], aligned[rest], length)
+        for k in np.flatnonzero(common >= np.maximum(least[x], least[rest])):
             y = int(rest[k])
             if root[x] != root[y] and similar(contexts[x], contexts[y], length, similarity):
                 edges.append((x, y))
@@ -230,12 +263,14 @@ def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float
                     root = list(range(len(found)))
                     for x, y in linked_kinds([c.tokens for c in contexts], [c.node for c in contexts], length, similarity):
                         root = [min(root[x], root[y]) if r in (root[x], root[y]) else r for r in root]
-                    known[g[k]] = found, contexts, root
-                found, contexts, root = known[g[k]]
+                    known[g[k]] = found, contexts, np.stack([c.aligned for c in contexts]), root
+                found, contexts, aligned, root = known[g[k]]
                 own = _Context(np.frombuffer(raw[k], np.uint32), node[k], length)
                 at = next((i for i, p in enumerate(found) if p["kind"] == kind[k]), None)
                 if at is None:
-                    at = next((i for i, c in enumerate(contexts) if similar(own, c, length, similarity)), None)
+                    common = _in_common(own.aligned, aligned, length)
+                    at = next((i for i, c in enumerate(contexts) if common[i] >= similarity * c.distinct - 1
+                               and similar(own, c, length, similarity)), None)
                     to = at
                 else:
                     to = root[at] if root[at] != at else None
