@@ -3,11 +3,17 @@
 Base spans (e-mail addresses, IP addresses, card and phone numbers) come from
 fixed patterns with checks and always stay.  Generators of high recall propose
 further, overlapping spans: the base patterns without their checks, disguised
-addresses, phone numbers without a plus sign, other digit groups.  Gradient-
-boosted trees score every proposal by its format and context.  They are fitted
-on proposals that base spans confirm (or not), and each kind's threshold is the
-lowest score at which held-out proposals were confirmed with the wanted
-precision; a kind without such a score adds nothing.
+addresses, phone numbers without a plus sign, other digit groups.  A proposal
+that fails the check of its kind (an address once [at], [dot] and [.] are
+undone, Luhn and length, a number of digits and no date) is never added.  One
+that passes is confirmed by evidence: a known ending of the address, an issuer's
+prefix and length or a word for cards before it, a word for phones right before
+the number.  Confirmed proposals are added.  Gradient-boosted trees decide on
+those that pass without evidence, by format and context; neither the generator
+nor what confirms a proposal is among their features.  They are fitted on
+confirmed and other proposals, and each kind's threshold is the lowest score at
+which the held-out proposals that could be added were confirmed with the wanted
+precision; a kind without such a score adds none of them.
 
 Everything runs as DataFrame expressions and Spark ML.  All counted quantities
 of the patterns are possessive or start only where a run of their characters
@@ -54,6 +60,23 @@ KEYWORDS = {
     "email": "mail|contact|write|address", "ip": r"\bip\b|host|server|address|login",
     "card": "card|visa|master|amex|credit|payment|karte|carte|tarjeta", "phone": r"tel|phone|call|mobile|fax|handy|num"}
 
+# Disguises, and what takes their place before a proposal is checked.
+DISGUISES = ((r"(?i)\s?[\[(]\s?(?:at|@)\s?[\])]\s?", "@"), (r"(?i)\s?[\[(]\s?(?:dot|\.)\s?[\])]\s?", "."))
+EMAIL = r"\A[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z][A-Za-z0-9-]*\z"
+#: Endings of addresses whose dots are plain ("look (at) this.thing" is none); after a written-out dot any word will do.
+ENDINGS = (r"(?i)\.(?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|pro|dev|app|xyz|online|site|shop|store|tech|cloud|blog|email|"
+           r"museum|coop|aero|jobs|mobi|travel|example|test|invalid)\z")
+WRITTEN_DOT = r"(?i)[\[(]\s?dot\s?[\])]\s?[a-z]{2,}\z"
+IPV6 = r"\A(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\z"
+DATE = (r"\A\(?(?:(?:19|20)[0-9]{2}[\x20./-]+[01]?[0-9][\x20./-][0-3]?[0-9](?![0-9])|"
+        r"[0-3]?[0-9][\x20./-]+[0-3]?[0-9][\x20./-](?:19|20)[0-9]{2}(?![0-9]))")
+#: Prefixes and lengths of card issuers.
+ISSUER = (r"\A(?:4[0-9]{15}|4[0-9]{18}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|(?:5[1-5]|2[2-7])[0-9]{14}|"
+          r"(?:6[0-9]|35)[0-9]{14,17})\z")
+#: Right before a phone number, with nothing between that names another thing.
+PHONE_WORD = (r"(?<![a-z])(?:tel|tele?phone|telefon|phone|call|mobile|cell|cellphone|fax|handy|whatsapp)(?![a-z])"
+              r"(?:[^0-9a-z]|(?<![a-z])(?:number|no|nr|us|me|him|her|them|at|on|is|or|the|our|my|office|line|direct)(?![a-z])){0,12}\z")
+
 
 def _matches(text: Column, pattern: str, needs: str | None = None) -> Column:
     """array<struct<start, end, value>> of all matches, leftmost and without
@@ -137,8 +160,11 @@ def find_base(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 # ------------------------------------------------------------------ scoring --
 
-FEATURES = ("rank", "generator", "length", "n_digits", "n_separators", "n_groups", "longest_group", "letters", "has_brackets", "luhn",
-            "joined_before", "joined_after", "keyword", "quoted", "hex_near")
+#: What the trees see: neither the generator nor the checks and words that confirm a proposal.
+FEATURES = ("rank", "length", "n_digits", "n_separators", "n_groups", "longest_group", "letters", "has_brackets",
+            "joined_before", "joined_after", "keyword", "quoted", "hex_near", "other_name")
+#: Words before numbers of other things.
+OTHER_NAMES = r"(?<![a-z])(?:order|invoice|ref|reference|isbn|issn|version|sku|ticket|case|serial|account|part|item|page|id)(?![a-z])"
 
 
 def _features(p: DataFrame) -> DataFrame:
@@ -148,17 +174,48 @@ def _features(p: DataFrame) -> DataFrame:
     groups = F.filter(F.split(v, "[^0-9A-Za-z]+"), lambda g: g != "")
     word = None
     for rank, kind in enumerate(KINDS):
-        hit = F.rlike(F.lower(before), F.lit(KEYWORDS[kind]))
+        # words confirm cards and phones, so only the other kinds see theirs
+        hit = F.lit(False) if kind in ("card", "phone") else F.rlike(F.lower(before), F.lit(KEYWORDS[kind]))
         word = F.when(F.col("rank") == rank, hit) if word is None else word.when(F.col("rank") == rank, hit)
     values = {
         "length": F.length(v), "n_digits": F.length(digits), "n_separators": F.length(F.regexp_replace(v, "[0-9A-Za-z]", "")),
         "n_groups": F.size(groups), "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
         "letters": F.length(F.regexp_replace(v, "[^A-Za-z]", "")), "has_brackets": F.contains(v, F.lit("(")),
-        "luhn": F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False),
         "joined_before": F.rlike(before, F.lit(r"[0-9A-Za-z_=/\"'-]\z")), "joined_after": F.rlike(after, F.lit(r"\A[0-9A-Za-z_=/\"'-]")),
-        "keyword": word, "quoted": F.rlike(before, F.lit("[\"'`]\\z")), "hex_near": F.rlike(F.concat(before, after), F.lit("[0-9a-f]{12}"))}
-    return p.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in values.items()],
-                    F.col("rank").cast("double").alias("f_rank"), F.col("generator").cast("double").alias("f_generator"))
+        "keyword": word, "quoted": F.rlike(before, F.lit("[\"'`]\\z")), "hex_near": F.rlike(F.concat(before, after), F.lit("[0-9a-f]{12}")),
+        "other_name": F.rlike(F.lower(before), F.lit(OTHER_NAMES))}
+    return p.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in values.items()], F.col("rank").cast("double").alias("f_rank"))
+
+
+def _with_evidence(p: DataFrame) -> DataFrame:
+    """``valid``: the proposal, its disguise undone, passes the check of its
+    kind; ``confirmed``: there is evidence for it besides."""
+    v, before, after = F.col("value"), F.col("before"), F.col("after")
+    plain = v
+    for pattern, instead in DISGUISES:
+        plain = F.regexp_replace(plain, pattern, instead)
+    digits = _digits(v)
+    is_ip = _valid("ip", plain)
+    alone = ~F.rlike(before, F.lit(r"[0-9A-Za-z_=/.-]\z")) & ~F.rlike(after, F.lit(r"\A(?:[0-9A-Za-z_/-]|\.[0-9])"))
+    valid = {
+        "email": F.rlike(plain, F.lit(EMAIL)),
+        # groups of two characters throughout are hardware addresses
+        "ip": is_ip | (F.rlike(v, F.lit(IPV6)) & F.rlike(v, F.lit("[0-9A-Fa-f]{3}"))),
+        "card": F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False),
+        "phone": F.length(digits).between(8, 15) & ~is_ip & ~F.rlike(v, F.lit(DATE))}
+    evidence = {
+        "email": F.rlike(plain, F.lit(ENDINGS)) | F.rlike(v, F.lit(WRITTEN_DOT)),
+        "ip": F.lit(True),
+        "card": alone & (F.rlike(digits, F.lit(ISSUER)) | F.rlike(F.lower(before), F.lit(KEYWORDS["card"]))),
+        "phone": F.rlike(F.lower(before), F.lit(PHONE_WORD)) & ~F.rlike(after, F.lit(r"\A[0-9A-Za-z_]"))}
+
+    def of_kind(by_kind):
+        out = None
+        for rank, kind in enumerate(KINDS):
+            out = F.when(F.col("rank") == rank, by_kind[kind]) if out is None else out.when(F.col("rank") == rank, by_kind[kind])
+        return out
+
+    return p.withColumn("valid", of_kind(valid)).withColumn("confirmed", F.col("valid") & of_kind(evidence))
 
 
 def _assemble(p: DataFrame) -> DataFrame:
@@ -166,13 +223,16 @@ def _assemble(p: DataFrame) -> DataFrame:
 
 
 def _proposals(found: DataFrame) -> DataFrame:
-    """One row per distinct proposal with its label: 1 where a base span of its
-    kind overlaps it, else 0; ``is_base`` marks the base spans themselves."""
-    overlap = F.exists("base", lambda b: (b["rank"] == F.col("p.rank")) & (b["start"] < F.col("p.end")) & (F.col("p.start") < b["end"]))
-    same = F.exists("base", lambda b: (b["rank"] == F.col("p.rank")) & (b["start"] == F.col("p.start")) & (b["end"] == F.col("p.end")))
+    """One row per proposal.  ``known``: a base span of its kind overlaps it, so
+    it is that span seen otherwise; ``free``: it may be added, as no such span
+    and, for bare numbers, no base span of any kind overlaps it."""
+    over = (F.col("p.start"), F.col("p.end"))
+    overlap = F.exists("base", lambda b: (b["rank"] == F.col("p.rank")) & (b["start"] < over[1]) & (over[0] < b["end"]))
+    bare = F.col("p.rank").isin(KINDS.index("card"), KINDS.index("phone"))
+    taken = F.exists("base", lambda b: (bare | (b["rank"] == F.col("p.rank"))) & (b["start"] < over[1]) & (over[0] < b["end"]))
     return (found.filter(F.size("proposals") > 0).dropDuplicates(["key", "text_key"])
             .select("key", "text_key", "base", F.explode("proposals").alias("p"))
-            .select("key", "text_key", "p.*", overlap.cast("double").alias("label"), same.alias("is_base")))
+            .select("key", "text_key", "p.*", overlap.alias("known"), (~taken).alias("free")))
 
 
 def _confirmed_scores(scored: DataFrame, precision: float, least: int) -> dict[int, float]:
@@ -198,30 +258,33 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Null and empty texts have no spans; repeated rows are scored once and
     reported each; without both confirmed and unconfirmed proposals no trees
-    are fitted and the base spans are all; an empty table gives an empty
+    are fitted and only confirmed ones are added; an empty table gives an empty
     result; further columns are not read.
     """
     found = written(find_base(docs, key, text), "pii-found")
-    p = _assemble(_features(_proposals(found)))
-    mark = F.xxhash64("value", "before", "rank", F.lit(SEED))
-    p = p.withColumn("mark", mark)
-    train = p.filter("mark % 2 = 0").orderBy("mark", "start").limit(train_rows).select("features", "label")
+    p = _features(_with_evidence(_proposals(found)))
+    p = written(p.select(
+        "key", "text_key", "rank", "start", "end", "confirmed", (F.col("free") & F.col("valid")).alias("open"),
+        (F.col("known") | F.col("confirmed")).cast("double").alias("label"), F.xxhash64("value", "before", "rank", F.lit(SEED)).alias("mark"),
+        *[f"f_{n}" for n in FEATURES]), "pii-proposals")
+    train = p.filter("mark % 2 = 0").orderBy("mark", "start").limit(train_rows)
     labels = {r[0] for r in train.select("label").distinct().collect()}
     d = found.select("key", "text_key", "base")
-    if len(labels) < 2:
-        return d.withColumn("spans", F.col("base")).withColumnRenamed("key", key)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(written(train, "pii-train"))
-    scored = model.transform(p).withColumn("score", vector_to_array("probability")[1])
-    held_out = scored.filter("mark % 2 <> 0").orderBy("mark", "start").limit(held_out_rows)
-    cut = _confirmed_scores(held_out.select("rank", "score", "label"), precision, min_confirmed)
-    if not cut:
-        return d.withColumn("spans", F.col("base")).withColumnRenamed("key", key)
-    least = None
-    for rank, score in sorted(cut.items()):
-        least = F.when(F.col("rank") == rank, F.lit(score)) if least is None else least.when(F.col("rank") == rank, F.lit(score))
-    # a proposal that overlaps a base span of its kind is that span seen otherwise
-    fresh = scored.filter((F.col("label") == 0) & (F.col("score") >= least)).select("key", "text_key", "rank", "start", "end", "score")
-    added = _best_of_overlapping(fresh)
+    fresh = p.filter("open AND confirmed").withColumn("score", F.lit(1.0))
+    if len(labels) > 1:
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(
+            written(_assemble(train).select("features", "label"), "pii-train"))
+        scored = model.transform(_assemble(p.filter("open"))).withColumn("score", vector_to_array("probability")[1])
+        held_out = scored.filter("mark % 2 <> 0").orderBy("mark", "start").limit(held_out_rows)
+        cut = _confirmed_scores(held_out.select("rank", "score", "label"), precision, min_confirmed)
+        if cut:
+            least = None
+            for rank, score in sorted(cut.items()):
+                least = F.when(F.col("rank") == rank, F.lit(score)) if least is None else least.when(F.col("rank") == rank, F.lit(score))
+            # evidence comes before any score
+            fresh = scored.filter(F.col("confirmed") | (F.col("score") >= least)).withColumn(
+                "score", F.when(F.col("confirmed"), 1.0).otherwise(F.col("score")))
+    added = _best_of_overlapping(fresh.select("key", "text_key", "rank", "start", "end", "score"))
     d = d.join(added, d["key"].eqNullSafe(added["k"]) & (d["text_key"] == added["t"]), "left")
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<rank:int,start:int,end:int>>"))))
     return d.select(F.col("key").alias(key), "text_key", "base", spans.alias("spans"))

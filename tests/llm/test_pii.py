@@ -70,6 +70,36 @@ def test_base_stays_and_additions_are_spans(spark):
         assert [tuple(s) for s in r.spans] == sorted(tuple(s) for s in r.spans)
 
 
+HIDDEN = [
+    ("email", "write to ", "jo.doe{i} [at] mail [dot] example", " please"), ("email", "or ", "jo{i}(at)mail.example.org", ", he said"),
+    ("ip", "host ", "10[.]0[.]{i}[.]7", " was seen"), ("ip", "from ", "2001:db8:0:0:{i}:ff00:42:8329", " again"),
+    ("card", "paid by amex ", "3782 822463 10005", " in May"), ("phone", "phone: ", "0{a} 555 {b}", " daily"), ("phone", "call us at ", "({a}) 555-{b}", " now")]
+LIKE = ["look [at] this.thing here", "host 10[.]0[.]999[.]7 no", "mac 00:1a:2b:3c:4d:5e:6f:70 x", "paid by amex 3782 822463 10006 x", "order number {a} 555 {b} x",
+        "phone on 1999-12-31 it rang", "call in 31.12.1999 x", "call order {a} 555 {b} x", "see 12 [dot] 5 x"]
+
+
+def test_disguised_spans_are_found_and_lookalikes_are_not(spark):
+    texts, want = [], []
+    for i in range(120):
+        at = {"i": i, "a": f"{200 + i}", "b": f"{1000 + 37 * i}"}
+        kind, before, value, after = HIDDEN[i % len(HIDDEN)]
+        value = value.format(**at)
+        head = LIKE[i % len(LIKE)].format(**at) + " and so on and on, until much later " + before
+        texts.append(head + value + after)
+        want.append(f"{kind}:{len(head)}:{len(head) + len(value)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.s for r in pii.find_personal_data(df).select("doc_id", pii.span_names("spans").alias("s")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for i, w in enumerate(want):
+        kind, start, end = w.split(":")
+        assert clean[i] == texts[i][:int(start)] + f"[{kind.upper()}]" + texts[i][int(end):]
+
+
+def test_trees_do_not_see_what_confirms():
+    assert not {"generator", "luhn"} & set(pii.FEATURES)
+
+
 def test_thresholds_hold_their_precision(spark):
     rows = [(0, s / 100, 1.0) for s in range(90, 100)] * 10 + [(0, 0.5, 0.0)] * 30 + [(0, 0.55, 1.0)] * 10 + [(1, 0.9, 1.0)] * 5
     cut = pii._confirmed_scores(spark.createDataFrame(rows, "rank int, score double, label double"), 0.99, 50)
