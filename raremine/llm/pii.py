@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from raremine.llm.store import if_small, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the rows on which the trees are fitted, and of those for thresholds.
-TRAIN_ROWS, HELD_OUT_ROWS = 20_000, 20_000
+#: About so many rows the trees are fitted on; thresholds cover all held-out rows.
+TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 10, 3, 17
 PRECISION, MIN_CONFIRMED = 0.99, 50
 CONTEXT = 24
@@ -250,9 +250,24 @@ def _confirmed_scores(scored: DataFrame, precision: float, least: int) -> dict[i
     return cut
 
 
+def _training_sample(p: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` of the training half, in equal parts by kind and label
+    (all of those that have fewer).  Copies of a value in its context count
+    once, so no value fills the sample."""
+    distinct = written(p.filter("mark % 2 = 0").dropDuplicates(["like", "label"])
+                       .select("rank", "label", "like", *[f"f_{n}" for n in FEATURES]), "pii-distinct")
+    strata = {(r["rank"], r["label"]): r["count"] for r in distinct.groupBy("rank", "label").count().collect()}   # <= 2 x kinds
+    left, share = rows, None
+    for n, (k, size) in enumerate(sorted(strata.items(), key=lambda x: (x[1], x[0]))):
+        part = min(size, left // (len(strata) - n))                                    # small strata leave room to others
+        left -= part
+        hit, of = (F.col("rank") == k[0]) & (F.col("label") == k[1]), F.lit(-(-part * 1_000_000 // size))
+        share = F.when(hit, of) if share is None else share.when(hit, of)
+    return distinct if share is None else distinct.filter(F.pmod(F.xxhash64("like", F.lit(SEED + 1)), F.lit(1_000_000)) < share)
+
+
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS,
-                       held_out_rows: int = HELD_OUT_ROWS, precision: float = PRECISION,
-                       min_confirmed: int = MIN_CONFIRMED) -> DataFrame:
+                       precision: float = PRECISION, min_confirmed: int = MIN_CONFIRMED) -> DataFrame:
     """(key, text_key, base, spans) per row: arrays of struct<rank, start, end>
     by kind and start; ``spans`` holds the base spans and those added.
 
@@ -266,8 +281,9 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
     p = written(p.select(
         "key", "text_key", "rank", "start", "end", "confirmed", (F.col("free") & F.col("valid")).alias("open"),
         (F.col("known") | F.col("confirmed")).cast("double").alias("label"), F.xxhash64("value", "before", "rank", F.lit(SEED)).alias("mark"),
+        F.xxhash64("value", "before", "after", "rank").alias("like"),
         *[f"f_{n}" for n in FEATURES]), "pii-proposals")
-    train = p.filter("mark % 2 = 0").orderBy("mark", "start").limit(train_rows)
+    train = _training_sample(p, train_rows)
     labels = {r[0] for r in train.select("label").distinct().collect()}
     d = found.select("key", "text_key", "base")
     fresh = p.filter("open AND confirmed").withColumn("score", F.lit(1.0))
@@ -275,8 +291,7 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(
             written(_assemble(train).select("features", "label"), "pii-train"))
         scored = model.transform(_assemble(p.filter("open"))).withColumn("score", vector_to_array("probability")[1])
-        held_out = scored.filter("mark % 2 <> 0").orderBy("mark", "start").limit(held_out_rows)
-        cut = _confirmed_scores(held_out.select("rank", "score", "label"), precision, min_confirmed)
+        cut = _confirmed_scores(scored.filter("mark % 2 <> 0").select("rank", "score", "label"), precision, min_confirmed)
         if cut:
             least = None
             for rank, score in sorted(cut.items()):

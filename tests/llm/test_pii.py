@@ -100,6 +100,29 @@ def test_trees_do_not_see_what_confirms():
     assert not {"generator", "luhn"} & set(pii.FEATURES)
 
 
+def test_training_sample_is_not_filled_by_a_hot_value(spark):
+    hot = [(0, 0, 1.0, 7)] * 5000
+    rare = [(r, 2 * k, float(k % 2), 100 + 50 * r + k) for r in range(4) for k in range(40)]
+    p = spark.createDataFrame(hot + rare, "rank int, mark long, label double, like long")
+    p = p.select("*", *[F.lit(0.0).alias(f"f_{n}") for n in pii.FEATURES])
+    got = {(r["rank"], r["label"]): r["count"] for r in pii._training_sample(p, 400).groupBy("rank", "label").count().collect()}
+    assert got == {(r, label): 20 + (r == 0 and label == 1.0) for r in range(4) for label in (0.0, 1.0)}
+    wide = spark.range(20_000).select(F.lit(0).alias("rank"), F.lit(0).alias("mark"), (F.col("id") % 50 == 0).cast("double").alias("label"),
+                                      F.col("id").alias("like"), *[F.lit(0.0).alias(f"f_{n}") for n in pii.FEATURES])
+    got = {r["label"]: r["count"] for r in pii._training_sample(wide, 1000).groupBy("label").count().collect()}
+    assert got[1.0] == 400 and 450 < got[0.0] < 750
+
+
+def test_thresholds_cover_all_held_out_rows(spark, monkeypatch):
+    seen = []
+    inner = pii._confirmed_scores
+    monkeypatch.setattr(pii, "_confirmed_scores", lambda scored, *a: (seen.append(scored.count()), inner(scored, *a))[1])
+    # one side of the hash holds about half of the distinct contexts; each stands in many rows
+    texts = [f"note a{k % 400} call 0{k % 400 + 200} 555 {1000 + k % 400} or b 0{k % 400 + 300} 666 {1000 + k % 400}" for k in range(24_000)]
+    pii.find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
+    assert seen and seen[0] > 20_000
+
+
 def test_thresholds_hold_their_precision(spark):
     rows = [(0, s / 100, 1.0) for s in range(90, 100)] * 10 + [(0, 0.5, 0.0)] * 30 + [(0, 0.55, 1.0)] * 10 + [(1, 0.9, 1.0)] * 5
     cut = pii._confirmed_scores(spark.createDataFrame(rows, "rank int, score double, label double"), 0.99, 50)
