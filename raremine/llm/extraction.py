@@ -17,7 +17,10 @@ Pages without a usable host template fall back to their own article or main
 element, then to the body.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments are
-also known by element names and by the words of class, id and role.
+also known by element names and by class, id and role, as a hint: a whole class
+name or a compound of known words counts ("share-bar", not "has-sidebar"), and
+an element that holds the slot, the page's largest article or main element or,
+without one, most of the page's text stays.
 """
 
 from __future__ import annotations
@@ -48,6 +51,14 @@ BOILER_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay comment comments disqus reply replies respond sidebar sidebars "
     "menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended newsletter "
     "subscribe subscription signup login search pagination pager skip widget widgets navigation contentinfo complementary".split())
+#: Words that make no other thing of a name of BOILER_WORDS.
+PART_WORDS = frozenset(
+    "area bar block body box btn button buttons bottom center column container count desktop field footer form group header holder icon "
+    "icons inner input item items left link links list main mobile outer page panel post posts primary right row secondary section site "
+    "slot small space text thread title toggle top unit wrap wrapper x zone".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Hints: by name, a section by its id alone, by element, and never text.
+BY_NAME, SECTION_ID, BY_TAG, NEVER = 1, 2, 3, 4
 CLOSED_BY_SIBLING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "optgroup": {"option", "optgroup"}, "tbody": {"tr", "td", "th", "tbody", "thead"},
@@ -67,37 +78,47 @@ def host_of(url: str | None) -> str | None:
     return m[1].lower() if m else None
 
 
+def _is_boiler(name: str) -> bool:
+    """Whether a class name or id is a word for boilerplate or a compound of
+    such words and parts of pages."""
+    words = {w.lower() for w in _WORD.findall(name)}
+    return bool(words & BOILER_WORDS) and words <= BOILER_WORDS | PART_WORDS
+
+
 class Page:
-    """Elements and text blocks of a page, outside boilerplate by name.
+    """Elements and text blocks of a page, outside boilerplate by name;
+    ``slot`` is the token of the element that holds the article, if known.
 
     ``elements``: (token, parent, name, depth); ``blocks``: (text, element);
     ``closing``: tokens of explicit end tags.  Unclosed and stray tags are
     tolerated, the rest of a cut-off page counts as it stands.
     """
 
-    def __init__(self, html: str, cache: dict):
+    def __init__(self, html: str, cache: dict, slot: int | None = None):
         self.elements, self.blocks, self.closing = [], [], []
-        self._cache, self._stack, self._boiler = cache, [], []
-        self._parts, self._at = [], -1
+        self._cache, self._stack, self._hints = cache, [], []
+        self._parts, self._raw = [], []
         self._parse(html)
+        self._assemble(slot)
 
-    def _token(self, parent: int, name: str, attributes: str) -> tuple[int, bool]:
+    def _token(self, parent: int, name: str, attributes: str) -> tuple[int, bool, bool]:
+        """Token of an element; whether class or role, and whether the id, name
+        boilerplate."""
         key = (parent, name, attributes)
         if key not in self._cache:
             named = sorted((m[1].lower(), m[2].strip("\"' ")) for m in _NAMED.finditer(attributes))
             shape = re.sub(r"[0-9]+", "0", "".join(f"[{a}={v}]" for a, v in named))
-            words = {w.lower() for _, v in named for w in _WORD.findall(v)}
             if len(self._cache) > 50_000:
                 self._cache.clear()
-            self._cache[key] = xxhash.xxh64_intdigest(f"{parent}/{name}{shape}") >> 1, bool(words & BOILER_WORDS)
+            self._cache[key] = (xxhash.xxh64_intdigest(f"{parent}/{name}{shape}") >> 1,
+                                any(_is_boiler(w) for a, v in named if a != "id" for w in v.split()),
+                                any(_is_boiler(v) for a, v in named if a == "id"))
         return self._cache[key]
 
     def _flush(self) -> None:
         if self._parts:
-            text = " ".join("".join(self._parts).split())
-            if text:
-                self.blocks.append((text, self._at))
-            self._parts, self._at = [], -1
+            self._raw.append(self._parts)
+            self._parts = []
 
     def _open(self, name: str, attributes: str) -> None:
         if name in CLOSED_BY_SIBLING:
@@ -105,16 +126,64 @@ class Page:
         elif name in BLOCK and self._stack and self.elements[self._stack[-1]][2] == "p":
             self._pop_to(len(self._stack) - 1)
         parent = self._stack[-1] if self._stack else -1
-        token, named = self._token(self.elements[parent][0] if parent >= 0 else 0, name, attributes)
-        inside = {self.elements[i][2] for i in self._stack} if name == "header" else ()
-        boiler = (named and name not in ("html", "body", "article", "main")) or name in BOILER_TAGS or (
-            name == "header" and not {"article", "main"} & inside)
+        token, by_class, by_id = self._token(self.elements[parent][0] if parent >= 0 else 0, name, attributes)
+        hint = 0
+        if name in RAW or name == "head":
+            hint = NEVER
+        elif name == "header" and not any(self.elements[i][2] in ("article", "main") for i in self._stack):
+            hint = BY_TAG
+        elif name in BOILER_TAGS:
+            hint = BY_NAME if name == "form" else BY_TAG
+        elif name not in ("html", "body", "article", "main"):
+            if by_class or (by_id and name not in HEADINGS and name != "section"):
+                hint = BY_NAME
+            elif by_id and name == "section":
+                hint = SECTION_ID
         self._stack.append(len(self.elements))
-        self._boiler.append(boiler or bool(self._boiler and self._boiler[-1]))
+        self._hints.append(hint)
         self.elements.append((token, parent, name, len(self._stack)))
 
+    def _assemble(self, slot: int | None) -> None:
+        """Blocks of the text outside elements that hints mark for good."""
+        n = len(self.elements)
+        parents, names = [e[1] for e in self.elements], [e[2] for e in self.elements]
+        size, plain = [0] * n, [0] * n
+        for parts in self._raw:
+            for text, e in parts:
+                if e >= 0:
+                    size[e] += len(text.strip())
+        # text outside menus, footers and the like, of which an element may hold the most
+        out = [False] * n
+        for i in range(n):
+            out[i] = self._hints[i] >= BY_TAG or (parents[i] >= 0 and out[parents[i]])
+            plain[i] = 0 if out[i] else size[i]
+        total = sum(plain) + sum(len(text.strip()) for parts in self._raw for text, e in parts if e < 0)
+        for i in range(n - 1, -1, -1):
+            if parents[i] >= 0:
+                size[parents[i]] += size[i]
+                plain[parents[i]] += plain[i]
+        named = [i for i in range(n) if names[i] in ("article", "main") and size[i]]
+        largest = sorted(named, key=lambda i: (-size[i], i))[:1]
+        held = set()
+        for i in largest + [i for i in range(n) if self.elements[i][0] == slot]:
+            while i >= 0 and i not in held:
+                held.add(i)
+                i = parents[i]
+        dropped, inside = [False] * n, [False] * n
+        for i in range(n):
+            hint, up = self._hints[i], parents[i]
+            inside[i] = (up >= 0 and inside[up]) or names[i] in ("article", "main") or self.elements[i][0] == slot
+            most = hint in (BY_NAME, SECTION_ID) and not named and 2 * plain[i] > total
+            mine = hint and (hint == NEVER or not (i in held or most or (hint == SECTION_ID and inside[i])))
+            dropped[i] = bool(mine) or (up >= 0 and dropped[up])
+        for parts in self._raw:
+            kept = [(text, e) for text, e in parts if e < 0 or not dropped[e]]
+            text = " ".join("".join(text for text, _ in kept).split())
+            if text:
+                self.blocks.append((text, next(e for text, e in kept if text.strip())))
+
     def _pop_to(self, size: int) -> None:
-        del self._stack[size:], self._boiler[size:]
+        del self._stack[size:]
 
     def _close_sibling(self, name: str) -> None:
         for k in range(len(self._stack) - 1, -1, -1):
@@ -133,11 +202,8 @@ class Page:
                 return
 
     def _text(self, piece: str) -> None:
-        if self._boiler and self._boiler[-1]:
-            return
-        if self._at < 0 and not piece.isspace():
-            self._at = self._stack[-1] if self._stack else -1
-        self._parts.append(unescape(piece) if "&" in piece else piece)
+        at = self._stack[-1] if self._stack else -1
+        self._parts.append((unescape(piece) if "&" in piece else piece, at))
 
     def _parse(self, html: str) -> None:
         at, size = 0, len(html)
@@ -289,7 +355,7 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
                 part = batch.slice(lo, 500)
                 out = []
                 for source, slot, texts in zip(*(part.column(c).to_pylist() for c in (2, 3, 4))):
-                    page = Page(source, cache)
+                    page = Page(source, cache, slot)
                     roots = {i for i, e in enumerate(page.elements) if e[0] == slot} if slot is not None else set()
                     found = bool(roots)
                     roots = roots or page.own_slot()

@@ -24,6 +24,18 @@ def test_boilerplate_by_name():
     assert blocks(page) == ["Title", "one", "two !"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div id='content' class='has-sidebar'><p>a</p></div>", ["a"]), ("<div class='no-sidebar comments-open'><p>a</p></div><p>b</p>", ["a", "b"]),
+    ("<form><div><p>all of the text</p></div></form><p>b</p>", ["all of the text", "b"]), ("<p>more of the text here</p><form><p>a</p></form>", ["more of the text here"]),
+    ("<div class='widget'><article>a</article></div>", ["a"]), ("<div class='sidebar'><p>most of the text</p></div><p>b</p>", ["most of the text", "b"]),
+    ("<article>a<section id='related-work'>b</section><h2 id='search-algorithms'>c</h2><h2 id='search'>d</h2><section id='comments'>e</section></article>", list("abcde")),
+    ("<article>a<div class='comments'>all that the readers wrote<article>x</article></div></article>", ["a"]),
+    ("<article>a</article><div class='comments'>all that the readers wrote</div>", ["a"]), ("<article>a<div class='related-posts'>b</div></article>", ["a"]),
+    ("<nav><p>many many words of a menu</p></nav><p>a</p>", ["a"])])
+def test_names_are_a_hint(page, want):
+    assert blocks(f"<body>{page}</body>") == want
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></div>", "<!-- never ends <p>x", "<script>x", "<a href='x>y", "<p>" * 3000 + "x", "<div>" * 2000,
                                   "<b <p>x", "a < b > c", "<!DOCTYPE html>", "<p>x</P>y", "\0<p>\0", "<p a='1\"2'>x"])
 def test_broken_pages_do_not_crash(page):
@@ -48,6 +60,13 @@ def test_template_of_a_host_without_article_elements(spark):
     assert [got[k] for k in range(24, 28)] == ["alone\nhere", "m", "", ""]
 
 
+def test_named_element_that_holds_the_slot_stays_on_every_page(spark):
+    rows = [(f"http://s.example/{i}", f"<body><div id='a'>{'words around ' * (8 if i == 3 else 1)}{i}</div><div class='widget'><p>article {i} "
+             f"{'text ' * (2 if i == 3 else 30)}</p><p>more {i}</p><section id='comments'>section {i}</section></div></body>") for i in range(6)]
+    got = {r.page_id: r.text for r in extraction.extract_text(build(spark, rows)).collect()}
+    assert got == {i: f"article {i} " + " ".join(["text"] * (2 if i == 3 else 30)) + f"\nmore {i}\nsection {i}" for i in range(6)}
+
+
 def test_repeated_pages_and_empty(spark):
     df = build(spark, [("http://a.b/c", "<article><p>x &copy;</p></article>y")] * 5)
     assert [(r.text, r.n_chars) for r in extraction.extract_text(df).collect()] == [("x ©", 3)] * 5
