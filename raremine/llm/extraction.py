@@ -6,9 +6,12 @@ every page of its host; tokens with equal vectors form an equivalence class.  A
 class is part of the template if it has several tokens and occurs on at least
 half of the host's pages.  Paths nest the classes into each other.  The slot
 that holds the article is the innermost once-a-page element of the template with
-at least half of the host's text; what of its text belongs to the element's own
-class (a run that stands once on every such page) is template too, and the rest
-of the slot is the result.
+at least half of the host's text.  Text runs below the slot that belong to its
+own class or to any class nested in it are template too, on the pages that hold
+them and however often they stand there; the rest of the slot is the result.
+Pages that are copies of each other share their articles as well, so a class on
+k pages counts only if all text shared by so many pages is at most 1 - 1 / (k - 1)
+of the slot's.
 
 Vectors are compared by sums of hashes of (page, count), so a class costs two
 numbers however many pages a host has, and everything is aggregated before it
@@ -26,7 +29,9 @@ without one, most of the page's text stays.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 import xxhash
@@ -35,9 +40,8 @@ from pyspark.sql import functions as F
 
 from raremine.llm.store import if_small, written
 
-#: Part of a host's pages on which a template class occurs; pages that a host
-#: needs before runs of text count as template.
-MIN_SHARE, MIN_TEXT_PAGES = 0.5, 10
+#: Part of a host's pages on which a template class occurs.
+MIN_SHARE = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -235,12 +239,13 @@ class Page:
                 self._pop_to(len(self._stack) - 1)
         self._flush()
 
-    def inside(self, roots: set[int]) -> list[str]:
-        """Blocks below any of the given elements."""
+    def inside(self, roots: set[int], fixed: set[int] = frozenset()) -> list[str]:
+        """Blocks below any of the given elements, without template text."""
         within: list[bool] = []
         for i, (_, parent, _, _) in enumerate(self.elements):
             within.append(i in roots or (parent >= 0 and within[parent]))
-        return [text for text, e in self.blocks if e >= 0 and within[e]]
+        return [text for text, e in self.blocks
+                if e >= 0 and within[e] and not (fixed and _run_token(self.elements[e][0], text) in fixed)]
 
     def own_slot(self) -> set[int]:
         """The page's article or main element with the most text (none: the
@@ -262,27 +267,28 @@ def _run_token(token: int, text: str) -> int:
 
 
 def _page_tokens(page: Page):
-    """token -> [count, kind, depth, named, characters] of one page; token 0
-    stands for the page."""
-    found: dict[int, list] = {0: [1, "page", 0, False, sum(len(t) for t, _ in page.blocks)]}
+    """token -> [count, kind, depth, named, parent, characters] of one page;
+    token 0 stands for the page."""
+    found: dict[int, list] = {0: [1, "page", 0, False, 0, sum(len(t) for t, _ in page.blocks)]}
     size = [0] * len(page.elements)
     for text, e in page.blocks:
-        run = found.setdefault(_run_token(page.elements[e][0] if e >= 0 else 0, text), [0, "text", 0, False, 0])
+        at = page.elements[e][0] if e >= 0 else 0
+        run = found.setdefault(_run_token(at, text), [0, "text", 0, False, at, 0])
         run[0] += 1
-        run[4] += len(text)
+        run[5] += len(text)
         while e >= 0:
             size[e] += len(text)
             e = page.elements[e][1]
-    for i, (token, _, name, depth) in enumerate(page.elements):
-        tag = found.setdefault(token, [0, "tag", depth, name in ("article", "main"), 0])
+    for i, (token, up, name, depth) in enumerate(page.elements):
+        tag = found.setdefault(token, [0, "tag", depth, name in ("article", "main"), page.elements[up][0] if up >= 0 else 0, 0])
         tag[0] += 1
-        tag[4] += size[i]
+        tag[5] += size[i]
     for token in page.closing:
-        found.setdefault(token, [0, "end", 0, False, 0])[0] += 1
+        found.setdefault(token, [0, "end", 0, False, 0, 0])[0] += 1
     return found
 
 
-_TOKENS = ("host string, token long, kind string, depth int, named boolean, s1 long, s2 long, pages long, total long, chars long")
+_TOKENS = ("host string, token long, kind string, depth int, named boolean, parent long, s1 long, s2 long, pages long, total long, chars long")
 
 
 def _host_tokens(pages: DataFrame) -> DataFrame:
@@ -298,42 +304,68 @@ def _host_tokens(pages: DataFrame) -> DataFrame:
                     if host is None:
                         continue
                     name = xxhash.xxh64_intdigest((url or "") + "\0" + html)
-                    for token, (count, kind, depth, named, chars) in _page_tokens(Page(html, cache)).items():
+                    for token, (count, kind, depth, named, parent, chars) in _page_tokens(Page(html, cache)).items():
                         h = xxhash.xxh64_intdigest(f"{name}:{count}")
-                        row = sums.setdefault((host, token), [kind, depth, named, 0, 0, 0, 0, 0])
-                        for k, v in enumerate((h & 0x7FFFFFFF, h >> 33, 1, count, chars), 3):
+                        row = sums.setdefault((host, token), [kind, depth, named, parent, 0, 0, 0, 0, 0])
+                        for k, v in enumerate((h & 0x7FFFFFFF, h >> 33, 1, count, chars), 4):
                             row[k] += v
                 rows = [(host, token, *row) for (host, token), row in sums.items()]
-                kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), *[pa.int64()] * 5)
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), *[pa.int64()] * 6)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=[c.split()[0] for c in _TOKENS.split(", ")])
 
     rows = pages.mapInArrow(run, _TOKENS)
     return rows.groupBy("host", "token", "kind").agg(
-        F.max("depth").alias("depth"), F.max("named").alias("named"),
+        F.max("depth").alias("depth"), F.max("named").alias("named"), F.max("parent").alias("parent"),
         *[F.sum(c).alias(c) for c in ("s1", "s2", "pages", "total", "chars")])
 
 
-def deduce_templates(pages: DataFrame, min_share: float = MIN_SHARE, min_text_pages: int = MIN_TEXT_PAGES) -> DataFrame:
+def host_template(tokens: list[dict]) -> tuple[int, list[int]] | None:
+    """(slot, template text below it) of a host from its tokens on enough of its
+    pages, or None without a slot."""
+    size = Counter((t["s1"], t["s2"], t["pages"]) for t in tokens)
+    valid = {t["token"] for t in tokens if size[t["s1"], t["s2"], t["pages"]] > 1}
+    slots = [t for t in tokens if t["kind"] == "tag" and t["token"] in valid and t["total"] == t["pages"] and 2 * t["chars"] >= t["host_chars"]]
+    if not slots:
+        return None
+    slot = max(slots, key=lambda t: (t["named"], t["depth"], t["chars"], t["token"]))
+    # a parent stands on every page of its children, so all paths are here
+    below = {slot["token"]}
+    for t in sorted((t for t in tokens if t["kind"] == "tag"), key=lambda t: t["depth"]):
+        if t["parent"] in below:
+            below.add(t["token"])
+    texts, shared = [], 0.0
+    room = slot["chars"] / slot["pages"]
+    runs = sorted((t for t in tokens if t["kind"] == "text" and t["parent"] in below), key=lambda t: -t["pages"])
+    for pages, group in groupby(runs, key=lambda t: t["pages"]):
+        group = list(group)
+        shared += sum(t["chars"] for t in group) / pages
+        if shared <= (1 - 1 / max(1, pages - 1)) * room:
+            texts += sorted(t["token"] for t in group if t["token"] in valid)
+    return slot["token"], texts
+
+
+def deduce_templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, slot, texts): token of the element that holds the article and
     tokens of template text in it, for hosts with a template."""
     tokens = written(_host_tokens(pages).filter("pages > 1"), "html-tokens")
     hosts = tokens.filter("token = 0").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
-    tokens = tokens.filter("token <> 0").join(hosts, "host").filter(F.col("pages") >= min_share * F.col("host_pages"))
-    per_class = Window.partitionBy("host", "s1", "s2", "pages")
-    # tokens on half of a host's pages: as few as a page has, so classes are small
-    classed = tokens.withColumn("size", F.count(F.lit(1)).over(per_class)).filter("size > 1")
-    best = F.max(F.struct("named", "depth", "chars", "token", "s1", "s2", "pages", "host_pages"))
-    slots = (classed.filter((F.col("kind") == "tag") & (F.col("total") == F.col("pages")) & (2 * F.col("chars") >= F.col("host_chars")))
-             .groupBy("host").agg(best.alias("b")).select("host", F.col("b.token").alias("slot"), "b.s1", "b.s2", "b.pages", "b.host_pages"))
-    texts = (classed.filter((F.col("kind") == "text") & (F.col("host_pages") >= min_text_pages))
-             .select("host", "s1", "s2", "pages", F.col("token").alias("text")))
-    return (slots.join(texts, ["host", "s1", "s2", "pages"], "left")
-            .groupBy("host", "slot").agg(F.collect_list("text").alias("texts")))
+    # a table of its own: the join may be split, and only the few rows left of a host meet
+    tokens = written(tokens.filter("token <> 0").join(hosts, "host").filter(F.col("pages") >= min_share * F.col("host_pages")),
+                     "html-shared")
+
+    def deduce(table: pa.Table) -> pa.Table:
+        found = host_template(table.to_pylist())
+        rows = [(table.column("host")[0].as_py(), *found)] if found else []
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.list_(pa.int64())))],
+                        names=["host", "slot", "texts"])
+
+    # tokens on half of a host's pages: as few as a page has, so a host is a small group
+    return tokens.groupBy("host").applyInArrow(deduce, "host string, slot long, texts array<long>")
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-                 min_share: float = MIN_SHARE, min_text_pages: int = MIN_TEXT_PAGES) -> DataFrame:
+                 min_share: float = MIN_SHARE) -> DataFrame:
     """(key, url, text, n_chars) per row: the blocks of the article joined by
     newlines.
 
@@ -343,7 +375,7 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     # few rows a host; as a table of its own it is either broadcast or joined so that Spark may split a large host
-    templates = if_small(written(deduce_templates(rows.select("url", "html"), min_share, min_text_pages), "html-templates"),
+    templates = if_small(written(deduce_templates(rows.select("url", "html"), min_share), "html-templates"),
                          F.size("texts") + 1)
     host = F.lower(F.regexp_extract("url", _HOST.pattern, 1))
     joined = rows.withColumn("host", F.when(F.col("url").isNotNull() & (host != ""), host)).join(templates, "host", "left")
@@ -361,9 +393,7 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
                     roots = roots or page.own_slot()
                     blocks = page.inside(roots) if roots else [t for t, _ in page.blocks]
                     if found and texts:
-                        fixed = set(texts)
-                        runs = {t for t, e in page.blocks if _run_token(page.elements[e][0] if e >= 0 else 0, t) in fixed}
-                        blocks = [b for b in blocks if b not in runs]
+                        blocks = page.inside(roots, set(texts))
                     out.append("\n".join(blocks))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],

@@ -60,6 +60,34 @@ def test_template_of_a_host_without_article_elements(spark):
     assert [got[k] for k in range(24, 28)] == ["alone\nhere", "m", "", ""]
 
 
+@pytest.mark.parametrize("n", [4, 9, 10, 25])
+def test_template_text_of_nested_classes_goes(spark, n):
+    """A notice on every page, a box on most of the pages and one that stands twice a page, on hosts of any size."""
+    rows, want = [], {}
+    for i in range(n):
+        box = "<div class='bx'><b>Box title</b><p>Read our letter</p></div>" if 4 * i < 3 * n else ""
+        twice = "<div class='tw'><p>Up to the top</p></div>"
+        own = [f"own words {i} {k} " + "x" * 60 for k in range(2 + i % 3)]
+        rows.append((f"http://n.example/{i}", f"<body><div class='c'><p>All the news</p>{twice}<h2>Head {i}</h2>{''.join(f'<p>{p}</p>' for p in own)}{box}{twice}</div></body>"))
+        want[i] = "\n".join([f"Head {i}"] + own)
+    got = {r.page_id: r.text for r in extraction.extract_text(build(spark, rows)).collect()}
+    assert got == want
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    """Pages that are copies share their articles, which are no template; what stands on all pages is."""
+    page = "<body><div class='c'><p>All the news</p>{}</div></body>"
+    article = "".join(f"<p>the same long paragraph {k} {'y' * 50}</p>" for k in range(5))
+    texts = [article] * 5 + ["".join(f"<p>other {i} {k} {'z' * 50}</p>" for k in range(5)) for i in range(3)]
+    rows = [(f"http://c.example/{i}", page.format(t)) for i, t in enumerate(texts)]
+    rows += [(f"http://two.example/{i}", page.format(article)) for i in range(2)]
+    got = {r.page_id: r.text.split("\n") for r in extraction.extract_text(build(spark, rows)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == re.findall("<p>(.*?)</p>", t)
+    for i in (8, 9):
+        assert got[i][1:] == re.findall("<p>(.*?)</p>", article)
+
+
 def test_named_element_that_holds_the_slot_stays_on_every_page(spark):
     rows = [(f"http://s.example/{i}", f"<body><div id='a'>{'words around ' * (8 if i == 3 else 1)}{i}</div><div class='widget'><p>article {i} "
              f"{'text ' * (2 if i == 3 else 30)}</p><p>more {i}</p><section id='comments'>section {i}</section></div></body>") for i in range(6)]
