@@ -38,9 +38,6 @@ FUNCTIONS, SPLIT_FUNCTIONS = 3, 6
 #: Kinds compared pair by pair in one group, pivots and rounds of splitting of
 #: larger groups, kinds of a task.
 MAX_KINDS, PIVOTS, SPLIT_ROUNDS, TASK_KINDS = 1500, 8, 3, 6000
-#: Aligned shingles in common from which a pair is looked at further: any
-#: passage around the node has them unless a word moved right beside the node.
-MIN_ALIGNED = 12
 #: Shift, in words, up to which shingles count as in common before sets are
 #: compared; more words put in on one side leave less than the similarity.
 MAX_SHIFT = 4
@@ -162,11 +159,6 @@ def similar(a: _Context, b: _Context, length: int, similarity: float) -> bool:
     return best_similarity(a.tokens, a.node, b.tokens, b.node, length) >= similarity
 
 
-def _straight(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Number of aligned shingles that rows have in common, without a shift."""
-    return ((others == one) & (others != 0)).sum(axis=-1)
-
-
 def _in_common(one: np.ndarray, others: np.ndarray, length: int) -> np.ndarray:
     """For each aligned row of ``others``: the most shingles that an interval
     around the node has in common with ``one`` at a shift of up to MAX_SHIFT."""
@@ -181,6 +173,37 @@ def _in_common(one: np.ndarray, others: np.ndarray, length: int) -> np.ndarray:
     return (sums[:, length:] - sums[:, :-length]).max(axis=1)
 
 
+def _candidates(own: _Context, shared: np.ndarray, aligned: np.ndarray, distinct: np.ndarray, length: int, similarity: float) -> np.ndarray:
+    """Which of the contexts (rows of ``aligned``) may be similar to ``own``;
+    ``shared`` counts the shingles that they have in common, wherever they are."""
+    # sets of that similarity have at least so much in common
+    least = similarity / (1 + similarity) * (own.distinct + distinct) - 1e-9
+    rest = np.flatnonzero(shared >= least)
+    if not len(rest):
+        return rest
+    # at most one edit fits in, so that shingles in common are moved little; repeated shingles may be anywhere
+    common = _in_common(own.aligned, aligned[rest], length)
+    return rest[(common >= least[rest]) | (distinct[rest] < length) | (own.distinct < length)]
+
+
+class _Postings:
+    """For every shingle of a group the kinds that hold it."""
+
+    def __init__(self, tokens: list[np.ndarray]):
+        sets = [np.unique(t) for t in tokens]
+        self.size = len(tokens)
+        self.offs = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        _, self.of = np.unique(np.concatenate(sets), return_inverse=True)
+        self.kinds = np.repeat(np.arange(self.size), np.diff(self.offs))[np.argsort(self.of, kind="stable")]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(self.of))])
+
+    def shared(self, x: int) -> np.ndarray:
+        """Number of shingles that each kind has in common with kind x."""
+        ids = self.of[self.offs[x]:self.offs[x + 1]]
+        lists = [self.kinds[a:b] for a, b in zip(self.starts[ids].tolist(), self.starts[ids + 1].tolist()) if b - a > 1]
+        return np.bincount(np.concatenate(lists), minlength=self.size) if lists else np.zeros(self.size, np.int64)
+
+
 def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, similarity: float) -> list[tuple[int, int]]:
     """Edges of a spanning forest over the kinds of a group whose passages are
     similar enough.  All pairs are looked at, those already joined are not
@@ -190,22 +213,16 @@ def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, simila
         return []
     contexts = [_Context(t, n, length) for t, n in zip(tokens, nodes)]
     aligned = np.stack([c.aligned for c in contexts])
-    # sets of that similarity have at least so much in common
-    least = np.array([2 * length * similarity / (1 + similarity) if c.distinct == length else similarity * c.distinct
-                      for c in contexts]) - 1e-9
-    together = _straight(aligned[:, None], aligned[None]) if m <= 40 else None
+    distinct = np.array([c.distinct for c in contexts])
+    postings = _Postings(tokens) if m > 40 else None
     root = np.arange(m)
     edges = []
     for x in range(m - 1):
         rest = np.flatnonzero(root[x + 1:] != root[x]) + x + 1
         if not len(rest):
             continue
-        straight = together[x, rest] if together is not None else _straight(aligned[x], aligned[rest])
-        rest = rest[straight >= MIN_ALIGNED]
-        if not len(rest):
-            continue
-        common = _in_common(aligned[x], aligned[rest], length)
-        for k in np.flatnonzero(common >= np.maximum(least[x], least[rest])):
+        shared = postings.shared(x)[rest] if postings else np.array([len(contexts[x].set & contexts[y].set) for y in rest.tolist()])
+        for k in _candidates(contexts[x], shared, aligned[rest], distinct[rest], length, similarity):
             y = int(rest[k])
             if root[x] != root[y] and similar(contexts[x], contexts[y], length, similarity):
                 edges.append((x, y))
@@ -268,9 +285,10 @@ def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float
                 own = _Context(np.frombuffer(raw[k], np.uint32), node[k], length)
                 at = next((i for i, p in enumerate(found) if p["kind"] == kind[k]), None)
                 if at is None:
-                    common = _in_common(own.aligned, aligned, length)
-                    at = next((i for i, c in enumerate(contexts) if common[i] >= similarity * c.distinct - 1
-                               and similar(own, c, length, similarity)), None)
+                    shared = np.array([len(own.set & c.set) for c in contexts])
+                    distinct = np.array([c.distinct for c in contexts])
+                    at = next((i for i in _candidates(own, shared, aligned, distinct, length, similarity).tolist()
+                               if similar(own, contexts[i], length, similarity)), None)
                     to = at
                 else:
                     to = root[at] if root[at] != at else None

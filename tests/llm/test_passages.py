@@ -91,6 +91,50 @@ def test_classes_against_brute_force(spark, corpus, max_kinds):
     assert {r.doc_id for r in out if r.n_shared} <= {x for p in linked for x in p}
 
 
+@pytest.mark.parametrize("m", [2, 60])
+@pytest.mark.parametrize("near", [2, 5, 9, 36, 40, 43])
+def test_comparison_finds_words_put_in_or_left_out_near_both_ends(m, near):
+    """A word more changes five shingles and moves the rest by one; the node is beside it, on the short side."""
+    rng = np.random.default_rng(near)
+
+    def fresh(n):
+        return rng.integers(1, 2**31, n).astype(np.uint32)
+
+    p = fresh(45)                                                # shingles of the passage, 41 of them in common
+    cut = min(near, 40)
+    one = np.concatenate([fresh(20), p[:cut], fresh(4), p[cut + 4:], fresh(21)])
+    more = np.concatenate([fresh(20), p[:cut], fresh(5), p[cut + 4:], fresh(20)])
+    at = 20 + (cut - 1 if near < 20 else cut + 4)                # the last before or the first after the change
+    shift = 0 if near < 20 else 1
+    a, b = one[max(0, at - 45):at + 46], more[max(0, at + shift - 45):at + shift + 46]
+    nodes = [at - max(0, at - 45), at + shift - max(0, at + shift - 45)]
+    assert a[nodes[0]] == b[nodes[1]]
+    others = [np.concatenate([fresh(45), a[nodes[0]:nodes[0] + 1], fresh(45)]) for _ in range(m - 2)]
+    assert passages.best_similarity(a, nodes[0], b, nodes[1], 46) >= 0.8
+    assert passages.linked_kinds([a, b, *others], nodes + [45] * (m - 2), 46, 0.8) == [(0, 1)]
+
+
+@pytest.mark.parametrize("max_kinds", [passages.MAX_KINDS, 2])
+def test_words_put_in_or_left_out_against_brute_force(spark, max_kinds):
+    rnd = random.Random(5)
+
+    def prose(n):
+        return ["".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+
+    texts = []
+    for at in [4, 5, 6, 8, 10, 12, 14, 25, 36, 38, 40, 42, 44, 45, 46]:
+        p = prose(50)
+        texts += [prose(30) + p + prose(30), prose(25) + p[:at] + ["more"] + p[at:] + prose(35), prose(35) + p[:at] + p[at + 1:] + prose(25)]
+    texts = [" ".join(t) for t in texts]
+    s = [shingles(t) for t in texts]
+    linked = [(i, j) for j in range(len(s)) for i in range(j - j % 3, j) if brute(s[i], s[j]) >= 0.8]
+    want = classes(len(s), linked)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    # with many functions the signatures miss nothing, so that only the comparison can
+    got = {r.doc_id: r.class_id for r in passages.passage_classes(df, functions=12, max_kinds=max_kinds).collect()}
+    assert [got[i] for i in range(len(s))] == want and len(linked) >= 15
+
+
 def test_comparison_counts_moved_words():
     rng = np.random.default_rng(0)
     a = rng.integers(1, 2**31, 91).astype(np.uint32)
