@@ -14,8 +14,8 @@ neighbours, so the tree is built over them alone.
 3. Kinds that share a signature are compared, aligned at the node: the interval
    of ``passage`` words around it with the most shingles in common must reach
    the similarity in an exact comparison of shingle sets.  Groups with many
-   kinds are first split by the min-hashes of further functions over intervals
-   that contain the node.
+   kinds are first split by an exact prefix filter: similar intervals share one
+   of their rarest shingles.  Parts still large are dealt as pairs of blocks.
 4. Members of a kind and verified kinds link documents; classes are the
    connected components.
 """
@@ -34,10 +34,9 @@ from raremine.llm.textops import (
     LOWER, NOT_SPACE, _power_tables, gram_hash, mix64, span_hash, text_blocks, word_spans)
 
 SHINGLE_WORDS, PASSAGE_WORDS, SIMILARITY = 5, 50, 0.8
-FUNCTIONS, SPLIT_FUNCTIONS = 3, 6
-#: Kinds compared pair by pair in one group, pivots and rounds of splitting of
-#: larger groups, kinds of a task.
-MAX_KINDS, PIVOTS, SPLIT_ROUNDS, TASK_KINDS = 1500, 8, 3, 6000
+FUNCTIONS = 3
+#: Kinds compared pair by pair in one group, pivots of larger groups, kinds of a task.
+MAX_KINDS, PIVOTS, TASK_KINDS = 1500, 8, 6000
 #: Shift, in words, up to which shingles count as in common before sets are
 #: compared; more words put in on one side leave less than the similarity.
 MAX_SHIFT = 4
@@ -204,10 +203,11 @@ class _Postings:
         return np.bincount(np.concatenate(lists), minlength=self.size) if lists else np.zeros(self.size, np.int64)
 
 
-def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, similarity: float) -> list[tuple[int, int]]:
+def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, similarity: float, labels: list[int] | None = None,
+                 sides: list[int] | None = None) -> list[tuple[int, int]]:
     """Edges of a spanning forest over the kinds of a group whose passages are
-    similar enough.  All pairs are looked at, those already joined are not
-    compared again."""
+    similar enough.  All pairs are looked at (with ``sides``, those of different
+    sides), those already joined, by equal ``labels`` too, are not compared again."""
     m = len(tokens)
     if m < 2:
         return []
@@ -215,10 +215,13 @@ def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, simila
     aligned = np.stack([c.aligned for c in contexts])
     distinct = np.array([c.distinct for c in contexts])
     postings = _Postings(tokens) if m > 40 else None
-    root = np.arange(m)
+    root = np.arange(m) if labels is None else np.unique(labels, return_inverse=True)[1]
+    side = None if sides is None or len(set(sides)) < 2 else np.array(sides)
     edges = []
     for x in range(m - 1):
         rest = np.flatnonzero(root[x + 1:] != root[x]) + x + 1
+        if side is not None:
+            rest = rest[side[rest] != side[x]]
         if not len(rest):
             continue
         shared = postings.shared(x)[rest] if postings else np.array([len(contexts[x].set & contexts[y].set) for y in rest.tolist()])
@@ -230,6 +233,31 @@ def linked_kinds(tokens: list[np.ndarray], nodes: list[int], length: int, simila
     return edges
 
 
+def rare_shingles(own: _Context, heavy: np.ndarray, length: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rarest shingles of the intervals of ``length``, as many as the least
+    overlap requires: similar intervals without repeated shingles share one of
+    the first kind, any similar intervals one of the second.  Shingles are
+    ordered by hash, those of ``heavy`` (sorted by frequency) after the others."""
+    t = own.tokens
+    order = mix64(t.astype(np.uint64)) >> np.uint64(8)
+    if len(heavy):
+        by_value = np.argsort(heavy)
+        at = np.minimum(np.searchsorted(heavy, t, sorter=by_value), len(heavy) - 1)
+        hit = heavy[by_value[at]] == t
+        order[hit] = np.uint64(1 << 60) + by_value[at][hit].astype(np.uint64)
+    if own.distinct == length:
+        windows = np.lib.stride_tricks.sliding_window_view(order, length)
+        ranked = np.argsort(windows, axis=1) + np.arange(len(windows))[:, None]
+        narrow = length - int(np.ceil(2 * length * similarity / (1 + similarity) - 1e-9)) + 1
+        wide = length - int(np.ceil(length * similarity - 1e-9)) + 1
+        return np.unique(t[ranked[:, :narrow]]), np.unique(t[ranked[:, :wide]])
+    out = set()
+    for s in range(len(t) - length + 1):
+        rank = sorted(set(zip(order[s:s + length].tolist(), t[s:s + length].tolist())))
+        out.update(x for _, x in rank[:len(rank) - int(np.ceil(len(rank) * similarity - 1e-9)) + 1])
+    return np.zeros(0, np.uint32), np.array(sorted(out), np.uint32)
+
+
 _KIND = "g long, signature long, kind long, row long, node int, tokens binary"
 _PAIR = "signature long, kind_a long, kind_b long, a long, b long"
 
@@ -240,11 +268,12 @@ def _compare(kinds: DataFrame, tasks: int, length: int, similarity: float) -> Da
         table = table.sort_by([("g", "ascending"), ("kind", "ascending")])
         g = table.column("g").to_numpy()
         cuts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
-        signature, kind, row, node = (table.column(c).to_pylist() for c in ("signature", "kind", "row", "node"))
+        signature, kind, row, node, label, side = (
+            table.column(c).to_pylist() for c in ("signature", "kind", "row", "node", "label", "side"))
         tokens = [np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
         out = ([], [], [], [], [])
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            for x, y in linked_kinds(tokens[lo:hi], node[lo:hi], length, similarity) if hi - lo > 1 else ():
+            for x, y in linked_kinds(tokens[lo:hi], node[lo:hi], length, similarity, label[lo:hi], side[lo:hi]) if hi - lo > 1 else ():
                 for column, v in zip(out, (signature[lo + x], kind[lo + x], kind[lo + y], row[lo + x], row[lo + y])):
                     column.append(v)
         return pa.table([pa.array(c, pa.int64()) for c in out], names=["signature", "kind_a", "kind_b", "a", "b"])
@@ -253,25 +282,43 @@ def _compare(kinds: DataFrame, tasks: int, length: int, similarity: float) -> Da
             .applyInArrow(run, _PAIR))
 
 
-_MARKED = "g long, signature long, kind long, row long, node int, tokens binary, label long, kind_b long, b long, keys array<long>"
+_MARKED = "g long, signature long, kind long, row long, node int, tokens binary, label long, kind_b long, b long, keys array<long>, wide array<long>"
+
+
+def _heavy_shingles(kinds: DataFrame, sizes: DataFrame, max_kinds: int) -> DataFrame:
+    """(heavy_g, heavy): shingles in many kinds of a group, by frequency; at most
+    64 times as many as a kind has."""
+    def run(batches):
+        for batch in batches:
+            lists = [np.unique(np.frombuffer(x, np.uint32)).astype(np.int64) for x in batch.column(1).to_pylist()]
+            if lists:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists])), pa.array(np.concatenate(lists))],
+                    names=["heavy_g", "token"])
+
+    counts = kinds.select("g", "tokens").mapInArrow(run, "heavy_g long, token long").groupBy("heavy_g", "token").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.join(sizes, F.col("heavy_g") == F.col("g")).filter(F.col("n") > F.greatest(F.lit(max_kinds / 4), F.col("count") / 64))
+    return often.groupBy("heavy_g").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("heavy"))
 
 
-def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float) -> DataFrame:
+def _against_pivots(kinds: DataFrame, heavy: DataFrame, length: int, similarity: float) -> DataFrame:
     """The kinds of big groups, each compared with a few pivots of its group.
     ``label`` tells which are joined already (the smallest pivot reached, or the
     kind itself), (kind_b, b) is the pivot it is linked to, and ``keys`` are the
-    groups of the next round: the min-hashes of further functions over the
-    intervals that contain the node."""
+    parts in which it meets all it may be similar to: by narrow prefixes among
+    kinds without repeated shingles (others have none), by ``wide`` ones else."""
     pivots = (kinds.groupBy("g", F.pmod("kind", F.lit(PIVOTS)).alias("part"))
               .agg(F.min(F.struct("kind", "row", "node", "tokens")).alias("p"))
               .groupBy(F.col("g").alias("in_g")).agg(F.sort_array(F.collect_list("p")).alias("pivots")))
+    pivots = pivots.join(heavy, F.col("in_g") == F.col("heavy_g"), "left").select(
+        "in_g", "pivots", F.coalesce("heavy", F.array().cast("array<long>")).alias("heavy"))
     joined = kinds.join(written(pivots, "pas-pivots"), F.col("g") == F.col("in_g"))
 
     def run(batches):
         known: dict = {}
         for batch in batches:
             g, kind, node, raw = (batch.column(k).to_pylist() for k in (0, 2, 4, 5))
-            label, near, near_row, keys = [], [], [], []
+            label, near, near_row, keys, wide = [], [], [], [], []
             for k in range(batch.num_rows):
                 if g[k] not in known:
                     known.clear()
@@ -280,8 +327,9 @@ def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float
                     root = list(range(len(found)))
                     for x, y in linked_kinds([c.tokens for c in contexts], [c.node for c in contexts], length, similarity):
                         root = [min(root[x], root[y]) if r in (root[x], root[y]) else r for r in root]
-                    known[g[k]] = found, contexts, np.stack([c.aligned for c in contexts]), root
-                found, contexts, aligned, root = known[g[k]]
+                    often = np.array(batch.column(7)[k].as_py(), np.int64).astype(np.uint32)
+                    known[g[k]] = found, contexts, np.stack([c.aligned for c in contexts]), root, often
+                found, contexts, aligned, root, often = known[g[k]]
                 own = _Context(np.frombuffer(raw[k], np.uint32), node[k], length)
                 at = next((i for i, p in enumerate(found) if p["kind"] == kind[k]), None)
                 if at is None:
@@ -295,44 +343,61 @@ def _against_pivots(kinds: DataFrame, level: int, length: int, similarity: float
                 label.append(kind[k] if at is None else found[root[at]]["kind"])
                 near.append(None if to is None else found[to]["kind"])
                 near_row.append(None if to is None else found[to]["row"])
-                t = own.tokens.astype(np.uint64)
-                keys.append(np.unique(np.concatenate([
-                    mix64(_sliding_min(mix64(t ^ _seed(200 + 10 * level + j)), length) ^ _seed(300 + j))
-                    for j in range(SPLIT_FUNCTIONS)]) ^ mix64(np.array([g[k]], np.int64).view(np.uint64))[0]).view(np.int64).tolist())
+                salt = mix64(np.array([g[k]], np.int64).view(np.uint64))[0]
+                for column, rare, i in zip((keys, wide), rare_shingles(own, often, length, similarity), (300, 301)):
+                    column.append((mix64(rare.astype(np.uint64) ^ _seed(i)) ^ salt).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:6], pa.array(label, pa.int64()), pa.array(near, pa.int64()), pa.array(near_row, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=[c.split()[0] for c in _MARKED.split(", ")])
+                 *(pa.array(x, pa.list_(pa.int64())) for x in (keys, wide))], names=[c.split()[0] for c in _MARKED.split(", ")])
+
+    return joined.select("g", "signature", "kind", "row", "node", "tokens", "pivots", "heavy").mapInArrow(run, _MARKED)
+
 
-    return joined.select("g", "signature", "kind", "row", "node", "tokens", "pivots").mapInArrow(run, _MARKED)
+def _in_blocks(kinds: DataFrame, size: int) -> DataFrame:
+    """Kinds of parts of any size (column count), dealt over groups of about two
+    blocks of ``size`` kinds, one for each pair of blocks of a part; ``side`` is
+    the block, so that blocks are compared with themselves once."""
+    blocks = F.ceil(F.col("count") / size).cast("int")
+    own = F.pmod(F.xxhash64("kind", "g"), blocks).cast("int")
+    dealt = kinds.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumn("g", F.xxhash64("g", F.least("side", "other"), F.greatest("side", "other"))).drop("other", "count")
 
 
 def _verified(kinds: DataFrame, length: int, similarity: float, max_kinds: int) -> DataFrame:
     """Edges between kinds of a group (column g).  Groups up to ``max_kinds``
     are compared pair by pair.  Larger ones are compared with pivots, which
-    joins near copies at once, and split; of the parts only those go on that
-    hold kinds not joined yet."""
-    found = None
-    for level in range(SPLIT_ROUNDS + 1):
-        sizes = written(kinds.groupBy("g").count().filter("count > 1"), "pas-sizes")
-        total = sizes.agg(F.sum("count")).first()[0] or 0
-        big = sizes.filter(F.col("count") > max_kinds).select("g")
-        more = level < SPLIT_ROUNDS and big.first() is not None
-        now = kinds.join(sizes.filter(F.col("count") <= max_kinds) if more else sizes, "g", "left_semi")
-        pairs = _compare(now, max(1, -(-int(total) // TASK_KINDS)), length, similarity)
-        found = pairs if found is None else found.union(pairs)
-        if not more:
-            return found
-        marked = written(_against_pivots(kinds.join(big, "g", "left_semi"), level, length, similarity), "pas-marked")
-        found = found.union(marked.filter("b IS NOT NULL").select(
-            "signature", F.col("kind").alias("kind_a"), "kind_b", F.col("row").alias("a"), "b"))
-        parts = marked.select("signature", "kind", "label", F.explode("keys").alias("key"))
-        open_ = written(parts.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                        .filter("x <> y").select("key"), "pas-open")
-        wanted = parts.join(open_, "key", "left_semi").select(F.col("signature").alias("s"), F.col("kind").alias("k"), "key")
-        kinds = written(marked.join(wanted, (F.col("signature") == F.col("s")) & (F.col("kind") == F.col("k")))
-                        .select(F.col("key").alias("g"), "signature", "kind", "row", "node", "tokens")
-                        .distinct(), "pas-split")
-    return found
+    joins near copies at once, and split by prefixes; of the parts only those go
+    on that hold kinds not joined yet, the large ones as pairs of blocks."""
+    def tasks(n: int) -> int:
+        return max(1, -(-int(n or 0) // TASK_KINDS))
+
+    sizes = written(kinds.groupBy("g").count().filter("count > 1"), "pas-sizes")
+    large = sizes.filter(F.col("count") > max_kinds)
+    total = sizes.filter(F.col("count") <= max_kinds).agg(F.sum("count")).first()[0]
+    plain = kinds.withColumn("label", F.col("kind")).withColumn("side", F.lit(0))
+    found = _compare(plain.join(sizes.filter(F.col("count") <= max_kinds), "g", "left_semi"), tasks(total), length, similarity)
+    if large.first() is None:
+        return found
+    big = kinds.join(large, "g", "left_semi")
+    heavy = _heavy_shingles(big, large, max_kinds)
+    marked = written(_against_pivots(big, heavy, length, similarity), "pas-marked")
+    found = found.union(marked.filter("b IS NOT NULL").select(
+        "signature", F.col("kind").alias("kind_a"), "kind_b", F.col("row").alias("a"), "b"))
+    odd = F.size("keys") == 0
+    with_odd = marked.filter(odd).select("g").distinct()
+    parts = marked.select("signature", "kind", "label", F.lit(True).alias("fits"), F.explode("keys").alias("key")).union(
+        marked.join(with_odd, "g", "left_semi").select("signature", "kind", "label", odd.alias("fits"), F.explode("wide").alias("key")))
+    open_ = written(parts.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("fits").alias("fits"),
+                                             F.count(F.lit(1)).alias("count"))
+                    .filter("x <> y AND fits").select("key", "count"), "pas-open")
+    wanted = parts.select(F.col("signature").alias("s"), F.col("kind").alias("k"), "key").join(open_, "key")
+    split = marked.drop("g").join(wanted, (F.col("signature") == F.col("s")) & (F.col("kind") == F.col("k"))).select(
+        F.col("key").alias("g"), "signature", "kind", "row", "node", "tokens", "label", "count")
+    small = split.filter(F.col("count") <= max_kinds).drop("count").withColumn("side", F.lit(0))
+    block = max(1, max_kinds // 2)
+    columns = ["g", "signature", "kind", "row", "node", "tokens", "label", "side"]
+    dealt = written(small.select(columns).union(_in_blocks(split.filter(F.col("count") > max_kinds), block).select(columns)), "pas-split")
+    return found.union(_compare(dealt, tasks(dealt.count()), length, similarity))
 
 
 # --------------------------------------------------------------- documents --

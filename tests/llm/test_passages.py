@@ -135,6 +135,58 @@ def test_words_put_in_or_left_out_against_brute_force(spark, max_kinds):
     assert [got[i] for i in range(len(s))] == want and len(linked) >= 15
 
 
+def test_similar_intervals_share_a_rare_shingle_and_a_common_line_is_none():
+    rng = np.random.default_rng(8)
+    line = rng.integers(1, 2**31, 30).astype(np.uint32)
+
+    def kind(own):
+        return passages._Context(np.concatenate([own[:30], line, own[30:]]), 45, 46)
+
+    own = [rng.integers(1, 2**31, 61).astype(np.uint32) for _ in range(50)]
+    heavy = line.copy()
+    narrow = [set(passages.rare_shingles(kind(x), heavy, 46, 0.8)[0].tolist()) for x in own]
+    assert not any(n & set(line.tolist()) for n in narrow)                      # the line joins no part
+    assert not any(narrow[i] & narrow[j] for i in range(50) for j in range(i))
+    for x in own:
+        changed = x.copy()
+        changed[27:30] = rng.integers(1, 2**31, 3)
+        a, b = kind(x), kind(changed)
+        assert passages.similar(a, b, 46, 0.8)
+        for i in (0, 1):
+            assert set(passages.rare_shingles(a, heavy, 46, 0.8)[i].tolist()) & set(passages.rare_shingles(b, heavy, 46, 0.8)[i].tolist())
+
+
+def test_no_group_is_unbounded(spark, monkeypatch):
+    """Many kinds around one node that all share a line: every group compared stays small, and the similar pairs are found."""
+    rng = np.random.default_rng(4)
+    line, rows = rng.integers(1, 2**31, 38).astype(np.uint32), []
+    for i in range(120):
+        own = rng.integers(1, 2**31, 53).astype(np.uint32)
+        for k in range(2 if i % 10 == 0 else 1):
+            rows.append((7, 7, 2 * i + k, 2 * i + k, 45, bytearray(np.concatenate([own[:26], line, own[26:52], own[52:] + np.uint32(k)]).tobytes())))
+    kinds = spark.createDataFrame(rows, passages._KIND)
+    sizes, inner = [], passages._compare
+
+    def compare(kinds, *a):
+        sizes.extend(r["count"] for r in kinds.groupBy("g").count().collect())
+        return inner(kinds, *a)
+
+    monkeypatch.setattr(passages, "_compare", compare)
+    got = {(min(r.kind_a, r.kind_b), max(r.kind_a, r.kind_b)) for r in passages._verified(kinds, 46, 0.8, 20).collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(0, 120, 10)} == got
+    assert max(sizes) <= 40
+
+
+def test_blocks_meet_all_pairs_once(spark):
+    kinds = spark.createDataFrame([(5, i, 100) for i in range(100)], "g long, kind long, count long")
+    groups = {}
+    for r in passages._in_blocks(kinds, 15).collect():
+        groups.setdefault(r.g, []).append((r.kind, r.side))
+    met = [tuple(sorted((a, b))) for rows in groups.values() for i, (a, x) in enumerate(rows) for b, y in rows[:i]
+           if x != y or len({s for _, s in rows}) == 1]
+    assert len(met) == len(set(met)) == 100 * 99 // 2 and max(map(len, groups.values())) < 60
+
+
 def test_comparison_counts_moved_words():
     rng = np.random.default_rng(0)
     a = rng.integers(1, 2**31, 91).astype(np.uint32)
