@@ -4,7 +4,7 @@ Documents become pieces of at most ``capacity`` tokens.  Pieces are dealt into
 groups of bounded size; each group packs its pieces best-fit, longest first.
 Bins that are nearly full are emitted.  The underfull rest are the items of the
 next round, in fewer groups (a tree), and so on until one group is left or a
-round no longer saves bins.  A bin carries its pieces along (each has a token at
+round in as many groups saves no bin.  A bin carries its pieces along (each has a token at
 least, so a bin holds ``capacity`` pieces at most).
 """
 
@@ -124,7 +124,7 @@ def _pack_round(items: DataFrame, level: int, capacity: int, kind: str) -> DataF
                 at += next(it)
             ends.append(at)
         pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lists.flatten())
-        name = [(level << 56) | (g << 32) | i for i in range(len(bins))]
+        name = [(level << 52) | (g << 32) | i for i in range(len(bins))]
         return pa.table([pa.array([sum(fills[i] for i in b) for b in bins], pa.int64()), pieces, pa.array(name, pa.int64())],
                         names=["fill", "pieces", "name"])
 
@@ -160,8 +160,8 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", cap
             full.append(packed)
             break
         full.append(packed.filter(F.col("fill") >= capacity - slack))
-        groups = max(-(-groups // fan_in), -(-left // (4 * group_rows)))
-        if level > 1 and left > 0.98 * before:          # the rest no longer fits together
+        merged, groups = groups, max(-(-groups // fan_in), -(-left // (4 * group_rows)))
+        if groups >= merged and left == before:         # no bin saved, no larger groups: the rest no longer fits together
             full.append(rest)
             break
     out = None

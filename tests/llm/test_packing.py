@@ -50,6 +50,15 @@ def test_many_rounds(docs, rows):
     assert used <= least * 1.05 + 2
 
 
+def test_rounds_go_on_while_they_save_bins(spark):
+    """Few of many open bins fit together, so that each round saves little."""
+    rows = [(i, " a" * (45 if i % 25 == 0 else 60)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = packing.pack_documents(df, capacity=100, group_rows=10, fan_in=2, slack=2).collect()
+    assert len(out) == 800 and {r.length for r in out} == {46, 61}
+    assert len({r.sequence_id for r in out}) <= 768 + 16 + 3
+
+
 def test_only_longer_documents_are_cut():
     assert packing.cut(range(5), 8) == [(0, 5)]
     assert packing.cut(range(8), 8) == [(0, 8)]
