@@ -106,8 +106,8 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
     p = len(features)
     mom = _class_moments(data, features, label)
     classes = sorted(mom)
-    # the test rows feed two consumers (fold statistics, scoring): keep them
-    test = split_strat_shuffle(data, folds, test_size, seed, key, label, keep=features).persist()
+    # a filter of a written table: both consumers (fold statistics, scoring) read its files
+    test = split_strat_shuffle(data, folds, test_size, seed, key, label, keep=features)
 
     # per fold and class: count, centred sum and sum of squares of the test rows
     aggs = []
@@ -155,6 +155,8 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
     fold_stats = train.select(*fold_cols)
     if folds <= MAX_BROADCAST_FOLDS:
         fold_stats = F.broadcast(fold_stats)
+    else:
+        fold_stats = fold_stats.hint("merge")
 
     scored = test.join(fold_stats, "fold")
     scores = []

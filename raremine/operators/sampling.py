@@ -48,31 +48,54 @@ def stratified_test_sizes(counts: dict, test_size: float | int) -> dict:
     return sizes
 
 
-def _per_class(label: Column, values: dict) -> Column:
+def _per_class(label: Column, values: dict, otherwise=0) -> Column:
     expr = None
     for c, v in sorted(values.items()):
         expr = (F.when(label == F.lit(c), F.lit(v)) if expr is None
                 else expr.when(label == F.lit(c), F.lit(v)))
-    return expr.otherwise(F.lit(0))
+    return expr.otherwise(F.lit(otherwise))
 
 
-def smallest_keys(df: DataFrame, groups: Sequence[str], size: Column, order: Sequence[str]) -> DataFrame:
+#: Width, in standard deviations of a binomial count, of the band of digests
+#: that surely (checked by counts) holds the wanted row of a group.
+BAND_SIGMAS = 6.0
+_DIGITS = 13
+
+
+def _digest_prefix(share: float) -> str:
+    """The first hex digits below which a ``share`` of all digests lies."""
+    if share >= 1.0:
+        return "g"                                    # above every digest
+    return format(int(max(share, 0.0) * 16 ** _DIGITS), f"0{_DIGITS}x")
+
+
+def digest_band(size: int, count: int) -> tuple[str, str]:
+    """(low, high) digest prefixes between which the ``size``-th smallest of
+    ``count`` random digests lies, but for about one case in 10^9.  The band
+    holds some 12 * sqrt(size) rows, however many rows there are."""
+    share = size / count
+    margin = (BAND_SIGMAS * math.sqrt(max(size * (1 - share), 1.0)) + BAND_SIGMAS ** 2) / count
+    return _digest_prefix(share - margin), _digest_prefix(share + margin)
+
+
+def smallest_keys(df: DataFrame, groups: Sequence[str], size: Column, order: Sequence[str],
+                  low: Column | None = None, n_groups: int = 1) -> DataFrame:
     """``(*groups, _last_0, _last_1, ...)``: per group the ``size``-th smallest
     value of ``order``, whose first column is a hex digest.
 
-    Rows are counted by the digest's first two digits (partial aggregation, at
-    most 256 counts a group); the running count shows in which of them the
-    wanted row lies, and only rows there, 1/256 of all, are ranked.  ``size``
-    may use the group columns; groups of size zero have no row."""
-    digit = F.substring(order[0], 1, 2)
-    counts = df.groupBy(*groups, digit.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_d"))
-    bounds = (counts.withColumn("_upto", upto).withColumn("_size", size)
-              .filter((F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size")))
-              .select(*groups, "_d", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_rank")))
-    edge = df.select(*groups, *order).withColumn("_d", digit).join(bounds, [*groups, "_d"])
-    ranked = edge.withColumn("_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-    return (ranked.filter(F.col("_rn") == F.col("_rank"))
+    Rows below ``low`` (a digest prefix, may use the group columns; default:
+    none) are only counted, by partial aggregation; the others are ranked.
+    The counts, one row for each of ``n_groups`` groups, are broadcast if they
+    are few; the ranked rows never are.  Groups of size zero, and groups whose row is not among the ranked ones,
+    have no row."""
+    below = F.col(order[0]) < (low if low is not None else F.lit(""))
+    counts = df.groupBy(*groups).agg(F.count_if(below).alias("_below"))
+    ranked = (df.filter(~below).select(*groups, *order)
+              .withColumn("_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))))
+    counts = counts.withColumn("_size", size)
+    counts = F.broadcast(counts) if n_groups <= MAX_BROADCAST_GROUPS else counts.hint("merge")
+    return (ranked.join(counts, list(groups))
+            .filter(F.col("_rn") == F.col("_size") - F.col("_below"))
             .select(*groups, *[F.col(c).alias(f"_last_{i}") for i, c in enumerate(order)]))
 
 
@@ -89,18 +112,32 @@ def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
     ``(fold, key, label, *keep)``.  Each (fold, class) keeps its n_test(class)
     rows of smallest md5 key.
 
-    Plan: the exact threshold key of every (fold, class) comes from counts
-    (``smallest_keys``); the test rows are then a filter of the exploded rows
-    against that table, so rows are neither sorted nor shuffled."""
+    Plan: rows are exploded by fold and hashed once; those whose digest lies
+    below the class's band (``digest_band``), little more than the test rows,
+    are written to the shared scratch folder.  Threshold rows come from that
+    table, and the test rows are a filter of it against one row per
+    (fold, class).  If a threshold lies outside its band, which the count of
+    threshold rows tells, the split is done again without bands."""
+    from raremine.session import written
+
     counts = class_counts(df, label)
-    sizes = stratified_test_sizes(counts, test_size)
+    sizes = {c: n for c, n in stratified_test_sizes(counts, test_size).items() if n > 0}
     base = spread(df.select(key, label, *keep), key)
     expanded = (base.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
                 .withColumn("_h", hash_key(seed, F.col("fold"), F.col(key))))
-    last = smallest_keys(expanded, ["fold", label], _per_class(F.col(label), sizes), ["_h", key])
-    if folds * len(sizes) <= MAX_BROADCAST_GROUPS:
-        last = F.broadcast(last)
-    return expanded.join(last, ["fold", label]).filter(_up_to_last(["_h", key])).select("fold", key, label, *keep)
+    if not sizes:
+        return expanded.filter(F.lit(False)).select("fold", key, label, *keep)
+    bands = {c: digest_band(n, counts[c]) for c, n in sizes.items()}
+    for banded in (True, False):
+        high = {c: v[1] if banded else "g" for c, v in bands.items()}
+        low = {c: v[0] if banded else "" for c, v in bands.items()}
+        near = written(expanded.filter(F.col("_h") < _per_class(F.col(label), high, "")), "split")
+        last = written(smallest_keys(near, ["fold", label], _per_class(F.col(label), sizes), ["_h", key],
+                                     _per_class(F.col(label), low, ""), folds * len(sizes)), "thresholds")
+        if last.count() == folds * len(sizes):
+            break
+    last = F.broadcast(last) if folds * len(sizes) <= MAX_BROADCAST_GROUPS else last.hint("merge")
+    return near.join(last, ["fold", label]).filter(_up_to_last(["_h", key])).select("fold", key, label, *keep)
 
 
 def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",
@@ -126,17 +163,23 @@ def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",
 def split_holdout(df: DataFrame, test_size: float = 0.1, seed: int = SEED,
                   key: str = "id", exact: bool = True) -> DataFrame:
     """Adds ``is_test``.  exact: the ceil(test_size*n) rows of smallest md5 key,
-    told by an exact threshold key read off counts (rows stay where they are);
-    otherwise a hash threshold (approximate size)."""
+    told by an exact threshold key (rows stay where they are; only the rows of
+    a narrow digest band, see ``digest_band``, are ranked); otherwise a hash
+    threshold (approximate size)."""
     h = hash_key(seed, F.col(key))
     if not exact:
         u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
         return df.withColumn("is_test", u < F.lit(test_size))
-    n_test = math.ceil(test_size * df.count())
-    hashed = df.withColumn("_h", h)
-    last = smallest_keys(hashed.withColumn("_all", F.lit(0)), ["_all"], F.lit(n_test), ["_h", key]).first()
-    if last is None:
+    n = df.count()
+    n_test = math.ceil(test_size * n)
+    if n_test == 0:
         return df.withColumn("is_test", F.lit(False))
+    hashed = df.withColumn("_h", h)
+    low, high = digest_band(n_test, n)
+    near = hashed.select("_h", key).filter(F.col("_h") < F.lit(high)).withColumn("_all", F.lit(0))
+    last = smallest_keys(near, ["_all"], F.lit(n_test), ["_h", key], F.lit(low)).first()
+    if last is None:                                   # the row lies outside the band: rank all
+        last = smallest_keys(hashed.withColumn("_all", F.lit(0)), ["_all"], F.lit(n_test), ["_h", key]).first()
     top, value = F.lit(last["_last_0"]), F.lit(last["_last_1"])
     return hashed.withColumn("is_test", (F.col("_h") < top) | ((F.col("_h") == top) & (F.col(key) <= value))).drop("_h")
 

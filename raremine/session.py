@@ -56,6 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df, name: str):
+    """``df`` written once as Parquet in the shared scratch folder and read
+    back: every later use reads columns of files (with honest sizes), and a
+    lost executor costs nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives
     executor loss), never a local one.  The frame is persisted while it is

@@ -1,7 +1,7 @@
 import importlib.util
 import os
 
-from conftest import ROOT
+from helpers import ROOT
 
 
 def _entry():

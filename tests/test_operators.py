@@ -323,3 +323,25 @@ def test_knn_refuses_missing_coordinates(spark):
 def test_select_percentile_counts_undefined_scores(spark):
     df = spark.createDataFrame([(f"f{i}", float(i) if i > 4 else None) for i in range(10)], "feature string, f double")
     assert sorted(r.feature for r in ST.select_percentile(df, 30.0).collect()) == ["f7", "f8", "f9"]
+
+
+def test_split_strat_shuffle_never_broadcasts_exploded_rows(spark):
+    """1000 folds: the build side of every broadcast join is the table of
+    thresholds, whatever Spark estimates for the exploded rows."""
+    df = spark.range(300).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7 == 0).cast("double").alias("label"))
+    test = S.split_strat_shuffle(df, 1000)
+    assert test.count() == 1000 * 30
+    plan = test._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "explode" not in plan        # a filter of written rows
+    joins = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert len(joins) == 1 and "rightHint=(strategy=broadcast)" in joins[0]
+
+
+def test_split_with_thresholds_outside_the_band(spark, monkeypatch):
+    """A band that holds no threshold: everything is ranked, with the same result."""
+    df = spark.range(200).select(F.col("id").cast("string").alias("id"), (F.col("id") % 5 == 0).cast("double").alias("label"))
+    want = {(r.fold, r.id) for r in S.split_strat_shuffle(df, 9).collect()}
+    held = {r.id for r in S.split_holdout(df, 0.3).filter("is_test").collect()}
+    monkeypatch.setattr(S, "digest_band", lambda size, count: ("0", "0000000000001"))
+    assert {(r.fold, r.id) for r in S.split_strat_shuffle(df, 9).collect()} == want and len(want) == 9 * 20
+    assert {r.id for r in S.split_holdout(df, 0.3).filter("is_test").collect()} == held and len(held) == 60

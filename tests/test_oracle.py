@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import SMALL
+from helpers import SMALL
 from helpers import rows
 from raremine.plans import catalog
 

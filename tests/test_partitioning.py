@@ -4,7 +4,7 @@ must not depend on the number of shuffle partitions or input splits."""
 
 import pytest
 
-from conftest import SMALL
+from helpers import SMALL
 from helpers import rows
 from raremine.plans import catalog
 

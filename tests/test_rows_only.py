@@ -5,7 +5,7 @@ import math
 
 import pytest
 
-from conftest import SMALL
+from helpers import SMALL
 from raremine.plans import catalog
 
 KEYS = sorted(set(catalog.QUERIES) - set(catalog.SQL))
