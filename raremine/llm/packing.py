@@ -11,9 +11,11 @@ least, so a bin holds ``capacity`` pieces at most).
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +32,21 @@ GROUP_ROWS, FAN_IN, SLACK = 50_000, 8, 8
 _PIECE = "struct<id: {key}, piece: int, start: long, length: long, crc: long>"
 
 
-def public_encoder(rank_file: str | None = None):
-    """Encoder of the byte-level BPE vocabulary.  The rank file holds the same
-    vocabulary as ``byte_bpe_50k.json`` and gives the same ids as the
-    ``tokenizers`` library with special tokens read as plain text, in a
-    fifth of the time."""
+def public_encoder(rank_file: str | None = None, vocabulary: str | None = None):
+    """A function text -> ids for the byte-level BPE vocabulary, as the
+    ``tokenizers`` library gives them for ``byte_bpe_50k.json`` without added
+    special tokens: the strings of its added tokens inside a text are one id
+    each.  The merges run on the rank file, which holds the same vocabulary, in
+    a fifth of that library's time."""
     import public_tokenizers
     import tiktoken
 
-    path = rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    with open(path, "rb") as f:
+    with open(vocabulary or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    with open(rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return partial(encoding.encode, allowed_special=set(added), disallowed_special=())
 
 
 def cut(ids, capacity: int):
@@ -53,13 +58,13 @@ def cut(ids, capacity: int):
 
 
 def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-                 rank_file: str | None = None) -> DataFrame:
+                 rank_file: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """(key, piece, start, length, crc) per piece of every row; a null text is
     empty and makes one piece that holds the end id alone."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
     def run(batches):
-        encode = public_encoder(rank_file).encode_ordinary
+        encode = public_encoder(rank_file, vocabulary)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
@@ -133,7 +138,7 @@ def _pack_round(items: DataFrame, level: int, capacity: int, kind: str) -> DataF
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
                    group_rows: int = GROUP_ROWS, fan_in: int = FAN_IN, slack: int = SLACK,
-                   rank_file: str | None = None) -> DataFrame:
+                   rank_file: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """(key, piece, start, length, ids_crc32, sequence_id, offset) per piece.
 
     Nulls are empty texts (the end id alone); null keys are keys like any
@@ -141,7 +146,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", cap
     result; further columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
-    pieces = written(token_pieces(docs, key, text, capacity, rank_file), "pieces")
+    pieces = written(token_pieces(docs, key, text, capacity, rank_file, vocabulary), "pieces")
     piece = F.struct("id", "piece", "start", "length", "crc")
     rows = pieces.select(F.col("length").alias("fill"), F.array(piece).alias("pieces"),
                          F.xxhash64("id", "piece", "crc").alias("name"))

@@ -5,7 +5,8 @@ import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-SMALL = "/root/testdata/sf0.001"
+
+from llm_helpers import SMALL  # noqa: E402
 
 
 def texts():

@@ -3,7 +3,7 @@ import re
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SMALL
+from llm_helpers import SMALL
 
 from raremine.llm import decontaminate, queries
 

@@ -12,7 +12,6 @@ from raremine.llm import packing
 
 def library_ids(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids + [2] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -44,6 +43,14 @@ def test_pieces_are_those_of_the_library_and_bins_are_tight(docs, rows):
     assert used <= least * 1.02 + 2
 
 
+def test_special_strings_inside_texts(spark):
+    e = "<|endoftext|>"
+    texts = [e, e + e, f"a {e} b", f"{e} a", f"a{e}", f"in{e}side {e}", f" {e} ", "<|endoftext", "<|ENDOFTEXT|>", f"<|{e}|>",
+             f"\n{e}\n\n{e} x", "<|endoftext |>", f"it's{e}'s"]
+    rows = list(enumerate(texts))
+    check(packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), capacity=7).collect(), rows, 7)
+
+
 def test_many_rounds(docs, rows):
     out = packing.pack_documents(docs, capacity=200, group_rows=12, fan_in=3, slack=2).collect()
     used, least = check(out, rows, 200)

@@ -2,7 +2,7 @@ import re
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SMALL
+from llm_helpers import SMALL
 from test_decontaminate import brute as contaminated
 from test_packing import check as check_packing
 from test_pii import brute as personal

@@ -1,7 +1,7 @@
 import duckdb
 import pandas as pd
 import pytest
-from conftest import SMALL
+from llm_helpers import SMALL
 
 import __spark_entry__
 from raremine.llm import queries

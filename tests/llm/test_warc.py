@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pyarrow.parquet as pq
 import pytest
 import zstandard
-from conftest import SMALL
+from llm_helpers import SMALL
 
 from raremine.llm import warc
 
