@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raremine.llm import decontaminate, extraction, oracle, packing, passages, pii, quality, sharding, simhash, suffix_dedup, warc
+from raremine.llm import decontaminate, extraction, oracle, packing, passages, pii, quality, sharding, simhash, suffix_dedup, token_counts, warc
 from raremine.sources.tables import read_table
 
 SHARDS = 40
@@ -64,5 +64,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op5_passages, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing)}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op5_passages, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing, op11_token_counts)}
 SQL = dict(oracle.SQL)
