@@ -1,6 +1,6 @@
 """Token counts of whole texts by overlap resynchronisation.
 
-Texts of at most ``chunk`` characters are encoded whole.  A longer one is cut
+Texts of at most ``chunk`` bytes need no splices.  A longer one is cut
 into chunks that overlap; chunks are rows of their own, so one huge document is
 encoded by many tasks.  Two chunks are spliced at a place that is proven to be
 a token boundary of the whole text:
@@ -22,6 +22,7 @@ again with chunks and overlaps four times as long, until a chunk holds it all.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 
@@ -31,12 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raremine.llm.store import written
+from raremine.llm.textops import NOT_SPACE, text_blocks, word_spans
 
 #: Characters of a chunk, characters that two chunks share, characters of the
 #: left chunk behind a splice (more than any special string has).
 CHUNK, OVERLAP, MARGIN = 1 << 16, 1 << 9, 64
 LIMIT = 2048
 WIDER = 4
+#: Stretches whose counts a task remembers.
+KNOWN = 400_000
+#: Fixed value: the word pattern of the vocabulary file.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _cache: dict = {}
 
@@ -91,19 +97,54 @@ def word_starts(encoding, text: str, lo: int, hi: int):
     return places, before
 
 
+def cut_by_space(tokenizer) -> bool:
+    """Whether ASCII white space is a proven boundary for this tokenizer, on
+    both sides of which texts are encoded on their own: words are the matches of
+    a pattern that takes no white space, nothing but them is kept, the
+    normaliser changes white space and single characters only (and no character
+    combines with white space), and no special string holds any."""
+    parts = json.loads(tokenizer.to_str())
+    normal, words = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
+    steps = [(x["type"], x.get("pattern"), x.get("content")) for x in normal.get("normalizers", [])]
+    split = (words.get("pretokenizers") or [{}])[0]
+    return (steps == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+            and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
+            and split.get("pattern") == {"Regex": WORD_PATTERN}
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or set(t["content"]) & set(" \t\n\v\f\r")
+                        for t in parts["added_tokens"]))
+
+
 def _count_short(rows: DataFrame, vocabulary: str | None) -> DataFrame:
-    """(id, n_bytes, n_tokens) of texts that are encoded whole."""
+    """(id, n_bytes, n_tokens) of texts that need no splices.  If white space is
+    a proven boundary, the distinct stretches between white space of many texts
+    are encoded, each once, and their counts added up; else whole texts are."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         tokenizer = public_tokenizer(vocabulary)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = part.column(1).to_pylist()
-                n = [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64())],
-                                                 names=["id", "n_bytes", "n_tokens"])
+        apart = cut_by_space(tokenizer)
+        known: dict[str, int] = {}
+
+        def encoded(texts):
+            return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        for part, data, offs in text_blocks(batches):
+            if apart:
+                start, end, per_text = word_spans(data, offs, NOT_SPACE)
+                ends = np.append(0, np.cumsum(end - start)).astype(np.int64)
+                found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(data[NOT_SPACE[data]])).dictionary_encode()
+                distinct = found.dictionary.to_pylist()
+                if len(known) > KNOWN:
+                    known.clear()
+                new = [w for w in distinct if w not in known]
+                for lo in range(0, len(new), 4096):
+                    known.update(zip(new[lo:lo + 4096], encoded(new[lo:lo + 4096])))
+                counts = np.array([known[w] for w in distinct], np.int64)
+                upto = np.append(0, np.cumsum(counts[found.indices.to_numpy()])) if len(distinct) else np.zeros(1, np.int64)
+                n = upto[per_text[1:]] - upto[per_text[:-1]]
+            else:
+                n = encoded(part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     return rows.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
 

@@ -59,6 +59,18 @@ def test_splices_are_token_boundaries_of_the_whole(library):
         assert at_left & at_right <= whole
 
 
+def test_white_space_is_a_boundary_for_this_vocabulary_only(spark, library):
+    """Texts without splices: by distinct stretches or, for another vocabulary, whole."""
+    assert T.cut_by_space(library)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    assert not T.cut_by_space(other)
+    texts = [t[:3000] for t in hard_texts()] + [" lead", "trail \x1c\x85\u2003x", "a\u0301 \u0301b", "<|endoftext|> <|endoftext|>x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert counted(T.count_tokens(df)) == brute(library, list(enumerate(texts)))
+    assert counted(T.count_tokens(df, vocabulary=path)) == brute(other, list(enumerate(texts)))
+
+
 def test_overlaps_widen(spark, library, monkeypatch):
     """One word longer than chunk and overlap: rounds go on until a chunk holds it."""
     seen = []
