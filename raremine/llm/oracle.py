@@ -35,4 +35,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, C
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)"""
 
-SQL = {"op3_warc": OP3, "op9_decontamination": OP9}
+_PIECES = f"regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')"
+
+OP12 = f"""
+WITH p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+grams AS (SELECT lang, w[i:i + size - 1] AS ws FROM p, range(1, 4) s(size), unnest(range(1, len(w) - size + 2)) t(i)),
+f AS (SELECT lang, ws, count(*) AS n FROM grams GROUP BY lang, ws HAVING count(*) >= 10),
+c AS (SELECT * FROM f WHERE len(ws) > 1),
+cuts AS (SELECT c.lang, c.ws, c.n AS a, k, l.n AS l, r.n AS r,
+                CAST((CAST(1000000 AS HUGEINT) * c.n * c.n) // (CAST(l.n AS HUGEINT) * r.n) AS BIGINT) AS score
+         FROM c, range(1, 3) t(k), f l, f r
+         WHERE k < len(c.ws) AND l.lang = c.lang AND l.ws = c.ws[1:k] AND r.lang = c.lang AND r.ws = c.ws[k + 1:]),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) AS o FROM cuts) WHERE o = 1),
+inside AS (SELECT lang, ws, max(n) AS n FROM (SELECT lang, ws[1:2] AS ws, n FROM c WHERE len(ws) = 3
+           UNION ALL SELECT lang, ws[2:3] AS ws, n FROM c WHERE len(ws) = 3) GROUP BY lang, ws),
+kept AS (SELECT b.*, array_to_string(b.ws, ' ') AS phrase FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.ws = b.ws
+         WHERE i.n IS NULL OR 100 * i.n < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+SQL = {"op3_warc": OP3, "op9_decontamination": OP9, "op12_phrases": OP12}

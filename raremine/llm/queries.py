@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raremine.llm import decontaminate, extraction, oracle, packing, passages, pii, quality, sharding, simhash, suffix_dedup, token_counts, warc
+from raremine.llm import decontaminate, extraction, oracle, packing, passages, phrases, pii, quality, sharding, simhash, spelling, suffix_dedup, token_counts, warc
 from raremine.sources.tables import read_table
 
 SHARDS = 40
@@ -68,5 +68,13 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op5_passages, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing, op11_token_counts)}
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_forms(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_suffix_dedup, op3_warc, op4_quality, op5_passages, op6_pii, op7_extraction, op8_simhash, op9_decontamination, op10_packing, op11_token_counts, op12_phrases, op13_spelling)}
 SQL = dict(oracle.SQL)
