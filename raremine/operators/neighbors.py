@@ -1,11 +1,19 @@
 """Exact k-nearest neighbours, the k-NN vote and borderline SMOTE.
 
-k-NN join without materialising all pairs as rows: both sides are split into
-hash blocks of bounded size; every (query block, reference block) pair is one
-cogroup task that computes distances in numpy and emits only its local top-k
-per query row.  A ``row_number() <= k`` over the (blocks x k) candidates per
-query (a partial WindowGroupLimit) gives the exact global top-k.  Ties are
-broken by the reference key, so the result does not depend on partitioning.
+k-NN join without materialising all pairs as rows.  Few rows: both sides are
+split into hash blocks of bounded size, and every (query block, reference
+block) pair is one cogroup task that computes distances in numpy and emits only
+its local top-k per query row.  Many rows: reference rows are dealt to cells by
+their nearest pivot (a bounded sample of reference rows).  A query first meets
+the cells around it; the distance of its k-th neighbour there bounds the
+search, and it then meets only cells that may hold a nearer row, by the
+triangle inequality (distances to the pivot in a cell lie between its least and
+its largest) and by the plane between two pivots.  Cells are blocks again, so
+no task depends on how many rows or queries crowd around one pivot.
+
+A ``row_number() <= k`` over the candidates per query (a partial
+WindowGroupLimit) gives the exact global top-k.  Ties are broken by the
+reference key, so the result does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -24,6 +32,9 @@ from raremine.functions.numeric import hash_key, hash_uniform
 
 BLOCK_ROWS = 2048
 _CHUNK = 64
+#: Pairs of blocks up to which all of them are compared; rows per pivot aimed
+#: at; pivots (and so numbers on the driver: pivots x columns) at most.
+DIRECT_PAIRS, PIVOT_ROWS, MAX_PIVOTS = 256, 1024, 2048
 
 
 def as_vector(columns: Sequence[str]) -> Column:
@@ -45,22 +56,29 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             raise ValueError("k-NN vectors need finite coordinates; impute or drop rows first")
         order_r = np.argsort(rid_all, kind="stable")          # tie-break by reference key
         rv, rid = rv[order_r], rid_all[order_r]
-        kk = min(k, len(rid))
+        kk = min(k + exclude_self, len(rid))
+        rn = (rv ** 2).sum(axis=1)
         out_q, out_r, out_d = [qid_all[:0]], [rid[:0]], [np.zeros(0)]
         for s in range(0, len(qid_all), _CHUNK):
-            qid = qid_all[s:s + _CHUNK]
-            d2 = ((qv[s:s + _CHUNK, None, :] - rv[None, :, :]) ** 2).sum(axis=2)
+            qid, x = qid_all[s:s + _CHUNK], qv[s:s + _CHUNK]
+            # a matrix product finds the candidates: all within its rounding error of the k-th
+            xn = (x ** 2).sum(axis=1)
+            near = xn[:, None] + rn[None, :] - 2.0 * (x @ rv.T)
+            slack = 1e-11 * (xn + rn.max() + 1e-300) * x.shape[1]
+            bound = np.partition(near, kk - 1, axis=1)[:, kk - 1] + slack
+            row, col = np.nonzero(near <= bound[:, None])
+            d2 = ((x[row] - rv[col]) ** 2).sum(axis=1)
             if exclude_self:
-                d2[qid[:, None] == rid[None, :]] = np.inf
-            # stable sort keeps the rid order among equal distances
-            idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            rows = np.repeat(np.arange(idx.shape[0]), kk)
-            cols = idx.ravel()
-            dd = d2[rows, cols]
-            ok = np.isfinite(dd)
-            out_q.append(qid[rows[ok]])
-            out_r.append(rid[cols[ok]])
-            out_d.append(dd[ok])
+                other = qid[row] != rid[col]
+                row, col, d2 = row[other], col[other], d2[other]
+            # by row, then distance; columns are in key order already, and the sort is stable
+            order = np.lexsort((d2, row))
+            row, col, d2 = row[order], col[order], d2[order]
+            first = np.searchsorted(row, np.arange(len(qid)))
+            keep = np.arange(len(row)) - first[row] < k
+            out_q.append(qid[row[keep]])
+            out_r.append(rid[col[keep]])
+            out_d.append(d2[keep])
         out = {"qid": np.concatenate(out_q), "rid": np.concatenate(out_r), "d2": np.concatenate(out_d)}
         if group:
             out = {group: np.repeat(gval, len(out["qid"])), **out}
@@ -77,43 +95,164 @@ def _max_group_count(df: DataFrame, group: str | None) -> int:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey: str = "id",
              vec: str = "v", exclude_self: bool = True, block_rows: int = BLOCK_ROWS,
-             group: str | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
+             group: str | None = None, sizes: tuple[int, int] | None = None,
+             direct_pairs: int = DIRECT_PAIRS, pivot_rows: int = PIVOT_ROWS) -> DataFrame:
     """``([group,] qid, rid, rank, dist)``: the k nearest reference rows of
     every query row by Euclidean distance (self excluded by key when
-    ``exclude_self``).  Null or non-finite coordinates raise a ValueError.  With ``group``, neighbours are searched within the
-    same group only (e.g. the training rows of one fold)."""
+    ``exclude_self``).  Null or non-finite coordinates raise a ValueError.  With
+    ``group``, neighbours are searched within the same group only (e.g. the
+    training rows of one fold).  Beyond ``direct_pairs`` pairs of blocks, cells
+    around pivots (one per ``pivot_rows`` rows) tell which blocks need not meet."""
     gcols = [group] if group else []
     # block counts from (largest group) sizes; callers that know them pass ``sizes``
     nq, nr = sizes if sizes else (_max_group_count(queries, group), _max_group_count(refs, group))
     qb, rb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nr / block_rows))
     # re-alias the group column on each side: both sides may come from the
     # same frame, and the cogroup must not see one attribute twice
-    q = (queries.select(*[F.col(g).alias(g) for g in gcols],
-                        F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
-         .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
-         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
-    r = (refs.select(*[F.col(g).alias(g) for g in gcols],
-                     F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"))
-         .withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(rb)))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    qtype = dict(q.dtypes)["qid"]
-    rtype = dict(r.dtypes)["rid"]
-    gschema = f"{group} {dict(q.dtypes)[group]}, " if group else ""
-    keys = gcols + ["qb", "rb"]
-    cand = (q.groupBy(*keys).cogroup(r.groupBy(*keys))
-            .applyInPandas(_local_topk(k, exclude_self, group), f"{gschema}qid {qtype}, rid {rtype}, d2 double"))
+    q = queries.select(*[F.col(g).alias(g) for g in gcols], F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
+    r = refs.select(*[F.col(g).alias(g) for g in gcols], F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"))
+    if qb * rb > direct_pairs and rb > 1:
+        cand = _pivot_candidates(q, r, k, exclude_self, block_rows, group, nr, pivot_rows)
+    else:
+        cand = _meet(q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))),
+                     r.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(rb))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))),
+                     ["qb", "rb"], k, exclude_self, group)
     w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(*gcols, "qid", "rid", F.col("rank").cast("int"), F.sqrt("d2").alias("dist")))
 
 
+def _meet(q: DataFrame, r: DataFrame, blocks: Sequence[str], k: int, exclude_self: bool, group: str | None) -> DataFrame:
+    """([group,] qid, rid, d2): the k nearest rows of each pair of blocks."""
+    types = dict(q.dtypes) | dict(r.dtypes)
+    keys = ([group] if group else []) + list(blocks)
+    head = f"{group} {types[group]}, " if group else ""
+    return (q.groupBy(*keys).cogroup(r.groupBy(*keys))
+            .applyInPandas(_local_topk(k, exclude_self, group), f"{head}qid {types['qid']}, rid {types['rid']}, d2 double"))
+
+
+def _to_pivots(v, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows as a matrix, and their distances to all pivots."""
+    x = np.stack(v.to_numpy()).astype(np.float64)
+    if not np.isfinite(x).all():
+        raise ValueError("k-NN vectors need finite coordinates; impute or drop rows first")
+    d2 = (x ** 2).sum(axis=1)[:, None] + (pivots ** 2).sum(axis=1)[None, :] - 2.0 * (x @ pivots.T)
+    return x, np.sqrt(np.maximum(d2, 0.0))
+
+
+def _visits(pivots: np.ndarray, cells: dict, k: int, group: str | None, second: bool):
+    """Function over query batches -> rows of (group, qid, v, cell) for every
+    cell to meet.  First round: the nearest cells that hold more than k rows
+    together.  Second round: the others whose bound is within ``theta``."""
+    gap = np.sqrt(np.maximum((pivots ** 2).sum(axis=1)[:, None] + (pivots ** 2).sum(axis=1)[None, :] - 2.0 * pivots @ pivots.T, 0.0))
+
+    def run(batches):
+        for table in batches:
+            for lo in range(0, len(table), 1024):
+                part = table.iloc[lo:lo + 1024]
+                x, d = _to_pivots(part["v"], pivots)
+                # rounding of distances from matrix products
+                slack = 1e-6 * (1.0 + np.sqrt((x ** 2).sum(axis=1).max()) + np.abs(pivots).max())
+                rows, cols = [], []
+                groups = part[group].to_numpy() if group else np.zeros(len(part), np.int64)
+                for g in dict.fromkeys(groups.tolist()):
+                    cell, count, least, most = cells.get(g, (np.zeros(0, np.int64),) * 4)
+                    if not len(cell):
+                        continue
+                    at = np.flatnonzero(groups == g)
+                    dg = d[np.ix_(at, cell)]
+                    order = np.argsort(dg, axis=1, kind="stable")
+                    have = np.cumsum(count[order], axis=1)
+                    n_home = (have < k + 1).sum(axis=1) + 1         # cells up to the one that makes it enough
+                    place = np.empty_like(order)
+                    np.put_along_axis(place, order, np.arange(len(cell))[None, :], axis=1)
+                    home = place < n_home[:, None]
+                    if second:
+                        own = order[:, 0]
+                        bound = np.maximum(dg - most[None, :], least[None, :] - dg)
+                        between = gap[np.ix_(cell[own], cell)]
+                        near = np.take_along_axis(dg, own[:, None], axis=1)
+                        with np.errstate(divide="ignore", invalid="ignore"):
+                            plane = np.where(between > 0, (dg ** 2 - near ** 2) / (2 * between), 0.0)
+                        bound = np.maximum(bound, plane) - slack
+                        take = ~home & (bound <= part["theta"].to_numpy()[at][:, None])
+                    else:
+                        take = home
+                    i, j = np.nonzero(take)
+                    rows.append(at[i])
+                    cols.append(cell[j])
+                if rows:
+                    i, c = np.concatenate(rows), np.concatenate(cols)
+                    out = part.iloc[i].drop(columns=["theta"], errors="ignore").copy()
+                    out["cell"] = c.astype(np.int32)
+                    yield out
+    return run
+
+
+def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, block_rows: int, group: str | None, nr: int,
+                      pivot_rows: int) -> DataFrame:
+    """([group,] qid, rid, d2) that hold every query's k nearest rows."""
+    from raremine.session import written
+
+    spark = q.sparkSession
+    gcols = [group] if group else []
+    wanted = min(MAX_PIVOTS, max(2, math.ceil(nr / pivot_rows)))
+    sample = r.orderBy(F.xxhash64("rid"), "rid").limit(2 * wanted).select("v").collect()     # bounded by MAX_PIVOTS
+    pivots = np.unique(np.array([x[0] for x in sample], dtype=np.float64), axis=0)
+    pivots = pivots[np.random.default_rng(SEED).permutation(len(pivots))[:wanted]]
+
+    def assign(batches):
+        for table in batches:
+            if len(table):
+                _, d = _to_pivots(table["v"], pivots)
+                out = table.copy()
+                out["cell"] = d.argmin(axis=1).astype(np.int32)
+                out["d"] = d.min(axis=1)
+                yield out
+
+    def schema(df, extra):
+        return ", ".join(f"{c} {t}" for c, t in df.dtypes) + extra
+
+    r = written(r.mapInPandas(assign, schema(r, ", cell int, d double")), "knn-cells")
+    found = r.groupBy(*gcols, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("least"), F.max("d").alias("most"))
+    table = found.toPandas()                                    # groups x pivots rows
+    cells = {}
+    for g, t in (table.groupby(group) if group else [(0, table)]):
+        cells[g] = (t["cell"].to_numpy(np.int64), t["n"].to_numpy(np.int64), t["least"].to_numpy(), t["most"].to_numpy())
+    blocks = spark.createDataFrame(table.assign(nb=-(-table["n"] // block_rows))[[*gcols, "cell", "nb"]],
+                                   ", ".join([f"{g} {dict(r.dtypes)[g]}" for g in gcols] + ["cell int, nb long"]))
+    r = (r.drop("d").join(F.broadcast(blocks), [*gcols, "cell"])
+         .withColumn("rb", F.pmod(F.xxhash64("rid"), F.col("nb"))))
+
+    def meet(visits):
+        visits = written(visits, "knn-visits")
+        chunks = visits.groupBy(*gcols, "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nc"))   # groups x pivots rows
+        mine = (visits.join(F.broadcast(blocks), [*gcols, "cell"]).join(F.broadcast(chunks), [*gcols, "cell"])
+                .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("nc")))
+                .withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))).drop("nb", "nc"))
+        theirs = (r.join(F.broadcast(chunks), [*gcols, "cell"])
+                  .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nc") - 1))).drop("nb", "nc"))
+        return _meet(mine, theirs, ["cell", "qb", "rb"], k, exclude_self, group)
+
+    first = written(meet(q.mapInPandas(_visits(pivots, cells, k, group, False), schema(q, ", cell int"))), "knn-near")
+    w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
+    kth = (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k)
+           .select(*gcols, "qid", F.sqrt("d2").alias("theta")))
+    bounded = q.join(kth, [*gcols, "qid"], "left").withColumn("theta", F.coalesce("theta", F.lit(float("inf")))).select(*q.columns, "theta")
+    second = meet(bounded.mapInPandas(_visits(pivots, cells, k, group, True), schema(q, ", cell int")))
+    return first.unionByName(second)
+
+
 def knn_vote(test: DataFrame, train: DataFrame, k: int = 5, key: str = "id", label: str = "label",
              vec: str = "v") -> DataFrame:
     """k-NN classifier: majority label of the k nearest training rows; ties
     go to the smaller label.  ``(key, label, prediction)``."""
     nn = knn_join(test.select(key, vec), train.select(key, vec), k, key, key, vec, exclude_self=False)
+    from raremine.operators.joins import salted_join
+
     lab = train.select(F.col(key).alias("rid"), F.col(label).alias("_nl"))
-    votes = nn.join(lab, "rid").groupBy("qid", "_nl").agg(F.count(F.lit(1)).alias("_votes"))
+    # a "hub" row can be a neighbour of many queries: salt its key
+    votes = salted_join(nn, lab, ["rid"], "inner").groupBy("qid", "_nl").agg(F.count(F.lit(1)).alias("_votes"))
     best = votes.groupBy("qid").agg(F.max_by("_nl", F.struct(F.col("_votes"), -F.col("_nl"))).alias("prediction"))
     return (test.select(key, label).join(best, test[key] == best["qid"], "left")
             .select(key, label, "prediction"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from raremine.functions.numeric import round_doubles
-from raremine.plans import catalog_models, catalog_tabular, catalog_text
+from raremine.plans import catalog_linear, catalog_models, catalog_tabular, catalog_text
 from raremine.plans import oracle as O
 from raremine.plans.evaluate import eval_shuffle_cv_gnb
 from raremine.plans.standins import NUMERIC
@@ -27,7 +27,7 @@ def q_eval_shuffle_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"eval_shuffle_cv": q_eval_shuffle_cv}
 SQL = {"eval_shuffle_cv": O.sql_eval_shuffle_cv(EVAL_FOLDS)}
 
-for _mod in (catalog_tabular, catalog_models, catalog_text):
+for _mod in (catalog_tabular, catalog_models, catalog_linear, catalog_text):
     QUERIES.update(_mod.Q)
     SQL.update(_mod.SQL)
 

@@ -17,6 +17,7 @@ from raremine.operators import learners as L
 from raremine.operators import metrics as M
 from raremine.operators import neighbors as NB
 from raremine.operators import sampling as S
+from raremine.operators import trees as TR
 from raremine.operators.models import gnb_fit, gnb_predict
 from raremine.plans import oracle as O
 from raremine.plans.catalog_tabular import FEATS, pdata
@@ -151,7 +152,17 @@ def _ml_holdout(name, **params):
 register("clf_logistic")(_ml_holdout("logistic", C=1.0))
 register("clf_linear_svc")(_ml_holdout("linear_svc", C=1.0, balanced=True))
 register("clf_random_forest")(_ml_holdout("random_forest", numTrees=20, maxDepth=5))
-register("clf_boosted_trees")(_ml_holdout("boosted_trees", maxDepth=3, stepSize=0.05, maxIter=20))
+BOOSTED = dict(max_depth=3, step=0.05, max_iter=50)
+
+
+@register("clf_boosted_trees")
+def q_clf_boosted_trees(spark, sf):
+    """Boosted trees that stop early: a tenth of the training rows tells when
+    the loss no longer falls."""
+    h = _holdout(spark, sf)
+    model = TR.fit_boosted(h.filter(~F.col("is_test")), NUMERIC, **BOOSTED)
+    pred = model.transform(L.assemble(h.filter("is_test"), NUMERIC))
+    return pred.select("id", "label", F.col("prediction").cast("double"))
 
 
 @register("clf_kernel_svc")
@@ -163,27 +174,25 @@ def q_clf_kernel_svc(spark, sf):
     return pred
 
 
-def _gbt_model(spark, sf):
+def _split_counts(spark, sf) -> DataFrame:
+    """(feature, importance) of boosted trees fitted on 70 % of the rows."""
     h = _holdout(spark, sf, 0.3)
-    _, _, model = L.fit_predict("boosted_trees", h.filter(~F.col("is_test")), h.filter("is_test"), NUMERIC,
-                                maxDepth=3, stepSize=0.05, maxIter=20)
-    return model
+    model = TR.fit_boosted(h.filter(~F.col("is_test")), NUMERIC, **BOOSTED)
+    return TR.split_counts(TR.tree_nodes(model, spark), NUMERIC)
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    imp = _gbt_model(spark, sf).featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(NUMERIC, imp) if v > 0]
-    return r(spark.createDataFrame(rows, "feature string, importance double"))
+    """How many nodes of the trees split on each feature; features that no node
+    uses are left out, as in the reference."""
+    return _split_counts(spark, sf)
 
 
 @register("select_by_importance")
 def q_select_by_importance(spark, sf):
-    """Keep features whose importance is above 10 % of the largest (joined on
+    """Keep features whose split count is above 10 % of the largest (joined on
     the feature name, not on sorted positions)."""
-    imp = _gbt_model(spark, sf).featureImportances.toArray()
-    fi = spark.createDataFrame([(f, float(v)) for f, v in zip(NUMERIC, imp)], "feature string, importance double")
-    rel = FE.relative_importance(fi, "importance")
+    rel = FE.relative_importance(_split_counts(spark, sf), "importance")
     return r(rel.filter(F.col("relative") > 10.0))
 
 
@@ -364,31 +373,52 @@ def q_nested_search(spark, sf):
 
 @register("tree_holdout_eval")
 def q_tree_holdout_eval(spark, sf):
-    """70/30 hold-out, boosted trees: AUC (hard labels, as the reference),
-    F1, precision, recall."""
+    """70/30 hold-out, boosted trees with early stopping: AUC (hard labels, as
+    the reference), F1, precision, recall, rounds kept, and per feature its
+    split count relative to the largest."""
     h = _holdout(spark, sf, 0.3)
-    pred, _, _ = L.fit_predict("boosted_trees", h.filter(~F.col("is_test")), h.filter("is_test"), NUMERIC,
-                               maxDepth=3, stepSize=0.05, maxIter=20)
+    model = TR.fit_boosted(h.filter(~F.col("is_test")), NUMERIC, **BOOSTED)
+    pred = (model.transform(L.assemble(h.filter("is_test"), NUMERIC))
+            .select("id", "label", F.col("prediction").cast("double").alias("prediction")))
     auc = M.roc_auc(pred, "label", "prediction").first()["auc"]
-    return r(M.f1_prec_rec(pred).withColumn("auc", F.lit(auc).cast("double")))
+    counts = TR.split_counts(TR.tree_nodes(model, spark), NUMERIC)
+    importance = FE.relative_importance(counts, "importance").select(
+        F.sort_array(F.collect_list(F.struct("feature", "importance", det_round("relative", 6).alias("relative")))).alias("importances"))
+    scores = r(M.f1_prec_rec(pred).withColumn("auc", F.lit(auc).cast("double"))).withColumn("rounds", F.lit(model.getNumTrees))
+    return scores.crossJoin(F.broadcast(importance))         # one row each
+
+
+def boost_round_cv(data: DataFrame, features, k: int = 3, max_iter: int = 20, max_depth: int = 3, step: float = 0.05) -> DataFrame:
+    """(round, train_auc, test_auc, train_loss, test_loss): means over k
+    stratified folds after every boosting round.  Every fold is fitted once;
+    scores per round are the running margins of its tree prefixes."""
+    from raremine.session import written
+
+    folded = written(S.split_strat_kfold(L.assemble(data, features), k), "folds")
+    staged = None
+    for f in range(k):
+        model = TR.fit_boosted(folded.filter(F.col("fold") != f), features, max_iter=max_iter, max_depth=max_depth, step=step, validation_share=None)
+        part = TR.staged_margins(folded.withColumn("part", F.when(F.col("fold") == f, "test").otherwise("train")),
+                                 TR.tree_nodes(model, data.sparkSession))
+        part = part.select(F.lit(f).alias("split"), "part", "label", F.posexplode("margins").alias("i", "score"))
+        staged = part if staged is None else staged.unionByName(part)
+    # scored once: the trees run in Python, and both measures read the scores
+    staged = written(staged.select("split", "part", "label", (F.col("i") + 1).alias("round"), "score"), "margins")
+    auc = M.roc_auc(staged, "label", "score", ["split", "part", "round"])
+    y = F.col("label") * 2 - 1
+    loss = staged.groupBy("split", "part", "round").agg(F.avg(2 * F.log1p(F.exp(-2 * y * F.col("score")))).alias("loss"))
+    both = auc.join(loss, ["split", "part", "round"])
+    return both.groupBy("round").agg(*[F.avg(F.when(F.col("part") == part, F.col(m))).alias(f"{part}_{m}")
+                                       for m in ("auc", "loss") for part in ("train", "test")])
 
 
 @register("boost_round_cv")
 def q_boost_round_cv(spark, sf):
-    """Mean train/test log-loss per boosting round over 3 folds, and the best
-    round (least mean test loss)."""
-    data = L.assemble(pdata(spark, sf), NUMERIC)
-    folded = S.split_strat_kfold(data, 3).cache()
-    rows = []
-    for f in range(3):
-        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
-        model = L.make_estimator("boosted_trees", maxDepth=3, stepSize=0.05, maxIter=20).fit(tr)
-        for i, (a, b) in enumerate(zip(model.evaluateEachIteration(tr), model.evaluateEachIteration(te))):
-            rows.append((f, i + 1, float(a), float(b)))
-    df = spark.createDataFrame(rows, "fold int, round int, train_loss double, test_loss double")
-    per = df.groupBy("round").agg(F.avg("train_loss").alias("train_loss"), F.avg("test_loss").alias("test_loss"))
-    best = per.agg(F.min_by("round", "test_loss").alias("best_round")).first()["best_round"]
-    return r(per.withColumn("is_best", F.col("round") == F.lit(best)))
+    """Mean train/test AUC and log-loss per boosting round over 3 folds, and the
+    best round (largest mean test AUC, the first of equals)."""
+    per = r(boost_round_cv(pdata(spark, sf), NUMERIC)).cache()
+    best = per.agg(F.min_by("round", F.struct(-F.col("test_auc"), "round"))).first()[0]
+    return per.withColumn("is_best", F.col("round") == F.lit(best))
 
 
 @register("sink_model_bundle", with_ctes(O.PERSON_DATA) +

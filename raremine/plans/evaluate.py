@@ -21,6 +21,17 @@ def eval_shuffle_cv_gnb(data: DataFrame, features: Sequence[str], folds: int = 1
     return confusion_metrics(confusion_counts(pred, label=label, fold=None))
 
 
+def eval_shuffle_cv_linear(data: DataFrame, features: Sequence[str], folds: int = 1000, loss: str = "logistic",
+                           C: float = 1.0, balanced: bool = False, test_size: float = 0.1, seed: int = SEED,
+                           key: str = "id", label: str = "label") -> DataFrame:
+    """The reference evaluator for logistic regression or the squared-hinge
+    linear SVC: all splits are fitted together, one job per Newton step."""
+    from raremine.operators.linear import linear_fold_predictions
+
+    pred = linear_fold_predictions(data, features, folds, loss, C, balanced, test_size, seed, key, label)
+    return confusion_metrics(confusion_counts(pred, label=label, fold=None))
+
+
 def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, granularity: int = 10,
                        train_size: float = 0.9, test_size: float = 0.1, seed: int = SEED,
                        scale: bool = False, center: bool = False, key: str = "id",
