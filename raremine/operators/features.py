@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from raremine.session import written
+
 
 def _stats(df: DataFrame, columns: Sequence[str], fns) -> dict:
     aggs = []
@@ -84,6 +88,62 @@ def scale_per_fold(df: DataFrame, columns: Sequence[str], fold: str = "fold",
     return joined.select(*out)
 
 
+def pca_per_fold(df: DataFrame, columns: Sequence[str], n_components: int | float | None = None, fold: str = "fold",
+                 is_test: str = "is_test", prefix: str = "pc") -> tuple[DataFrame, list[str]]:
+    """PCA fitted on the training rows of each fold and applied to all rows of
+    that fold: (frame with the scores as columns, their names).
+
+    Sums and outer-product sums about the whole table's means are one grouped
+    aggregate of (fold, entry); each fold's axes come from its p x p covariance
+    where those sums end up.  ``n_components``: None = p, an int, or a variance
+    share: the most axes that any fold needs for it (further scores of a fold
+    are left in, so that all folds have the same columns).  Axes are signed by
+    their largest loading.  The model is one row per fold."""
+    p = len(columns)
+    means = [m or 0.0 for m in df.agg(*[F.avg(F.col(c).cast("double")) for c in columns]).first()]
+    x = F.array(*[F.col(c).cast("double") - F.lit(m) for c, m in zip(columns, means)])
+    # the upper triangle of (1, x)(1, x)' row by row: counts, sums, products
+    y = F.concat(F.array(F.lit(1.0)), x)
+    places = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    products = F.posexplode(F.flatten(F.transform(y, lambda a, i: F.transform(F.slice(y, i + 1, p + 1 - i), lambda b: a * b))))
+    sums = (df.filter(~F.col(is_test)).select(fold, products.alias("_j", "_v"))
+            .groupBy(fold, "_j").agg(F.sum("_v").alias("_v")))
+
+    def axes(table: pd.DataFrame) -> pd.DataFrame:
+        m = np.zeros((p + 1, p + 1))
+        for j, v in zip(table["_j"], table["_v"]):
+            a, b = places[j]
+            m[a, b] = m[b, a] = v
+        n = m[0, 0]
+        mean = m[0, 1:] / n
+        values, vectors = np.linalg.eigh(m[1:, 1:] / n - np.outer(mean, mean))
+        values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
+        vectors = vectors * np.where(vectors[np.abs(vectors).argmax(axis=0), np.arange(p)] < 0, -1.0, 1.0)
+        total = values.sum() or 1.0
+        return pd.DataFrame({fold: table[fold].iloc[:1].to_numpy(), "_mean": [(mean + means).tolist()],
+                             "_axes": [vectors.T.tolist()], "_share": [np.cumsum(values / total).tolist()]})
+
+    kind = dict(df.dtypes)[fold]
+    model = sums.groupBy(fold).applyInPandas(axes, f"{fold} {kind}, _mean array<double>, _axes array<array<double>>, _share array<double>")
+    model = written(model, "pca-folds")
+    if n_components is None:
+        k = p
+    elif isinstance(n_components, float) and n_components < 1:
+        reach = F.size(F.filter("_share", lambda v: v < F.lit(n_components - 1e-12))) + 1
+        k = min(p, model.agg(F.max(reach)).first()[0] or p)
+    else:
+        k = min(p, int(n_components))
+    names = [f"{prefix}{i + 1}" for i in range(k)]
+    raw = F.array(*[F.col(c).cast("double") for c in columns])
+    joined = df.join(F.broadcast(model), fold)                 # one row per fold
+    centred = F.zip_with(raw, "_mean", lambda a, m: a - m)
+    score = joined.withColumn("_x", centred)
+    dot = [F.aggregate(F.zip_with("_x", F.get("_axes", F.lit(i)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b).alias(n)
+           for i, n in enumerate(names)]
+    keep = [c for c in df.columns if c not in set(columns)]
+    return score.select(*keep, *dot), names
+
+
 def interaction_terms(columns: Sequence[str]) -> list[tuple[str, str, str]]:
     """(a, operator, b) of every interaction, pair by pair: product (squares
     kept) and sum once per pair, ratio and difference in both directions;

@@ -11,7 +11,7 @@ import sys
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,6 +191,13 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = "id") -> d
 _PAIRS = 400
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson r; null where a column is constant (``F.corr`` divides by zero there)."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y))))
+
+
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> dict:
     """{(a, b): r} over the rows in which both columns are present (NaN and
     undefined: None).  Columns without a null go through one distributed
@@ -216,8 +223,7 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> dict:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if (a, b) not in res]
     for lo in range(0, len(pairs), _PAIRS):
         part = pairs[lo:lo + _PAIRS]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{n}")
-                       for n, (a, b) in enumerate(part)]).first()
+        row = df.agg(*[_corr(a, b).alias(f"c{n}") for n, (a, b) in enumerate(part)]).first()
         for n, (a, b) in enumerate(part):
             v = row[f"c{n}"]
             res[(a, b)] = res[(b, a)] = None if v is None or math.isnan(v) else v

@@ -492,6 +492,14 @@ def q_learning_curve(spark, sf):
     return r(learning_curve_gnb(pdata(spark, sf), NUMERIC, k=10, granularity=10))
 
 
+@register("learning_curve_pca")
+def q_learning_curve_pca(spark, sf):
+    """The learning curve with scaling and PCA fitted on the training rows of
+    every split (axes that hold 96 % of the variance)."""
+    from raremine.plans.evaluate import learning_curve_gnb
+    return r(learning_curve_gnb(pdata(spark, sf), NUMERIC, k=10, granularity=10, scale=True, center=True, pca=0.96))
+
+
 # -------------------------------------------- the reference's final setup --
 
 SMOTE_DATA_SQL = SMOTE_SQL + [

@@ -13,6 +13,7 @@ from raremine.operators import stats as ST
 from raremine.operators import text as TO
 from raremine.plans.standins import PERSON_CLEAN_SQL, with_ctes
 from raremine.sources import files as FS
+from raremine.sources import record_files as RF
 from raremine.sources.tables import read_table
 
 Q: dict = {}
@@ -56,10 +57,14 @@ def q_str_after_marker(spark, sf):
     return emails(spark, sf).select("doc_id", TX.after_marker(F.col("value")).alias("body"))
 
 
-@register("src_email_text", with_ctes(EMAIL_SQL) + " SELECT doc_id, CAST(length(value) AS INTEGER) AS n_chars FROM em")
+@register("src_email_text", with_ctes(EMAIL_SQL) + " SELECT doc_id, CAST(coalesce(length(value), 0) AS INTEGER) AS n_chars FROM em")
 def q_src_email_text(spark, sf):
-    """Whole-email strings (one row per mail, never split into lines)."""
-    return emails(spark, sf).select("doc_id", F.length("value").alias("n_chars"))
+    """Mail files, one per document, are written by the record-file source and
+    read back whole; the id is in the file's name."""
+    path = _scratch(spark, "mails")
+    RF.write_records(emails(spark, sf).select(F.concat(F.lit("mail-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), "value"), path)
+    mails = RF.read_records(spark, path)
+    return mails.select(F.regexp_extract("name", "mail-(.*)\\.txt", 1).cast("long").alias("doc_id"), F.length("value").alias("n_chars"))
 
 
 @register("str_strip_punct", with_ctes(EMAIL_SQL, BODY_SQL, STRIP_SQL) + " SELECT doc_id, stripped FROM st")
@@ -229,19 +234,27 @@ EMAIL_INDEX_SQL = ("SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup
                    " AS path, 4 AS n_parts FROM events")
 
 
+#: Lines of an index file; an address with more has several files of its name.
+INDEX_LINES = 20_000
+
+
 @register("src_email_index", EMAIL_INDEX_SQL)
 def q_src_email_index(spark, sf):
-    """An email index derived from ``events`` is written as one folder per
-    direction_address (Spark partitioned text), then read back by the index
-    reader: direction and address from the folder name, one path per line."""
+    """An email index derived from ``events`` is written as files named after
+    direction and address, with one mail path a line, then read back."""
     ev = read_table(spark, sf, "events")
     direction = F.when(F.col("event_type").isin("click", "purchase", "signup"), "from").otherwise("to")
     name = F.concat(direction, F.lit("_user"), F.col("user_id").cast("string"), F.lit("@example.com.txt"))
     line = F.concat(F.lit("maildir/user"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"),
                     F.lit("/"), F.col("event_id").cast("string"), F.lit("."))
+    lines = ev.select(name.alias("name"), line.alias("line"))
+    sizes = lines.groupBy("name").agg(F.ceil(F.count(F.lit(1)) / F.lit(INDEX_LINES)).alias("files"))
+    files = (lines.join(sizes, "name").groupBy("name", F.pmod(F.xxhash64("line"), F.col("files")).alias("part"))
+             .agg(F.array_join(F.collect_list("line"), "\n").alias("value")))
     path = _scratch(spark, "email_index")
-    ev.select(name.alias("name"), line.alias("value")).write.partitionBy("name").mode("overwrite").text(path)
-    return FS.read_email_index(spark, path).select("direction", "address", "path", "n_parts")
+    RF.write_records(files, path)
+    found = RF.read_records(spark, path).select("name", F.explode(F.split("value", "\n")).alias("value"))
+    return FS.parse_email_index(found)
 
 
 @register("src_poi_names", with_ctes(PERSON_CLEAN_SQL) +

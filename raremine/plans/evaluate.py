@@ -35,7 +35,7 @@ def eval_shuffle_cv_linear(data: DataFrame, features: Sequence[str], folds: int
 def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, granularity: int = 10,
                        train_size: float = 0.9, test_size: float = 0.1, seed: int = SEED,
                        scale: bool = False, center: bool = False, key: str = "id",
-                       label: str = "label") -> DataFrame:
+                       label: str = "label", pca: int | float | bool | None = None) -> DataFrame:
     """Learning curve of Gaussian NB: ``(size, train_mean, train_std, val_mean,
     val_std)`` over k stratified shuffle splits.
 
@@ -43,20 +43,22 @@ def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, gr
     the training rows are taken in a seeded md5 order; the model for size s is
     fitted on the first s of them, scored (F1 of class 1) on those rows and on
     the split's test rows.  All (split, size) models are fitted in ONE
-    aggregate; optional per-split standard scaling is fitted on the split's
-    training rows.  Std is the population std over splits."""
+    aggregate; optional standard scaling (``scale``, ``center``) and then PCA
+    (``pca``: True for all axes, a count or a variance share) are fitted on all
+    training rows of the split, as in the reference.  Std is the population std
+    over splits."""
     from pyspark.sql import functions as F
 
     from raremine.functions.numeric import hash_key
     from raremine.operators.clean import global_row_number
-    from raremine.operators.features import scale_per_fold
+    from raremine.operators.features import pca_per_fold, scale_per_fold
     from raremine.operators.metrics import f1_prec_rec
     from raremine.operators.models import gnb_group_fit, gnb_group_predict
     from raremine.operators.sampling import class_counts, split_strat_shuffle, spread, stratified_test_sizes
 
     import numpy as np
 
-    from raremine.session import cut_lineage
+    from raremine.session import cut_lineage, written
 
     data = cut_lineage(data.select(key, label, *features))
     counts = class_counts(data, label)
@@ -70,6 +72,8 @@ def learning_curve_gnb(data: DataFrame, features: Sequence[str], k: int = 10, gr
                .withColumn("is_test", F.coalesce("is_test", F.lit(False)))
     if scale or center:
         rows = scale_per_fold(rows, features, center=center, scale=scale)
+    if pca:
+        rows, features = pca_per_fold(written(rows, "curve-rows"), features, None if pca is True else pca)
     train = rows.filter(~F.col("is_test"))
     n_train = n - sum(stratified_test_sizes(counts, test_size).values())
     ranked = global_row_number(train.withColumn("_h", hash_key(seed, "train", F.col("fold"), F.col(key))),

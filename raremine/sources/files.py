@@ -35,13 +35,18 @@ def read_email_index(spark: SparkSession, path: str) -> DataFrame:
     'to_<address>[.txt]' -- or, for a Spark-written partitioned folder, from
     the partition directory 'name=from_<address>[.txt]'."""
     df = spark.read.text(path)
-    pattern = "^(from|to)_(.+?)(\\.txt)?$"
     fname = F.col("_metadata.file_name")
     parent = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), "^[^=]*=", "")
     name = F.when(fname.rlike("^(from|to)_"), fname).otherwise(F.url_decode(parent))
-    return (df.select(F.regexp_extract(name, pattern, 1).alias("direction"),
-                      F.regexp_extract(name, pattern, 2).alias("address"),
-                      F.trim(F.col("value")).alias("path"))
+    return parse_email_index(df.select(name.alias("name"), "value"))
+
+
+def parse_email_index(lines: DataFrame) -> DataFrame:
+    """(direction, address, path, n_parts) of lines (name of their file, value)."""
+    pattern = "^(from|to)_(.+?)(\\.txt)?$"
+    return (lines.select(F.regexp_extract("name", pattern, 1).alias("direction"),
+                         F.regexp_extract("name", pattern, 2).alias("address"),
+                         F.trim(F.col("value")).alias("path"))
             .filter(F.col("path") != "")
             .withColumn("n_parts", F.size(F.split(F.regexp_replace("path", "\\.$", ""), "/"))))
 

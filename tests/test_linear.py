@@ -86,3 +86,38 @@ def test_separable_and_constant_columns(spark):
         assert out["total"] == 60 and out["accuracy"] > 0.95
     with pytest.raises(ValueError):
         LI.newton_splits(None, 1, 1, "hinge")
+
+
+def test_pca_and_scaling_per_fold(spark, frame):
+    """Scores of every fold equal a PCA of that fold's training rows alone."""
+    from pyspark.sql import functions as F
+
+    from raremine.operators.features import pca_per_fold, scale_per_fold
+
+    rows = frame.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn(
+        "is_test", F.pmod(F.xxhash64("id", "fold"), F.lit(4)) == 0)
+    scaled = scale_per_fold(rows, ["a", "b", "c"])
+    out, names = pca_per_fold(scaled, ["a", "b", "c"], 0.6)
+    got = out.toPandas().sort_values(["fold", "id"])
+    plain = rows.toPandas().sort_values(["fold", "id"])
+    most = 0
+    for f in range(3):
+        part = plain[plain["fold"] == f]
+        x, train = part[["a", "b", "c"]].to_numpy(), ~part["is_test"].to_numpy()
+        x = (x - x[train].mean(axis=0)) / x[train].std(axis=0)
+        centred = x - x[train].mean(axis=0)
+        _, sv, vt = np.linalg.svd(centred[train], full_matrices=False)
+        most = max(most, int((np.cumsum(sv ** 2 / (sv ** 2).sum()) < 0.6).sum()) + 1)
+        vt = vt * np.sign(vt[np.arange(3), np.abs(vt).argmax(axis=1)])[:, None]
+        want = centred @ vt.T
+        assert np.allclose(got[got["fold"] == f][names].to_numpy(), want[:, :len(names)], atol=1e-9)
+    assert len(names) == most
+
+
+def test_learning_curve_with_pca(spark, frame):
+    from raremine.plans.evaluate import learning_curve_gnb
+
+    plain = learning_curve_gnb(frame, ["a", "b", "c"], k=3, granularity=3).orderBy("size").toPandas()
+    turned = learning_curve_gnb(frame, ["a", "b", "c"], k=3, granularity=3, scale=True, center=True, pca=2).orderBy("size").toPandas()
+    assert list(plain["size"]) == list(turned["size"]) and turned["val_mean"].between(0, 1).all()
+    assert not np.allclose(plain["val_mean"], turned["val_mean"])

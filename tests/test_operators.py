@@ -345,3 +345,14 @@ def test_split_with_thresholds_outside_the_band(spark, monkeypatch):
     monkeypatch.setattr(S, "digest_band", lambda size, count: ("0", "0000000000001"))
     assert {(r.fold, r.id) for r in S.split_strat_shuffle(df, 9).collect()} == want and len(want) == 9 * 20
     assert {r.id for r in S.split_holdout(df, 0.3).filter("is_test").collect()} == held and len(held) == 60
+
+
+def test_correlation_of_a_constant_column_is_undefined(spark):
+    df = spark.createDataFrame([(f"i{i}", float(i), 2.0, float(i * i) if i != 3 else None) for i in range(6)],
+                               "id string, a double, b double, c double")
+    m = ST.pearson_matrix(df, ["a", "b", "c"])
+    assert m[("a", "b")] is None and m[("b", "c")] is None
+    rows = [(i, i * i) for i in range(6) if i != 3]
+    mx, my = sum(x for x, _ in rows) / 5, sum(y for _, y in rows) / 5
+    r = sum((x - mx) * (y - my) for x, y in rows) / math.sqrt(sum((x - mx) ** 2 for x, _ in rows) * sum((y - my) ** 2 for _, y in rows))
+    assert abs(m[("a", "c")] - r) < 1e-12
