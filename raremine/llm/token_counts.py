@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 import unicodedata
 
 import numpy as np
@@ -32,15 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raremine.llm.store import written
-from raremine.llm.textops import NOT_SPACE, text_blocks, word_spans
+from raremine.llm.textops import LOWER, text_blocks
 
 #: Characters of a chunk, characters that two chunks share, characters of the
 #: left chunk behind a splice (more than any special string has).
 CHUNK, OVERLAP, MARGIN = 1 << 16, 1 << 9, 64
 LIMIT = 2048
 WIDER = 4
-#: Stretches whose counts a task remembers.
-KNOWN = 400_000
+#: Stretches whose counts a task remembers, text bytes whose stretches are told apart at once.
+KNOWN, BLOCK_BYTES = 400_000, 4 << 20
 #: Fixed value: the word pattern of the vocabulary file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -97,12 +99,11 @@ def word_starts(encoding, text: str, lo: int, hi: int):
     return places, before
 
 
-def cut_by_space(tokenizer) -> bool:
-    """Whether ASCII white space is a proven boundary for this tokenizer, on
-    both sides of which texts are encoded on their own: words are the matches of
-    a pattern that takes no white space, nothing but them is kept, the
-    normaliser changes white space and single characters only (and no character
-    combines with white space), and no special string holds any."""
+def cuts_are_proven(tokenizer) -> bool:
+    """Whether :func:`stretches` cuts at proven boundaries for this tokenizer:
+    words are the matches of the pattern that the cuts are made for, nothing but
+    them is kept, the normaliser changes white space and single characters only,
+    and special strings hold no white space or digit and no other sign but glue."""
     parts = json.loads(tokenizer.to_str())
     normal, words = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
     steps = [(x["type"], x.get("pattern"), x.get("content")) for x in normal.get("normalizers", [])]
@@ -110,29 +111,68 @@ def cut_by_space(tokenizer) -> bool:
     return (steps == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
             and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
             and split.get("pattern") == {"Regex": WORD_PATTERN}
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or set(t["content"]) & set(" \t\n\v\f\r")
-                        for t in parts["added_tokens"]))
+            and all(re.fullmatch(r"[<|>'][A-Za-z<|>']*[<|>']", t["content"])
+                    and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in parts["added_tokens"]))
+
+
+def _kinds() -> np.ndarray:
+    """Class of every byte: 0 white space, 1 letter, 2 digit, 3 sign, 4 glue."""
+    kind = np.full(256, 4, np.uint8)
+    kind[[0x20, *range(0x09, 0x0E)]] = 0
+    kind[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kind[[*range(0x30, 0x3A)]] = 2
+    kind[[ord(c) for c in string.punctuation if c not in "'<|>"]] = 3
+    return kind
+
+
+KIND = _kinds()
+
+
+def stretches(data: np.ndarray, offs: np.ndarray):
+    """Bytes to count by, and start and end of the stretches of texts that are
+    encoded on their own.  Texts are cut at white space, around digits, and
+    between letters (ASCII and U+00C0 to U+00FF) and signs: there a match of the
+    word pattern ends and the next begins, whatever lies beyond.  Never beside
+    glue, which is all that may join on: an apostrophe, the signs of special
+    strings, and every other character beyond ASCII.  Letters A-Z of stretches
+    without glue are lower-cased, as the normaliser does."""
+    kind = KIND[data]
+    latin = np.flatnonzero(data == 0xC3)
+    latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]        # the two signs among the letters
+    kind[latin] = kind[latin + 1] = 1
+    left, right = kind[:-1], kind[1:]
+    edge = np.ones(len(kind) + 1, bool)
+    edge[1:-1] = (left == 0) | (right == 0) | ((left < 4) & (right < 4) & ((left != right) | (left == 2)))
+    edge[offs] = True
+    at = np.flatnonzero(edge)
+    start, end = at[:-1], at[1:]
+    keep = kind[start] > 0 if len(data) else np.zeros(0, bool)
+    start, end = start[keep], end[keep]
+    glue = np.append(0, np.cumsum(kind == 4))
+    plain = np.repeat(glue[end] == glue[start], end - start)
+    inner = data[kind > 0]
+    return np.where(plain, LOWER[inner], inner), start, end
 
 
 def _count_short(rows: DataFrame, vocabulary: str | None) -> DataFrame:
-    """(id, n_bytes, n_tokens) of texts that need no splices.  If white space is
-    a proven boundary, the distinct stretches between white space of many texts
-    are encoded, each once, and their counts added up; else whole texts are."""
+    """(id, n_bytes, n_tokens) of texts that need no splices of chunks.  If its
+    cuts are proven, the distinct stretches of many texts are encoded, each
+    once, and their counts added up; else whole texts are encoded."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         tokenizer = public_tokenizer(vocabulary)
-        apart = cut_by_space(tokenizer)
+        apart = cuts_are_proven(tokenizer)
         known: dict[str, int] = {}
 
         def encoded(texts):
             return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        for part, data, offs in text_blocks(batches):
+        for part, data, offs in text_blocks(batches, block_bytes=BLOCK_BYTES):
             if apart:
-                start, end, per_text = word_spans(data, offs, NOT_SPACE)
+                kept, start, end = stretches(data, offs)
                 ends = np.append(0, np.cumsum(end - start)).astype(np.int64)
-                found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(data[NOT_SPACE[data]])).dictionary_encode()
+                found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(kept)).dictionary_encode()
                 distinct = found.dictionary.to_pylist()
                 if len(known) > KNOWN:
                     known.clear()
@@ -141,7 +181,8 @@ def _count_short(rows: DataFrame, vocabulary: str | None) -> DataFrame:
                     known.update(zip(new[lo:lo + 4096], encoded(new[lo:lo + 4096])))
                 counts = np.array([known[w] for w in distinct], np.int64)
                 upto = np.append(0, np.cumsum(counts[found.indices.to_numpy()])) if len(distinct) else np.zeros(1, np.int64)
-                n = upto[per_text[1:]] - upto[per_text[:-1]]
+                at = np.searchsorted(start, offs)
+                n = upto[at[1:]] - upto[at[:-1]]
             else:
                 n = encoded(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64())], names=["id", "n_bytes", "n_tokens"])
@@ -222,10 +263,9 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
     short = _count_short(rows.filter(F.col("n_bytes") <= chunk), vocabulary)
     long = written(rows.filter(F.col("n_bytes") > chunk).withColumn("row", F.monotonically_increasing_id()), "long-texts")
     done, left = [short], long
-    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     open_rows = long.count()
     while open_rows:
-        parts = _chunks(left, chunk, overlap).repartition(spread, "row", "k")
+        parts = _chunks(left, chunk, overlap).repartition("row", "k")
         counts = written(_splice(_encode_chunks(parts, chunk, overlap, vocabulary)), "spliced")
         # ids and counts of long documents: a few numbers a document
         done.append(long.select("row", "id", "n_bytes").join(counts.filter("n_tokens is not null"), "row").select("id", "n_bytes", "n_tokens"))

@@ -59,13 +59,18 @@ def test_splices_are_token_boundaries_of_the_whole(library):
         assert at_left & at_right <= whole
 
 
-def test_white_space_is_a_boundary_for_this_vocabulary_only(spark, library):
+def test_cuts_are_proven_for_this_vocabulary_only(spark, library):
     """Texts without splices: by distinct stretches or, for another vocabulary, whole."""
-    assert T.cut_by_space(library)
+    assert T.cuts_are_proven(library)
     path = public_tokenizers.path("byte_bpe_50k.json")
     other = Tokenizer.from_file(path)
-    assert not T.cut_by_space(other)
+    assert not T.cuts_are_proven(other)
     texts = [t[:3000] for t in hard_texts()] + [" lead", "trail \x1c\x85\u2003x", "a\u0301 \u0301b", "<|endoftext|> <|endoftext|>x"]
+    texts += ["<|ENDOFTEXT|>", "x<|endoftext|>Y,z", "'S 's 'Sx, 'LL,'ve.'re", "Don'T 5's 5'S a.b'c", "É,è;×y÷z.ÀB", "e\u0301,x .\u0301y", "A1B2,3.4-5", "\x00a\x7f,b",
+              "=\u0338 x=\u0338,", "K\u212a Å\u212b ,\u212b"]
+    r = random.Random(8)
+    signs = "aB'sS.,<|>1 é×É\u0301\u0338…中 \n_-#endoftext"
+    texts += ["".join(r.choice(signs) for _ in range(40)) for _ in range(3000)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert counted(T.count_tokens(df)) == brute(library, list(enumerate(texts)))
     assert counted(T.count_tokens(df, vocabulary=path)) == brute(other, list(enumerate(texts)))
