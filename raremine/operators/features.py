@@ -172,6 +172,61 @@ def interaction_features(df: DataFrame, columns: Sequence[str], keep: Sequence[s
     return df.select(*[F.col(k) for k in keep], *interaction_exprs(columns))
 
 
+# ------------------------------------------------ features as one array column --
+
+def interaction_array(df: DataFrame, vec: str, out: str = "interactions") -> DataFrame:
+    """Adds the 3p^2 - 2p interactions of an array column as one array, in the
+    order of :func:`interaction_names`.  The plan has the same size for any p:
+    no term is a plan column.  Ratios with a zero divisor are null."""
+    x = F.transform(F.col(vec), lambda v: v.cast("double"))
+    number = F.sequence(F.lit(0), F.size(vec) - 1)
+
+    def with_all(i):
+        a = F.get("_x", i)
+
+        def terms(j):
+            b = F.get("_x", j)
+            both = F.array(a * b, a + b, F.try_divide(a, b), a - b)
+            return F.when(i < j, both).when(i == j, F.array(a * b)).otherwise(F.array(F.try_divide(a, b), a - b))
+        return F.flatten(F.transform(number, terms))
+
+    long = df.withColumn("_x", x)
+    return long.withColumn(out, F.when(F.size(vec) > 0, F.flatten(F.transform(number, with_all))).otherwise(F.array().cast("array<double>"))).drop("_x")
+
+
+def array_moments(df: DataFrame, vec: str) -> DataFrame:
+    """(position, n, n_finite, min, max, mean, std) per entry of an array column:
+    one aggregate by position; min to std over the finite entries."""
+    e = df.select(F.posexplode(vec).alias("position", "v"))
+    finite = F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < F.lit(float("inf")))
+    x = F.when(finite, F.col("v"))
+    return e.groupBy("position").agg(F.count(F.lit(1)).alias("n"), F.count(x).alias("n_finite"), F.min(x).alias("min"), F.max(x).alias("max"),
+                                     F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
+
+
+def finite_positions(df: DataFrame, vec: str) -> list[int]:
+    """Positions whose entries are all finite (the array form of
+    ``drop_nonfinite_columns``): p numbers on the driver."""
+    m = array_moments(df, vec).filter("n = n_finite").select("position").orderBy("position")
+    return [r["position"] for r in m.collect()]
+
+
+def take_positions(df: DataFrame, vec: str, positions: Sequence[int]) -> DataFrame:
+    """The array column with these positions only; positions are one literal."""
+    chosen = F.lit(np.array(positions, dtype=np.int32)) if len(positions) else F.array().cast("array<int>")
+    return df.withColumn(vec, F.transform(chosen, lambda i: F.get(F.col(vec), i)))
+
+
+def scale_array(df: DataFrame, vec: str, lo: float = 0.0001, hi: float = 1.0) -> DataFrame:
+    """Min-max scaling of every position of an array column; constant positions
+    map to ``lo``.  The fitted ranges are two literal arrays."""
+    m = array_moments(df, vec).orderBy("position").collect()
+    least = [r["min"] if r["min"] is not None else 0.0 for r in m]
+    span = [(r["max"] - r["min"]) if r["min"] is not None and r["max"] != r["min"] else 1.0 for r in m]
+    fitted = F.arrays_zip(F.lit(np.array(least)).alias("a"), F.lit(np.array(span)).alias("s"))
+    return df.withColumn(vec, F.zip_with(vec, fitted, lambda v, f: F.lit(lo) + (v - f["a"]) / f["s"] * F.lit(hi - lo)))
+
+
 def add_missing_columns(df: DataFrame, source: DataFrame, columns: Sequence[str],
                         key: str = "id") -> DataFrame:
     """Add the ``columns`` of ``source`` not yet in ``df`` (left join on key)."""

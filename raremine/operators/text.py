@@ -8,6 +8,7 @@ stage and reduced by partial aggregation before any shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,15 +20,59 @@ from raremine.operators.stats import anova_from_moments
 
 
 def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text",
-                stop_words: Sequence[str] | None = None) -> DataFrame:
-    """(doc, term, c): token counts per document, stop words removed
-    (the stop list is a fixed ~180-row broadcast)."""
+                stop_words: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc, *keep, term, c): token counts per document, stop words removed
+    (the stop list is a fixed ~180-row broadcast).  ``keep``: columns that
+    depend on the document and stay with its postings."""
     spark = docs.sparkSession
-    toks = docs.select(doc, F.explode(TX.tokens(F.col(text))).alias("term"))
+    toks = docs.select(doc, *keep, F.explode(TX.tokens(F.col(text))).alias("term"))
     if stop_words:
         stop = spark.createDataFrame([(w,) for w in stop_words], "term string")
         toks = toks.join(F.broadcast(stop), "term", "left_anti")
-    return toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("c"))
+    return toks.groupBy(doc, *keep, "term").agg(F.count(F.lit(1)).alias("c"))
+
+
+class TextModel:
+    """TF-IDF and the F-test selection, fitted once and applied to later
+    documents: a table (term, df, idf, f) in a folder and a few settings.
+
+    ``fit`` reads training documents with a label; ``transform`` gives the
+    postings (doc, term, w) of any documents over the fitted vocabulary, or,
+    with ``selected``, those of the best ``percent`` of terms.  Rows are
+    normalised over the whole vocabulary before terms are selected, as a
+    vectorizer followed by a selector does."""
+
+    def __init__(self, path: str, terms: DataFrame, settings: dict):
+        self.path, self.terms, self.settings = path, terms, settings
+
+    @classmethod
+    def fit(cls, docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", label: str = "label",
+            max_df: float = 0.5, stop_words: Sequence[str] | None = None, percent: float = 10.0) -> TextModel:
+        from raremine.operators.stats import select_percentile
+        from raremine.session import written
+
+        spark = docs.sparkSession
+        counts = written(term_counts(docs, doc, text, stop_words, keep=(label,)), "postings")
+        vocab = written(tfidf_vocabulary(counts, docs.count(), max_df), "vocabulary")
+        weights = written(_weighted(counts.select(doc, "term", "c"), vocab, doc), "weights")
+        f = anova_f_postings(weights, docs.select(doc, label), doc, label)
+        best = select_percentile(f.withColumnRenamed("term", "feature"), percent)
+        terms = vocab.join(f, "term", "left").join(best.select(F.col("feature").alias("term"), F.lit(True).alias("selected")), "term", "left")
+        terms.withColumn("selected", F.coalesce("selected", F.lit(False))).write.parquet(f"{path}/terms")
+        settings = {"doc": doc, "text": text, "stop_words": list(stop_words or [])}
+        spark.createDataFrame([(json.dumps(settings),)], "settings string").coalesce(1).write.json(f"{path}/settings")
+        return cls.load(spark, path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> TextModel:
+        settings = json.loads(spark.read.json(f"{path}/settings").first()["settings"])
+        return cls(path, spark.read.parquet(f"{path}/terms"), settings)
+
+    def transform(self, docs: DataFrame, selected: bool = False) -> DataFrame:
+        doc = self.settings["doc"]
+        counts = term_counts(docs, doc, self.settings["text"], self.settings["stop_words"])
+        out = _weighted(counts, self.terms.select("term", "df", "idf"), doc)
+        return out.join(self.terms.filter("selected").select("term"), "term", "left_semi").select(doc, "term", "w") if selected else out
 
 
 def tfidf(docs: DataFrame, is_train: str = "is_train", doc: str = "doc_id", text: str = "text",
@@ -38,15 +83,23 @@ def tfidf(docs: DataFrame, is_train: str = "is_train", doc: str = "doc_id", text
     max_df * n training documents are dropped; idf = ln((1+n)/(1+df)) + 1;
     tf' = 1 + ln(c); rows L2-normalised over the kept vocabulary; terms unseen
     in training are dropped from test documents; an empty row stays empty."""
-    counts = term_counts(docs, doc, text, stop_words)
-    flags = docs.select(doc, F.col(is_train).alias("_tr"))
+    from raremine.session import written
+
     # tokenising is the expensive step and its postings feed the vocabulary,
-    # the hot-term check and the weights: keep them instead of re-tokenising
-    counts = counts.join(flags, doc).persist()
-    n_train = docs.filter(F.col(is_train)).count()
-    vocab = (counts.filter("_tr").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-             .filter(F.col("df") <= F.lit(max_df * n_train))
-             .select("term", "df", (F.log((1.0 + n_train) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    # the hot-term check and the weights: written once, with the flag on board
+    counts = written(term_counts(docs.withColumn("_tr", F.col(is_train)), doc, text, stop_words, keep=("_tr",)), "postings")
+    return _weighted(counts, tfidf_vocabulary(counts.filter("_tr"), docs.filter(F.col(is_train)).count(), max_df), doc)
+
+
+def tfidf_vocabulary(counts: DataFrame, n_train: int, max_df: float = 0.5) -> DataFrame:
+    """(term, df, idf) of the training documents' postings (doc, term, c)."""
+    return (counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            .filter(F.col("df") <= F.lit(max_df * n_train))
+            .select("term", "df", (F.log((1.0 + n_train) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+
+
+def _weighted(counts: DataFrame, vocab: DataFrame, doc: str) -> DataFrame:
+    """(doc, term, w): normalised weights of postings over a vocabulary."""
     from raremine.operators.joins import salted_join
 
     # frequent terms (up to max_df of all documents) are hot join keys
@@ -78,6 +131,10 @@ def anova_f_postings(postings: DataFrame, labels: DataFrame, doc: str = "doc_id"
 
 # ---------------------------------------------------------------- stemming --
 
+#: Stems that a task remembers.
+KNOWN_STEMS = 200_000
+
+
 def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataFrame:
     """(doc, stemmed): words of ``text`` (whitespace split) replaced by their
     stems, joined by one space, order kept; null or empty text -> ''.
@@ -98,9 +155,12 @@ def stem_join(docs: DataFrame, doc: str = "doc_id", text: str = "body") -> DataF
         known: dict = {}
 
         def of(word):
-            if word not in known:
-                known[word] = stem(word)
-            return known[word]
+            found = known.get(word)
+            if found is None:
+                if len(known) >= KNOWN_STEMS:
+                    known.clear()
+                found = known[word] = stem(word)
+            return found
 
         for bodies in parts:
             yield bodies.map(lambda words: " ".join(of(w) for w in words))

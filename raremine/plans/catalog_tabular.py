@@ -184,6 +184,16 @@ def q_interaction_features(spark, sf):
     return r(FE.interaction_features(scaled, NUMERIC))
 
 
+@register("interaction_features_array", with_ctes(TRAIN_SQL, O.MINMAX_SQL) + " " + " UNION ALL ".join(
+    f"SELECT id, {i} AS position, round(CAST({O.inter_sql(n)} AS DOUBLE), 6) AS value FROM scaled" for i, n in enumerate(O.inter_order(NUMERIC))))
+def q_interaction_features_array(spark, sf):
+    """The interactions as one array column (scaled as an array, too): the form
+    for many features, whose plan does not grow with them."""
+    vectors = train_frame(spark, sf).select("id", F.array(*[F.col(c).cast("double") for c in NUMERIC]).alias("v"))
+    inter = FE.interaction_array(FE.scale_array(vectors, "v"), "v")
+    return r(inter.select("id", F.posexplode("interactions").alias("position", "value")))
+
+
 @register("scale_standard", with_ctes(TRAIN_SQL) + " SELECT id, " + ", ".join(
     f"round(({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1), 6) AS {c}"
     for c in NUMERIC) + " FROM train")

@@ -194,6 +194,19 @@ def q_select_percentile_text_matrix(spark, sf):
     return r(kept.join(h.select("doc_id", "label", "is_train"), "doc_id"))
 
 
+@register("text_model_transform", with_ctes(*FTEST_SQL) +
+          " SELECT p.doc_id, p.term, round(p.w, 6) AS w FROM post p"
+          " JOIN (SELECT feature AS term FROM above UNION ALL SELECT feature AS term FROM ties) s ON s.term = p.term"
+          " JOIN h ON h.doc_id = p.doc_id WHERE NOT h.is_train")
+def q_text_model_transform(spark, sf):
+    """The text model is fitted on the training documents, saved, loaded and
+    applied to the others, which it has not seen."""
+    h = _split_docs(spark, sf)
+    path = _scratch(spark, "text_model")
+    TO.TextModel.fit(h.filter("is_train"), path, stop_words=STOP)
+    return r(TO.TextModel.load(spark, path).transform(h.filter("not is_train"), selected=True))
+
+
 # ------------------------------------------------------- keyed record sets --
 
 @register("src_keyed_records",

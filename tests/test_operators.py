@@ -356,3 +356,40 @@ def test_correlation_of_a_constant_column_is_undefined(spark):
     mx, my = sum(x for x, _ in rows) / 5, sum(y for _, y in rows) / 5
     r = sum((x - mx) * (y - my) for x, y in rows) / math.sqrt(sum((x - mx) ** 2 for x, _ in rows) * sum((y - my) ** 2 for _, y in rows))
     assert abs(m[("a", "c")] - r) < 1e-12
+
+
+def test_interactions_of_many_features_as_arrays(spark):
+    """p = 200: 119,600 interactions in a plan as small as that for p = 2."""
+    p = 200
+    rows = [(i, [float((i * 7 + j * 3) % 11 - 4) for j in range(p)]) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = FE.interaction_array(df, "v")
+    got = {r.id: r.interactions for r in out.collect()}
+    for i, v in rows:
+        want = []
+        for a in range(p):
+            for b in range(p):
+                want += [v[a] * v[b]] * (a <= b) + [v[a] + v[b]] * (a < b)
+                if a != b:
+                    want += [v[a] / v[b] if v[b] else None, v[a] - v[b]]
+        assert len(want) == 3 * p * p - 2 * p and got[i] == want
+    small = FE.interaction_array(spark.createDataFrame([(1, [1.0, 2.0])], "id long, v array<double>"), "v")
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())
+    assert size(out) <= size(small) + 200
+
+
+def test_array_form_equals_the_columns(spark):
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame([(1, 0.0, 2.0, -1.0), (2, 3.0, 2.0, 0.5), (3, -2.0, 2.0, 8.0)], "id long, a double, b double, c double")
+    vec = df.select("id", F.array(*names).alias("v"))
+    wide = FE.interaction_features(df, names).orderBy("id").collect()
+    long = FE.interaction_array(vec, "v").orderBy("id").collect()
+    order = FE.interaction_names(names)
+    assert [[r[n] for n in order] for r in wide] == [r.interactions for r in long]
+    inter = FE.interaction_array(vec, "v").select("id", F.col("interactions").alias("v"))
+    finite = FE.finite_positions(inter, "v")
+    assert [order[j] for j in finite] == C.drop_nonfinite_columns(FE.interaction_features(df, names), order)
+    kept = FE.take_positions(inter, "v", finite).orderBy("id").collect()
+    assert all(len(r.v) == len(finite) and None not in r.v for r in kept)
+    scaled = FE.scale_minmax(df, names).orderBy("id").collect()
+    assert [[r[n] for n in names] for r in scaled] == [r.v for r in FE.scale_array(vec, "v").orderBy("id").collect()]

@@ -50,3 +50,30 @@ def test_tfidf_rows_are_unit_and_fit_on_train(spark):
     norms = post.assign(w2=post.w ** 2).groupby("doc_id").w2.sum()
     assert all(abs(v - 1) < 1e-12 for v in norms)
     assert "zebra" not in set(post.term)          # unseen in training
+
+
+def test_text_model_on_later_documents(spark):
+    """Fitted once, saved, loaded: held-out documents get the weights of the
+    one-pass result; documents of other vocabularies and empty ones get none."""
+    from pyspark.sql import functions as F
+
+    from raremine.operators import text as TO
+    from raremine.session import scratch_path
+
+    texts = ["red apple pie", "red wine red", "green apple tree", "blue sky apple", "red red red pie", "tall green tree tree", "apple", ""]
+    rows = [(i, t, float(i % 2), i < 6) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label double, is_train boolean")
+    whole = {(r.doc_id, r.term): r.w for r in TO.tfidf(docs).filter("doc_id >= 6").collect()}
+    path = scratch_path(spark, "text-model")
+    TO.TextModel.fit(docs.filter("is_train"), path, percent=40.0)
+    model = TO.TextModel.load(spark, path)
+    got = {(r.doc_id, r.term): r.w for r in model.transform(docs.filter("not is_train")).collect()}
+    assert got == whole and set(got) == {(6, "apple")}
+    kept = {r.term for r in model.terms.filter("selected").collect()}
+    assert 0 < len(kept) < model.terms.count()
+    train = model.transform(docs.filter("is_train"))
+    assert {r.term for r in model.transform(docs.filter("is_train"), selected=True).collect()} == kept
+    norms = train.groupBy("doc_id").agg(F.sum(F.col("w") * F.col("w")).alias("n")).collect()
+    assert all(abs(r.n - 1) < 1e-9 for r in norms)
+    strange = spark.createDataFrame([(1, "nothing known"), (2, None)], "doc_id long, text string")
+    assert model.transform(strange).count() == 0
