@@ -47,8 +47,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary "
-    "table tbody td tfoot th thead title tr ul".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea xmp noembed noframes".split())
+    "table tbody td tfoot th thead title tr ul xmp".split())
+#: Elements whose content is no text of the page; VERBATIM content is text as it stands.
+RAW = frozenset("script style noscript template iframe svg textarea noembed noframes annotation annotation-xml".split())
+VERBATIM = frozenset({"xmp"})
 BOILER_TAGS = RAW | frozenset("head nav footer aside form button select dialog menu datalist canvas audio video".split())
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored sponsors promo promos promotion "
@@ -101,6 +103,7 @@ class Page:
     def __init__(self, html: str, cache: dict, slot: int | None = None):
         self.elements, self.blocks, self.closing = [], [], []
         self._cache, self._stack, self._hints = cache, [], []
+        self._places: dict[str, list[int]] = {}          # places of the open elements of each name in the stack
         self._parts, self._raw = [], []
         self._parse(html)
         self._assemble(slot)
@@ -134,7 +137,7 @@ class Page:
         hint = 0
         if name in RAW or name == "head":
             hint = NEVER
-        elif name == "header" and not any(self.elements[i][2] in ("article", "main") for i in self._stack):
+        elif name == "header" and not (self._places.get("article") or self._places.get("main")):
             hint = BY_TAG
         elif name in BOILER_TAGS:
             hint = BY_NAME if name == "form" else BY_TAG
@@ -143,6 +146,7 @@ class Page:
                 hint = BY_NAME
             elif by_id and name == "section":
                 hint = SECTION_ID
+        self._places.setdefault(name, []).append(len(self._stack))
         self._stack.append(len(self.elements))
         self._hints.append(hint)
         self.elements.append((token, parent, name, len(self._stack)))
@@ -187,23 +191,23 @@ class Page:
                 self.blocks.append((text, next(e for text, e in kept if text.strip())))
 
     def _pop_to(self, size: int) -> None:
+        for i in self._stack[size:]:
+            self._places[self.elements[i][2]].pop()
         del self._stack[size:]
 
+    def _innermost(self, names) -> int:
+        return max((self._places[x][-1] for x in names if self._places.get(x)), default=-1)
+
     def _close_sibling(self, name: str) -> None:
-        for k in range(len(self._stack) - 1, -1, -1):
-            other = self.elements[self._stack[k]][2]
-            if other in LIMITS.get(name, ()):
-                return
-            if other in CLOSED_BY_SIBLING and name in CLOSED_BY_SIBLING[other]:
-                self._pop_to(k)
-                return
+        k = self._innermost(CLOSED_BY_SIBLING[name])
+        if k > self._innermost(LIMITS.get(name, ())):
+            self._pop_to(k)
 
     def _close(self, name: str) -> None:
-        for k in range(len(self._stack) - 1, -1, -1):
-            if self.elements[self._stack[k]][2] == name:
-                self.closing.append(self.elements[self._stack[k]][0] ^ 1 << 62)
-                self._pop_to(k)
-                return
+        if self._places.get(name):
+            k = self._places[name][-1]
+            self.closing.append(self.elements[self._stack[k]][0] ^ 1 << 62)
+            self._pop_to(k)
 
     def _text(self, piece: str) -> None:
         at = self._stack[-1] if self._stack else -1
@@ -232,8 +236,10 @@ class Page:
             if name in VOID:
                 continue
             self._open(name, m[3] if "=" in m[3] else "")
-            if name in RAW:
+            if name in RAW or name in VERBATIM:
                 end = re.compile(rf"</{re.escape(name)}(?![\w-])", re.I).search(html, at)
+                if name in VERBATIM:
+                    self._parts.append((html[at:end.start() if end else size], self._stack[-1]))
                 at = end.start() if end else size
             elif m[3].endswith("/>") and name not in BLOCK:
                 self._pop_to(len(self._stack) - 1)
@@ -252,9 +258,11 @@ class Page:
         whole page)."""
         size = [0] * len(self.elements)
         for text, e in self.blocks:
-            while e >= 0:
+            if e >= 0:
                 size[e] += len(text)
-                e = self.elements[e][1]
+        for i in range(len(size) - 1, -1, -1):
+            if self.elements[i][1] >= 0:
+                size[self.elements[i][1]] += size[i]
         named = [i for i, x in enumerate(self.elements) if x[2] in ("article", "main") and size[i]]
         if not named:
             return set()

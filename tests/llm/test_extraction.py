@@ -110,3 +110,25 @@ def test_query_on_the_page_table(spark):
         parts = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inner))
         want = "\n".join(p for p in parts if p)
         assert (r.url, r.text, r.n_chars) == (src[r.page_id]["url"], want, len(want))
+
+
+def test_formulas_code_and_fallbacks_are_text():
+    html = ("<html><body><nav>menu</nav><article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation encoding='tex'>E=m</annotation></math> here</p>"
+            "<xmp>a < b &amp; <b>c</b></xmp><p>An <object data='x'>old <i>plug-in</i></object> too.</p>"
+            "<script>no()</script><svg><text>no</text></svg></article></body></html>")
+    page = extraction.Page(html, {})
+    assert "\n".join(page.inside(page.own_slot())) == "Energy is E=m here\na < b &amp; <b>c</b>\nAn old plug-in too."
+
+
+def test_hostile_pages_take_linear_time():
+    """A megabyte of stray end tags, open headers, list items between deep
+    elements, unclosed cells."""
+    import time
+
+    for piece, tail in (("<div></x>", ""), ("<header>", ""), ("<td>x", ""), ("<li></li>", ""), ("<p></div>", ""), ("<article><header>a", "</article>")):
+        deep = "<li><ul>" + "<div>" * 20_000 if piece.startswith("<li") else ""
+        html = deep + piece * (1_000_000 // len(piece)) + tail
+        began = time.process_time()
+        page = extraction.Page(html, {})
+        page.inside(page.own_slot())
+        assert time.process_time() - began < 12, piece
