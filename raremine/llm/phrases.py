@@ -2,14 +2,15 @@
 
 Texts become blocks of word codes, once.  Words that occur often enough get
 ids by falling frequency; ids go back to the blocks that hold the word (a join
-by word on each block's own word list, so no vocabulary is broadcast).  In a
-block, pairs of neighbours are cells of a table addressed by (left id, right
-id), cut into tiles of ``TILE`` x ``TILE``.  Frequent words have small ids, so
-their pairs crowd into few tiles: these are counted with dense bincounts.
-Pairs of all other tiles are sorted and counted as coordinates (COO).  Blocks
-send one row per distinct pair, Spark adds them up, and pairs that are frequent
-are ranked and numbered again: their numbers are the left ids of the next
-round, which counts phrases one word longer.
+by word on each block's own word list, so no vocabulary is broadcast).  Pairs of
+neighbours are cells of a table addressed by (left id, right id), cut into
+tiles of ``TILE`` x ``TILE``.  Frequent words have small ids, so their pairs
+crowd into few tiles: these are counted with dense bincounts.  Pairs of all
+other tiles are sorted and counted as coordinates (COO).  Tasks send one row
+per distinct pair, and Spark adds them up.  Pairs that are frequent come back
+to the tasks as a bitmap of bounded size; pairs that pass it are ranked by
+frequency again, and their ranks are the left ids of the next round, which
+counts phrases one word longer in the same way.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from raremine.llm.store import if_small, written
-from raremine.llm.textops import LOWER, byte_class, text_blocks, word_spans
+from raremine.llm.textops import LOWER, byte_class, mix64, text_blocks, word_spans
 from raremine.operators.clean import global_row_number
 
 BREAK = byte_class(*[(ord(c), ord(c)) for c in ".,;:!?"], (0x0A, 0x0D))
@@ -30,6 +31,9 @@ NO_LANG = "und"
 #: Text bytes of a block; side of a tile; ids below ``HEAD`` may lie in dense
 #: tiles; occurrences per cell from which a tile is counted densely.
 BLOCK_BYTES, TILE, HEAD, DENSE = 4 << 20, 512, 8192, 1 / 16
+#: Rows that the Parquet reader holds at once (a row is a block), words counted
+#: together, bits of a filter of phrases at most (128 MB).
+READER_ROWS, TOGETHER, FILTER_BITS = 4, 1 << 20, 1 << 30
 
 
 # ---------------------------------------------------------- in one block ----
@@ -111,19 +115,66 @@ def count_cells(left: np.ndarray, right: np.ndarray, n_right: int):
     return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out))
 
 
-def _next_pairs(ids: np.ndarray, cur: np.ndarray, size: int):
-    """Where a phrase of ``size`` words may be frequent (the phrases without its
-    last and without its first word are), with its left and right id."""
-    n = len(cur) - 1
-    if n < 1:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    at = np.flatnonzero((cur[:n] >= 0) & (cur[1:] >= 0))
-    return at, cur[at], ids[at + size - 1]
+def phrase_hash(words) -> np.ndarray:
+    """64-bit hash of phrases given as one array of word ids per place."""
+    h = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64) + np.uint64(1))
+    return h
+
+
+def _in_filter(bits: np.ndarray, words) -> np.ndarray:
+    at = phrase_hash(words) & np.uint64(8 * len(bits) - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def count_phrases(ids: np.ndarray, size: int, n_words: int, filters: dict):
+    """(word ids per place, counts) of the phrases of ``size`` words in ``ids``
+    (-1: a break or a rare word) that may be frequent: their parts without the
+    last and without the first word pass the filter of their size.  Level by
+    level, phrases found are ranked by frequency, and the rank is the left id
+    of the pairs that make them one word longer."""
+    rank, at = ids, np.flatnonzero(ids >= 0)
+    start = at                                         # where the phrase of a rank stands first
+    for m in range(2, size + 1):
+        good = np.zeros(len(ids) + 1, bool)
+        good[at] = True if m == 2 else _in_filter(filters[m - 1], [ids[at + k] for k in range(m - 1)])
+        at = at[(at + m <= len(ids))]
+        at = at[good[at] & good[at + 1] & (ids[np.minimum(at + m - 1, len(ids) - 1)] >= 0)]
+        left, right = rank[at].astype(np.int64), ids[at + m - 1].astype(np.int64)
+        if m == size:
+            a, b, n = count_cells(left, right, n_words)
+            if size == 2:
+                return [a, b], n
+            return [ids[start[a] + k].astype(np.int64) for k in range(size - 1)] + [b], n
+        _, first, inverse, n = np.unique(left * n_words + right, return_index=True, return_inverse=True, return_counts=True)
+        by = np.argsort(-n, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        rank = np.full(len(ids), -1, np.int64)
+        rank[at] = place[inverse]
+        start = at[first[by]]
+    return [], np.zeros(0, np.int64)
 
 
 # ------------------------------------------------------------ over blocks ----
 
+def _width(n: int):
+    """Type of ids below n."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def _written_blocks(df: DataFrame, name: str) -> DataFrame:
+    """As ``written``, while tables of blocks are read a few rows at a time."""
+    conf, key = df.sparkSession.conf, "spark.sql.parquet.columnarReaderBatchSize"
+    before = conf.get(key, None)
+    conf.set(key, str(READER_ROWS))
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def encode_blocks(docs: DataFrame, text: str, lang: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, words: array of (lang, word, n), codes) of the non-empty blocks."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
@@ -152,8 +203,9 @@ def _ranked(counts: DataFrame, order: list[str], name: str) -> DataFrame:
     return written(numbered.withColumn("id", F.col("_rn") - 1).drop("_less", "_rn"), name)
 
 
-def _word_ids(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(block, ids, cur): word ids in order, -1 for breaks and rare words."""
+def _word_ids(blocks: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
+    """(block, ids): word ids in order, -1 for breaks and rare words."""
+    width = _width(n_words)
     entries = blocks.select("block", F.posexplode("words").alias("pos", "w")).select("block", "pos", "w.lang", "w.word")
     known = (entries.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
              .groupBy("block").agg(F.collect_list(F.struct("pos", "id")).alias("known")))
@@ -166,58 +218,68 @@ def _word_ids(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 known = batch.column(3)[i].values
                 table = np.full(batch.column(2)[i].as_py() + 1, -1, np.int64)          # the last entry is that of code -1
                 table[known.field("pos").to_numpy()] = known.field("id").to_numpy()
-                ids = table[codes].tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([ids], pa.binary()), pa.array([ids], pa.binary())],
-                                                 names=["block", "ids", "cur"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([table.astype(width)[codes].tobytes()], pa.binary())],
+                                                 names=["block", "ids"])
 
-    return written(rows.mapInArrow(run, "block long, ids binary, cur binary"), "word-ids")
+    return _written_blocks(rows.mapInArrow(run, "block long, ids binary"), "word-ids")
 
 
-def _local_counts(coded: DataFrame, size: int, n_words: int) -> DataFrame:
-    """(block, left, right, n): candidate phrases of ``size`` words per block."""
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, cur = (np.frombuffer(batch.column(j)[i].as_buffer(), np.int64) for j in (1, 2))
-                at, left, right = _next_pairs(ids, cur, size)
-                keep = right >= 0
-                left, right, n = count_cells(left[keep], right[keep], n_words)
-                block = np.full(len(n), batch.column(0)[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(left), pa.array(right), pa.array(n)],
-                                                 names=["block", "left", "right", "n"])
-
-    return coded.mapInArrow(run, "block long, left long, right long, n long")
+def _counted(coded: DataFrame, size: int, n_words: int, filters: dict) -> DataFrame:
+    """(w0, w1, ..., n): counts of phrases of ``size`` words.  Blocks of a task
+    are counted together, ``TOGETHER`` words at a time; Spark adds up."""
+    names = [f"w{k}" for k in range(size)]
+    shipped = {m: coded.sparkSession.sparkContext.broadcast(bits) for m, bits in filters.items() if m == size - 1 or m > 1}
+    width = _width(n_words)
 
+    def run(batches):
+        known = {m: b.value for m, b in shipped.items()}
+        gap = np.full(1, -1, width)
+        held, words = [], 0
 
-def _recode(coded: DataFrame, local: DataFrame, found: DataFrame, size: int, n_words: int) -> DataFrame:
-    """Blocks with the ids of their frequent phrases of ``size`` words as
-    ``cur``; blocks without any go."""
-    known = (local.select("block", "left", "right").join(found.select("left", "right", "id"), ["left", "right"])
-             .groupBy("block").agg(F.collect_list(F.struct("left", "right", "id")).alias("known")))
-    rows = coded.join(known, "block")
+        def flush():
+            found, n = count_phrases(np.concatenate(held), size, n_words, known)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in [*found, n]] if found else [pa.array([], pa.int64())] * (size + 1), names=[*names, "n"])
 
-    def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, cur = (np.frombuffer(batch.column(j)[i].as_buffer(), np.int64) for j in (1, 2))
-                a, b, new = (batch.column(3)[i].values.field(f).to_numpy() for f in ("left", "right", "id"))
-                at, left, right = _next_pairs(ids, cur, size)
-                keep = right >= 0
-                at, left, right = at[keep], left[keep], right[keep]
-                # ranks of the left ids met here keep the joint code within 64 bits
-                lefts = np.unique(a)
-                where = np.minimum(np.searchsorted(lefts, left), len(lefts) - 1)
-                code = np.where(lefts[where] == left, where * n_words + right, -1)
-                have = np.searchsorted(lefts, a) * n_words + b
-                order = np.argsort(have)
-                have, new = have[order], new[order]
-                spot = np.minimum(np.searchsorted(have, code), len(have) - 1)
-                out = np.full(len(cur), -1, np.int64)
-                out[at] = np.where(have[spot] == code, new[spot], -1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([out.tobytes()], pa.binary())],
-                                                 names=["block", "ids", "cur"])
-
-    return written(rows.mapInArrow(run, "block long, ids binary, cur binary"), "phrase-ids")
+                ids = np.frombuffer(batch.column(1)[i].as_buffer(), width)
+                for lo in range(0, max(len(ids), 1), TOGETHER):      # a long block goes in parts that overlap by a phrase
+                    held += [ids[max(lo - size + 1, 0):lo + TOGETHER], gap] if lo else [ids[:TOGETHER], gap]
+                    words += min(len(ids) - lo, TOGETHER)
+                    if words >= TOGETHER:
+                        yield flush()
+                        held, words = [], 0
+        if held:
+            yield flush()
+
+    parts = coded.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+    return parts.groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def _filter(found: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of the hashes of phrases: at least 8 bits for each while that
+    is below ``FILTER_BITS``, the bound of what is sent to tasks.  What passes
+    it wrongly is counted like the rest and is not frequent."""
+    n = found.count()
+    bits = min(FILTER_BITS, 1 << max(19, (8 * n).bit_length()))
+    names = [f"w{k}" for k in range(size)]
+
+    def hashed(batches):
+        for batch in batches:
+            at = phrase_hash([batch.column(k).to_numpy() for k in range(size)]) & np.uint64(bits - 1)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(19)).astype(np.int32)), pa.array((at & np.uint64((1 << 19) - 1)).astype(np.int32))],
+                                             names=["part", "bit"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << 19, np.uint8)
+        flags[table.column("bit").to_numpy()] = 1
+        return pa.table([table.column("part").slice(0, 1), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
+
+    parts = found.select(*names).mapInArrow(hashed, "part int, bit int").distinct().groupBy("part").applyInArrow(pack, "part int, bits binary")
+    out = np.zeros(bits >> 3, np.uint8)
+    for r in parts.collect():                          # FILTER_BITS / 8 bytes at most
+        out[r["part"] << 16:(r["part"] + 1) << 16] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, min_count: int = 10,
@@ -227,26 +289,22 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", ma
     ``max_words`` words found so often (words: ids, lang, n)."""
     blocks = encode_blocks(docs, text, lang, block_bytes)
     # words are added up by (lang, word); a block holds each once
-    counts = written(blocks.select(F.explode("words").alias("w")).groupBy("w.lang", "w.word").agg(F.sum("w.n").alias("n")), "words")
+    counts = _written_blocks(blocks.select(F.explode("words").alias("w")).groupBy("w.lang", "w.word").agg(F.sum("w.n").alias("n")), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     vocabulary = _ranked(counts.filter(F.col("n") >= min_count), ["lang", "word"], "vocabulary")
     n_words = max(vocabulary.count(), 1)
-    coded = _word_ids(blocks, vocabulary)
-    level = vocabulary.select("id", "lang", F.array("id").alias("words"), "n")
-    levels = [level.drop("id")]
+    coded = _word_ids(blocks, vocabulary, n_words)
+    out = vocabulary.select("lang", F.array("id").alias("words"), "n")
+    filters: dict = {}
     for size in range(2, max_words + 1):
-        local = written(_local_counts(coded, size, n_words), "pairs")
-        sums = local.groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
-        found = _ranked(sums, ["left", "right"], "phrases") if size < max_words else written(sums, "phrases")
-        longer = found.join(level.select(F.col("id").alias("left"), "lang", "words"), "left")
-        level = written(longer.select(*["id"] * (size < max_words), "lang", F.concat("words", F.array("right")).alias("words"), "n"), "level")
-        levels.append(level.drop("id"))
+        names = [f"w{k}" for k in range(size)]
+        found = _written_blocks(_counted(coded, size, n_words, filters).filter(F.col("n") >= min_count), "phrases")
+        # ids are those of a language's words: the first one tells the language
+        named = found.join(vocabulary.select(F.col("id").alias("w0"), "lang"), "w0")
+        out = out.unionByName(named.select("lang", F.array(*names).alias("words"), "n"))
         if size < max_words:
-            coded = _recode(coded, local, found, size, n_words)
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionByName(part)
-    return totals, vocabulary, out
+            filters[size] = _filter(found, size)
+    return totals, vocabulary, written(out, "phrases")
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, min_count: int = 10,
