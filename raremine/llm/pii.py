@@ -3,17 +3,16 @@
 Base spans (e-mail addresses, IP addresses, card and phone numbers) come from
 fixed patterns with checks and always stay.  Generators of high recall propose
 further, overlapping spans: the base patterns without their checks, disguised
-addresses, phone numbers without a plus sign, other digit groups.  A proposal
-that fails the check of its kind (an address once [at], [dot] and [.] are
-undone, Luhn and length, a number of digits and no date) is never added.  One
-that passes is confirmed by evidence: a known ending of the address, an issuer's
-prefix and length or a word for cards before it, a word for phones right before
-the number.  Confirmed proposals are added.  Gradient-boosted trees decide on
-those that pass without evidence, by format and context; neither the generator
-nor what confirms a proposal is among their features.  They are fitted on
-confirmed and other proposals, and each kind's threshold is the lowest score at
-which the held-out proposals that could be added were confirmed with the wanted
-precision; a kind without such a score adds none of them.
+addresses, short forms, phone numbers without a plus sign, other digit groups.
+Gradient-boosted trees score every proposal by format and context, with its
+disguise undone, so that a hidden value looks like a plain one.  There are no
+labels; weak ones stand in: a proposal is positive if it is a base span, if its
+value stands elsewhere as a base span, or if it passes the check of its kind
+and something speaks for it (a known ending, an issuer's prefix, a word right
+before).  Labels only train and calibrate.  What is added is decided by the
+score alone: a kind's threshold is the lowest score from which on held-out
+proposals are positive with the wanted precision, as a confidence bound over
+all of them and as it stands among those that may be added.
 
 Everything runs as DataFrame expressions and Spark ML.  All counted quantities
 of the patterns are possessive or start only where a run of their characters
@@ -22,6 +21,8 @@ starts, so long texts are scanned in linear time.
 
 from __future__ import annotations
 
+from math import sqrt
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,8 +34,10 @@ from raremine.llm.store import if_small, written
 KINDS = ("email", "ip", "card", "phone")
 #: About so many rows the trees are fitted on; thresholds cover all held-out rows.
 TRAIN_ROWS = 20_000
-TREES, DEPTH, SEED = 10, 3, 17
-PRECISION, MIN_CONFIRMED = 0.99, 50
+TREES, DEPTH, SEED = 20, 4, 17
+#: Held-out precision that a threshold promises, as the lower end of a confidence
+#: interval (normal quantile Z): few rows make it stricter, none is needed.
+PRECISION, Z = 0.95, 1.64
 CONTEXT = 24
 
 # Base patterns; \G lets a match start right after the one before it.
@@ -48,12 +51,14 @@ BASE = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: Further proposals: (kind, pattern).
 LOOSE = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?[\[(]\s?(?:at|@)\s?[\])]\s?[A-Za-z0-9-]{1,63}+"
-              r"(?:(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z0-9-]{1,63}+){1,8}+"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?[\[(]\s?(?:at|@)\s?[\])]\s?[A-Za-z0-9-]++"
+              r"(?:(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z0-9-]++)++"),
     ("ip", r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}+:){7}+[0-9A-Fa-f]{1,4}+(?![0-9A-Za-z:])"),
+    ("ip", r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}+:){1,6}+(?::[0-9A-Fa-f]{1,4}+){1,6}+(?![0-9A-Za-z:])"),
     ("ip", r"(?<![0-9.])(?:[0-9]{1,3}+\[\.\]){3}+[0-9]{1,3}+(?![0-9])"),
     ("card", r"(?<![0-9A-Za-z])[0-9]{4}[\x20-]?[0-9]{4,6}[\x20-]?[0-9]{4,5}(?:[\x20-]?[0-9]{1,4}){0,2}+(?![0-9A-Za-z])"),
-    ("phone", r"(?<![0-9A-Za-z])\(?[0-9]{2,4}+\)?[\x20./-]{1,2}+[0-9]{2,4}+[\x20./-][0-9]{2,5}+(?:[\x20./-][0-9]{2,5}+){0,3}+(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z])\(?[0-9]{2,4}+\)?[\x20./-]{1,2}+[0-9]{2,4}+[\x20./-][0-9]{2,5}+(?:[\x20./-][0-9]{2,5}+)*+(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z.,+-])[0-9]{8,15}+(?![0-9A-Za-z])"),
 )
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 KEYWORDS = {
@@ -67,7 +72,8 @@ EMAIL = r"\A[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z][A-Za-z0-9-]*\z"
 ENDINGS = (r"(?i)\.(?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|pro|dev|app|xyz|online|site|shop|store|tech|cloud|blog|email|"
            r"museum|coop|aero|jobs|mobi|travel|example|test|invalid)\z")
 WRITTEN_DOT = r"(?i)[\[(]\s?dot\s?[\])]\s?[a-z]{2,}\z"
-IPV6 = r"\A(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\z"
+#: Eight groups, or fewer with one run of zero groups left out.
+IPV6 = r"\A(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[0-9A-Fa-f]+:+){1,6}[0-9A-Fa-f]+\z)(?:[0-9A-Fa-f]{1,4}:)+(?::[0-9A-Fa-f]{1,4})+)\z"
 DATE = (r"\A\(?(?:(?:19|20)[0-9]{2}[\x20./-]+[01]?[0-9][\x20./-][0-3]?[0-9](?![0-9])|"
         r"[0-3]?[0-9][\x20./-]+[0-3]?[0-9][\x20./-](?:19|20)[0-9]{2}(?![0-9]))")
 #: Prefixes and lengths of card issuers.
@@ -160,62 +166,77 @@ def find_base(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 # ------------------------------------------------------------------ scoring --
 
-#: What the trees see: neither the generator nor the checks and words that confirm a proposal.
-FEATURES = ("rank", "length", "n_digits", "n_separators", "n_groups", "longest_group", "letters", "has_brackets",
-            "joined_before", "joined_after", "keyword", "quoted", "hex_near", "other_name")
+#: What the trees see: format of the proposal with its disguise undone and its
+#: plus sign gone (so that base spans and disguised ones look alike), and context.
+FEATURES = ("rank", "length", "n_digits", "n_separators", "n_groups", "longest_group", "letters", "joined_before", "joined_after",
+            "keyword", "right_before", "quoted", "hex_near", "other_name", "valid", "ending", "issuer")
 #: Words before numbers of other things.
 OTHER_NAMES = r"(?<![a-z])(?:order|invoice|ref|reference|isbn|issn|version|sku|ticket|case|serial|account|part|item|page|id)(?![a-z])"
 
 
-def _features(p: DataFrame) -> DataFrame:
-    """Format and context of proposals as numeric columns."""
-    v, before, after = F.col("value"), F.col("before"), F.col("after")
-    digits = _digits(v)
-    groups = F.filter(F.split(v, "[^0-9A-Za-z]+"), lambda g: g != "")
-    word = None
+def _plain(value: Column) -> Column:
+    for pattern, instead in DISGUISES:
+        value = F.regexp_replace(value, pattern, instead)
+    return F.regexp_replace(value, r"\A\+", "")
+
+
+def _of_kind(by_kind) -> Column:
+    out = None
     for rank, kind in enumerate(KINDS):
-        # words confirm cards and phones, so only the other kinds see theirs
-        hit = F.lit(False) if kind in ("card", "phone") else F.rlike(F.lower(before), F.lit(KEYWORDS[kind]))
-        word = F.when(F.col("rank") == rank, hit) if word is None else word.when(F.col("rank") == rank, hit)
-    values = {
-        "length": F.length(v), "n_digits": F.length(digits), "n_separators": F.length(F.regexp_replace(v, "[0-9A-Za-z]", "")),
-        "n_groups": F.size(groups), "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
-        "letters": F.length(F.regexp_replace(v, "[^A-Za-z]", "")), "has_brackets": F.contains(v, F.lit("(")),
-        "joined_before": F.rlike(before, F.lit(r"[0-9A-Za-z_=/\"'-]\z")), "joined_after": F.rlike(after, F.lit(r"\A[0-9A-Za-z_=/\"'-]")),
-        "keyword": word, "quoted": F.rlike(before, F.lit("[\"'`]\\z")), "hex_near": F.rlike(F.concat(before, after), F.lit("[0-9a-f]{12}")),
-        "other_name": F.rlike(F.lower(before), F.lit(OTHER_NAMES))}
-    return p.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in values.items()], F.col("rank").cast("double").alias("f_rank"))
+        out = F.when(F.col("rank") == rank, by_kind[kind]) if out is None else out.when(F.col("rank") == rank, by_kind[kind])
+    return out
 
 
-def _with_evidence(p: DataFrame) -> DataFrame:
-    """``valid``: the proposal, its disguise undone, passes the check of its
-    kind; ``confirmed``: there is evidence for it besides."""
+def _checks(p: DataFrame) -> DataFrame:
+    """``plain``; ``valid``: it passes the check of its kind; ``ending``,
+    ``issuer``, ``right_before``: what speaks for it besides."""
     v, before, after = F.col("value"), F.col("before"), F.col("after")
-    plain = v
-    for pattern, instead in DISGUISES:
-        plain = F.regexp_replace(plain, pattern, instead)
-    digits = _digits(v)
+    p = p.withColumn("plain", _plain(v))
+    plain, digits = F.col("plain"), _digits(v)
     is_ip = _valid("ip", plain)
-    alone = ~F.rlike(before, F.lit(r"[0-9A-Za-z_=/.-]\z")) & ~F.rlike(after, F.lit(r"\A(?:[0-9A-Za-z_/-]|\.[0-9])"))
     valid = {
         "email": F.rlike(plain, F.lit(EMAIL)),
         # groups of two characters throughout are hardware addresses
-        "ip": is_ip | (F.rlike(v, F.lit(IPV6)) & F.rlike(v, F.lit("[0-9A-Fa-f]{3}"))),
+        "ip": is_ip | (F.rlike(v, F.lit(IPV6)) & (F.rlike(v, F.lit("[0-9A-Fa-f]{3}")) | F.contains(v, F.lit("::")))),
         "card": F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False),
         "phone": F.length(digits).between(8, 15) & ~is_ip & ~F.rlike(v, F.lit(DATE))}
-    evidence = {
-        "email": F.rlike(plain, F.lit(ENDINGS)) | F.rlike(v, F.lit(WRITTEN_DOT)),
-        "ip": F.lit(True),
-        "card": alone & (F.rlike(digits, F.lit(ISSUER)) | F.rlike(F.lower(before), F.lit(KEYWORDS["card"]))),
-        "phone": F.rlike(F.lower(before), F.lit(PHONE_WORD)) & ~F.rlike(after, F.lit(r"\A[0-9A-Za-z_]"))}
+    named = {"email": F.lit(False), "ip": F.lit(False), "card": F.rlike(F.lower(before), F.lit(KEYWORDS["card"])),
+             "phone": F.rlike(F.lower(before), F.lit(PHONE_WORD)) & ~F.rlike(after, F.lit(r"\A[0-9A-Za-z_]"))}
+    return (p.withColumn("valid", _of_kind(valid)).withColumn("right_before", _of_kind(named))
+            .withColumn("ending", (F.col("rank") == 0) & (F.rlike(plain, F.lit(ENDINGS)) | F.rlike(v, F.lit(WRITTEN_DOT))))
+            .withColumn("issuer", (F.col("rank") == 2) & F.rlike(digits, F.lit(ISSUER))))
 
-    def of_kind(by_kind):
-        out = None
-        for rank, kind in enumerate(KINDS):
-            out = F.when(F.col("rank") == rank, by_kind[kind]) if out is None else out.when(F.col("rank") == rank, by_kind[kind])
-        return out
 
-    return p.withColumn("valid", of_kind(valid)).withColumn("confirmed", F.col("valid") & of_kind(evidence))
+def _features(p: DataFrame) -> DataFrame:
+    """Format and context of proposals as numeric columns."""
+    v, before, after = F.col("plain"), F.col("before"), F.col("after")
+    digits = _digits(v)
+    groups = F.filter(F.split(v, "[^0-9A-Za-z]+"), lambda g: g != "")
+    values = {
+        "length": F.length(v), "n_digits": F.length(digits), "n_separators": F.length(F.regexp_replace(v, "[0-9A-Za-z]", "")),
+        "n_groups": F.size(groups), "longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
+        "letters": F.length(F.regexp_replace(v, "[^A-Za-z]", "")),
+        "joined_before": F.rlike(before, F.lit(r"[0-9A-Za-z_=/\"'.-]\z")), "joined_after": F.rlike(after, F.lit(r"\A(?:[0-9A-Za-z_=/\"'-]|\.[0-9])")),
+        "keyword": _of_kind({k: F.rlike(F.lower(before), F.lit(KEYWORDS[k])) for k in KINDS}),
+        "quoted": F.rlike(before, F.lit("[\"'`]\\z")), "hex_near": F.rlike(F.concat(before, after), F.lit("[0-9a-f]{12}")),
+        "other_name": F.rlike(F.lower(before), F.lit(OTHER_NAMES)),
+        **{c: F.col(c) for c in ("right_before", "valid", "ending", "issuer")}}
+    return p.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in values.items()], F.col("rank").cast("double").alias("f_rank"))
+
+
+def _labels(p: DataFrame) -> DataFrame:
+    """``label``: 1 for base spans, for proposals whose value, disguise undone,
+    stands elsewhere as a base span, and for those with evidence beside a
+    passed check (weak labels: the trees only learn from them); else 0."""
+    same = F.when(F.col("rank").isin(KINDS.index("card"), KINDS.index("phone")), _digits(F.col("plain"))).otherwise(F.lower("plain"))
+    p = p.withColumn("same", F.xxhash64("rank", same))
+    base = written(p.filter("known").select(F.col("same").alias("base_value")).distinct(), "pii-values")
+    alone = (F.col("f_joined_before") == 0) & (F.col("f_joined_after") == 0)
+    evidence = F.col("valid") & _of_kind({
+        "email": F.col("ending"), "ip": F.lit(True), "phone": F.col("right_before"),
+        "card": alone & (F.col("issuer") | F.col("right_before"))})
+    return (p.join(base, p["same"] == base["base_value"], "left")
+            .withColumn("label", (F.col("known") | F.col("base_value").isNotNull() | evidence).cast("double")).drop("same", "base_value"))
 
 
 def _assemble(p: DataFrame) -> DataFrame:
@@ -235,18 +256,25 @@ def _proposals(found: DataFrame) -> DataFrame:
             .select("key", "text_key", "p.*", overlap.alias("known"), (~taken).alias("free")))
 
 
-def _confirmed_scores(scored: DataFrame, precision: float, least: int) -> dict[int, float]:
-    """kind -> lowest score (in hundredths) from which on the labels are
-    positive with the wanted precision, on at least ``least`` rows."""
+def _thresholds(scored: DataFrame, precision: float, z: float) -> dict[int, tuple]:
+    """kind -> (lowest score, precision, recall, rows): the lowest score (in
+    hundredths) from which on held-out proposals are positive with the wanted
+    precision: over all of them as the lower end of a confidence interval, and
+    among those that may be added as it stands."""
     counts = scored.groupBy("rank", F.floor(F.col("score") * 100).alias("bin")).agg(
-        F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()          # <= kinds x 101 rows
+        F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("open"), F.col("label")).otherwise(0.0)).alias("open_good"), F.count_if("open").alias("open_n")).collect()   # <= kinds x 101 rows
     cut = {}
     for rank in range(len(KINDS)):
-        good = n = 0
-        for r in sorted((r for r in counts if r["rank"] == rank), key=lambda r: -r["bin"]):
-            good, n = good + r["good"], n + r["n"]
-            if n >= least and good >= precision * n:
-                cut[rank] = r["bin"] / 100
+        rows = sorted((r for r in counts if r["rank"] == rank), key=lambda r: -r["bin"])
+        every = sum(r["good"] for r in rows)
+        good = n = open_good = open_n = 0
+        for r in rows:
+            good, n, open_good, open_n = good + r["good"], n + r["n"], open_good + r["open_good"], open_n + r["open_n"]
+            share = good / n
+            middle, width = share + z * z / (2 * n), z * sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+            if (middle - width) / (1 + z * z / n) >= precision and open_good >= precision * open_n:
+                cut[rank] = r["bin"] / 100, share, good / every, n
     return cut
 
 
@@ -266,40 +294,63 @@ def _training_sample(p: DataFrame, rows: int) -> DataFrame:
     return distinct if share is None else distinct.filter(F.pmod(F.xxhash64("like", F.lit(SEED + 1)), F.lit(1_000_000)) < share)
 
 
+def _scored(found: DataFrame, train_rows: int, precision: float, z: float):
+    """(proposals with score, thresholds by kind); (None, {}) if there is
+    nothing to tell apart."""
+    p = _labels(_features(_checks(_proposals(found))))
+    p = written(p.select(
+        "key", "text_key", "rank", "start", "end", F.col("free").alias("open"), "label",
+        F.xxhash64("value", "before", "rank", F.lit(SEED)).alias("mark"),
+        F.xxhash64("value", "before", "after", "rank").alias("like"),
+        *[f"f_{n}" for n in FEATURES]), "pii-proposals")
+    train = _training_sample(p, train_rows)
+    if train.select("label").distinct().count() < 2:
+        return None, {}
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(
+        written(_assemble(train).select("features", "label"), "pii-train"))
+    scored = model.transform(_assemble(p)).withColumn("score", vector_to_array("probability")[1]).select(
+        "key", "text_key", "rank", "start", "end", "open", "label", "mark", "score")
+    scored = written(scored, "pii-scored")
+    return scored, _thresholds(scored.filter("mark % 2 <> 0"), precision, z)
+
+
+def _chosen(scored: DataFrame, cut: dict) -> DataFrame:
+    least = _of_kind({k: F.lit(cut[i][0] if i in cut else 2.0) for i, k in enumerate(KINDS)})
+    return scored.filter(F.col("open") & (F.col("score") >= least))
+
+
+def selection_report(docs: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS,
+                     precision: float = PRECISION, z: float = Z) -> list[dict]:
+    """Per kind: proposals, those that may be added, those the trees add, the
+    threshold and its held-out precision and recall (none: nothing is added)."""
+    scored, cut = _scored(written(find_base(docs, key, text), "pii-found"), train_rows, precision, z)
+    if scored is None:
+        return []
+    added = {r["rank"]: r["count"] for r in _chosen(scored, cut).groupBy("rank").count().collect()}
+    return [{"kind": KINDS[r["rank"]], "proposals": r["n"], "open": r["o"], "added": added.get(r["rank"], 0),
+             **dict(zip(("threshold", "precision", "recall", "held_out"), cut.get(r["rank"], (None,) * 4)))}
+            for r in scored.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("o")).orderBy("rank").collect()]
+
+
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS,
-                       precision: float = PRECISION, min_confirmed: int = MIN_CONFIRMED) -> DataFrame:
+                       precision: float = PRECISION, z: float = Z) -> DataFrame:
     """(key, text_key, base, spans) per row: arrays of struct<rank, start, end>
-    by kind and start; ``spans`` holds the base spans and those added.
+    by kind and start; ``spans`` holds the base spans and those the trees add:
+    every proposal that no base span overlaps is scored, and the score must
+    reach its kind's threshold.
 
     Null and empty texts have no spans; repeated rows are scored once and
-    reported each; without both confirmed and unconfirmed proposals no trees
-    are fitted and only confirmed ones are added; an empty table gives an empty
-    result; further columns are not read.
+    reported each; without both positive and negative proposals no trees are
+    fitted, and a kind whose held-out rows cannot show the precision has no
+    threshold: nothing is added then; an empty table gives an empty result;
+    further columns are not read.
     """
     found = written(find_base(docs, key, text), "pii-found")
-    p = _features(_with_evidence(_proposals(found)))
-    p = written(p.select(
-        "key", "text_key", "rank", "start", "end", "confirmed", (F.col("free") & F.col("valid")).alias("open"),
-        (F.col("known") | F.col("confirmed")).cast("double").alias("label"), F.xxhash64("value", "before", "rank", F.lit(SEED)).alias("mark"),
-        F.xxhash64("value", "before", "after", "rank").alias("like"),
-        *[f"f_{n}" for n in FEATURES]), "pii-proposals")
-    train = _training_sample(p, train_rows)
-    labels = {r[0] for r in train.select("label").distinct().collect()}
+    scored, cut = _scored(found, train_rows, precision, z)
     d = found.select("key", "text_key", "base")
-    fresh = p.filter("open AND confirmed").withColumn("score", F.lit(1.0))
-    if len(labels) > 1:
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(
-            written(_assemble(train).select("features", "label"), "pii-train"))
-        scored = model.transform(_assemble(p.filter("open"))).withColumn("score", vector_to_array("probability")[1])
-        cut = _confirmed_scores(scored.filter("mark % 2 <> 0").select("rank", "score", "label"), precision, min_confirmed)
-        if cut:
-            least = None
-            for rank, score in sorted(cut.items()):
-                least = F.when(F.col("rank") == rank, F.lit(score)) if least is None else least.when(F.col("rank") == rank, F.lit(score))
-            # evidence comes before any score
-            fresh = scored.filter(F.col("confirmed") | (F.col("score") >= least)).withColumn(
-                "score", F.when(F.col("confirmed"), 1.0).otherwise(F.col("score")))
-    added = _best_of_overlapping(fresh.select("key", "text_key", "rank", "start", "end", "score"))
+    if not cut:
+        return d.select(F.col("key").alias(key), "text_key", "base", F.array_sort("base").alias("spans"))
+    added = _best_of_overlapping(_chosen(scored, cut).select("key", "text_key", "rank", "start", "end", "score"))
     d = d.join(added, d["key"].eqNullSafe(added["k"]) & (d["text_key"] == added["t"]), "left")
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<rank:int,start:int,end:int>>"))))
     return d.select(F.col("key").alias(key), "text_key", "base", spans.alias("spans"))

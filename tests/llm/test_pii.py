@@ -73,31 +73,73 @@ def test_base_stays_and_additions_are_spans(spark):
 HIDDEN = [
     ("email", "write to ", "jo.doe{i} [at] mail [dot] example", " please"), ("email", "or ", "jo{i}(at)mail.example.org", ", he said"),
     ("ip", "host ", "10[.]0[.]{i}[.]7", " was seen"), ("ip", "from ", "2001:db8:0:0:{i}:ff00:42:8329", " again"),
-    ("card", "paid by amex ", "3782 822463 10005", " in May"), ("phone", "phone: ", "0{a} 555 {b}", " daily"), ("phone", "call us at ", "({a}) 555-{b}", " now")]
-LIKE = ["look [at] this.thing here", "host 10[.]0[.]999[.]7 no", "mac 00:1a:2b:3c:4d:5e:6f:70 x", "paid by amex 3782 822463 10006 x", "order number {a} 555 {b} x",
-        "phone on 1999-12-31 it rang", "call in 31.12.1999 x", "call order {a} 555 {b} x", "see 12 [dot] 5 x"]
+    ("card", "paid by amex ", "{card}", " in May"), ("phone", "phone: ", "0{a} 555 {b}", " daily"), ("phone", "call us at ", "({a}) 555-{b}", " now")]
+LIKE = ["look [at] this.thing{i} here", "host 10[.]0[.]{b}[.]7 no", "mac 00:1a:2b:3c:4d:5e:6f:{two} x", "paid by amex {nocard} x", "order number {a} 555 {b} x",
+        "phone on 19{two}-12-31 it rang", "call in 31.12.19{two} x", "call order {a} 555 {b} x", "see {a} [dot] 5 x"]
 
 
-def test_disguised_spans_are_found_and_lookalikes_are_not(spark):
+def card(i, off=0):
+    """A card number of 15 digits; with ``off``, one that fails its check."""
+    body = f"3782{822463 + i}1{i % 1000:03d}"[:14]
+    digits = [int(c) for c in body]
+    total = sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(reversed(digits)))
+    check = (10 - total + off) % 10
+    return f"{body[:4]} {body[4:10]} {body[10:]}{check}"
+
+
+def disguised(n=1800):
+    """Texts with a lookalike and, further on, a hidden span of one kind; some
+    hidden values stand elsewhere as base spans."""
     texts, want = [], []
-    for i in range(120):
-        at = {"i": i, "a": f"{200 + i}", "b": f"{1000 + 37 * i}"}
+    for i in range(n):
+        at = {"i": i % 250, "a": f"{200 + i % 700}", "b": f"{1000 + 37 * i % 8999}", "two": f"{10 + i % 90}", "card": card(i), "nocard": card(i, 1 + i % 9)}
         kind, before, value, after = HIDDEN[i % len(HIDDEN)]
         value = value.format(**at)
-        head = LIKE[i % len(LIKE)].format(**at) + " and so on and on, until much later " + before
+        head = LIKE[i % len(LIKE)].format(**at) + f" and so on and on in note {i}, until much later " + before
         texts.append(head + value + after)
         want.append(f"{kind}:{len(head)}:{len(head) + len(value)}")
+    return texts, want
+
+
+def test_trees_find_disguised_spans_and_leave_lookalikes(spark):
+    texts, want = disguised()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.s for r in pii.find_personal_data(df).select("doc_id", pii.span_names("spans").alias("s")).collect()}
-    assert [got[i] for i in range(len(texts))] == want
+    got = {r.doc_id: set(filter(None, r.s.split(","))) for r in pii.find_personal_data(df).select("doc_id", pii.span_names("spans").alias("s")).collect()}
+    right = sum(w in got[i] for i, w in enumerate(want))
+    wrong = sum(len(got[i] - {w}) for i, w in enumerate(want))
+    assert right >= 0.95 * len(want) and wrong <= 0.02 * len(want)
+    report = {r["kind"]: r for r in pii.selection_report(df)}
+    assert set(report) == set(pii.KINDS)
+    for r in report.values():
+        assert r["added"] > 0 and r["precision"] >= 0.95 and r["recall"] >= 0.9 and r["added"] <= r["open"] <= r["proposals"]
     clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
     for i, w in enumerate(want):
         kind, start, end = w.split(":")
-        assert clean[i] == texts[i][:int(start)] + f"[{kind.upper()}]" + texts[i][int(end):]
+        if got[i] == {w}:
+            assert clean[i] == texts[i][:int(start)] + f"[{kind.upper()}]" + texts[i][int(end):]
+
+
+def test_context_changes_what_is_added(spark):
+    """The same number after another word: the trees, not a rule on the value, tell."""
+    texts, _ = disguised()
+    number = "0612 555 98{}"
+    probes = [f"for help phone: {number.format(i)} daily" for i in range(10, 30)] + [f"see the order number {number.format(i)} daily" for i in range(10, 30)]
+    df = spark.createDataFrame(list(enumerate(texts + probes)), "doc_id long, text string")
+    got = {r.doc_id: r.s for r in pii.find_personal_data(df).select("doc_id", pii.span_names("spans").alias("s")).collect()}
+    base = len(texts)
+    assert sum("phone" in got[base + i] for i in range(20)) >= 19
+    assert sum("phone" in got[base + 20 + i] for i in range(20)) <= 1
+
+
+def test_trees_do_not_see_what_labels():
+    assert not {"generator", "luhn", "known", "label", "has_brackets"} & set(pii.FEATURES)
 
 
-def test_trees_do_not_see_what_confirms():
-    assert not {"generator", "luhn"} & set(pii.FEATURES)
+def test_short_forms_of_addresses_are_proposed(spark):
+    values = ["2001:db8::1", "fe80::1:2", "::1x", "12:30", "a::b::c", "00:1a:2b:3c:4d:5e"]
+    df = spark.createDataFrame([(i, f"host {v} up") for i, v in enumerate(values)], "doc_id long, text string")
+    p = pii._checks(pii._proposals(pii.find_base(df))).filter("rank = 1").select("key", "value", "valid").collect()
+    assert {(r.key, r.value) for r in p if r.valid} == {(0, "2001:db8::1"), (1, "fe80::1:2")}
 
 
 def test_training_sample_is_not_filled_by_a_hot_value(spark):
@@ -115,8 +157,8 @@ def test_training_sample_is_not_filled_by_a_hot_value(spark):
 
 def test_thresholds_cover_all_held_out_rows(spark, monkeypatch):
     seen = []
-    inner = pii._confirmed_scores
-    monkeypatch.setattr(pii, "_confirmed_scores", lambda scored, *a: (seen.append(scored.count()), inner(scored, *a))[1])
+    inner = pii._thresholds
+    monkeypatch.setattr(pii, "_thresholds", lambda scored, *a: (seen.append(scored.count()), inner(scored, *a))[1])
     # one side of the hash holds about half of the distinct contexts; each stands in many rows
     texts = [f"note a{k % 400} call 0{k % 400 + 200} 555 {1000 + k % 400} or b 0{k % 400 + 300} 666 {1000 + k % 400}" for k in range(24_000)]
     pii.find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
@@ -124,9 +166,11 @@ def test_thresholds_cover_all_held_out_rows(spark, monkeypatch):
 
 
 def test_thresholds_hold_their_precision(spark):
-    rows = [(0, s / 100, 1.0) for s in range(90, 100)] * 10 + [(0, 0.5, 0.0)] * 30 + [(0, 0.55, 1.0)] * 10 + [(1, 0.9, 1.0)] * 5
-    cut = pii._confirmed_scores(spark.createDataFrame(rows, "rank int, score double, label double"), 0.99, 50)
-    assert cut == {0: 0.55}
+    rows = ([(0, s / 100, 1.0, False) for s in range(90, 100)] * 20 + [(0, 0.5, 0.0, False)] * 30 + [(0, 0.55, 1.0, True)] * 10
+            + [(1, 0.9, 1.0, True)] * 5 + [(2, 0.9, 1.0, False)] * 500 + [(2, 0.8, 0.0, True)] * 3 + [(2, 0.7, 1.0, False)] * 500)
+    cut = pii._thresholds(spark.createDataFrame(rows, "rank int, score double, label double, open boolean"), 0.95, 1.64)
+    assert {k: v[0] for k, v in cut.items()} == {0: 0.55, 2: 0.9}      # too few rows; a wrong addition
+    assert cut[0][1:] == (1.0, 1.0, 210) and cut[2][2] == 0.5
 
 
 def test_overlapping_additions_leave_the_best(spark):
