@@ -40,6 +40,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    # one JVM is driver and executor here
+    os.environ.setdefault("RAREMINE_DRIVER_MEMORY", "12g")
     from raremine.plans import catalog
     from raremine.session import get_session
 

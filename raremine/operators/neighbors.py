@@ -275,9 +275,10 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     ``([group,] key, source, neighbour, copy, *features, label)`` of the
     synthetic rows only; a group without danger rows gets none."""
     from raremine.operators.clean import global_row_number
+    from raremine.session import written
 
     gcols = [group] if group else []
-    base = df.select(*gcols, key, label, as_vector(features).alias("v")).persist()
+    base = written(df.select(*gcols, key, label, as_vector(features).alias("v")), "smote-rows")
     is_min = F.col(label) == F.lit(minority)
     stats = {}
     for r in base.groupBy(*gcols, is_min.alias("m")).count().collect():   # 2 rows per group
@@ -290,8 +291,8 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     minority_rows = base.filter(is_min)
     max_min = max(v[True] for v in stats.values())
     max_all = max(v[True] + v[False] for v in stats.values())
-    nn_all = knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
-                      sizes=(max_min, max_all)).persist()          # n_min x m rows, read twice
+    nn_all = written(knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
+                              sizes=(max_min, max_all)), "smote-near")          # n_min x m rows, read twice
     labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
     from raremine.operators.joins import salted_join
 

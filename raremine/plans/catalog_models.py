@@ -22,6 +22,7 @@ from raremine.operators.models import gnb_fit, gnb_predict
 from raremine.plans import oracle as O
 from raremine.plans.catalog_tabular import FEATS, pdata
 from raremine.plans.standins import NUMERIC, TARGET, TRAIN_SQL, train_frame, with_ctes
+from raremine.session import written
 from raremine.sources.tables import read_table
 
 Q: dict = {}
@@ -196,10 +197,15 @@ def q_select_by_importance(spark, sf):
     return r(rel.filter(F.col("relative") > 10.0))
 
 
+def _entries(e: DataFrame) -> list[str]:
+    """A column name per entry of the embeddings, however long they are."""
+    return [f"e{i}" for i in range(e.agg(F.max(F.size("embedding"))).first()[0])]
+
+
 @register("pca_explained_variance")
 def q_pca_explained_variance(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    cols = [f"e{i}" for i in range(64)]
+    cols = _entries(e)
     wide = e.select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     _, _, _, explained = L.pca_fit(wide, cols)
     rows = [(i + 1, float(v)) for i, v in enumerate(explained)]
@@ -214,7 +220,7 @@ def q_pca_explained_variance(spark, sf):
 def q_pca(spark, sf):
     """Scores on the fewest components reaching 96 % of the variance."""
     e = read_table(spark, sf, "embeddings")
-    cols = [f"e{i}" for i in range(64)]
+    cols = _entries(e)
     wide = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     model, means, k, _ = L.pca_fit(wide, cols, 0.96)
     return r(L.pca_transform(wide, cols, model, means, k, keep=["vec_id"]))
@@ -225,7 +231,6 @@ def q_pca(spark, sf):
 def _fold_frames(data: DataFrame, folds: int, label: str = "label"):
     """(fold, train, test) for stratified shuffle splits (test rows by md5)."""
     test = S.split_strat_shuffle(data, folds, label=label, keep=[c for c in data.columns if c not in ("id", label)])
-    test = test.cache()
     out = []
     for f in range(folds):
         te = test.filter(F.col("fold") == f).drop("fold")
@@ -245,7 +250,7 @@ def compare_models(spark, data: DataFrame, features, folds: int = 10, models=COM
     parallel cross-validation."""
     from concurrent.futures import ThreadPoolExecutor
 
-    data = data.cache()
+    data = written(data, "compare")
     tasks = [(f, tr, te, name) for f, tr, te in _fold_frames(data, folds) for name in models]
 
     def run(task):
@@ -303,6 +308,7 @@ def cv_search(data: DataFrame, features, name: str, grid: list[dict], k: int = 3
     return [(g, float(m)) for g, m in zip(grid, model.avgMetrics)], model
 
 
+NESTED_GRID = [{"regParam": rp, "elasticNetParam": en} for rp in (0.0, 0.01, 0.1) for en in (0.0, 0.5)]
 SEARCH_GRID = {"logistic": [{"regParam": v} for v in (0.0, 0.01, 0.1)],
                "linear_svc": [{"regParam": v} for v in (0.01, 0.1)]}
 
@@ -332,10 +338,14 @@ def q_grid_search(spark, sf):
     return r(spark.createDataFrame(rows, "model string, params string, mean_f1 double"))
 
 
+RANDOM_GRID = [{"regParam": rp, "elasticNetParam": en, "maxIter": it}
+               for rp in (0.0, 0.003, 0.01, 0.03, 0.1) for en in (0.0, 0.5) for it in (50, 100)]
+
+
 @register("random_search")
 def q_random_search(spark, sf):
-    grid = [{"regParam": rp, "maxIter": it} for rp in (0.0, 0.01, 0.1) for it in (50, 100)]
-    pick = L.md5_grid_sample(grid, 2)
+    """A seeded sample of six of twenty settings."""
+    pick = L.md5_grid_sample(RANDOM_GRID, 6)
     data = FE.scale_minmax(pdata(spark, sf), NUMERIC)
     res, _ = cv_search(data, NUMERIC, "logistic", pick)
     return r(_search_rows(spark, [("logistic", res)]))
@@ -355,20 +365,26 @@ def q_best_model_pick(spark, sf):
 @register("nested_search")
 def q_nested_search(spark, sf):
     """Outer 3-fold split, inner 3-fold grid search on the outer training part,
-    outer-test F1/precision/recall of the inner winner."""
+    outer-test F1/precision/recall of the inner winner.  The model of the best
+    outer fold is kept as a bundle (``is_best``)."""
+    from raremine.sources.bundle import save_bundle
+
     data = FE.scale_minmax(pdata(spark, sf), NUMERIC)
-    outer = S.split_strat_kfold(data, 3).withColumnRenamed("fold", "outer").cache()
-    rows = []
+    outer = written(S.split_strat_kfold(data, 3).withColumnRenamed("fold", "outer"), "outer")
+    rows, models = [], []
     for f in range(3):
         tr = outer.filter(F.col("outer") != f).drop("outer")
         te = outer.filter(F.col("outer") == f).drop("outer")
-        res, model = cv_search(tr, NUMERIC, "logistic", SEARCH_GRID["logistic"])
+        res, model = cv_search(tr, NUMERIC, "logistic", NESTED_GRID)
         best = max(res, key=lambda t: t[1])
         pred = model.bestModel.transform(L.assemble(te, NUMERIC)).select("id", "label", "prediction")
         m = M.f1_prec_rec(pred).first()
         rows.append((f, str(sorted(best[0].items())), best[1], m["f1"], m["precision"], m["recall"]))
-    return r(spark.createDataFrame(rows, "outer_fold int, params string, inner_f1 double, test_f1 double,"
-                                         " test_precision double, test_recall double"))
+        models.append(model.bestModel)
+    top = max(range(len(rows)), key=lambda i: (rows[i][3], -i))
+    save_bundle(spark, models[top], data, ["label", *NUMERIC], name="nested")
+    return r(spark.createDataFrame([(*row, i == top) for i, row in enumerate(rows)], "outer_fold int, params string, inner_f1 double,"
+                                   " test_f1 double, test_precision double, test_recall double, is_best boolean"))
 
 
 @register("tree_holdout_eval")
@@ -392,8 +408,6 @@ def boost_round_cv(data: DataFrame, features, k: int = 3, max_iter: int = 20, ma
     """(round, train_auc, test_auc, train_loss, test_loss): means over k
     stratified folds after every boosting round.  Every fold is fitted once;
     scores per round are the running margins of its tree prefixes."""
-    from raremine.session import written
-
     folded = written(S.split_strat_kfold(L.assemble(data, features), k), "folds")
     staged = None
     for f in range(k):
@@ -416,7 +430,7 @@ def boost_round_cv(data: DataFrame, features, k: int = 3, max_iter: int = 20, ma
 def q_boost_round_cv(spark, sf):
     """Mean train/test AUC and log-loss per boosting round over 3 folds, and the
     best round (largest mean test AUC, the first of equals)."""
-    per = r(boost_round_cv(pdata(spark, sf), NUMERIC)).cache()
+    per = written(r(boost_round_cv(pdata(spark, sf), NUMERIC)), "rounds")
     best = per.agg(F.min_by("round", F.struct(-F.col("test_auc"), "round"))).first()[0]
     return per.withColumn("is_best", F.col("round") == F.lit(best))
 

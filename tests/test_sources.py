@@ -17,22 +17,22 @@ def test_email_files_whole_text(spark):
 def test_email_index_names(spark):
     d = tempfile.mkdtemp(prefix="raremine-index-")
     with open(os.path.join(d, "from_a.b@x.com.txt"), "w") as f:
-        f.write("enron_mail/maildir/bayer-a/sent/1.\nenron_mail/maildir/bayer-a/sent/2.\n")
+        f.write("mail_box/maildir/doe-j/sent/1.\nmail_box/maildir/doe-j/sent/2.\n")
     with open(os.path.join(d, "to_c@y.com"), "w") as f:
-        f.write("enron_mail/maildir/c/inbox/x/7.\n")
+        f.write("mail_box/maildir/c/inbox/x/7.\n")
     rows = sorted((r.direction, r.address, r.n_parts) for r in FS.read_email_index(spark, d).collect())
     assert rows == [("from", "a.b@x.com", 5), ("from", "a.b@x.com", 5), ("to", "c@y.com", 6)]
 
 
 def test_poi_names(spark):
-    lines = spark.createDataFrame([("http://example/list",), ("",), ("(y) Lay, Kenneth",), ("(n) Doe, J",)], "value string")
+    lines = spark.createDataFrame([("http://example/list",), ("",), ("(y) Roe, Ann",), ("(n) Doe, J",)], "value string")
     rows = [(r.flag, r.last, r.first) for r in FS.parse_poi_names(lines).orderBy("last").collect()]
-    assert rows == [("n", "Doe", "J"), ("y", "Lay", "Kenneth")]
+    assert rows == [("n", "Doe", "J"), ("y", "Roe", "Ann")]
 
 
 def test_poi_addresses_fused_pair_split(spark):
-    df = FS.poi_address_frame(spark, ["a@enron.com", "'b@enron.com'", "c@enron.comd@aol.com"])
-    assert sorted(r.address for r in df.collect()) == ["a@enron.com", "b@enron.com", "c@enron.com", "d@aol.com"]
+    df = FS.poi_address_frame(spark, ["a@example.org", "'b@example.org'", "c@example.orgd@mail.net"])
+    assert sorted(r.address for r in df.collect()) == ["a@example.org", "b@example.org", "c@example.org", "d@mail.net"]
 
 
 def test_records_roundtrip(spark):
