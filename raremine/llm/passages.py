@@ -40,6 +40,8 @@ MAX_KINDS, PIVOTS, TASK_KINDS = 1500, 8, 6000
 #: Shift, in words, up to which shingles count as in common before sets are
 #: compared; more words put in on one side leave less than the similarity.
 MAX_SHIFT = 4
+#: Shingle counts that a task adds up at once.
+HELD_ROWS = 2_000_000
 _PLACE_BITS = 24
 
 
@@ -63,8 +65,10 @@ def tree_windows(h: np.ndarray, w_offs: np.ndarray, ends: np.ndarray, length: in
     if len(h) < length:
         return none, none, none, none
     place = np.uint64(_PLACE_BITS)
-    ranked = (h >> place << place) | np.arange(len(h), dtype=np.uint64)
+    ranked = (h >> place << place) | (np.arange(len(h), dtype=np.uint64) & np.uint64((1 << _PLACE_BITS) - 1))
+    # places are kept modulo 2^_PLACE_BITS, which is more than a window has
     low = (_sliding_min(ranked, length) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    low = np.arange(len(low)) + ((low - np.arange(len(low))) & ((1 << _PLACE_BITS) - 1))
     doc_of = np.repeat(np.arange(len(ends)), np.diff(w_offs))[:len(low)]
     inside = np.arange(len(low)) + length <= ends[doc_of]
     nodes = np.unique(low[inside])
@@ -118,16 +122,35 @@ def _windows(docs: DataFrame, shingle: int, passage: int, functions: int) -> Dat
 def best_similarity(a: np.ndarray, na: int, b: np.ndarray, nb: int, length: int) -> float:
     """Largest Jaccard similarity of shingle sets of two intervals of
     ``length`` that contain the nodes a[na] and b[nb], over all intervals of a
-    and those of b moved by up to two places against it."""
+    and those of b moved by up to two places against it; over all pairs of
+    intervals if a shingle stands twice on a side."""
+    first, last = max(0, na - length + 1), min(na, len(a) - length)
+    low, high = max(0, nb - length + 1), min(nb, len(b) - length)
+    if last < first or high < low:
+        return 0.0
+    order = np.argsort(b, kind="stable")
+    ranked = b[order]
+    once = (ranked[1:] != ranked[:-1]).all() and len(np.unique(a)) == len(a)
+    if once:
+        # no shingle twice: those in common are places of a whose place in b lies in the interval
+        at = np.minimum(np.searchsorted(ranked, a), len(b) - 1)
+        place = np.where(ranked[at] == a, order[at], -1)
+        rows = np.lib.stride_tricks.sliding_window_view(place, length)[first:last + 1]
+        most = 0
+        for move in (0, -1, 1, -2, 2):
+            to = np.arange(first, last + 1) - na + nb + move
+            fits = (to >= low) & (to <= high)
+            if fits.any():
+                to = to[fits, None]
+                most = max(most, int(((rows[fits] >= to) & (rows[fits] < to + length)).sum(axis=1).max()))
+        return most / (2 * length - most)
     best = 0.0
-    sets_b = {s: frozenset(b[s:s + length].tolist()) for s in range(max(0, nb - length + 1), min(nb, len(b) - length) + 1)}
-    for s in range(max(0, na - length + 1), min(na, len(a) - length) + 1):
+    others = [frozenset(b[s:s + length].tolist()) for s in range(low, high + 1)]
+    for s in range(first, last + 1):
         one = frozenset(a[s:s + length].tolist())
-        for move in (0, -1, 1, -2, 2):
-            other = sets_b.get(s - na + nb + move)
-            if other is not None:
-                both = len(one & other)
-                best = max(best, both / (len(one) + len(other) - both))
+        for other in others:
+            both = len(one & other)
+            best = max(best, both / (len(one) + len(other) - both))
     return best
 
 
@@ -289,14 +312,42 @@ def _heavy_shingles(kinds: DataFrame, sizes: DataFrame, max_kinds: int) -> DataF
     """(heavy_g, heavy): shingles in many kinds of a group, by frequency; at most
     64 times as many as a kind has."""
     def run(batches):
+        held: list = []
+        rows = 0
+
+        def added_up():
+            g, token, n = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((token, g))
+            g, token, n = g[order], token[order], n[order]
+            first = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (token[1:] != token[:-1])))
+            return g[first], token[first], np.add.reduceat(n, first)
+
+        def often():
+            g, token, n = added_up()
+            head = np.flatnonzero(token < 0)           # the first of each group: its kinds here
+            kinds_here = np.repeat(n[head], np.diff(np.append(head, len(g))))
+            keep = (token >= 0) & (n * 256 >= kinds_here) & (n > 1)
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (g, token, n)], names=["heavy_g", "token", "n"])
+
         for batch in batches:
-            lists = [np.unique(np.frombuffer(x, np.uint32)).astype(np.int64) for x in batch.column(1).to_pylist()]
+            lists = [np.append(-1, np.unique(np.frombuffer(x, np.uint32)).astype(np.int64)) for x in batch.column(1).to_pylist()]
             if lists:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists])), pa.array(np.concatenate(lists))],
-                    names=["heavy_g", "token"])
-
-    counts = kinds.select("g", "tokens").mapInArrow(run, "heavy_g long, token long").groupBy("heavy_g", "token").agg(F.count(F.lit(1)).alias("n"))
+                token = np.concatenate(lists)
+                held.append((np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists]), token, np.ones(len(token), np.int64)))
+                rows += len(token)
+            if rows > HELD_ROWS:
+                held = [added_up()]
+                rows = len(held[0][0])
+                if rows > HELD_ROWS // 2:
+                    yield often()
+                    held, rows = [], 0
+        if held:
+            yield often()
+
+    # a task sends only shingles that are frequent in it: any common order of a
+    # group's shingles gives the same pairs, frequent ones last give fewer parts
+    counts = (kinds.select("g", "tokens").mapInArrow(run, "heavy_g long, token long, n long")
+              .groupBy("heavy_g", "token").agg(F.sum("n").alias("n")))
     often = counts.join(sizes, F.col("heavy_g") == F.col("g")).filter(F.col("n") > F.greatest(F.lit(max_kinds / 4), F.col("count") / 64))
     return often.groupBy("heavy_g").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("heavy"))
 

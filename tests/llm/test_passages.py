@@ -45,6 +45,37 @@ def test_tree_windows_are_those_of_a_cartesian_tree():
     assert got == want and len(want) > 10
 
 
+def test_windows_beyond_the_bits_of_a_place(monkeypatch):
+    """A text with more shingles than places have bits for: all of its nodes."""
+    rng = np.random.default_rng(8)
+    h = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    w_offs, ends = np.array([0, 3004]), np.array([3000])
+    whole = [x.tolist() for x in passages.tree_windows(h, w_offs, ends, 40)]
+    monkeypatch.setattr(passages, "_PLACE_BITS", 9)
+    few = [x.tolist() for x in passages.tree_windows(h, w_offs, ends, 40)]
+    assert few == whole and max(few[1]) > 2900
+
+
+def test_best_similarity_equals_sets():
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        length = 8
+        a = rng.permutation(200)[:rng.integers(8, 16)].astype(np.uint32)
+        b = a.copy() if trial % 3 else rng.permutation(200)[:12].astype(np.uint32)
+        b = np.delete(b, rng.integers(0, len(b))) if len(b) > 8 and trial % 2 else b
+        if trial % 5 == 0:
+            b = np.concatenate([b, b[:3]])             # shingles that stand twice
+        na, nb = int(rng.integers(0, len(a))), int(rng.integers(0, len(b)))
+        best = 0.0
+        twice = len(set(b.tolist())) < len(b)
+        for s in range(max(0, na - length + 1), min(na, len(a) - length) + 1):
+            for t in range(max(0, nb - length + 1), min(nb, len(b) - length) + 1):
+                if twice or abs((t - nb) - (s - na)) <= 2:
+                    x, y = set(a[s:s + length].tolist()), set(b[t:t + length].tolist())
+                    best = max(best, len(x & y) / len(x | y))
+        assert abs(passages.best_similarity(a, na, b, nb, length) - best) < 1e-12
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rnd = random.Random(11)
