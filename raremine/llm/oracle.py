@@ -41,13 +41,16 @@ OP12 = f"""
 WITH p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
            FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)),
 totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
-grams AS (SELECT lang, w[i:i + size - 1] AS ws FROM p, range(1, 4) s(size), unnest(range(1, len(w) - size + 2)) t(i)),
-f AS (SELECT lang, ws, count(*) AS n FROM grams GROUP BY lang, ws HAVING count(*) >= 10),
-c AS (SELECT * FROM f WHERE len(ws) > 1),
-cuts AS (SELECT c.lang, c.ws, c.n AS a, k, l.n AS l, r.n AS r,
-                CAST((CAST(1000000 AS HUGEINT) * c.n * c.n) // (CAST(l.n AS HUGEINT) * r.n) AS BIGINT) AS score
-         FROM c, range(1, 3) t(k), f l, f r
-         WHERE k < len(c.ws) AND l.lang = c.lang AND l.ws = c.ws[1:k] AND r.lang = c.lang AND r.ws = c.ws[k + 1:]),
+grams AS (SELECT lang, unnest(w) AS g FROM p
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM p
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM p),
+f AS (SELECT lang, g, count(*) AS n FROM grams GROUP BY lang, g HAVING count(*) >= 10),
+c AS (SELECT lang, n, string_split(g, ' ') AS ws FROM f WHERE contains(g, ' ')),
+parts AS (SELECT lang, ws, n AS a, k, array_to_string(ws[1:k], ' ') AS first, array_to_string(ws[k + 1:], ' ') AS rest
+          FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM c)),
+cuts AS (SELECT c.lang, c.ws, c.a, c.k, l.n AS l, r.n AS r,
+                CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.n AS HUGEINT) * r.n) AS BIGINT) AS score
+         FROM parts c JOIN f l ON l.lang = c.lang AND l.g = c.first JOIN f r ON r.lang = c.lang AND r.g = c.rest),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) AS o FROM cuts) WHERE o = 1),
 inside AS (SELECT lang, ws, max(n) AS n FROM (SELECT lang, ws[1:2] AS ws, n FROM c WHERE len(ws) = 3
            UNION ALL SELECT lang, ws[2:3] AS ws, n FROM c WHERE len(ws) = 3) GROUP BY lang, ws),
