@@ -30,10 +30,10 @@ NO_LANG = "und"
 
 #: Text bytes of a block; side of a tile; ids below ``HEAD`` may lie in dense
 #: tiles; occurrences per cell from which a tile is counted densely.
-BLOCK_BYTES, TILE, HEAD, DENSE = 4 << 20, 512, 8192, 1 / 16
+BLOCK_BYTES, TILE, HEAD, DENSE = 2 << 20, 512, 8192, 1 / 16
 #: Rows that the Parquet reader holds at once (a row is a block), words counted
 #: together, bits of a filter of phrases at most (128 MB).
-READER_ROWS, TOGETHER, FILTER_BITS = 4, 1 << 20, 1 << 30
+READER_ROWS, TOGETHER, FILTER_BITS = 4, 1 << 19, 1 << 30
 
 
 # ---------------------------------------------------------- in one block ----
