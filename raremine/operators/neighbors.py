@@ -19,10 +19,12 @@ reference key, so the result does not depend on partitioning.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,9 @@ from pyspark.sql import types as T
 from raremine import SEED
 from raremine.functions.numeric import hash_key, hash_uniform
 
+# functions of this module run in tasks of executors that lack the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 2048
 _CHUNK = 64
 #: Pairs of blocks up to which all of them are compared; rows per pivot aimed

@@ -11,11 +11,17 @@ import sys
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# functions of this module run in tasks of executors that lack the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def to_long(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ("id",),
             name: str = "feature", value: str = "x") -> DataFrame:
     """Unpivot (an in-stage Expand, no shuffle)."""
@@ -177,14 +183,174 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return out
 
 
+#: Numbers of a chunk of rows, distinct values that are ranked together, and
+#: sampled numbers that cut the columns into such bins.
+CHUNK_NUMBERS, BIN_VALUES, SAMPLE_NUMBERS = 1_000_000, 250_000, 1_000_000
+
+
+def _pack_rows(p: int):
+    """Function over Arrow batches (x array, use) -> (chunk, n, x, present, use):
+    blocks of rows as one matrix each."""
+    size = max(1, CHUNK_NUMBERS // p, 4 * p)
+
+    def run(batches):
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for lo in range(0, batch.num_rows, size):
+                part = batch.slice(lo, size)
+                flat = part.column(0).flatten()
+                x = flat.fill_null(0.0).to_numpy(zero_copy_only=False).astype(np.float64)
+                present = flat.is_valid().to_numpy(zero_copy_only=False)
+                use = part.column(1).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "n": pa.array([part.num_rows], pa.int32()),
+                                                  "x": [x.tobytes()], "present": [present.tobytes()], "use": [use.tobytes()]})
+                chunk += 1
+    return run
+
+
+def _unpack(n: int, x: bytes, present: bytes, p: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(x).reshape(n, p), np.frombuffer(present, np.bool_).reshape(n, p)
+
+
+def _sample_rows(p: int, step: int):
+    """Function over chunks -> every ``step``-th of their rows, as (x, present)."""
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                x, present = _unpack(r["n"], r["x"], r["present"], p)
+                yield pa.RecordBatch.from_pydict({"x": [x[::step].tobytes()], "present": [present[::step].tobytes()]})
+    return run
+
+
+def _distinct_values(p: int, cuts: list):
+    """Function over chunks -> (chunk, col, bin, x, n): their distinct values by
+    column and bin, with counts."""
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                x, present = _unpack(r["n"], r["x"], r["present"], p)
+                out = {"chunk": [], "col": [], "bin": [], "x": [], "n": []}
+                for j in range(p):
+                    value, count = np.unique(x[present[:, j], j], return_counts=True)
+                    edge = np.concatenate(([0], np.searchsorted(value, cuts[j], side="left"), [len(value)]))
+                    for b in np.flatnonzero(np.diff(edge)).tolist():
+                        at = slice(edge[b], edge[b + 1])
+                        for name, v in zip(out, (r["chunk"], j, b, value[at].tobytes(), count[at].astype(np.int64).tobytes())):
+                            out[name].append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(out["chunk"], pa.int64()), pa.array(out["col"], pa.int32()), pa.array(out["bin"], pa.int32()),
+                                                  pa.array(out["x"], pa.binary()), pa.array(out["n"], pa.binary())], names=list(out))
+    return run
+
+
+def _rank_bin(table: pa.Table) -> pa.Table:
+    """Average ranks of the values of one bin: (chunk, col, bin, r, total)."""
+    xs = [np.frombuffer(v) for v in table["x"].to_pylist()]
+    n = np.concatenate([np.frombuffer(v, np.int64) for v in table["n"].to_pylist()])
+    _, place = np.unique(np.concatenate(xs), return_inverse=True)
+    count = np.bincount(place, weights=n)                       # whole numbers below 2^53
+    rank = (np.cumsum(count) - (count - 1) / 2)[place]
+    ends = np.cumsum([len(x) for x in xs])
+    return pa.table({"chunk": table["chunk"], "col": table["col"], "bin": table["bin"],
+                     "r": pa.array([v.tobytes() for v in np.split(rank, ends[:-1])], pa.binary()),
+                     "total": pa.array(np.full(len(xs), int(n.sum())), pa.int64())})
+
+
+def _rank_products(p: int, before: list, middle: np.ndarray):
+    """Function over (a chunk, its ranks) -> (i, lane, v): row i of the sums over
+    the chunk's rows of r_i r_j, m_i m_j, r_i m_j and r_i^2 m_j, where r are the
+    ranks less ``middle`` and m tells which values are present."""
+    def run(rows: pa.Table, ranks: pa.Table) -> pa.Table:
+        out = {"i": [], "lane": [], "v": []}
+        pieces: dict = {}
+        for j, b, r in zip(ranks["col"].to_pylist(), ranks["bin"].to_pylist(), ranks["r"].to_pylist()):
+            pieces.setdefault(j, []).append((b, np.frombuffer(r) + before[j][b]))
+        for c in rows.to_pylist():
+            x, present = _unpack(c["n"], c["x"], c["present"], p)
+            r = np.zeros(x.shape)
+            for j, found in pieces.items():
+                here = present[:, j]
+                _, place = np.unique(x[here, j], return_inverse=True)
+                r[here, j] = np.concatenate([v for _, v in sorted(found, key=lambda f: f[0])])[place] - middle[j]
+            use = np.frombuffer(c["use"], np.bool_)
+            r, m = r[use], present[use].astype(np.float64)
+            v = np.hstack([r.T @ r, m.T @ m, r.T @ m, (r * r).T @ m])
+            out["i"] += range(p)
+            out["lane"] += [c["chunk"] % 64] * p
+            out["v"] += [row.tobytes() for row in v]
+        return pa.table({"i": pa.array(out["i"], pa.int32()), "lane": pa.array(out["lane"], pa.int64()), "v": pa.array(out["v"], pa.binary())})
+    return run
+
+
+def _sum_rows(table: pa.Table) -> pa.Table:
+    total = 0.0
+    for v in table["v"]:
+        total = total + np.frombuffer(v.as_py())
+    return pa.table({"i": table["i"][:1], "lane": table["lane"][:1], "v": pa.array([total.tobytes()], pa.binary())})
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = "id") -> dict:
-    """{(a, b): rho} for all ordered pairs (diagonal 1).  Ranks in Spark, then
-    Pearson of ranks: one aggregate of p(p-1)/2 ``corr`` for small p, else the
-    distributed ``pyspark.ml.stat.Correlation`` on a rank vector."""
-    long = to_long(df, columns, ids=[key])
-    ranked = average_ranks(long)
-    wide = ranked.groupBy(key).pivot("feature", list(columns)).agg(F.first("rank"))
-    return pearson_matrix(wide, columns)
+    """{(a, b): rho} for all ordered pairs (diagonal 1): Pearson's r of average
+    ranks over the rows in which both columns are present (undefined: None).
+    Ranks are taken over all rows; a key that repeats enters r once.
+
+    Rows are written once, in blocks that are one matrix each.  A block sends
+    the distinct values of each column with their counts, by bins of near values
+    cut at sampled quantiles; a bin gives them ranks, which go back to the block
+    that asked, and the block returns the p x p sums of its rank products.  So
+    nothing is shuffled value by value, a common value is one entry of each
+    block, and ranks do not depend on where the bins are cut."""
+    from raremine.session import written
+
+    cols = list(columns)
+    p = len(cols)
+    res = {(c, c): 1.0 for c in cols}
+    if p < 2:
+        return res
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    rows = written(df.select(F.col(f"`{key}`").alias("key"), x.alias("x"), F.monotonically_increasing_id().alias("row")), "rank-rows")
+    firsts = rows.groupBy("key").agg(F.min("row").alias("row")).select("row")
+    n_rows = rows.count()
+    if firsts.count() < n_rows:
+        rows = rows.join(firsts.withColumn("use", F.lit(True)), "row", "left").withColumn("use", F.coalesce("use", F.lit(False)))
+    else:
+        rows = rows.withColumn("use", F.lit(True))
+    chunks = written(rows.select("x", "use").mapInArrow(_pack_rows(p), "chunk long, n int, x binary, present binary, use binary"), "rank-chunks")
+
+    n_bins = math.ceil(n_rows / BIN_VALUES)
+    cuts = [np.zeros(0)] * p
+    if n_bins > 1:
+        step = math.ceil(n_rows * p / SAMPLE_NUMBERS)
+        sample = chunks.select("n", "x", "present").mapInArrow(_sample_rows(p, step), "x binary, present binary").collect()   # about SAMPLE_NUMBERS numbers
+        at = np.concatenate([np.frombuffer(r["x"]).reshape(-1, p) for r in sample])
+        present = np.concatenate([np.frombuffer(r["present"], np.bool_).reshape(-1, p) for r in sample])
+        for j in range(p):
+            v = np.sort(at[present[:, j], j])
+            v = v[:len(v) - int(np.isnan(v).sum())]                       # NaN ranks last, in the last bin
+            if len(v):
+                cuts[j] = np.unique(v[np.arange(1, n_bins) * len(v) // n_bins])
+    values = chunks.select("chunk", "n", "x", "present").mapInArrow(_distinct_values(p, cuts), "chunk long, col int, bin int, x binary, n binary")
+    ranks = written(values.groupBy("col", "bin").applyInArrow(_rank_bin, "chunk long, col int, bin int, r binary, total long"), "ranks")
+    totals = np.zeros((p, max(n_bins, 1)))
+    for r in ranks.groupBy("col", "bin").agg(F.first("total").alias("total")).collect():   # p x bins numbers
+        totals[r["col"], r["bin"]] = r["total"]
+    before = (np.cumsum(totals, axis=1) - totals).tolist()
+    middle = (totals.sum(axis=1) + 1) / 2
+    products = (chunks.groupBy("chunk").cogroup(ranks.drop("total").groupBy("chunk"))
+                .applyInArrow(_rank_products(p, before, middle), "i int, lane long, v binary"))
+    sums = products.groupBy("i", "lane").applyInArrow(_sum_rows, "i int, lane long, v binary")
+    sums = sums.groupBy("i").applyInArrow(_sum_rows, "i int, lane long, v binary").collect()             # p rows of 4 p numbers
+    whole = np.zeros((p, 4 * p))
+    for r in sums:
+        whole[r["i"]] = np.frombuffer(r["v"])
+    xy, n, sx, sxx = np.hsplit(whole, 4)
+    spread = n * sxx - sx * sx
+    spread[spread <= 1e-13 * n * sxx] = 0.0                      # constant but for rounding
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if i != j:
+                d = math.sqrt(spread[i, j]) * math.sqrt(spread[j, i])
+                res[(a, b)] = float((n[i, j] * xy[i, j] - sx[i, j] * sx[j, i]) / d) if d > 0 else None
+    return res
 
 
 #: Pair correlations per aggregate.

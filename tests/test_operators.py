@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -393,3 +395,31 @@ def test_array_form_equals_the_columns(spark):
     assert all(len(r.v) == len(finite) and None not in r.v for r in kept)
     scaled = FE.scale_minmax(df, names).orderBy("id").collect()
     assert [[r[n] for n in names] for r in scaled] == [r.v for r in FE.scale_array(vec, "v").orderBy("id").collect()]
+
+
+def test_spearman_matrix_ranks_in_bins(spark, monkeypatch):
+    """Ranks cut into small bins of values, with ties, nulls, a constant column
+    and a key that repeats, equal those of whole columns."""
+    monkeypatch.setattr(ST, "BIN_VALUES", 40)
+    monkeypatch.setattr(ST, "CHUNK_NUMBERS", 150)
+    monkeypatch.setattr(ST, "SAMPLE_NUMBERS", 400)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=300)
+    pdf = pd.DataFrame({"id": [f"k{i}" for i in range(300)], "a": x, "b": np.round(x + rng.normal(size=300)), "flat": 2.0,
+                        "c": np.where(rng.random(300) < 0.5, 0.0, rng.normal(size=300) - x)})
+    rows = [(*r[:4], None if i % 11 == 0 else r[4]) for i, r in enumerate(pdf.itertuples(index=False, name=None))]
+    cols = ["a", "b", "flat", "c"]
+    df = spark.createDataFrame(rows, "id string, a double, b double, flat double, c double").repartition(5)
+    got = ST.spearman_matrix(df, cols)
+    ranks = pd.DataFrame([r[1:] for r in rows], columns=cols).rank()
+    for p in cols:
+        for q in cols:
+            if p == q:
+                assert got[p, q] == 1.0
+            elif "flat" in (p, q):
+                assert got[p, q] is None
+            else:
+                assert abs(got[p, q] - ranks[p].corr(ranks[q])) < 1e-12
+    twice = df.unionByName(df.filter("id < 'k2'"))
+    ranks = pd.DataFrame([r[1:] for r in rows + [r for r in rows if r[0] < "k2"]], columns=cols).rank().iloc[:300]
+    assert abs(ST.spearman_matrix(twice, cols)["a", "b"] - ranks["a"].corr(ranks["b"])) < 1e-12
