@@ -84,11 +84,12 @@ def smallest_keys(df: DataFrame, groups: Sequence[str], size: Column, order: Seq
     value of ``order``, whose first column is a hex digest.
 
     Rows below ``low`` (a digest prefix, may use the group columns; default:
-    none) are only counted, by partial aggregation; the others are ranked.
+    none) and rows whose digest was left out (null) are only counted, by partial
+    aggregation; the others are ranked.
     The counts, one row for each of ``n_groups`` groups, are broadcast if they
     are few; the ranked rows never are.  Groups of size zero, and groups whose row is not among the ranked ones,
     have no row."""
-    below = F.col(order[0]) < (low if low is not None else F.lit(""))
+    below = F.coalesce(F.col(order[0]) < (low if low is not None else F.lit("")), F.lit(True))
     counts = df.groupBy(*groups).agg(F.count_if(below).alias("_below"))
     ranked = (df.filter(~below).select(*groups, *order)
               .withColumn("_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))))
@@ -100,8 +101,9 @@ def smallest_keys(df: DataFrame, groups: Sequence[str], size: Column, order: Seq
 
 
 def _up_to_last(order: Sequence[str]) -> Column:
-    """``order`` is at most the threshold row of :func:`smallest_keys`."""
-    return (F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    """``order`` is at most the threshold row of :func:`smallest_keys`; so is a
+    row whose digest was left out as it lies below its band."""
+    return F.col(order[0]).isNull() | (F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
             <= F.struct(*[F.col(f"_last_{i}").alias(f"c{i}") for i in range(len(order))]))
 
 
@@ -113,8 +115,10 @@ def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
     rows of smallest md5 key.
 
     Plan: rows are exploded by fold and hashed once; those whose digest lies
-    below the class's band (``digest_band``), little more than the test rows,
-    are written to the shared scratch folder.  Threshold rows come from that
+    below or in the class's band (``digest_band``), little more than the test
+    rows, are written to the shared scratch folder, with their digest only where
+    it lies in the band: the copies of a row then lie side by side and pack to a
+    few bytes each, a digest is 32.  Threshold rows come from that
     table, and the test rows are a filter of it against one row per
     (fold, class).  If a threshold lies outside its band, which the count of
     threshold rows tells, the split is done again without bands."""
@@ -131,9 +135,11 @@ def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
     for banded in (True, False):
         high = {c: v[1] if banded else "g" for c, v in bands.items()}
         low = {c: v[0] if banded else "" for c, v in bands.items()}
-        near = written(expanded.filter(F.col("_h") < _per_class(F.col(label), high, "")), "split")
+        floor = _per_class(F.col(label), low, "")
+        near = expanded.filter(F.col("_h") < _per_class(F.col(label), high, ""))
+        near = written(near.withColumn("_h", F.when(F.col("_h") >= floor, F.col("_h"))), "split")
         last = written(smallest_keys(near, ["fold", label], _per_class(F.col(label), sizes), ["_h", key],
-                                     _per_class(F.col(label), low, ""), folds * len(sizes)), "thresholds")
+                                     floor, folds * len(sizes)), "thresholds")
         if last.count() == folds * len(sizes):
             break
     last = F.broadcast(last) if folds * len(sizes) <= MAX_BROADCAST_GROUPS else last.hint("merge")
