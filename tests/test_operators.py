@@ -423,3 +423,41 @@ def test_spearman_matrix_ranks_in_bins(spark, monkeypatch):
     twice = df.unionByName(df.filter("id < 'k2'"))
     ranks = pd.DataFrame([r[1:] for r in rows + [r for r in rows if r[0] < "k2"]], columns=cols).rank().iloc[:300]
     assert abs(ST.spearman_matrix(twice, cols)["a", "b"] - ranks["a"].corr(ranks["b"])) < 1e-12
+
+
+def test_split_table_keeps_digests_of_the_band_only(spark, monkeypatch):
+    from raremine import session
+
+    plain, seen = session.written, {}
+    monkeypatch.setattr(session, "written", lambda df, name: seen.setdefault(name, plain(df, name)))
+    df = spark.range(4000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 5 == 0).cast("double").alias("label"))
+    assert S.split_strat_shuffle(df, 3, 0.5).count() == 3 * 2000
+    near = seen["split"]
+    assert near.filter("_h IS NULL").count() > 0.6 * near.count()
+
+
+def test_fits_read_written_folds(spark, monkeypatch):
+    """What the fits of a comparison and of a search read is a plain scan: no
+    pass of an optimizer repeats the split's joins and sorts."""
+    from raremine.plans import catalog_models as CM
+
+    df = spark.range(120).select(F.col("id").cast("string").alias("id"), (F.col("id") % 4 == 0).cast("double").alias("label"),
+                                 F.rand(1).alias("x"))
+    frames = CM._fold_frames(df, 2)
+    assert [(tr.count(), te.count()) for _, tr, te in frames] == [(108, 12)] * 2
+
+    class Search:
+        avgMetrics = [0.5]
+
+        def __init__(self, **params):
+            pass
+
+        def fit(self, folded):
+            self.read = folded
+            return self
+    monkeypatch.setattr(CM, "CrossValidator", Search)
+    _, search = CM.cv_search(df, ["x"], "logistic", [{"regParam": 0.0}], 3)
+    assert sorted(r["count"] for r in search.read.groupBy("fold").count().collect()) == [40, 40, 40]
+    for part in [search.read, *[f for fold in frames for f in fold[1:]]]:
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Sort" not in plan and "Aggregate" not in plan
