@@ -7,8 +7,9 @@ evaluator computes every fold's training statistics in ONE job:
 
     train stats of fold f = whole-table stats - stats of the test rows of f
 
-so only test rows are ever expanded by fold, never the training sets.  Sums
-are taken after centring on the whole-table class mean (numerically stable).
+so training sets are never expanded by fold, and a test row is one row with a
+list of its folds.  Sums are taken after centring on the whole-table class mean
+(numerically stable).
 
 Other models wrap Spark ML estimators (``pyspark.ml.classification``).
 """
@@ -16,17 +17,29 @@ Other models wrap Spark ML estimators (``pyspark.ml.classification``).
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from raremine import SEED
-from raremine.operators.sampling import split_strat_shuffle
+from raremine.operators.sampling import _per_class, split_rows, tested_folds
+
+# functions of this module run in tasks of executors that lack the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VAR_SMOOTHING = 1e-9
-MAX_BROADCAST_FOLDS = 200_000   # fold-statistics table has one row per fold
+#: Fold models, one row each, that are sent to the tasks at once.
+MAX_FOLD_MODELS = 20_000
+#: Predictions of an Arrow batch.
+_BATCH = 65_536
 
 
 @dataclass
@@ -91,6 +104,69 @@ def gnb_predict(df: DataFrame, model: GaussianNBModel, out: str = "prediction")
     return df.withColumn(out, _argmax(model.classes, scores))
 
 
+def _batch_rows(batch: pa.RecordBatch, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values, which are present, class numbers) of a batch's rows."""
+    flat = batch.column("x").flatten()
+    x = flat.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, p)
+    return x, flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, p), batch.column("_class").to_numpy()
+
+
+def _fold_sums(p: int, folds: int, last: np.ndarray, means: np.ndarray):
+    """Function over rows with ``near`` -> (fold, class number, n, sums, sums of
+    squares) of its test rows, less the class means."""
+    def run(batches):
+        size = folds * len(means)
+        n, total, squares = np.zeros(size, np.int64), np.zeros((p, size)), np.zeros((p, size))
+        for batch in batches:
+            x, present, cls = _batch_rows(batch, p)
+            d = np.where(present, x - means[cls], 0.0)
+            row, fold = tested_folds(batch.column("near"), cls, last)
+            group = fold.astype(np.int64) * len(means) + cls[row]
+            n += np.bincount(group, minlength=size)
+            for j in range(p):
+                v = d[row, j]
+                total[j] += np.bincount(group, weights=v, minlength=size)
+                squares[j] += np.bincount(group, weights=v * v, minlength=size)
+        at = np.flatnonzero(n)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array((at // len(means)).astype(np.int32)), pa.array((at % len(means)).astype(np.int32)), pa.array(n[at]),
+                                              *(pa.FixedSizeListArray.from_arrays(pa.array(v[:, at].T.ravel()), p).cast(pa.list_(pa.float64()))
+                                                for v in (total, squares))], names=["fold", "_class", "n", "s", "q"])
+    return run
+
+
+def _fold_scores(p: int, first: int, last: np.ndarray, constant: np.ndarray, mean: np.ndarray, half: np.ndarray, key: str, label: str):
+    """Function over rows with ``near`` -> (fold, key, label, class number) of
+    the test rows of folds from ``first`` on that have a model here.  A class
+    with an undefined number (masked) has no score, a row with a null none at all."""
+    folds, k = constant.shape
+    usable = ~(np.ma.getmaskarray(constant) | np.ma.getmaskarray(mean).any(axis=2) | np.ma.getmaskarray(half).any(axis=2))
+    constant, mean, half = (np.ma.getdata(v) for v in (constant, mean, half))
+
+    def run(batches):
+        for batch in batches:
+            x, present, cls = _batch_rows(batch, p)
+            whole = present.all(axis=1)
+            row, fold = tested_folds(batch.column("near"), cls, last)
+            here = (fold >= first) & (fold < first + folds)
+            row, fold = row[here], fold[here] - first
+            for lo in range(0, len(row), _BATCH):
+                r, f = row[lo:lo + _BATCH], fold[lo:lo + _BATCH]
+                best, chosen = np.full(len(r), np.nan), np.full(len(r), -1, np.int32)
+                for c in range(k):
+                    s = constant[f, c]
+                    for j in range(p):
+                        d = x[r, j] - mean[f, c, j]
+                        s = s - d * d * half[f, c, j]
+                    # as Spark compares: NaN is above all
+                    win = usable[f, c] & whole[r] & ((chosen < 0) | (s > best) | (np.isnan(s) & ~np.isnan(best)))
+                    best, chosen = np.where(win, s, best), np.where(win, np.int32(c), chosen)
+                at = pa.array(r)
+                yield pa.RecordBatch.from_arrays([pa.array((f + first).astype(np.int32)), batch.column(key).take(at), batch.column(label).take(at),
+                                                  pa.array(chosen)], names=["fold", "_key", "_label", "_best"])
+    return run
+
+
 def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
                          test_size: float = 0.1, seed: int = SEED, key: str = "id",
                          label: str = "label", var_smoothing: float = VAR_SMOOTHING) -> DataFrame:
@@ -99,26 +175,41 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
 
     The narrow input (key, label, features) is checkpointed once: several
     small actions (class moments, split sizes) and the main job read it, and
-    its upstream (e.g. an oversampling step) must not be recomputed each time."""
-    from raremine.session import cut_lineage
+    its upstream (e.g. an oversampling step) must not be recomputed each time.
+    Each row is written once with the folds that test it; sums and scores of
+    these folds are made where the row is."""
+    from raremine.session import cut_lineage, written
 
     data = cut_lineage(data.select(key, label, *features))
     p = len(features)
     mom = _class_moments(data, features, label)
     classes = sorted(mom)
-    # a filter of a written table: both consumers (fold statistics, scoring) read its files
-    test = split_strat_shuffle(data, folds, test_size, seed, key, label, keep=features)
+    wide = data.select(key, label, F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+    types = data.schema
+    out = T.StructType([T.StructField("fold", T.IntegerType()), T.StructField("_key", types[key].dataType),
+                        T.StructField("_label", types[label].dataType), T.StructField("_best", T.IntegerType())])
+    chosen = _per_class(F.col("_best"), dict(enumerate(classes)), None)
+    found = split_rows(wide, folds, test_size, seed, key, label)
+    if found is None:
+        none = data.sparkSession.createDataFrame([], out)
+        return none.select("fold", F.col("_key").alias(key), F.col("_label").alias(label), chosen.alias("prediction"))
+    near, tested, last = found
+    # classes too small for a test row have a model too, but no column in ``last``
+    number = {c: i for i, c in enumerate(tested)}
+    rows = near.withColumn("_class", _per_class(F.col(label), number, -1))
 
     # per fold and class: count, centred sum and sum of squares of the test rows
+    means = np.array([[mom[c][f"_m{j}"] or 0.0 for j in range(p)] for c in tested]).reshape(len(tested), p)
+    sums = rows.filter("_class >= 0").select("x", "near", "_class").mapInArrow(
+        _fold_sums(p, folds, last, means), "fold int, _class int, n long, s array<double>, q array<double>")
     aggs = []
     for ci, c in enumerate(classes):
-        is_c = F.col(label) == F.lit(c)
-        aggs.append(F.count_if(is_c).alias(f"tn{ci}"))
-        for j, f in enumerate(features):
-            d = F.col(f).cast("double") - F.lit(mom[c][f"_m{j}"])
-            aggs.append(F.sum(F.when(is_c, d)).alias(f"ts{ci}_{j}"))
-            aggs.append(F.sum(F.when(is_c, d * d)).alias(f"tq{ci}_{j}"))
-    per_fold = test.groupBy("fold").agg(*aggs)
+        is_c = F.col("_class") == F.lit(number.get(c, -1))
+        aggs.append(F.coalesce(F.sum(F.when(is_c, F.col("n"))), F.lit(0)).alias(f"tn{ci}"))
+        for j in range(p):
+            aggs.append(F.sum(F.when(is_c, F.col("s")[j])).alias(f"ts{ci}_{j}"))
+            aggs.append(F.sum(F.when(is_c, F.col("q")[j])).alias(f"tq{ci}_{j}"))
+    per_fold = sums.groupBy("fold").agg(*aggs)
 
     # training statistics by subtraction
     cols = [F.col("fold")]
@@ -152,21 +243,23 @@ def gnb_fold_predictions(data: DataFrame, features: Sequence[str], folds: int,
             const = const - F.lit(0.5) * F.log(F.lit(2 * math.pi) * vv)
             fold_cols += [F.col(f"mu{ci}_{j}"), F.try_divide(F.lit(0.5), vv).alias(f"h{ci}_{j}")]
         fold_cols.append(F.when(F.col(f"n{ci}") > 0, const).alias(f"c{ci}"))
-    fold_stats = train.select(*fold_cols)
-    if folds <= MAX_BROADCAST_FOLDS:
-        fold_stats = F.broadcast(fold_stats)
-    else:
-        fold_stats = fold_stats.hint("merge")
-
-    scored = test.join(fold_stats, "fold")
-    scores = []
-    for ci in range(len(classes)):
-        s = F.col(f"c{ci}")
-        for j, f in enumerate(features):
-            d = F.col(f).cast("double") - F.col(f"mu{ci}_{j}")
-            s = s - d * d * F.col(f"h{ci}_{j}")
-        scores.append(s)
-    return scored.select("fold", key, label, _argmax(classes, scores).alias("prediction"))
+    fold_stats = written(train.select(*fold_cols), "fold-models")
+
+    parts = []
+    scored = rows.filter("_class >= 0").select(F.col(key).alias("_key"), F.col(label).alias("_label"), "x", "near", "_class")
+    for first in range(0, folds, MAX_FOLD_MODELS):
+        here = min(MAX_FOLD_MODELS, folds - first)
+        constant, mean, half = (np.ma.masked_all(shape) for shape in ((here, len(classes)), (here, len(classes), p), (here, len(classes), p)))
+        # folds x classes x features numbers
+        for m in fold_stats.filter((F.col("fold") >= first) & (F.col("fold") < first + here)).collect():
+            for ci in range(len(classes)):
+                for table, at, name in [(constant, (m["fold"] - first, ci), f"c{ci}"),
+                                        *((mean, (m["fold"] - first, ci, j), f"mu{ci}_{j}") for j in range(p)),
+                                        *((half, (m["fold"] - first, ci, j), f"h{ci}_{j}") for j in range(p))]:
+                    if m[name] is not None:
+                        table[at] = m[name]
+        parts.append(scored.mapInArrow(_fold_scores(p, first, last, constant, mean, half, "_key", "_label"), out))
+    return reduce(DataFrame.union, parts).select("fold", F.col("_key").alias(key), F.col("_label").alias(label), chosen.alias("prediction"))
 
 
 def gnb_group_fit(train_rows: DataFrame, group_cols: Sequence[str], features: Sequence[str],

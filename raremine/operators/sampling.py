@@ -8,14 +8,22 @@ the data and the seed, independent of partitioning and of executor count.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from raremine import SEED
+from raremine.functions.digest import first_digits, fold_digests, hex_digests
 from raremine.functions.numeric import hash_key
 
+# functions of this module run in tasks of executors that lack the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Fold x class rows up to which the threshold table is broadcast.
 MAX_BROADCAST_GROUPS = 200_000
@@ -107,45 +115,130 @@ def _up_to_last(order: Sequence[str]) -> Column:
             <= F.struct(*[F.col(f"_last_{i}").alias(f"c{i}") for i in range(len(order))]))
 
 
-def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
-                        seed: int = SEED, key: str = "id", label: str = "label",
-                        keep: Sequence[str] = ()) -> DataFrame:
-    """Test rows of ``folds`` independent stratified shuffle splits:
-    ``(fold, key, label, *keep)``.  Each (fold, class) keeps its n_test(class)
-    rows of smallest md5 key.
-
-    Plan: rows are exploded by fold and hashed once; those whose digest lies
-    below or in the class's band (``digest_band``), little more than the test
-    rows, are written to the shared scratch folder, with their digest only where
-    it lies in the band: the copies of a row then lie side by side and pack to a
-    few bytes each, a digest is 32.  Threshold rows come from that
-    table, and the test rows are a filter of it against one row per
-    (fold, class).  If a threshold lies outside its band, which the count of
-    threshold rows tells, the split is done again without bands."""
+#: Rows whose digests a task looks at together.
+_ROWS = 4096
+
+
+def _as_number(prefix: str) -> int:
+    """The number below which the first digits of digests below ``prefix`` lie."""
+    return 16 ** _DIGITS if prefix == "g" else int(prefix.ljust(_DIGITS, "0"), 16)
+
+
+def _near_folds(seed, folds: int, low: list, high: list):
+    """Function over batches of rows (``_key`` text, ``_class`` number or -1) ->
+    the other columns and ``near``: folds in which the row's digest lies below
+    ``high`` of its class, with the digest unless it lies below ``low``."""
+    low, high = (np.array([_as_number(v) for v in x] + [0], np.uint64) for x in (low, high))
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(lo, _ROWS)
+                cls = part.column("_class").to_numpy()
+                least, most = low[cls], high[cls]
+                row, fold, band, texts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, "S32")]
+                for f, r, words in fold_digests(seed, range(folds), part.column("_key").to_pylist()):
+                    digits = first_digits(words, _DIGITS)
+                    hit = np.flatnonzero(digits < most[r])
+                    r, inside = r[hit], digits[hit] >= least[r[hit]]
+                    row.append(r)
+                    fold.append(f[hit])
+                    band.append(inside)
+                    texts.append(hex_digests(tuple(w[hit[inside]] for w in words)))
+                row, fold, band = (np.concatenate(x) for x in (row, fold, band))
+                digest = pa.array(np.concatenate(texts), pa.binary()).cast(pa.string()).take(pa.array(np.cumsum(band) - 1, mask=~band))
+                order = np.argsort(row, kind="stable")
+                near = pa.StructArray.from_arrays([pa.array(fold[order].astype(np.int32)), digest.take(pa.array(order))], names=["fold", "_h"])
+                offs = np.searchsorted(row[order], np.arange(part.num_rows + 1)).astype(np.int32)
+                names = [n for n in part.schema.names if n not in ("_key", "_class")]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.ListArray.from_arrays(pa.array(offs), near)],
+                                                 names=[*names, "near"])
+    return run
+
+
+def _near_rows(df: DataFrame, folds: int, seed, key: str, bands: dict, label: str) -> DataFrame:
+    """``df`` with ``near``, see :func:`_near_folds`; ``bands`` of (low, high) by class."""
+    classes = sorted(bands)
+    base = spread(df, key).select("*", F.col(key).cast("string").alias("_key"),
+                                  _per_class(F.col(label), {c: i for i, c in enumerate(classes)}, -1).alias("_class"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] +
+                          [T.StructField("near", T.ArrayType(T.StructType([T.StructField("fold", T.IntegerType()), T.StructField("_h", T.StringType())])))])
+    return base.mapInArrow(_near_folds(seed, folds, [bands[c][0] for c in classes], [bands[c][1] for c in classes]), schema)
+
+
+def _split(df: DataFrame, folds: int, test_size: float | int, seed, key: str, label: str, form):
+    """(``form`` of the rows with ``near``, written; thresholds), with the
+    threshold of every (fold, class) checked to lie inside its band.  None
+    without test rows."""
     from raremine.session import written
 
     counts = class_counts(df, label)
     sizes = {c: n for c, n in stratified_test_sizes(counts, test_size).items() if n > 0}
-    base = spread(df.select(key, label, *keep), key)
-    expanded = (base.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-                .withColumn("_h", hash_key(seed, F.col("fold"), F.col(key))))
     if not sizes:
-        return expanded.filter(F.lit(False)).select("fold", key, label, *keep)
-    bands = {c: digest_band(n, counts[c]) for c, n in sizes.items()}
+        return None
     for banded in (True, False):
-        high = {c: v[1] if banded else "g" for c, v in bands.items()}
-        low = {c: v[0] if banded else "" for c, v in bands.items()}
-        floor = _per_class(F.col(label), low, "")
-        near = expanded.filter(F.col("_h") < _per_class(F.col(label), high, ""))
-        near = written(near.withColumn("_h", F.when(F.col("_h") >= floor, F.col("_h"))), "split")
-        last = written(smallest_keys(near, ["fold", label], _per_class(F.col(label), sizes), ["_h", key],
-                                     floor, folds * len(sizes)), "thresholds")
+        bands = {c: digest_band(n, counts[c]) if banded else ("", "g") for c, n in sizes.items()}
+        near = written(form(_near_rows(df, folds, seed, key, bands, label)), "split")
+        each = near if "_h" in near.columns else near.select(key, label, F.inline("near"))
+        last = written(smallest_keys(each, ["fold", label], _per_class(F.col(label), sizes), ["_h", key],
+                                     _per_class(F.col(label), {c: v[0] for c, v in bands.items()}, ""), folds * len(sizes)), "thresholds")
         if last.count() == folds * len(sizes):
             break
-    last = F.broadcast(last) if folds * len(sizes) <= MAX_BROADCAST_GROUPS else last.hint("merge")
+    return near, last, sorted(sizes)
+
+
+def split_strat_shuffle(df: DataFrame, folds: int, test_size: float | int = 0.1,
+                        seed: int = SEED, key: str = "id", label: str = "label",
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """Test rows of ``folds`` independent stratified shuffle splits:
+    ``(fold, key, label, *keep)``.  Each (fold, class) keeps its n_test(class)
+    rows of smallest md5 key.
+
+    Plan: every (fold, row) is hashed once, where the row is (``fold_digests``);
+    those whose digest lies below or in the class's band (``digest_band``),
+    little more than the test rows, are written to the shared scratch folder,
+    with their digest only where it lies in the band: the copies of a row then
+    lie side by side and pack to a few bytes each, a digest is 32.  Threshold
+    rows come from that table, and the test rows are a filter of it against one
+    row per (fold, class).  If a threshold lies outside its band, which the
+    count of threshold rows tells, the split is done again without bands."""
+    rows = df.select(key, label, *keep)
+    found = _split(rows, folds, test_size, seed, key, label, lambda near: near.select(key, label, *keep, F.inline("near")))
+    if found is None:
+        return rows.select(F.lit(0).alias("fold"), "*").filter(F.lit(False))
+    near, last, classes = found
+    last = F.broadcast(last) if folds * len(classes) <= MAX_BROADCAST_GROUPS else last.hint("merge")
     return near.join(last, ["fold", label]).filter(_up_to_last(["_h", key])).select("fold", key, label, *keep)
 
 
+def split_rows(df: DataFrame, folds: int, test_size: float | int, seed, key: str, label: str):
+    """The splits of :func:`split_strat_shuffle` with every row kept once:
+    (rows of ``df`` with ``near``, classes, last digest of each fold and class),
+    for :func:`tested_folds`.  A row is not repeated for its test folds, and the
+    digests that come back are one for every fold and class."""
+    found = _split(df, folds, test_size, seed, key, label, lambda near: near)
+    if found is None:
+        return None
+    near, last, classes = found
+    at = {c: i for i, c in enumerate(classes)}
+    digests = np.zeros((folds, len(classes)), "S32")
+    for r in last.select("fold", label, "_last_0").collect():               # folds x classes rows
+        digests[r["fold"], at[r[label]]] = r["_last_0"].encode()
+    return near, classes, digests
+
+
+def tested_folds(near: pa.ListArray, cls: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, fold) of the test rows in a batch; ``cls`` numbers the classes.
+    Equal digests in a fold are equal keys, so digests alone decide."""
+    row = np.repeat(np.arange(len(near)), near.value_lengths().to_numpy(zero_copy_only=False))
+    fold, digest = near.flatten().flatten()
+    fold = fold.to_numpy(zero_copy_only=False)
+    band = np.flatnonzero(digest.is_valid().to_numpy(zero_copy_only=False))
+    keep = np.ones(len(row), bool)
+    keep[band] = digest.drop_null().to_numpy(zero_copy_only=False).astype("S32") <= last[fold[band], cls[row[band]]]
+    return row[keep], fold[keep]
+
+
 def split_strat_kfold(df: DataFrame, k: int, seed: int = SEED, key: str = "id",
                       label: str = "label") -> DataFrame:
     """Shuffled stratified k-fold: ``fold`` = (rank within class by md5) mod k.

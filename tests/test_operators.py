@@ -461,3 +461,42 @@ def test_fits_read_written_folds(spark, monkeypatch):
     for part in [search.read, *[f for fold in frames for f in fold[1:]]]:
         plan = part._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Sort" not in plan and "Aggregate" not in plan
+
+
+def test_fold_digests_are_md5_of_any_text():
+    import hashlib
+
+    from raremine.functions.digest import first_digits, fold_digests, hex_digests
+
+    keys = ["a", "", "é" * 30, "x" * 46, "x" * 47, "x" * 48, "x" * 55, "y" * 200, None, "Customer#000000001"]
+    seen = 0
+    for fold, row, words in fold_digests(42, range(120), keys):
+        for f, r, h, d in zip(fold, row, hex_digests(words), first_digits(words)):
+            text = f"42|{f}" + ("" if keys[r] is None else f"|{keys[r]}")
+            assert hashlib.md5(text.encode()).hexdigest() == h.decode() and int(h[:13], 16) == d
+            seen += 1
+    assert seen == 120 * len(keys)
+
+
+def test_fold_predictions_keep_one_row_per_row(spark, monkeypatch):
+    """The table behind the fold statistics does not repeat rows by fold;
+    repeated and null keys are split as the written split does it."""
+    from raremine import session
+
+    plain, seen = session.written, {}
+    monkeypatch.setattr(session, "written", lambda df, name: seen.setdefault(name, plain(df, name)))
+    rows = [(None if i % 50 == 0 else f"k{i % 230}", float(i % 5 == 0), float(i % 7), float((i * i) % 11)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, label double, f1 double, f2 double")
+    pred = MO.gnb_fold_predictions(df, ["f1", "f2"], 40)
+    assert seen["split"].count() == 300
+    monkeypatch.setattr(session, "written", plain)
+    count = lambda d: sorted((r.fold, str(r.id), r.label, r.n) for r in d.groupBy("fold", "id", "label").agg(F.count(F.lit(1)).alias("n")).collect())
+    assert count(pred) == count(S.split_strat_shuffle(df, 40))
+
+
+def test_fold_predictions_without_a_score(spark):
+    rows = [(f"k{i}", float(i % 4 == 0), None if i == 8 else float("nan") if i == 9 else float(i % 4 + i % 3), 1.0 * i) for i in range(80)]
+    df = spark.createDataFrame(rows, "id string, label double, f1 double, f2 double")
+    got = MO.gnb_fold_predictions(df, ["f1", "f2"], 30).collect()
+    assert len(got) == 30 * 8 and {r.prediction for r in got if r.id == "k8"} == {None}
+    assert all(r.prediction in (0.0, 1.0) for r in got if r.id != "k8")
