@@ -39,14 +39,41 @@ BLOCK_ROWS = 2048
 _CHUNK = 64
 #: Pairs of blocks up to which all of them are compared; rows per pivot aimed
 #: at; pivots (and so numbers on the driver: pivots x columns) at most.
-DIRECT_PAIRS, PIVOT_ROWS, MAX_PIVOTS = 256, 1024, 2048
+DIRECT_PAIRS, PIVOT_ROWS, MAX_PIVOTS = 256, 1024, 4096
 
 
 def as_vector(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
-def _local_topk(k: int, exclude_self: bool, group: str | None):
+def _near_without(row: np.ndarray, part: np.ndarray, folds: int, k: int) -> np.ndarray:
+    """Which candidates (by row, nearest first) are among the row's k nearest
+    of all folds but one, for some fold left out."""
+    first = np.searchsorted(row, row)
+    keep = np.zeros(len(row), bool)
+    for g in range(folds):
+        other = part != g
+        n = np.cumsum(other)
+        keep |= other & (n - n[first] + other[first] <= k)
+    return keep
+
+
+def _bound_without(near: np.ndarray, bound: np.ndarray, part: np.ndarray, folds: int, kk: int) -> np.ndarray:
+    """``bound`` raised for the rows (few, unless folds lie apart) where a fold
+    left out leaves fewer than ``kk`` within it."""
+    row, col = np.nonzero(near <= bound[:, None])
+    within = np.bincount(row * folds + part[col], minlength=len(near) * folds).reshape(-1, folds)
+    without = within.sum(axis=1)[:, None] - within
+    for g in range(folds):
+        other = np.flatnonzero(part != g)
+        few = np.flatnonzero(without[:, g] < min(kk, len(other)))
+        if len(few):
+            kth = np.partition(near[np.ix_(few, other)], min(kk, len(other)) - 1, axis=1)[:, min(kk, len(other)) - 1]
+            bound[few] = np.maximum(bound[few], kth)
+    return bound
+
+
+def _local_topk(k: int, exclude_self: bool, group: str | None, folds: int = 0):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         qid_all, rid_all = q["qid"].to_numpy(), r["rid"].to_numpy()
         gval = q[group].to_numpy()[:1] if group else None
@@ -54,6 +81,8 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             out = {"qid": qid_all[:0], "rid": rid_all[:0], "d2": np.zeros(0)}
             if group:
                 out = {group: q[group].to_numpy()[:0], **out}
+            if folds:
+                out |= {"qpart": np.zeros(0, np.int32), "rpart": np.zeros(0, np.int32)}
             return pd.DataFrame(out)
         qv = np.stack(q["v"].to_numpy()).astype(np.float64)
         rv = np.stack(r["v"].to_numpy()).astype(np.float64)
@@ -61,8 +90,13 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             raise ValueError("k-NN vectors need finite coordinates; impute or drop rows first")
         order_r = np.argsort(rid_all, kind="stable")          # tie-break by reference key
         rv, rid = rv[order_r], rid_all[order_r]
-        kk = min(k + exclude_self, len(rid))
+        kk = min((2 * k if folds else k) + exclude_self, len(rid))
+        if folds:
+            qpart, rpart = q["qpart"].to_numpy(), r["rpart"].to_numpy()[order_r]
+            out_p, out_s = [qpart[:0]], [rpart[:0]]
         rn = (rv ** 2).sum(axis=1)
+        # rows beyond ``theta`` are not among the k nearest, whatever else is here
+        theta = q["theta"].to_numpy() if "theta" in q else np.full(len(q), np.inf)
         out_q, out_r, out_d = [qid_all[:0]], [rid[:0]], [np.zeros(0)]
         for s in range(0, len(qid_all), _CHUNK):
             qid, x = qid_all[s:s + _CHUNK], qv[s:s + _CHUNK]
@@ -70,7 +104,14 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             xn = (x ** 2).sum(axis=1)
             near = xn[:, None] + rn[None, :] - 2.0 * (x @ rv.T)
             slack = 1e-11 * (xn + rn.max() + 1e-300) * x.shape[1]
-            bound = np.partition(near, kk - 1, axis=1)[:, kk - 1] + slack
+            bound = theta[s:s + _CHUNK] ** 2 + slack
+            many = np.flatnonzero((near <= bound[:, None]).sum(axis=1) > 4 * kk)
+            if len(many):
+                some = near[many]
+                kth = np.partition(some, kk - 1, axis=1)[:, kk - 1]
+                if folds:
+                    kth = _bound_without(some, kth, rpart, folds, k + exclude_self)
+                bound[many] = np.minimum(bound[many], kth + slack[many])
             row, col = np.nonzero(near <= bound[:, None])
             d2 = ((x[row] - rv[col]) ** 2).sum(axis=1)
             if exclude_self:
@@ -79,14 +120,21 @@ def _local_topk(k: int, exclude_self: bool, group: str | None):
             # by row, then distance; columns are in key order already, and the sort is stable
             order = np.lexsort((d2, row))
             row, col, d2 = row[order], col[order], d2[order]
-            first = np.searchsorted(row, np.arange(len(qid)))
-            keep = np.arange(len(row)) - first[row] < k
+            if folds:
+                keep = _near_without(row, rpart[col], folds, k)
+                out_p.append(qpart[s:s + _CHUNK][row[keep]])
+                out_s.append(rpart[col[keep]])
+            else:
+                first = np.searchsorted(row, np.arange(len(qid)))
+                keep = np.arange(len(row)) - first[row] < k
             out_q.append(qid[row[keep]])
             out_r.append(rid[col[keep]])
             out_d.append(d2[keep])
         out = {"qid": np.concatenate(out_q), "rid": np.concatenate(out_r), "d2": np.concatenate(out_d)}
         if group:
             out = {group: np.repeat(gval, len(out["qid"])), **out}
+        if folds:
+            out |= {"qpart": np.concatenate(out_p), "rpart": np.concatenate(out_s)}
         return pd.DataFrame(out)
     return fn
 
@@ -101,13 +149,21 @@ def _max_group_count(df: DataFrame, group: str | None) -> int:
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey: str = "id",
              vec: str = "v", exclude_self: bool = True, block_rows: int = BLOCK_ROWS,
              group: str | None = None, sizes: tuple[int, int] | None = None,
-             direct_pairs: int = DIRECT_PAIRS, pivot_rows: int = PIVOT_ROWS) -> DataFrame:
+             direct_pairs: int = DIRECT_PAIRS, pivot_rows: int = PIVOT_ROWS, fold: str | None = None,
+             folds: int = 0) -> DataFrame:
     """``([group,] qid, rid, rank, dist)``: the k nearest reference rows of
     every query row by Euclidean distance (self excluded by key when
     ``exclude_self``).  Null or non-finite coordinates raise a ValueError.  With
     ``group``, neighbours are searched within the same group only (e.g. the
     training rows of one fold).  Beyond ``direct_pairs`` pairs of blocks, cells
-    around pivots (one per ``pivot_rows`` rows) tell which blocks need not meet."""
+    around pivots (one per ``pivot_rows`` rows) tell which blocks need not meet.
+
+    With ``fold`` (a column of 0 to ``folds`` - 1 on both sides) the groups are
+    the training rows of each fold: ``group`` names the fold left out, and every
+    query is answered for each but its own.  Rows meet once for all groups."""
+    if fold:
+        return _knn_without_folds(queries, refs, k, qkey, rkey, vec, exclude_self, block_rows, group, sizes,
+                                  direct_pairs, pivot_rows, fold, folds)
     gcols = [group] if group else []
     # block counts from (largest group) sizes; callers that know them pass ``sizes``
     nq, nr = sizes if sizes else (_max_group_count(queries, group), _max_group_count(refs, group))
@@ -119,21 +175,57 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey
     if qb * rb > direct_pairs and rb > 1:
         cand = _pivot_candidates(q, r, k, exclude_self, block_rows, group, nr, pivot_rows)
     else:
-        cand = _meet(q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))),
-                     r.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(rb))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))),
-                     ["qb", "rb"], k, exclude_self, group)
+        cand = _meet(*_all_blocks(q, r, qb, rb), ["qb", "rb"], k, exclude_self, group)
     w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(*gcols, "qid", "rid", F.col("rank").cast("int"), F.sqrt("d2").alias("dist")))
 
 
-def _meet(q: DataFrame, r: DataFrame, blocks: Sequence[str], k: int, exclude_self: bool, group: str | None) -> DataFrame:
-    """([group,] qid, rid, d2): the k nearest rows of each pair of blocks."""
+def _knn_without_folds(queries: DataFrame, refs: DataFrame, k: int, qkey: str, rkey: str, vec: str, exclude_self: bool,
+                       block_rows: int, group: str, sizes: tuple[int, int] | None, direct_pairs: int, pivot_rows: int,
+                       fold: str, folds: int) -> DataFrame:
+    """``knn_join`` among the rows of all folds but one, for each fold left out."""
+    nq, nr = sizes if sizes else (queries.count(), refs.count())
+    qb, rb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nr / block_rows))
+    q = queries.select(F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"), F.col(fold).cast("int").alias("qpart"))
+    r = refs.select(F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"), F.col(fold).cast("int").alias("rpart"))
+    if qb * rb > direct_pairs and rb > 1:
+        cand = _pivot_candidates(q, r, k, exclude_self, block_rows, None, nr, pivot_rows, folds)
+    else:
+        cand = _meet(*_all_blocks(q, r, qb, rb), ["qb", "rb"], k, exclude_self, None, folds)
+    w = Window.partitionBy(group, "qid").orderBy("d2", "rid")
+    return (cand.withColumn(group, _answered(folds)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(group, "qid", "rid", F.col("rank").cast("int"), F.sqrt("d2").alias("dist")))
+
+
+def _answered(folds: int) -> Column:
+    """A row for every fold that holds neither the query nor the reference row."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda g: (g != F.col("qpart")) & (g != F.col("rpart"))))
+
+
+def _all_blocks(q: DataFrame, r: DataFrame, qb: int, rb: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt over all pairs of hash blocks.  Block numbers are long on
+    both: equal numbers of other types are shuffled to other partitions."""
+    def block(key, n):
+        return F.pmod(F.xxhash64(key), F.lit(n).cast("long"))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    return (q.withColumn("qb", block("qid", qb)).withColumn("rb", every(rb)),
+            r.withColumn("rb", block("rid", rb)).withColumn("qb", every(qb)))
+
+
+def _meet(q: DataFrame, r: DataFrame, blocks: Sequence[str], k: int, exclude_self: bool, group: str | None,
+          folds: int = 0) -> DataFrame:
+    """([group,] qid, rid, d2[, qpart, rpart]): the k nearest rows of each pair of
+    blocks (with ``folds``, of each set of folds but one)."""
     types = dict(q.dtypes) | dict(r.dtypes)
     keys = ([group] if group else []) + list(blocks)
     head = f"{group} {types[group]}, " if group else ""
     return (q.groupBy(*keys).cogroup(r.groupBy(*keys))
-            .applyInPandas(_local_topk(k, exclude_self, group), f"{head}qid {types['qid']}, rid {types['rid']}, d2 double"))
+            .applyInPandas(_local_topk(k, exclude_self, group, folds),
+                           f"{head}qid {types['qid']}, rid {types['rid']}, d2 double{', qpart int, rpart int' if folds else ''}"))
 
 
 def _to_pivots(v, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,12 +241,15 @@ def _visits(pivots: np.ndarray, cells: dict, k: int, group: str | None, second:
     """Function over query batches -> rows of (group, qid, v, cell) for every
     cell to meet.  First round: the nearest cells that hold more than k rows
     together.  Second round: the others whose bound is within ``theta``."""
-    gap = np.sqrt(np.maximum((pivots ** 2).sum(axis=1)[:, None] + (pivots ** 2).sum(axis=1)[None, :] - 2.0 * pivots @ pivots.T, 0.0))
+    size = max(64, (1 << 20) // max(1, len(pivots)))
 
     def run(batches):
+        # pivots x pivots numbers: made in the task, not sent to it
+        gap = np.sqrt(np.maximum((pivots ** 2).sum(axis=1)[:, None] + (pivots ** 2).sum(axis=1)[None, :] - 2.0 * pivots @ pivots.T, 0.0)
+                      ) if second else None
         for table in batches:
-            for lo in range(0, len(table), 1024):
-                part = table.iloc[lo:lo + 1024]
+            for lo in range(0, len(table), size):
+                part = table.iloc[lo:lo + size]
                 x, d = _to_pivots(part["v"], pivots)
                 # rounding of distances from matrix products
                 slack = 1e-6 * (1.0 + np.sqrt((x ** 2).sum(axis=1).max()) + np.abs(pivots).max())
@@ -188,15 +283,16 @@ def _visits(pivots: np.ndarray, cells: dict, k: int, group: str | None, second:
                     cols.append(cell[j])
                 if rows:
                     i, c = np.concatenate(rows), np.concatenate(cols)
-                    out = part.iloc[i].drop(columns=["theta"], errors="ignore").copy()
+                    out = part.iloc[i].copy()
                     out["cell"] = c.astype(np.int32)
                     yield out
     return run
 
 
 def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, block_rows: int, group: str | None, nr: int,
-                      pivot_rows: int) -> DataFrame:
-    """([group,] qid, rid, d2) that hold every query's k nearest rows."""
+                      pivot_rows: int, folds: int = 0) -> DataFrame:
+    """([group,] qid, rid, d2) that hold every query's k nearest rows (with
+    ``folds``, those of all folds but one, whichever is left out)."""
     from raremine.session import written
 
     spark = q.sparkSession
@@ -229,22 +325,33 @@ def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, bl
     r = (r.drop("d").join(F.broadcast(blocks), [*gcols, "cell"])
          .withColumn("rb", F.pmod(F.xxhash64("rid"), F.col("nb"))))
 
+    cell = [*gcols, "cell"]
+
     def meet(visits):
         visits = written(visits, "knn-visits")
-        chunks = visits.groupBy(*gcols, "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nc"))   # groups x pivots rows
-        mine = (visits.join(F.broadcast(blocks), [*gcols, "cell"]).join(F.broadcast(chunks), [*gcols, "cell"])
+        chunks = visits.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nc"))   # groups x pivots rows
+        mine = (visits.join(F.broadcast(blocks), cell).join(F.broadcast(chunks), cell)
                 .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("nc")))
                 .withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))).drop("nb", "nc"))
-        theirs = (r.join(F.broadcast(chunks), [*gcols, "cell"])
+        theirs = (r.join(F.broadcast(chunks), cell)
                   .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nc") - 1))).drop("nb", "nc"))
-        return _meet(mine, theirs, ["cell", "qb", "rb"], k, exclude_self, group)
-
-    first = written(meet(q.mapInPandas(_visits(pivots, cells, k, group, False), schema(q, ", cell int"))), "knn-near")
-    w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
-    kth = (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k)
-           .select(*gcols, "qid", F.sqrt("d2").alias("theta")))
+        return _meet(mine, theirs, ["cell", "qb", "rb"], k, exclude_self, group, folds)
+
+    need = 2 * k if folds else k
+    first = written(meet(q.mapInPandas(_visits(pivots, cells, need, group, False), schema(q, ", cell int"))), "knn-near")
+    if folds:
+        gcols = ["qpart"]
+        w = Window.partitionBy("qpart", "_out", "qid").orderBy("d2", "rid")
+        # the farthest k-th neighbour over the folds left out; none if one of them has fewer
+        kth = (first.withColumn("_out", _answered(folds)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k)
+               .groupBy("qpart", "qid").agg(F.sqrt(F.max("d2")).alias("theta"), F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") == folds - 1).drop("_n"))
+    else:
+        w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
+        kth = (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k)
+               .select(*gcols, "qid", F.sqrt("d2").alias("theta")))
     bounded = q.join(kth, [*gcols, "qid"], "left").withColumn("theta", F.coalesce("theta", F.lit(float("inf")))).select(*q.columns, "theta")
-    second = meet(bounded.mapInPandas(_visits(pivots, cells, k, group, True), schema(q, ", cell int")))
+    second = meet(bounded.mapInPandas(_visits(pivots, cells, need, group, True), schema(bounded, ", cell int")))
     return first.unionByName(second)
 
 
@@ -265,7 +372,7 @@ def knn_vote(test: DataFrame, train: DataFrame, k: int = 5, key: str = "id", lab
 
 def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label", key: str = "id",
                      minority=1, m_neighbors: int = 10, k_neighbors: int = 5,
-                     seed: int = SEED, group: str | None = None) -> DataFrame:
+                     seed: int = SEED, group: str | None = None, fold: str | None = None, folds: int = 0) -> DataFrame:
     """Borderline-1 SMOTE: synthetic minority rows up to class balance.
 
     * danger rows: minority rows whose m nearest neighbours (all rows) hold at
@@ -276,39 +383,49 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     * new row = x + u * (neighbour - x), u = md5-uniform of (seed, pair, copy).
 
     With ``group`` (e.g. a fold id) every group is resampled on its own rows
-    in the same jobs -- scope 'train' of the evaluation.  Returns
+    in the same jobs -- scope 'train' of the evaluation.  With ``fold`` (a column
+    of 0 to ``folds`` - 1) the groups are the rows of all folds but one: ``group``
+    names the one left out, and rows are not repeated by group.  Returns
     ``([group,] key, source, neighbour, copy, *features, label)`` of the
     synthetic rows only; a group without danger rows gets none."""
     from raremine.operators.clean import global_row_number
     from raremine.session import written
 
     gcols = [group] if group else []
-    base = written(df.select(*gcols, key, label, as_vector(features).alias("v")), "smote-rows")
+    held = [fold] if fold else gcols               # what tells the rows of a group apart in base
+    base = written(df.select(*held, key, label, as_vector(features).alias("v")), "smote-rows")
     is_min = F.col(label) == F.lit(minority)
     stats = {}
-    for r in base.groupBy(*gcols, is_min.alias("m")).count().collect():   # 2 rows per group
-        g = r[group] if group else None
-        stats.setdefault(g, {True: 0, False: 0})[r["m"]] = r["count"]
+    for r in base.groupBy(*held, is_min.alias("m")).count().collect():   # 2 rows per group
+        for g in ([x for x in range(folds) if x != r[fold]] if fold else [r[group] if group else None]):
+            own = stats.setdefault(g, {True: 0, False: 0})
+            own[r["m"]] = own.get(r["m"], 0) + r["count"]
     n_new = {g: v[False] - v[True] for g, v in stats.items() if v[False] > v[True] and v[True] >= 2}
-    empty = df.sparkSession.createDataFrame([], _smote_schema(df, key, features, label, group))
+    empty = df.sparkSession.createDataFrame([], _smote_schema(df, key, features, label, group, fold))
     if not n_new:
         return empty
     minority_rows = base.filter(is_min)
     max_min = max(v[True] for v in stats.values())
     max_all = max(v[True] + v[False] for v in stats.values())
     nn_all = written(knn_join(minority_rows, base, m_neighbors, key, key, "v", exclude_self=True, group=group,
-                              sizes=(max_min, max_all)), "smote-near")          # n_min x m rows, read twice
-    labels = base.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_rl"))
+                              sizes=(max_min, max_all), fold=fold, folds=folds), "smote-near")   # n_min x m rows, read twice
+    labels = base.select(*held, F.col(key).alias("rid"), F.col(label).alias("_rl"))
     from raremine.operators.joins import salted_join
 
     # a "hub" row can be a neighbour of many queries: salt its key
-    n_maj_nn = (salted_join(nn_all, labels, gcols + ["rid"], "inner").groupBy(*gcols, "qid")
+    trains = (F.col(fold) != F.col(group)) if fold else F.lit(True)
+    n_maj_nn = (salted_join(nn_all, labels, ([] if fold else gcols) + ["rid"], "inner").filter(trains).groupBy(*gcols, "qid")
                 .agg(F.count_if(F.col("_rl") != F.lit(minority)).alias("_nmaj")))
     danger = (n_maj_nn.filter((F.col("_nmaj") >= m_neighbors / 2.0) & (F.col("_nmaj") < m_neighbors))
               .select(*gcols, F.col("qid").alias(key)))
-    danger_rows = minority_rows.join(danger, gcols + [key], "left_semi")
+    if fold:
+        danger = written(danger, "smote-danger")
+    danger_rows = minority_rows.join(danger, ([] if fold else gcols) + [key], "left_semi")
     pairs = knn_join(danger_rows, minority_rows, k_neighbors, key, key, "v", exclude_self=True, group=group,
-                     sizes=(max_min, max_min))
+                     sizes=(max_min, max_min), fold=fold, folds=folds)
+    if fold:                                       # a row is a query for all folds, in danger for some
+        pairs = pairs.join(danger.withColumnRenamed(key, "qid"), gcols + ["qid"], "left_semi")
+    pairs = written(pairs, "smote-pairs")          # read twice
     n_pairs = {(r[group] if group else None): r["count"] for r in pairs.groupBy(*gcols).count().collect()}
     plan = []                                      # per group: (group, per, extra, offset)
     off = 0
@@ -323,7 +440,7 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     ranked = global_row_number(pairs.withColumn("_h", hash_key(seed, *hash_parts)),
                                gcols + ["_h", "qid", "rid"], "_pr")
     if group:
-        gtype = dict(base.dtypes)[group]
+        gtype = dict(pairs.dtypes)[group]
         plan_df = df.sparkSession.createDataFrame(plan, f"{group} {gtype}, _per long, _extra long, _off long")
         ranked = ranked.join(F.broadcast(plan_df), group)       # one row per group
     else:
@@ -333,10 +450,13 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
     copies = F.col("_per") + F.when(in_group <= F.col("_extra"), 1).otherwise(0)
     chosen = (ranked.filter(copies > 0)
               .withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))))
-    src = base.select(*gcols, F.col(key).alias("qid"), F.col("v").alias("_x"))
-    nbr = base.select(*gcols, F.col(key).alias("rid"), F.col("v").alias("_n"))
+    src = base.select(*held, F.col(key).alias("qid"), F.col("v").alias("_x"))
+    nbr = base.select(*held, F.col(key).alias("rid"), F.col("v").alias("_n"))
     u = hash_uniform(seed, *hash_parts, F.col("copy"))
-    joined = chosen.join(src, gcols + ["qid"]).join(nbr, gcols + ["rid"]).withColumn("_u", u)
+    if fold:
+        joined = chosen.join(src, "qid").filter(trains).drop(fold).join(nbr, "rid").filter(trains).withColumn("_u", u)
+    else:
+        joined = chosen.join(src, gcols + ["qid"]).join(nbr, gcols + ["rid"]).withColumn("_u", u)
     feats = [(F.col("_x")[j] + F.col("_u") * (F.col("_n")[j] - F.col("_x")[j])).alias(f)
              for j, f in enumerate(features)]
     sid = F.concat_ws("|", F.lit("smote"), F.col("qid").cast("string"), F.col("rid").cast("string"),
@@ -345,9 +465,9 @@ def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label
                          F.col("copy").cast("int"), *feats, F.lit(minority).cast(dict(df.dtypes)[label]).alias(label))
 
 
-def _smote_schema(df: DataFrame, key: str, features, label: str, group: str | None = None) -> T.StructType:
+def _smote_schema(df: DataFrame, key: str, features, label: str, group: str | None = None, fold: str | None = None) -> T.StructType:
     kt = df.schema[key].dataType
-    head = [T.StructField(group, df.schema[group].dataType)] if group else []
+    head = [T.StructField(group, T.IntegerType() if fold else df.schema[group].dataType)] if group else []
     return T.StructType(head + [T.StructField(key, T.StringType()), T.StructField("source", kt),
                                 T.StructField("neighbour", kt), T.StructField("copy", T.IntegerType())]
                         + [T.StructField(f, T.DoubleType()) for f in features]

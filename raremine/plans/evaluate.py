@@ -98,9 +98,10 @@ def eval_smote_train_gnb(data: DataFrame, features: Sequence[str], k: int = 5, s
                          key: str = "id", label: str = "label") -> DataFrame:
     """Gaussian NB under stratified k-fold with borderline SMOTE applied to
     each fold's TRAINING rows only (scope 'train': no synthetic row can reach
-    a test fold).  All folds run in the same jobs: rows are replicated once
-    per fold they train, SMOTE and the NB fits are grouped by fold.  Pooled
-    confusion counts and metrics over the k test folds."""
+    a test fold).  All folds run in the same jobs: SMOTE searches every row's
+    neighbours once for all folds, the NB fits are grouped by fold over rows
+    replicated once per fold they train.  Pooled confusion counts and metrics
+    over the k test folds."""
     from pyspark.sql import functions as F
 
     from raremine.operators.metrics import confusion_counts, confusion_metrics
@@ -116,7 +117,7 @@ def eval_smote_train_gnb(data: DataFrame, features: Sequence[str], k: int = 5, s
     rows = (spread(folded, key).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
             .withColumn("is_test", F.col("fold") == F.col("g")))
     train = rows.filter(~F.col("is_test")).select("g", key, label, *features)
-    syn = smote_borderline(train, features, label, key, seed=seed, group="g")
+    syn = smote_borderline(folded, features, label, key, seed=seed, group="g", fold="fold", folds=k)
     fit_rows = train.select("g", F.col(key).cast("string").alias(key), label, *features) \
         .unionByName(syn.select("g", key, label, *features))
     stats = gnb_group_fit(fit_rows, ["g"], features, classes, label)

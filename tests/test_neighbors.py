@@ -77,3 +77,60 @@ def test_infinite_coordinates_raise(spark):
     df = frame(spark, np.ones((60, 2))).withColumn("v", F.when(F.col("id") == 5, F.array(F.lit(1.0), F.lit(float("inf")))).otherwise(F.col("v")))
     with pytest.raises(Exception, match="finite"):
         NB.knn_join(df, df, 2, block_rows=10, direct_pairs=1, pivot_rows=10).count()
+
+
+@pytest.mark.parametrize("apart", [False, True])
+@pytest.mark.parametrize("direct", [1, 256])
+def test_knn_without_folds_equals_the_search_in_each_group(spark, direct, apart):
+    """Rows meet once for all folds; every fold left out has the neighbours that
+    a search among its own rows finds, with repeated keys and rows, ties and
+    folds that lie apart."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(260, 3)), 1)
+    fold = (np.argsort(np.argsort(x[:, 0])) * 4 // 260) if apart else rng.integers(0, 4, 260)
+    rows = [(f"k{i % 240}", int(f), v.tolist()) for i, (f, v) in enumerate(zip(fold, x))] + [("k7", 1, x[7].tolist())] * 2
+    df = spark.createDataFrame(rows, "id string, fold int, v array<double>")
+    queries = df.filter("pmod(xxhash64(id), 3) = 0")
+    groups = [d.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(4)))).filter("g <> fold") for d in (queries, df)]
+    how = {"block_rows": 32, "pivot_rows": 16, "direct_pairs": direct, "group": "g"}
+    expected = NB.knn_join(*groups, 6, **how)
+    found = NB.knn_join(queries, df, 6, **how, fold="fold", folds=5)
+    one, two = (sorted((r.g, r.qid, r["rank"], r.dist) for r in d.collect()) for d in (expected, found))
+    assert one == two and len({r[0] for r in one}) == 5
+
+
+def test_smote_in_folds_holds_every_row_once(spark, monkeypatch):
+    """Same synthetic rows as with rows repeated by group, which are not written."""
+    import raremine.session as session
+
+    rng = np.random.default_rng(5)
+    rows = [(f"k{i}", int(i % 9 == 0 or i % 50 == 1), int(rng.integers(0, 5)), *rng.normal(size=2).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, label int, fold int, a double, b double")
+    parts = df.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(4)))).filter("g <> fold")
+    expected = NB.smote_borderline(parts, ["a", "b"], group="g").collect()
+    sizes, plain = {}, session.written
+
+    def counted(frame, name):
+        done = plain(frame, name)
+        sizes[name] = done.count()
+        return done
+
+    monkeypatch.setattr(session, "written", counted)
+    found = NB.smote_borderline(df, ["a", "b"], group="g", fold="fold", folds=5)
+    assert sorted(expected) == sorted(found.collect()) and len(expected) > 100
+    assert sizes["smote-rows"] == 300
+
+
+def test_blocks_meet_over_many_partitions(spark):
+    """All pairs of blocks, where Spark keeps every shuffle partition."""
+    x = np.random.default_rng(4).normal(size=(300, 3))
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, v in zip(names, ("false", "13")):
+            spark.conf.set(n, v)
+        df = frame(spark, x)
+        assert result(NB.knn_join(df, df, 4, block_rows=50)) == brute(x, 4)
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
