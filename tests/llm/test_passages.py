@@ -234,3 +234,79 @@ def test_repeated_rows_and_empty(spark, empty):
     got = sorted((str(r.doc_id), r.n_shared > 0, r.class_id) for r in passages.passage_classes(df).collect())
     assert got == [("5", True, 5), ("5", True, 5), ("9", True, 5), ("None", False, None), ("None", True, 5)]
     assert passages.passage_classes(empty).count() == 0
+
+
+def test_groups_at_once_equal_pairs_one_by_one():
+    """Bounds and sets made for many pairs at once decide as the comparison of each pair does."""
+    rng = np.random.default_rng(12)
+    length, tokens, nodes, cuts = 46, [], [], [0]
+    for m in [1, 2, 3, 2, 7, 12, 60]:
+        p = rng.integers(1, 2**31, 91).astype(np.uint32)
+        for k in range(m):
+            q = p.copy()
+            if k % 3 == 1:
+                q[rng.integers(0, 5):][:3] = p[50]                   # shingles that stand twice
+            if k % 4 == 2:
+                q = np.concatenate([q[:30], rng.integers(1, 2**31, 5).astype(np.uint32), q[34:]])[1:]
+                q[45] = p[45]
+            if k % 5 == 3:
+                q[20:40] = q[20]
+            if k % 2:
+                at = rng.integers(0, 80)
+                q[at:at + int(rng.integers(1, 9))] = rng.integers(1, 2**31)
+            lo = int(rng.integers(18, 24))
+            tokens.append(q[lo:lo + 46 + k % 4])
+            nodes.append(45 - lo)
+        cuts.append(len(tokens))
+    want = []
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        own = [passages._Context(tokens[i], nodes[i], length) for i in range(lo, hi)]
+        root = list(range(hi - lo))
+        for x in range(hi - lo):
+            for y in range(x + 1, hi - lo):
+                if root[x] != root[y] and passages.best_similarity(own[x].tokens, own[x].node, own[y].tokens, own[y].node, length) >= 0.8:
+                    root = [root[x] if r == root[y] else r for r in root]
+                    want.append((lo + x, lo + y))
+    got = passages.linked_groups(tokens, nodes, np.array(cuts), length, 0.8)
+    assert sorted(got) == sorted(want) and 20 < len(want) < len(tokens) - len(cuts)
+
+
+def test_group_that_pivots_join_is_dealt_in_as_many_rows_as_it_has(spark, monkeypatch):
+    """Near copies of one passage with a few other kinds: rows compared stay in proportion, and no link is lost."""
+    rng = np.random.default_rng(6)
+    base, rows = rng.integers(1, 2**31, 46).astype(np.uint32), []
+
+    def add(tokens):
+        rows.append((7, 7, len(rows), len(rows), 20, bytearray(tokens.astype(np.uint32).tobytes())))
+
+    for k in range(101):
+        q = base.copy()
+        q[45] = 2 * k + 1
+        if k == 50:
+            q[:5], q[45] = rng.integers(1, 2**31, 5), 1     # similar to kind 0
+            chain = q.copy()
+        add(q)
+    chain[41:] = rng.integers(1, 2**31, 5)              # similar to kind 50 only
+    add(chain)
+    for k in range(5):
+        own = rng.integers(1, 2**31, 46)
+        own[20] = base[20]
+        add(own)
+        if k == 0:
+            own[0] = 3
+            add(own)
+    kinds = spark.createDataFrame(rows, passages._KIND)
+    sizes, inner = [], passages._compare
+
+    def compare(kinds, *a):
+        sizes.append([r["count"] for r in kinds.groupBy("g").count().collect()])
+        return inner(kinds, *a)
+
+    monkeypatch.setattr(passages, "_compare", compare)
+    linked = [(r.kind_a, r.kind_b) for r in passages._verified(kinds, 46, 0.8, 20).collect()]
+    assert classes(len(rows), linked) == [0] * 102 + [102, 102, 104, 105, 106, 107]
+    assert sum(sizes[-1]) <= 2 * len(rows) and max(sizes[-1]) <= 40
+    # where all are joined, none are compared again
+    sizes.clear()
+    linked = [(r.kind_a, r.kind_b) for r in passages._verified(kinds.filter("kind < 101"), 46, 0.8, 20).collect()]
+    assert classes(101, linked) == [0] * 101 and not sum(map(sum, sizes))
