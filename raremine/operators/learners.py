@@ -55,11 +55,19 @@ LINEAR = ("logistic", "linear_svc")
 
 
 def fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence[str],
-                label: str = "label", key: str = "id", **params):
+                label: str = "label", key: str = "id", splits: int = 0, **params):
     """Fit on ``train``, predict ``test``: ((key, label, prediction), fit
     seconds, model).  ``C`` (inverse regularisation strength of the reference's
     linear models) maps to Spark's ``regParam = 1 / (C * n_train)``;
-    ``balanced`` weighs each row by n / (classes * rows of its class)."""
+    ``balanced`` weighs each row by n / (classes * rows of its class).
+
+    With ``splits`` (linear_svc), ``train`` holds all rows once and ``test`` the test
+    rows of so many splits, with their ``fold``: each split's model is fitted on the
+    rows whose key it does not test, all of them in the same jobs.  Returns
+    ((fold, key, label, prediction) of the test rows, fit seconds of a split, the
+    same of the training rows)."""
+    if splits:
+        return _fit_predict_splits(name, train, test, features, label, key, splits, **params)
     if "C" in params:
         c = params.pop("C")
         params["regParam"] = 1.0 / (c * max(train.count(), 1))
@@ -77,6 +85,25 @@ def fit_predict(name: str, train: DataFrame, test: DataFrame, features: Sequence
     return pred.select(key, label, F.col("prediction").cast("double")), fit_s, model
 
 
+def _fit_predict_splits(name: str, rows: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str, splits: int,
+                        C: float | None = None, regParam: float = 0.0):
+    from raremine.operators import linear as LI
+    from raremine.session import written
+
+    if name != "linear_svc":
+        raise ValueError(f"{name} is fitted split by split")
+    tested = test.groupBy(key).agg(F.collect_set("fold").alias("tested"))        # bounded by the number of splits
+    x = F.array(*[F.col(f).cast("double") for f in features]).alias("x")
+    rows = written(rows.select(key, label, x).join(tested, key, "left")
+                   .withColumn("tested", F.coalesce("tested", F.array().cast("array<int>"))), "svc-splits")
+    t0 = time.time()
+    weights, _ = LI.hinge_splits(rows.withColumn("y", F.col(label)), splits, len(features), C, regParam)
+    fit_s = (time.time() - t0) / splits
+    trained = F.array_except(F.sequence(F.lit(0), F.lit(splits - 1)), "tested")
+    return (LI.score_splits(test.select(key, label, x, F.array("fold").alias("folds")), weights, key, label), fit_s,
+            LI.score_splits(rows.withColumn("folds", trained), weights, key, label))
+
+
 # ------------------------------------------------------------------ PCA ----
 
 def pca_fit(df: DataFrame, features: Sequence[str], n_components=None):
@@ -128,12 +155,10 @@ def random_fourier_features(df: DataFrame, features: Sequence[str], n_out: int =
     w = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_out, p))
     b = rng.uniform(0.0, 2 * math.pi, size=n_out)
     scale = math.sqrt(2.0 / n_out)
-    cols = []
-    for i in range(n_out):
-        dot = F.lit(float(b[i]))
-        for j, c in enumerate(features):
-            dot = dot + F.col(c).cast("double") * F.lit(float(w[i, j]))
-        cols.append((F.lit(scale) * F.cos(dot)).alias(f"{prefix}{i}"))
+    # one parsed text per number: a column made call by call takes the driver 450 calls
+    x = ["CAST(`" + c.replace("`", "``") + "` AS DOUBLE)" for c in features]
+    cols = [F.expr(f"{scale!r}D * cos({float(b[i])!r}D + " + " + ".join(f"{v} * ({float(w[i, j])!r}D)" for j, v in enumerate(x)) + ")")
+            .alias(f"{prefix}{i}") for i in range(n_out)]
     keep = [c for c in df.columns if c not in set(features)]
     return df.select(*keep, *cols), [f"{prefix}{i}" for i in range(n_out)]
 

@@ -21,17 +21,22 @@ y is -1 or 1, z = w.x + b, s the row's weight.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raremine import SEED
 from raremine.operators.sampling import class_counts, split_strat_shuffle, stratified_test_sizes
 
+# functions of this module run in tasks of executors that lack the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOSSES = ("logistic", "squared_hinge")
 #: Numbers that the sums of one task may take (8 bytes each), rows of a batch
 #: that meet all splits at once, Newton steps and the step size that ends them.
@@ -210,3 +215,231 @@ def linear_fold_predictions(data: DataFrame, features: Sequence[str], folds: int
     x = F.array(*[F.col(f).cast("double") for f in features], F.lit(1.0))
     z = F.aggregate(F.zip_with(x, "_w", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     return scored.select("fold", key, label, F.when(z > 0, 1.0).otherwise(0.0).alias("prediction"))
+
+
+# ------------------------------------------- hinge loss, as Spark ML fits it --
+
+#: Rows of a packed record, bytes of features of a written partition, partitions
+#: whose sums the driver adds up itself, step lengths looked at in one job.
+PACK_ROWS, PACK_BYTES, DRIVER_PARTS, AHEAD = 2048, 4 << 20, 64, 4
+
+
+def _pack(p: int, folds: int):
+    """Function over Arrow batches (y, x, tested) -> records of up to
+    ``PACK_ROWS`` rows: (n, y, x, mask), the mask a bit for every row and fold it trains."""
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(lo, PACK_ROWS)
+                n = part.num_rows
+                y = part.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                tested = part.column(2)
+                use = np.ones((n, folds), bool)
+                use[np.repeat(np.arange(n), tested.value_lengths().to_numpy(zero_copy_only=False)),
+                    tested.flatten().to_numpy(zero_copy_only=False)] = False
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in (y, x.reshape(n, p), np.packbits(use)))],
+                                                 names=["n", "y", "x", "mask"])
+    return run
+
+
+def _over_records(p: int, folds: int, size: int, add):
+    """Function over packed records -> one row (v) per partition: ``size`` numbers,
+    to which ``add(total, y, x, use)`` adds a record's."""
+    def run(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            for n, y, x, mask in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                add(total, np.frombuffer(y), np.frombuffer(x).reshape(n, p),
+                    np.unpackbits(np.frombuffer(mask, np.uint8), count=n * folds).reshape(n, folds).astype(bool))
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), pa.array(total))], names=["v"])
+    return run
+
+
+def _summed(packed: DataFrame, parts: int, p: int, folds: int, size: int, add) -> np.ndarray:
+    out = packed.mapInArrow(_over_records(p, folds, size, add), "v array<double>")
+    if parts <= DRIVER_PARTS:
+        return np.sum([r["v"] for r in out.collect()], axis=0)
+    total = np.zeros(size)
+    for r in out.select(F.posexplode("v").alias("j", "x")).groupBy("j").agg(F.sum("x").alias("x")).collect():
+        total[r["j"]] = r["x"]
+    return total
+
+
+class _Stuck(Exception):
+    pass
+
+
+def _direction(steps: list, changes: list, g: np.ndarray) -> np.ndarray:
+    """L-BFGS direction from the last steps and gradient changes, newest first."""
+    d = g.copy()
+    scale = 1.0
+    if steps:
+        sy, yy = steps[0] @ changes[0], changes[0] @ changes[0]
+        if sy < 0 or np.isnan(sy):
+            raise _Stuck
+        scale = sy / yy
+    rho, share = [], []
+    for s, c in zip(steps, changes):
+        rho.append(s @ c)
+        share.append((s @ d) / rho[-1])
+        if np.isnan(share[-1]):
+            raise _Stuck
+        d -= share[-1] * c
+    d *= scale
+    for i in range(len(steps) - 1, -1, -1):
+        d += (share[i] - (changes[i] @ d) / rho[i]) * steps[i]
+    return -d
+
+
+def _quasi_newton(m: int, max_iter: int, tol: float, memory: int = 10, values: int = 20):
+    """The optimiser behind Spark ML's LinearSVC (OWL-QN without a first-order
+    penalty, backtracking search): a generator that yields points whose
+    (value, gradient) it is sent, and returns (weights, values)."""
+    x = np.zeros(m)
+    (f, g), = yield [x]
+    first, seen, path, done, failed = f, [np.inf], [f], 0, False
+    steps, changes = [], []
+    while True:
+        if done >= max_iter or (len(seen) >= 2 and abs(f - max(seen)) <= tol * first) or np.sqrt(g @ g) <= max(tol * f, 1e-8):
+            return x, path
+        try:
+            with np.errstate(all="ignore"):
+                d = _direction(steps, changes, g)
+            d = np.where(d * g < 0, d, 0.0)
+            side = np.where(x != 0, np.sign(x), np.sign(-g))
+            known = {}
+
+            def at(alpha):
+                v = x + d * alpha
+                return np.where(np.sign(v) == side, v, 0.0)
+
+            shrink, alpha = (0.1, 0.5 / np.sqrt(g @ g)) if done < 1 else (0.5, 1.0)
+            # its search holds the first length against the value it starts from, so shortens it once
+            slope, tries, value, grad = d @ g, 0, f, g
+            while slope != 0:
+                if tries:
+                    if alpha not in known:
+                        ask = [alpha * shrink ** i for i in range(AHEAD - 1)] + [alpha * 2.1]
+                        got = yield [at(a) for a in ask]
+                        known.update({a: (v, h) for a, (v, h) in zip(ask, got)})
+                    value, grad = known[alpha]
+                rise = d @ grad
+                if value > f + alpha * slope * 1e-4:
+                    times = shrink
+                elif rise < 0.9 * slope:
+                    times = 2.1
+                elif abs(rise) > 0.9 * abs(slope):
+                    times = shrink
+                else:
+                    break
+                alpha, tries = alpha * times, tries + 1
+                if tries > 20 or not 1e-10 <= alpha <= 1e10:
+                    raise _Stuck
+            new = at(alpha)
+            steps, changes = [new - x, *steps][:memory], [grad - g, *changes][:memory]
+            x, f, g, done, failed = new, value, grad, done + 1, False
+            seen = [*seen, f][-values:]
+            path.append(f)
+        except _Stuck:
+            if failed:
+                return x, path
+            failed, steps, changes = True, [], []
+            path.append(f)
+
+
+def hinge_splits(rows: DataFrame, folds: int, p: int, C: float | None = None, regParam: float = 0.0, max_iter: int = 100,
+                 tol: float = 1e-6) -> tuple[np.ndarray, list]:
+    """Weights (folds x (p + 1), intercept last) of Spark ML's LinearSVC fitted
+    on the training rows of each split, and the values each fit went through.
+    Same objective (mean hinge loss, features divided by their deviation among the
+    training rows, less their mean; ``regParam`` = 1 / (C * n) on their weights) and same
+    steps, but for rounding; one job looks at the next points of all splits.  ``rows``: (y 0/1, x array,
+    tested array of folds)."""
+    from raremine.session import written
+
+    # some MB a partition, so that a look at the points is few tasks
+    n_rows = rows.count()
+    parts = max(1, -(-n_rows * p * 8 // PACK_BYTES))
+    packed = written(rows.select(F.col("y").cast("double"), F.col("x").cast("array<double>"), F.col("tested").cast("array<int>")).repartition(parts)
+                     .mapInArrow(_pack(p, folds), "n int, y binary, x binary, mask binary"), "svc-rows")
+    parts = packed.rdd.getNumPartitions()
+
+    def means(total, y, x, use):
+        total[:p] += x.sum(axis=0)
+    centre = _summed(packed, parts, p, folds, p, means) / max(n_rows, 1)
+
+    def moments(total, y, x, use):
+        t, u, d = total.reshape(folds, 2 * p + 1), use.astype(np.float64).T, x - centre
+        t[:, 0] += u.sum(axis=1)
+        t[:, 1:1 + p] += u @ d
+        t[:, 1 + p:] += u @ (d * d)
+    mom = _summed(packed, parts, p, folds, folds * (2 * p + 1), moments).reshape(folds, 2 * p + 1)
+    n = np.maximum(mom[:, 0], 1.0)
+    var = (mom[:, 1 + p:] - mom[:, 1:1 + p] ** 2 / n[:, None]) / np.maximum(n - 1, 1)[:, None]
+    # a column of one value among the training rows, but for rounding
+    flat = var <= np.maximum(1e-12 * mom[:, 1 + p:] / n[:, None], 1e-26 * centre ** 2)
+    inverse = np.where(flat, 0.0, 1.0 / np.sqrt(np.where(flat, 1.0, var)))
+    mean = centre + mom[:, 1:1 + p] / n[:, None]
+    reg = 1.0 / (C * n) if C is not None else np.full(folds, regParam)
+
+    def look(points: list) -> list:
+        """(value, gradient) at (fold, weights) points."""
+        fold = np.array([f for f, _ in points])
+        w = np.stack([v for _, v in points])
+        raw = w[:, :p] * inverse[fold]
+        raw = np.column_stack([raw, w[:, p] - (raw * mean[fold]).sum(axis=1)])
+
+        def add(total, y, x, use):
+            t = total.reshape(len(fold), p + 2)
+            sign = (2.0 * y - 1.0)[:, None]
+            gap = 1.0 - sign * (x @ raw[:, :p].T + raw[:, p])
+            hit = use[:, fold] & (gap > 0)
+            t[:, 0] += np.where(hit, gap, 0.0).sum(axis=0)
+            pull = -(hit * sign)
+            t[:, 1:1 + p] += pull.T @ x
+            t[:, 1 + p] += pull.sum(axis=0)
+        got = _summed(packed, parts, p, folds, len(fold) * (p + 2), add).reshape(len(fold), p + 2) / n[fold][:, None]
+        out = []
+        for (f, v), r in zip(points, got):
+            grad = np.append((r[1:1 + p] - r[1 + p] * mean[f]) * inverse[f] + reg[f] * v[:p], r[1 + p])
+            out.append((r[0] + 0.5 * reg[f] * float(v[:p] @ v[:p]), grad))
+        return out
+
+    runs = {f: _quasi_newton(p + 1, max_iter, tol) for f in range(folds)}
+    asked = {f: next(run) for f, run in runs.items()}
+    fitted, paths = np.zeros((folds, p + 1)), [None] * folds
+    while asked:
+        points = [(f, v) for f, vs in asked.items() for v in vs]
+        got = iter(look(points))
+        answers = {f: [next(got) for _ in vs] for f, vs in asked.items()}
+        asked = {}
+        for f, a in answers.items():
+            try:
+                asked[f] = runs[f].send(a)
+            except StopIteration as end:
+                w, paths[f] = end.value
+                raw = w[:p] * inverse[f]
+                fitted[f] = np.append(raw, w[p] - raw @ mean[f])
+    return fitted, paths
+
+
+def score_splits(rows: DataFrame, weights: np.ndarray, key: str = "id", label: str = "label") -> DataFrame:
+    """``(fold, key, label, prediction)`` for every fold in a row's ``folds``
+    (array); a score of 0 or less is class 0.  ``rows`` has ``x`` (array)."""
+    p = weights.shape[1] - 1
+    types = dict(rows.dtypes)
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, p)
+            listed = batch.column(3)
+            row = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+            fold = listed.flatten().to_numpy(zero_copy_only=False)
+            z = (x @ weights[:, :p].T + weights[:, p])[row, fold]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(fold.astype(np.int32)), batch.column(0).take(at), batch.column(1).take(at),
+                                              pa.array((z > 0).astype(np.float64))], names=["fold", key, label, "prediction"])
+
+    return rows.select(key, label, F.col("x").cast("array<double>"), F.col("folds").cast("array<int>")).mapInArrow(
+        run, f"fold int, {key} {types[key]}, {label} {types[label]}, prediction double")

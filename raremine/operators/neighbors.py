@@ -356,18 +356,58 @@ def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, bl
 
 
 def knn_vote(test: DataFrame, train: DataFrame, k: int = 5, key: str = "id", label: str = "label",
-             vec: str = "v") -> DataFrame:
+             vec: str = "v", group: str | None = None, tested: DataFrame | None = None, folds: int = 0,
+             near: DataFrame | None = None) -> DataFrame:
     """k-NN classifier: majority label of the k nearest training rows; ties
-    go to the smaller label.  ``(key, label, prediction)``."""
-    nn = knn_join(test.select(key, vec), train.select(key, vec), k, key, key, vec, exclude_self=False)
+    go to the smaller label.  ``([group,] key, label, prediction)``.  With ``group``
+    (e.g. a fold id on both sides) every group is a classifier of its own, all in
+    the same jobs.
+
+    With ``tested`` ((group, key) of rows left out of groups 0 to ``folds`` - 1)
+    ``train`` holds every row once, ``test`` is some of its rows for some groups, and
+    ``near`` is ``knn_join`` of ``train`` with itself for more than k neighbours: the
+    first k of them that a group trains are its nearest.  Queries with fewer left
+    are searched again, group by group."""
+    gcols = [group] if group else []
     from raremine.operators.joins import salted_join
 
-    lab = train.select(F.col(key).alias("rid"), F.col(label).alias("_nl"))
+    if tested is None:
+        nn = knn_join(test.select(*gcols, key, vec), train.select(*gcols, key, vec), k, key, key, vec, exclude_self=False, group=group)
+        lab = train.select(*gcols, F.col(key).alias("rid"), F.col(label).alias("_nl"))
+        join_on = [*gcols, "rid"]
+    else:
+        nn = _nearest_trained(test, train, k, key, vec, group, tested, folds, near)
+        lab = train.select(F.col(key).alias("rid"), F.col(label).alias("_nl"))
+        join_on = ["rid"]
     # a "hub" row can be a neighbour of many queries: salt its key
-    votes = salted_join(nn, lab, ["rid"], "inner").groupBy("qid", "_nl").agg(F.count(F.lit(1)).alias("_votes"))
-    best = votes.groupBy("qid").agg(F.max_by("_nl", F.struct(F.col("_votes"), -F.col("_nl"))).alias("prediction"))
-    return (test.select(key, label).join(best, test[key] == best["qid"], "left")
-            .select(key, label, "prediction"))
+    votes = salted_join(nn, lab, join_on, "inner").groupBy(*gcols, "qid", "_nl").agg(F.count(F.lit(1)).alias("_votes"))
+    best = votes.groupBy(*gcols, "qid").agg(F.max_by("_nl", F.struct(F.col("_votes"), -F.col("_nl"))).alias("prediction"))
+    return (test.select(*gcols, key, label).join(best.withColumnRenamed("qid", key), [*gcols, key], "left")
+            .select(*gcols, key, label, "prediction"))
+
+
+def _nearest_trained(test: DataFrame, train: DataFrame, k: int, key: str, vec: str, group: str, tested: DataFrame, folds: int,
+                     near: DataFrame) -> DataFrame:
+    """(group, qid, rid): the k nearest rows that each group trains, of the rows asked for it."""
+    from raremine.operators.joins import salted_join
+    from raremine.session import written
+
+    asked = test.groupBy(F.col(key).alias("qid")).agg(F.collect_set(group).alias("_asked"))         # up to ``folds`` numbers a row
+    left_out = tested.groupBy(F.col(key).alias("rid")).agg(F.collect_set(group).alias("_out"))
+    pairs = salted_join(near.join(asked, "qid"), left_out, ["rid"], "left")
+    kept = F.when(F.col("_out").isNull(), F.col("_asked")).otherwise(F.array_except("_asked", "_out"))
+    w = Window.partitionBy(group, "qid").orderBy("rank")
+    nn = written(pairs.select(F.explode(kept).alias(group), "qid", "rid", "rank").withColumn("_n", F.row_number().over(w))
+                 .filter(F.col("_n") <= k).select(group, "qid", "rid"), "knn-trained")
+    found = nn.groupBy(group, "qid").agg(F.count(F.lit(1)).alias("_n"))
+    short = written(test.select(group, key, vec).join(found.withColumnRenamed("qid", key), [group, key], "left")
+                    .filter(F.coalesce("_n", F.lit(0)) < k).filter(F.col(key).isNotNull()).drop("_n"), "knn-short")
+    if short.limit(1).count() == 0:
+        return nn
+    every = train.select(key, vec).withColumn(group, F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    again = knn_join(short, every.join(tested.select(group, key), [group, key], "left_anti"), k, key, key, vec, exclude_self=False, group=group)
+    rest = nn.join(short.select(group, F.col(key).alias("qid")), [group, "qid"], "left_anti")
+    return rest.unionByName(again.select(group, "qid", "rid"))
 
 
 def smote_borderline(df: DataFrame, features: Sequence[str], label: str = "label", key: str = "id",
