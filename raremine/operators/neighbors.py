@@ -24,6 +24,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,10 @@ _CHUNK = 64
 #: Pairs of blocks up to which all of them are compared; rows per pivot aimed
 #: at; pivots (and so numbers on the driver: pivots x columns) at most.
 DIRECT_PAIRS, PIVOT_ROWS, MAX_PIVOTS = 256, 1024, 4096
+#: Bytes of vectors in a batch of visits, and in a block where all blocks meet;
+#: share of all pairs from which they do; queries that tell the share.
+VISIT_BYTES, BLOCK_BYTES, MOST_PAIRS, ASKED = 4 << 20, 16 << 20, 0.25, 4096
+_QUERIES, _REFS = 128, 4096
 
 
 def as_vector(columns: Sequence[str]) -> Column:
@@ -173,7 +179,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qkey: str = "id", rkey
     q = queries.select(*[F.col(g).alias(g) for g in gcols], F.col(qkey).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
     r = refs.select(*[F.col(g).alias(g) for g in gcols], F.col(rkey).alias("rid"), F.col(vec).cast("array<double>").alias("v"))
     if qb * rb > direct_pairs and rb > 1:
-        cand = _pivot_candidates(q, r, k, exclude_self, block_rows, group, nr, pivot_rows)
+        cand = _pivot_candidates(q, r, k, exclude_self, block_rows, group, nr, pivot_rows, nq=nq)
     else:
         cand = _meet(*_all_blocks(q, r, qb, rb), ["qb", "rb"], k, exclude_self, group)
     w = Window.partitionBy(*gcols, "qid").orderBy("d2", "rid")
@@ -283,16 +289,114 @@ def _visits(pivots: np.ndarray, cells: dict, k: int, group: str | None, second:
                     cols.append(cell[j])
                 if rows:
                     i, c = np.concatenate(rows), np.concatenate(cols)
-                    out = part.iloc[i].copy()
-                    out["cell"] = c.astype(np.int32)
-                    yield out
+                    # a row with its vector for each cell it meets: a batch of bounded size at a time
+                    step = max(1, VISIT_BYTES // (8 * max(1, pivots.shape[1])))
+                    for at in range(0, len(i), step):
+                        out = part.iloc[i[at:at + step]].copy()
+                        out["cell"] = c[at:at + step].astype(np.int32)
+                        yield out
     return run
 
 
+def _met_rows(visits_of, cells: dict):
+    """Function over query batches -> how many rows they would meet (n)."""
+    def run(batches):
+        cell, count, _, _ = cells[0]
+        size = np.zeros(int(cell.max()) + 1, np.int64)
+        size[cell] = count
+        met = 0
+        for visits in visits_of(batches):
+            met += int(size[visits["cell"].to_numpy()].sum())
+        yield pd.DataFrame({"n": [met]})
+    return run
+
+
+def _block_topk(k: int, exclude_self: bool):
+    """Function over a query table (qid, v, theta) and a reference table (rid, v)
+    -> (qid, rid, d2): the k nearest rows within ``theta``.  The tables' vectors
+    are looked at where they lie; distances are made for a few MB of pairs at once."""
+    def matrix(table):
+        v = table.column("v").combine_chunks()
+        v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
+        x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(v), -1)
+        if not np.isfinite(x).all():
+            raise ValueError("k-NN vectors need finite coordinates; impute or drop rows first")
+        return x
+
+    def fn(q: pa.Table, r: pa.Table) -> pa.Table:
+        ids = (q.column("qid").combine_chunks(), r.column("rid").combine_chunks())
+        qid, rid = (v.chunk(0) if isinstance(v, pa.ChunkedArray) and v.num_chunks else v for v in ids)
+        rows, cols, dist = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if q.num_rows and r.num_rows:
+            qv, rv = matrix(q), matrix(r)
+            place = np.empty(len(rv), np.int64)                       # of each row in key order: breaks ties
+            place[pc.sort_indices(rid).to_numpy()] = np.arange(len(rv))
+            same = pc.index_in(qid, rid).fill_null(-1).to_numpy(zero_copy_only=False) if exclude_self else None
+            codes = pc.index_in(rid, rid).fill_null(-1).to_numpy(zero_copy_only=False) if exclude_self else None
+            kk = min(k + exclude_self, len(rv))
+            rn = (rv ** 2).sum(axis=1)
+            theta = q.column("theta").to_numpy()
+            for s in range(0, len(qv), _QUERIES):
+                x = qv[s:s + _QUERIES]
+                xn = (x ** 2).sum(axis=1)
+                # a matrix product finds the candidates: all within its rounding error of the k-th
+                slack = 1e-11 * (xn + rn.max() + 1e-300) * x.shape[1]
+                bound = theta[s:s + _QUERIES] ** 2 + slack
+                row, col, near = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+                for t in range(0, len(rv), _REFS):
+                    d = x @ rv[t:t + _REFS].T
+                    d *= -2.0
+                    d += xn[:, None]
+                    d += rn[None, t:t + _REFS]
+                    hit = d <= bound[:, None]
+                    if d.shape[1] > 4 * kk:
+                        many = np.flatnonzero(hit.sum(axis=1) > 4 * kk)
+                        if len(many):
+                            bound[many] = np.minimum(bound[many], np.partition(d[many], kk - 1, axis=1)[:, kk - 1] + slack[many])
+                            hit[many] = d[many] <= bound[many][:, None]
+                    i, j = np.nonzero(hit)
+                    row, col, near = np.concatenate([row, i]), np.concatenate([col, j + t]), np.concatenate([near, d[i, j]])
+                    # what was kept tells how near the k-th is at most
+                    order = np.lexsort((near, row))
+                    row, col, near = row[order], col[order], near[order]
+                    first = np.searchsorted(row, np.arange(len(x)))
+                    full = np.flatnonzero(np.bincount(row, minlength=len(x)) >= kk)
+                    bound[full] = np.minimum(bound[full], near[first[full] + kk - 1] + slack[full])
+                    keep = near <= bound[row]
+                    row, col, near = row[keep], col[keep], near[keep]
+                d2 = ((x[row] - rv[col]) ** 2).sum(axis=1)
+                if exclude_self:
+                    other = (same[s + row] < 0) | (same[s + row] != codes[col])
+                    row, col, d2 = row[other], col[other], d2[other]
+                order = np.lexsort((place[col], d2, row))
+                row, col, d2 = row[order], col[order], d2[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                rows.append(s + row[keep])
+                cols.append(col[keep])
+                dist.append(d2[keep])
+        rows, cols = pa.array(np.concatenate(rows)), pa.array(np.concatenate(cols))
+        return pa.table({"qid": qid.take(rows), "rid": rid.take(cols), "d2": pa.array(np.concatenate(dist))})
+    return fn
+
+
+def _meet_all(q: DataFrame, r: DataFrame, nq: int, nr: int, width: int, k: int, exclude_self: bool) -> DataFrame:
+    """(qid, rid, d2): the k nearest rows, within ``theta``, of each pair of blocks
+    when all of them meet.  A row is sent once for each block of the other side,
+    so blocks are as large as a task may hold: ``BLOCK_BYTES`` of vectors."""
+    least = math.isqrt(DIRECT_PAIRS)
+    qb, rb = (max(least, -(-n * width * 8 // BLOCK_BYTES)) for n in (nq, nr))
+    types = dict(q.dtypes) | dict(r.dtypes)
+    q, r = _all_blocks(q.select("qid", "v", "theta"), r.select("rid", "v"), qb, rb)
+    return (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
+            .applyInArrow(_block_topk(k, exclude_self), f"qid {types['qid']}, rid {types['rid']}, d2 double"))
+
+
 def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, block_rows: int, group: str | None, nr: int,
-                      pivot_rows: int, folds: int = 0) -> DataFrame:
+                      pivot_rows: int, folds: int = 0, nq: int = 0) -> DataFrame:
     """([group,] qid, rid, d2) that hold every query's k nearest rows (with
-    ``folds``, those of all folds but one, whichever is left out)."""
+    ``folds``, those of all folds but one, whichever is left out).  Where a few
+    queries tell that the bounds exclude little, all blocks meet instead: the
+    rows found are the same, and vectors are not repeated for every cell."""
     from raremine.session import written
 
     spark = q.sparkSession
@@ -351,6 +455,12 @@ def _pivot_candidates(q: DataFrame, r: DataFrame, k: int, exclude_self: bool, bl
         kth = (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k)
                .select(*gcols, "qid", F.sqrt("d2").alias("theta")))
     bounded = q.join(kth, [*gcols, "qid"], "left").withColumn("theta", F.coalesce("theta", F.lit(float("inf")))).select(*q.columns, "theta")
+    if not folds and not group and nq:
+        bounded = written(bounded, "knn-bounded")
+        asked = bounded.filter(F.pmod(F.xxhash64("qid"), F.lit(max(1, nq // ASKED)).cast("long")) == 0)
+        met = asked.mapInPandas(_met_rows(_visits(pivots, cells, need, group, True), cells), "n long").agg(F.sum("n")).first()[0] or 0
+        if met > MOST_PAIRS * asked.count() * nr:
+            return _meet_all(bounded, r, nq, nr, pivots.shape[1], k, exclude_self)
     second = meet(bounded.mapInPandas(_visits(pivots, cells, need, group, True), schema(bounded, ", cell int")))
     return first.unionByName(second)
 

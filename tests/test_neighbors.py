@@ -134,3 +134,41 @@ def test_blocks_meet_over_many_partitions(spark):
     finally:
         for n, v in zip(names, before):
             spark.conf.set(n, v)
+
+
+def test_rows_without_clusters_are_not_repeated_by_cell(spark, monkeypatch):
+    """Where bounds exclude little, blocks meet as they are: no round writes every
+    vector for every cell, and batches of visits stay small."""
+    import raremine.session as session
+
+    x = np.random.default_rng(6).normal(size=(700, 24))
+    x[600:640] = x[3]                                     # ties
+    sizes, plain = {}, session.written
+
+    def counted(frame, name):
+        done = plain(frame, name)
+        sizes.setdefault(name, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(session, "written", counted)
+    monkeypatch.setattr(NB, "_QUERIES", 32)
+    monkeypatch.setattr(NB, "_REFS", 16)
+    df = frame(spark, x)
+    got = NB.knn_join(df, df, 4, block_rows=60, direct_pairs=1, pivot_rows=20)
+    assert result(got) == brute(x, 4)
+    assert sum(sizes["knn-visits"]) < 3 * 700
+    y = frame(spark, x[:50] + 0.01)
+    other = NB.knn_join(y, df, 4, exclude_self=False, block_rows=20, direct_pairs=1, pivot_rows=20)
+    d2 = ((x[:50, None] + 0.01 - x[None]) ** 2).sum(axis=2)
+    assert result(other) == {(i, j, n) for i in range(50) for n, j in enumerate(np.lexsort((np.arange(700), d2[i]))[:4], 1)}
+
+
+def test_visits_come_in_batches_of_bounded_size(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(NB, "VISIT_BYTES", 8 * 3 * 10)
+    x = np.random.default_rng(1).normal(size=(40, 3))
+    cells = {0: (np.arange(5), np.ones(5, np.int64), np.zeros(5), np.ones(5))}
+    table = pd.DataFrame({"qid": range(40), "v": list(x)})
+    out = list(NB._visits(x[:5], cells, 2, None, False)(iter([table])))
+    assert max(map(len, out)) <= 10 and sum(map(len, out)) == 40 * 3
